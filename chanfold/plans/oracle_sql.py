@@ -128,3 +128,85 @@ SELECT {cols},
   round(CAST(ful.s AS DOUBLE) / CAST(ful.o AS DOUBLE), 6) AS fulfillment_rate
 FROM rev LEFT JOIN ret ON {on_ret} LEFT JOIN ful ON {on_ful}"""
     return with_base(body, extra)
+
+
+# ---------------------------------------------------------------------------
+# Raw channel dialects encoded from the fact (mirrors plans/raw_dialects.py).
+# ---------------------------------------------------------------------------
+
+def sql_case(expr: str, mapping: dict, passthrough: bool = False) -> str:
+    """``CASE expr WHEN k THEN v ... END``; with ``passthrough`` unmapped values
+    keep their input value (and null stays null)."""
+    def q(v):
+        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in mapping.items())
+    case = f"CASE {expr} {whens} END"
+    return f"coalesce({case}, {expr})" if passthrough else case
+
+
+def _raw_ctes() -> str:
+    from chanfold.specs import (CATEGORY_FIX, COUNTRY_ISO3_TO_ISO2, COUNTRY_NAME_TO_ISO2,
+                                ECOMM_CATCODE_TO_CATEGORY, FRANCHISE_STATUS_MAP,
+                                SPANISH_MONTH_TO_NUM, WHOLESALE_CATCODE_TO_CATEGORY)
+
+    def inv(m):
+        return {v: k for k, v in m.items()}
+    typo = {v: k for k, v in CATEGORY_FIX.items() if k != v}
+    misspelt = (f"CASE WHEN CAST(product_id AS BIGINT) % 10 = 0 "
+                f"THEN {sql_case('category', typo, passthrough=True)} ELSE category END")
+    return f"""
+raw_retail AS (
+  SELECT order_id AS transaction_id, consumer_id,
+    {sql_case('country', inv(COUNTRY_NAME_TO_ISO2))} AS store_country,
+    year_month AS order_month, {misspelt} AS product_category,
+    product_id AS sku, qty_ordered AS units_ordered, qty_sold AS units_sold, unit_price, currency,
+    CASE WHEN member THEN 'Y' WHEN NOT member THEN 'N' ELSE '?' END AS loyalty_flag,
+    upper(order_status) AS order_state
+  FROM fact WHERE channel = 'retail'),
+raw_ecomm_flat AS (
+  SELECT order_id AS orderId, consumer_id AS customerId, country AS market,
+    CAST(replace(year_month, '-', '') AS BIGINT) AS period, currency, member AS adiClub,
+    order_status AS status,
+    CAST({sql_case('category', inv(ECOMM_CATCODE_TO_CATEGORY))} AS BIGINT) AS catCode,
+    product_id AS article, qty_ordered AS qtyOrd, qty_sold AS qtySold, unit_price AS priceFinal
+  FROM fact WHERE channel = 'ecomm'),
+raw_app AS (
+  SELECT consumer_id AS uid, {sql_case('country', inv(COUNTRY_ISO3_TO_ISO2))} AS cc,
+    replace(year_month, '-', '/') AS yearmonth, {misspelt} AS category,
+    CAST(product_id AS BIGINT) AS productId, qty_ordered AS qty, qty_sold AS sold,
+    revenue_local AS amount, currency, order_id AS orderRef,
+    CASE WHEN member THEN 'Y' ELSE 'N' END AS member,
+    upper(substr(order_status, 1, 1)) || substr(order_status, 2) AS fulfillment
+  FROM fact WHERE channel = 'app'),
+raw_wholesale AS (
+  SELECT country AS country_code,
+    {sql_case('category', inv(WHOLESALE_CATCODE_TO_CATEGORY))} AS category_code,
+    CAST(year_month || '-01' AS TIMESTAMP) AS yr_month, product_id AS material_id,
+    qty_ordered AS sell_in_units, qty_sold AS sell_out_units, unit_price AS avg_price,
+    currency, order_status AS status
+  FROM fact WHERE channel = 'wholesale'),
+raw_franchise AS (
+  SELECT order_id AS Num_Orden, consumer_id AS Consumidor, country AS Pais,
+    {sql_case('substr(year_month, 6, 2)', inv(SPANISH_MONTH_TO_NUM))} || '-' || substr(year_month, 1, 4) AS Mes,
+    {misspelt} AS Categoria, product_id AS Codigo_Producto,
+    qty_ordered AS Cant_Pedida, qty_sold AS Cant_Vendida, unit_price AS Precio_Unitario,
+    currency AS Moneda,
+    CASE WHEN member THEN 'Si' WHEN NOT member THEN 'No' ELSE '?' END AS AdiClub,
+    {sql_case('order_status', inv(FRANCHISE_STATUS_MAP))} AS Estado_Orden
+  FROM fact WHERE channel = 'franchise')"""
+
+
+RAW_CTES = _raw_ctes()
+
+
+def with_raw(body: str) -> str:
+    return with_base(body, RAW_CTES)
+
+
+# Conformed fact as the silver step produces it: identical to ``fact`` except
+# app unit prices, which are recomputed from the amount by division.
+CONFORMED_CTE_BODY = ("SELECT channel, consumer_id, order_id, country, year_month, category, "
+                      "product_id, qty_ordered, qty_sold, "
+                      "CASE WHEN channel = 'app' THEN CASE WHEN qty_sold > 0 THEN revenue_local / qty_sold END "
+                      "ELSE unit_price END AS unit_price, currency, revenue_local, order_status, member "
+                      "FROM fact")

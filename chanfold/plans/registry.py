@@ -265,3 +265,153 @@ def _member_uplift(spark, sf_dir):
     return present(loyalty.member_uplift(cmp_, share=0.10),
                    money=["member_avg_ticket", "potential_new_orders", "potential_revenue"],
                    ratios=["uplift_ratio"])
+
+
+# -------------------------------------------------------------------- silver
+
+import chanfold.functions.months as fmonths  # noqa: E402
+from chanfold.functions import recode_mod as frecode  # noqa: E402
+from chanfold.operators import conform as conf  # noqa: E402
+from chanfold.plans import raw_dialects as raw  # noqa: E402
+from chanfold.specs import (CATEGORY_FIX, CHANNEL_SPECS, COUNTRY_ISO3_TO_ISO2,  # noqa: E402
+                            COUNTRY_NAME_TO_ISO2, ECOMM_CATCODE_TO_CATEGORY,
+                            FRANCHISE_STATUS_MAP, SPANISH_MONTH_TO_NUM,
+                            WHOLESALE_CATCODE_TO_CATEGORY)
+
+
+def raw_frame(spark, sf_dir, channel: str) -> DataFrame:
+    return raw.RAW_ENCODERS[channel](Layers(spark, sf_dir).fact())
+
+
+def _conform_key(channel: str):
+    body = f"SELECT * FROM ({osql.CONFORMED_CTE_BODY}) c WHERE channel = '{channel}'"
+
+    @register(f"conform_{channel}", osql.with_base(body))
+    def q(spark, sf_dir):
+        return conf.conform(raw_frame(spark, sf_dir, channel), CHANNEL_SPECS[channel])
+    return q
+
+
+for _ch in ["retail", "ecomm", "app", "wholesale", "franchise"]:
+    _conform_key(_ch)
+
+
+@register("explode_order_lines", osql.with_raw("SELECT * FROM raw_ecomm_flat"))
+def _explode_order_lines(spark, sf_dir):
+    return conf.flatten_lines(raw_frame(spark, sf_dir, "ecomm"), "lines")
+
+
+@register("fact_orders", osql.with_base(osql.CONFORMED_CTE_BODY))
+def _fact_orders(spark, sf_dir):
+    fact = Layers(spark, sf_dir).fact()
+    sources = {f"{ch}_orders": enc(fact) for ch, enc in raw.RAW_ENCODERS.items()}
+    return conf.build_fact_orders(sources)
+
+
+def _pairs(df: DataFrame, channel: str, raw_col: str, value) -> DataFrame:
+    return (df.select(F.lit(channel).alias("channel"),
+                      F.col(raw_col).cast("string").alias("raw_value"),
+                      value.alias("value"))
+              .groupBy("channel", "raw_value", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _pairs_sql(channel: str, source: str, raw_col: str, value_sql: str) -> str:
+    return (f"SELECT '{channel}' AS channel, CAST({raw_col} AS VARCHAR) AS raw_value, "
+            f"{value_sql} AS value, count(*) AS n FROM {source} GROUP BY ALL")
+
+
+def _pairs_key(name: str, parts: list[tuple]):
+    """Scalar-function check over real data: distinct (raw, normalized) pairs
+    with their counts.  parts: (channel, raw column, Spark fn, SQL expr)."""
+    sql = osql.with_raw("\nUNION ALL\n".join(
+        _pairs_sql(ch, f"raw_{ch}" if ch != "ecomm" else "raw_ecomm_flat", col, sql_expr)
+        for ch, col, _, sql_expr in parts))
+
+    @register(name, sql)
+    def q(spark, sf_dir):
+        frames = []
+        for ch, col, fn, _ in parts:
+            src = raw_frame(spark, sf_dir, ch)
+            if ch == "ecomm":
+                src = conf.flatten_lines(src, "lines")
+            frames.append(_pairs(src, ch, col, fn(col)))
+        return conf.reduce(lambda a, b: a.unionByName(b), frames)
+    return q
+
+
+_case = osql.sql_case
+_ecomm_codes = {str(k): v for k, v in ECOMM_CATCODE_TO_CATEGORY.items()}
+
+_pairs_key("recode_country", [
+    ("retail", "store_country", lambda c: frecode.recode(c, COUNTRY_NAME_TO_ISO2),
+     _case("store_country", COUNTRY_NAME_TO_ISO2, passthrough=True)),
+    ("app", "cc", lambda c: frecode.recode(c, COUNTRY_ISO3_TO_ISO2),
+     _case("cc", COUNTRY_ISO3_TO_ISO2, passthrough=True)),
+])
+_pairs_key("recode_category", [
+    (ch, col, lambda c: frecode.recode(c, CATEGORY_FIX), _case(col, CATEGORY_FIX, passthrough=True))
+    for ch, col in [("retail", "product_category"), ("app", "category"), ("franchise", "Categoria")]
+])
+_pairs_key("recode_category_code", [
+    ("ecomm", "catCode", lambda c: frecode.recode_code(c, ECOMM_CATCODE_TO_CATEGORY),
+     _case("CAST(catCode AS VARCHAR)", _ecomm_codes, passthrough=True)),
+    ("wholesale", "category_code", lambda c: frecode.recode_code(c, WHOLESALE_CATCODE_TO_CATEGORY),
+     _case("category_code", WHOLESALE_CATCODE_TO_CATEGORY, passthrough=True)),
+])
+_pairs_key("recode_status", [
+    ("retail", "order_state", frecode.lower_status, "lower(order_state)"),
+    ("app", "fulfillment", frecode.lower_status, "lower(fulfillment)"),
+    ("franchise", "Estado_Orden", lambda c: frecode.recode(c, FRANCHISE_STATUS_MAP),
+     _case("Estado_Orden", FRANCHISE_STATUS_MAP, passthrough=True)),
+])
+_pairs_key("member_flag", [
+    ("retail", "loyalty_flag", lambda c: frecode.decode_flag(c, "Y", "N"),
+     "CASE WHEN loyalty_flag = 'Y' THEN TRUE WHEN loyalty_flag = 'N' THEN FALSE END"),
+    ("franchise", "AdiClub", lambda c: frecode.decode_flag(c, "Si", "No"),
+     "CASE WHEN AdiClub = 'Si' THEN TRUE WHEN AdiClub = 'No' THEN FALSE END"),
+    ("app", "member", lambda c: frecode.decode_flag(c, "Y", None),
+     "CASE WHEN member = 'Y' THEN TRUE END"),
+])
+_pairs_key("month_spanish", [
+    ("franchise", "Mes", fmonths.month_from_spanish,
+     "split_part(Mes, '-', 2) || '-' || "
+     + _case("split_part(Mes, '-', 1)", SPANISH_MONTH_TO_NUM, passthrough=True)),
+])
+_pairs_key("month_int", [
+    ("ecomm", "period", fmonths.month_from_int,
+     "substr(CAST(period AS VARCHAR), 1, 4) || '-' || substr(CAST(period AS VARCHAR), 5, 2)"),
+])
+_pairs_key("month_slash", [
+    ("app", "yearmonth", fmonths.month_from_slash, "regexp_replace(yearmonth, '/', '-')"),
+])
+_pairs_key("month_timestamp", [
+    ("wholesale", "yr_month", fmonths.month_from_timestamp, "strftime(yr_month, '%Y-%m')"),
+])
+_pairs_key("cast_ids", [
+    ("app", "productId", lambda c: F.col(c).cast("string"), "CAST(productId AS VARCHAR)"),
+    ("ecomm", "article", lambda c: F.col(c).cast("string"), "CAST(article AS VARCHAR)"),
+])
+
+
+@register("derive_revenue", osql.with_raw("""
+SELECT country_code AS country, count(*) FILTER (WHERE sell_out_units * avg_price IS NULL) AS null_revenue,
+  round(sum(sell_out_units * avg_price), 4) AS revenue_local
+FROM raw_wholesale GROUP BY country_code"""))
+def _derive_revenue(spark, sf_dir):
+    df = conf.derive_revenue(conf.rename_strict(raw_frame(spark, sf_dir, "wholesale"),
+                                                CHANNEL_SPECS["wholesale"].rename))
+    return present(df.groupBy("country").agg(
+        F.count_if(F.col("revenue_local").isNull()).alias("null_revenue"),
+        F.sum("revenue_local").alias("revenue_local")), money=["revenue_local"])
+
+
+@register("derive_unit_price", osql.with_raw("""
+SELECT cc AS country, count(*) FILTER (WHERE sold <= 0) AS null_unit_price,
+  round(sum(CASE WHEN sold > 0 THEN amount / sold END), 4) AS unit_price_total
+FROM raw_app GROUP BY cc"""))
+def _derive_unit_price(spark, sf_dir):
+    df = conf.derive_unit_price(conf.rename_strict(raw_frame(spark, sf_dir, "app"),
+                                                   CHANNEL_SPECS["app"].rename))
+    return present(df.groupBy("country").agg(
+        F.count_if(F.col("unit_price").isNull()).alias("null_unit_price"),
+        F.sum("unit_price").alias("unit_price_total")), money=["unit_price_total"])
