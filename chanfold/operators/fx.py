@@ -36,7 +36,7 @@ def join_rates(fact: DataFrame, rates: DataFrame, *, broadcast: bool | None = No
         broadcast = rates_fit_broadcast(r)
     if broadcast:
         r = F.broadcast(r)
-    return fact.join(r, on=RATE_KEYS, how="left")
+    return fact.join(r, on=RATE_KEYS, how="left").select(*fact.columns, RATE_COL)
 
 
 def _eur(value: str) -> F.Column:
@@ -62,9 +62,8 @@ def convert_to_eur(fact: DataFrame, rates: DataFrame, *, observation: Observatio
     j = join_rates(fact, rates, broadcast=broadcast)
     if observation is not None:
         j = j.observe(observation, F.count_if(missing_rate_flag()).alias("missing_rate_rows"))
-    return (j.withColumns({"revenue_eur": _eur("revenue_local"),
-                           "unit_price_eur": _eur("unit_price")})
-             .drop(RATE_COL))
+    return j.select(*fact.columns, _eur("revenue_local").alias("revenue_eur"),
+                    _eur("unit_price").alias("unit_price_eur"))
 
 
 def missing_rates(fact: DataFrame, rates: DataFrame, *, broadcast: bool | None = None) -> DataFrame:

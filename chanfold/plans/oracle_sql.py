@@ -62,8 +62,7 @@ fact AS (
     CASE WHEN channel = 'wholesale' THEN NULL
          WHEN channel = 'app' THEN TRUE
          WHEN channel = 'retail' AND custkey % 50 = 0 THEN NULL
-         ELSE custkey % 3 <> 0 END AS member,
-    linenumber AS _linenumber, price AS _price, custkey AS _custkey
+         ELSE custkey % 3 <> 0 END AS member
   FROM fj2
 ),
 rates AS (

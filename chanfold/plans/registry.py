@@ -415,3 +415,182 @@ def _derive_unit_price(spark, sf_dir):
     return present(df.groupBy("country").agg(
         F.count_if(F.col("unit_price").isNull()).alias("null_unit_price"),
         F.sum("unit_price").alias("unit_price_total")), money=["unit_price_total"])
+
+
+# ------------------------------------------------------ profiling and quality
+
+from chanfold.operators import profile as prof  # noqa: E402
+from chanfold.operators import quality as qual  # noqa: E402
+
+FACT_EUR_TYPES = [
+    ("channel", "string"), ("consumer_id", "string"), ("order_id", "string"),
+    ("country", "string"), ("year_month", "string"), ("category", "string"),
+    ("product_id", "string"), ("qty_ordered", "bigint"), ("qty_sold", "bigint"),
+    ("unit_price", "double"), ("currency", "string"), ("revenue_local", "double"),
+    ("order_status", "string"), ("member", "boolean"), ("revenue_eur", "double"),
+    ("unit_price_eur", "double"),
+]
+NUMERIC_FACT_COLS = ["qty_ordered", "qty_sold", "unit_price", "revenue_local", "revenue_eur",
+                     "unit_price_eur"]
+PROFILED_COLS = ["channel", "country", "year_month", "category", "order_status", "currency",
+                 "member"]
+VALIDATED_COLS = ["channel", "country", "category", "order_status", "year_month"]
+
+
+@register("null_counts", osql.with_base(
+    "UNPIVOT (SELECT " + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}"
+                                   for c, _ in FACT_EUR_TYPES)
+    + " FROM fact_eur) ON COLUMNS(*) INTO NAME column_name VALUE null_count"))
+def _null_counts(spark, sf_dir):
+    return prof.null_counts(Layers(spark, sf_dir).fact_eur())
+
+
+@register("value_counts", osql.with_base(
+    "SELECT order_status AS value, count(*) AS n FROM fact GROUP BY order_status"))
+def _value_counts(spark, sf_dir):
+    return prof.value_counts(Layers(spark, sf_dir).fact(), "order_status")
+
+
+def _distinct_pairs_sql(cols: list[str], source: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT DISTINCT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM {source}"
+        for c in cols)
+
+
+@register("distinct_values", osql.with_base(_distinct_pairs_sql(VALIDATED_COLS, "fact")))
+def _distinct_values(spark, sf_dir):
+    return prof.distinct_values(Layers(spark, sf_dir).fact(), VALIDATED_COLS)
+
+
+@register("profile_distinct", osql.with_base(f"""
+SELECT column_name, value, value_rank, n_distinct FROM (
+  SELECT column_name, value,
+    row_number() OVER (PARTITION BY column_name ORDER BY value ASC NULLS FIRST) AS value_rank,
+    count(*) OVER (PARTITION BY column_name) AS n_distinct
+  FROM ({_distinct_pairs_sql(PROFILED_COLS, 'fact')}) p
+) r WHERE value_rank <= 15"""))
+def _profile_distinct(spark, sf_dir):
+    out = prof.profile_distinct(Layers(spark, sf_dir).fact(), PROFILED_COLS, n=15)
+    return out.withColumn("value_rank", F.col("value_rank").cast("bigint"))
+
+
+@register("describe_numeric", osql.with_base("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS count, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    f"round(avg(CAST({c} AS DOUBLE)), 4) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std, "
+    f"min(CAST({c} AS DOUBLE)) AS min, max(CAST({c} AS DOUBLE)) AS max FROM fact_eur"
+    for c in NUMERIC_FACT_COLS)))
+def _describe_numeric(spark, sf_dir):
+    out = prof.describe_numeric(Layers(spark, sf_dir).fact_eur(), NUMERIC_FACT_COLS)
+    return present(out, money=["mean", "std"])
+
+
+@register("describe_quantiles", None)
+def _describe_quantiles(spark, sf_dir):
+    return prof.describe_quantiles(Layers(spark, sf_dir).fact_eur(), NUMERIC_FACT_COLS)
+
+
+@register("profile_source", osql.with_base("\nUNION ALL\n".join(
+    f"SELECT 'fact_orders' AS source, count(*) AS n_rows, {i + 1} AS position, '{c}' AS column_name, "
+    f"'{t}' AS data_type, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM fact_eur"
+    for i, (c, t) in enumerate(FACT_EUR_TYPES))))
+def _profile_source(spark, sf_dir):
+    return prof.profile_source(Layers(spark, sf_dir).fact_eur(), "fact_orders")
+
+
+@register("sample_rows", osql.with_base(
+    "SELECT * FROM fact ORDER BY " + ", ".join(f"{c} ASC NULLS FIRST" for c in
+                                               osql.FACT_COLS_SQL.split(", ")) + " LIMIT 10"))
+def _sample_rows(spark, sf_dir):
+    return prof.sample_rows(Layers(spark, sf_dir).fact(), 10)
+
+
+def _app_labelled(spark, sf_dir) -> DataFrame:
+    app = raw_frame(spark, sf_dir, "app")
+    return app.withColumn("category_clean", frecode.recode("category", CATEGORY_FIX))
+
+
+def _crosstab(spark, sf_dir) -> DataFrame:
+    ecomm = conf.flatten_lines(raw_frame(spark, sf_dir, "ecomm"), "lines")
+    return prof.category_crosstab(ecomm, "catCode", "article",
+                                  _app_labelled(spark, sf_dir), "category_clean", "productId")
+
+
+_CROSSTAB_SQL = f"""
+SELECT e.catCode AS code, a.label, count(*) AS count
+FROM raw_ecomm_flat e
+JOIN (SELECT DISTINCT productId AS key, {osql.sql_case('category', CATEGORY_FIX, passthrough=True)} AS label
+      FROM raw_app) a ON CAST(e.article AS BIGINT) = a.key
+GROUP BY e.catCode, a.label"""
+
+
+@register("category_crosstab", osql.with_raw(_CROSSTAB_SQL))
+def _category_crosstab(spark, sf_dir):
+    return _crosstab(spark, sf_dir)
+
+
+@register("code_inference", osql.with_raw(f"""
+SELECT code, arg_max(label, count) AS inferred_label,
+  round(CAST(max(count) AS DOUBLE) / sum(count), 6) AS share, CAST(sum(count) AS BIGINT) AS n_matched
+FROM ({_CROSSTAB_SQL}) x GROUP BY code"""))
+def _code_inference(spark, sf_dir):
+    return present(prof.infer_code_mapping(_crosstab(spark, sf_dir)), ratios=["share"])
+
+
+@register("id_overlap", osql.with_raw("""
+SELECT 'ecomm_app' AS pair, count(*) AS overlap FROM (
+  SELECT CAST(article AS VARCHAR) FROM raw_ecomm_flat INTERSECT SELECT CAST(productId AS VARCHAR) FROM raw_app) a
+UNION ALL
+SELECT 'ecomm_wholesale' AS pair, count(*) AS overlap FROM (
+  SELECT CAST(article AS VARCHAR) FROM raw_ecomm_flat INTERSECT SELECT CAST(material_id AS VARCHAR) FROM raw_wholesale) b"""))
+def _id_overlap(spark, sf_dir):
+    ecomm = conf.flatten_lines(raw_frame(spark, sf_dir, "ecomm"), "lines")
+    a = prof.id_overlap(ecomm, "article", raw_frame(spark, sf_dir, "app"), "productId")
+    b = prof.id_overlap(ecomm, "article", raw_frame(spark, sf_dir, "wholesale"), "material_id")
+    return prof.union_all([a.select(F.lit("ecomm_app").alias("pair"), "overlap"),
+                           b.select(F.lit("ecomm_wholesale").alias("pair"), "overlap")])
+
+
+def _rules_sql() -> str:
+    def inlist(vals):
+        return ", ".join(f"'{v}'" for v in vals)
+    rules = {
+        "country_not_allowed": f"NOT coalesce(country IN ({inlist(qual.ALLOWED_COUNTRIES)}), FALSE)",
+        "category_not_allowed": f"NOT coalesce(category IN ({inlist(qual.ALLOWED_CATEGORIES)}), FALSE)",
+        "status_not_allowed": f"NOT coalesce(order_status IN ({inlist(qual.ALLOWED_STATUSES)}), FALSE)",
+        "channel_not_allowed": f"NOT coalesce(channel IN ({inlist(qual.ALLOWED_CHANNELS)}), FALSE)",
+        "month_bad_format": "NOT coalesce(regexp_full_match(year_month, '[0-9]{4}-[0-9]{2}'), FALSE)",
+        "null_currency": "currency IS NULL",
+        "negative_quantity": "coalesce(qty_ordered < 0 OR qty_sold < 0, FALSE)",
+        "sold_exceeds_ordered": "coalesce(qty_sold > qty_ordered, FALSE)",
+        "wholesale_null_revenue_with_sales":
+            "coalesce(channel = 'wholesale' AND revenue_local IS NULL AND qty_sold <> 0, FALSE)",
+        "app_amount_without_sales":
+            "coalesce(channel = 'app' AND qty_sold = 0 AND revenue_local <> 0, FALSE)",
+    }
+    sel = ", ".join(f"count(*) FILTER (WHERE {p}) AS {n}" for n, p in rules.items())
+    return f"UNPIVOT (SELECT {sel} FROM fact) ON COLUMNS(*) INTO NAME rule VALUE violations"
+
+
+@register("validate_fact", osql.with_base(_rules_sql()))
+def _validate_fact(spark, sf_dir):
+    return qual.validate_fact(Layers(spark, sf_dir).fact())
+
+
+@register("null_revenue_diagnosis", osql.with_base("""
+SELECT order_status, count(*) AS n_rows,
+  count(*) FILTER (WHERE qty_sold IS NULL) AS null_qty_sold,
+  count(*) FILTER (WHERE unit_price IS NULL) AS null_unit_price,
+  count(*) FILTER (WHERE qty_ordered IS NULL) AS null_qty_ordered,
+  count(*) FILTER (WHERE qty_sold = 0) AS zero_qty_sold
+FROM fact WHERE channel = 'wholesale' AND revenue_local IS NULL GROUP BY order_status"""))
+def _null_revenue_diagnosis(spark, sf_dir):
+    return qual.null_revenue_diagnosis(Layers(spark, sf_dir).fact())
+
+
+@register("avg_revenue_by_channel", osql.with_base("""
+SELECT channel, round(avg(revenue_eur), 4) AS avg_revenue_eur,
+  count(*) FILTER (WHERE revenue_eur IS NULL) AS nulls
+FROM fact_eur GROUP BY channel"""))
+def _avg_revenue_by_channel(spark, sf_dir):
+    return present(qual.avg_revenue_by_channel(Layers(spark, sf_dir).fact_eur()),
+                   money=["avg_revenue_eur"])
