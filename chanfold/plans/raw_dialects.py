@@ -106,7 +106,7 @@ def wholesale_raw(fact: DataFrame) -> DataFrame:
         F.col("country").alias("country_code"),
         F.try_element_at(literal_map(_inverse(WHOLESALE_CATCODE_TO_CATEGORY)),
                          F.col("category")).alias("category_code"),
-        F.to_timestamp(F.concat("year_month", F.lit("-01")), "yyyy-MM-dd").alias("yr_month"),
+        F.to_timestamp_ntz(F.concat("year_month", F.lit("-01")), F.lit("yyyy-MM-dd")).alias("yr_month"),
         F.col("product_id").alias("material_id"),
         F.col("qty_ordered").alias("sell_in_units"),
         F.col("qty_sold").alias("sell_out_units"),
@@ -144,3 +144,26 @@ RAW_ENCODERS = {
     "wholesale": wholesale_raw,
     "franchise": franchise_raw,
 }
+
+
+# Declared schemas of the raw files (the readers never guess these).
+RAW_SCHEMAS = {
+    "retail": ("transaction_id string, consumer_id string, store_country string, "
+               "order_month string, product_category string, sku string, units_ordered bigint, "
+               "units_sold bigint, unit_price double, currency string, loyalty_flag string, "
+               "order_state string"),
+    "ecomm": ("orderId string, customerId string, market string, period bigint, currency string, "
+              "adiClub boolean, status string, lines array<struct<catCode: bigint, article: string, "
+              "qtyOrd: bigint, qtySold: bigint, priceFinal: double>>"),
+    "app": ("uid string, cc string, yearmonth string, category string, productId bigint, "
+            "qty bigint, sold bigint, amount double, currency string, orderRef string, "
+            "member string, fulfillment string"),
+    "wholesale": ("country_code string, category_code string, yr_month timestamp_ntz, "
+                  "material_id string, sell_in_units bigint, sell_out_units bigint, "
+                  "avg_price double, currency string, status string"),
+    "franchise": ("Num_Orden string, Consumidor string, Pais string, Mes string, Categoria string, "
+                  "Codigo_Producto string, Cant_Pedida bigint, Cant_Vendida bigint, "
+                  "Precio_Unitario double, Moneda string, AdiClub string, Estado_Orden string"),
+    "currency_reference": ("country string, year_month string, currency_from string, "
+                           "currency_to string, local_units_per_eur double"),
+}

@@ -594,3 +594,105 @@ FROM fact_eur GROUP BY channel"""))
 def _avg_revenue_by_channel(spark, sf_dir):
     return present(qual.avg_revenue_by_channel(Layers(spark, sf_dir).fact_eur()),
                    money=["avg_revenue_eur"])
+
+
+# ------------------------------------------------------------ bronze (files)
+
+from chanfold.plans import raw_files  # noqa: E402
+from chanfold.plans.raw_dialects import RAW_SCHEMAS  # noqa: E402
+from chanfold.sources import ingest as ing  # noqa: E402
+from chanfold.sources import readers as rd  # noqa: E402
+
+
+def _raw_path(spark, sf_dir, channel: str) -> tuple[str, Layers]:
+    layers = Layers(spark, sf_dir)
+    return f"{raw_files.raw_folder(layers)}/{raw_files.RAW_FILE_NAMES[channel]}", layers
+
+
+def _bronze(spark, sf_dir) -> dict[str, DataFrame]:
+    layers = Layers(spark, sf_dir)
+    raw_dir = raw_files.raw_folder(layers)
+    bronze_dir = raw_dir.replace("/chanfold-raw/", "/chanfold-bronze/")
+    return ing.ingest_all(spark, raw_dir, bronze_dir, raw_files.declared_schemas())
+
+
+@register("source_catalog", None)
+def _source_catalog(spark, sf_dir):
+    path, layers = _raw_path(spark, sf_dir, "retail")
+    return rd.discover_sources(spark, path.rsplit("/", 1)[0])
+
+
+@register("ingest_csv", osql.with_raw("SELECT * FROM raw_retail"))
+def _ingest_csv(spark, sf_dir):
+    path, _ = _raw_path(spark, sf_dir, "retail")
+    return rd.read_csv(spark, path, RAW_SCHEMAS["retail"])
+
+
+@register("ingest_ndjson", osql.with_raw("SELECT * FROM raw_ecomm_flat"))
+def _ingest_ndjson(spark, sf_dir):
+    path, _ = _raw_path(spark, sf_dir, "ecomm")
+    return conf.flatten_lines(rd.read_ndjson(spark, path, RAW_SCHEMAS["ecomm"]), "lines")
+
+
+@register("ingest_json_array", osql.with_raw("SELECT * FROM raw_app"))
+def _ingest_json_array(spark, sf_dir):
+    path, _ = _raw_path(spark, sf_dir, "app")
+    return rd.read_json_array(spark, path, RAW_SCHEMAS["app"])
+
+
+@register("ingest_parquet", osql.with_raw("SELECT * FROM raw_wholesale"))
+def _ingest_parquet(spark, sf_dir):
+    path, _ = _raw_path(spark, sf_dir, "wholesale")
+    return rd.read_parquet(spark, path, RAW_SCHEMAS["wholesale"])
+
+
+@register("ingest_xlsx", osql.with_raw("SELECT * FROM raw_franchise"))
+def _ingest_xlsx(spark, sf_dir):
+    path, _ = _raw_path(spark, sf_dir, "franchise")
+    return rd.read_workbook(spark, path, RAW_SCHEMAS["franchise"])
+
+
+_BRONZE_COUNTS = [("retail_orders.csv", "raw_retail"),
+                  ("ecomm_orders.ndjson", "(SELECT DISTINCT orderId, customerId, market, period, "
+                   "currency, adiClub, status FROM raw_ecomm_flat)"),
+                  ("app_orders.json", "raw_app"), ("wholesale_orders.parquet", "raw_wholesale"),
+                  ("franchise_orders.xlsx", "raw_franchise"), ("currency_reference.csv", "rates")]
+
+
+@register("bronze_provenance", osql.with_raw("\nUNION ALL\n".join(
+    f"SELECT '{f}' AS _source, count(*) AS n_rows FROM {src} s" for f, src in _BRONZE_COUNTS)))
+def _bronze_provenance(spark, sf_dir):
+    frames = _bronze(spark, sf_dir)
+    return prof.union_all([df.groupBy("_source").agg(F.count(F.lit(1)).alias("n_rows"))
+                           for _, df in sorted(frames.items())])
+
+
+_BRONZE_WIDTH = {"retail_orders": 14, "ecomm_orders": 10, "app_orders": 14,
+                 "wholesale_orders": 11, "franchise_orders": 14, "currency_reference": 7}
+
+
+@register("bronze_summary", osql.with_raw("\nUNION ALL\n".join(
+    f"SELECT '{f.rsplit('.', 1)[0]}' AS source, count(*) AS n_rows, "
+    f"{_BRONZE_WIDTH[f.rsplit('.', 1)[0]]} AS n_columns FROM {src} s" for f, src in _BRONZE_COUNTS)))
+def _bronze_summary(spark, sf_dir):
+    return ing.bronze_summary(_bronze(spark, sf_dir))
+
+
+@register("bronze_ingest", None)
+def _bronze_ingest(spark, sf_dir):
+    path, _ = _raw_path(spark, sf_dir, "retail")
+    bronze_dir = path.rsplit("/", 1)[0].replace("/chanfold-raw/", "/chanfold-bronze-single/")
+    return ing.ingest_source(spark, path, "retail_orders", ".csv", bronze_dir, RAW_SCHEMAS["retail"])
+
+
+@register("silver_from_files", osql.with_base(osql.CONFORMED_CTE_BODY))
+def _silver_from_files(spark, sf_dir):
+    return conf.build_fact_orders(_bronze(spark, sf_dir))
+
+
+@register("gold_from_files", osql.kpi_joined_sql(["country", "year_month"]))
+def _gold_from_files(spark, sf_dir):
+    bronze = _bronze(spark, sf_dir)
+    fact = conf.build_fact_orders(bronze)
+    fact_eur = fx.convert_to_eur(fact, bronze["currency_reference"])
+    return present_kpis(kpis.build_kpi_table(fact_eur, ["country", "year_month"]))
