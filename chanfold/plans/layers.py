@@ -54,9 +54,11 @@ def code_fingerprint(*objs) -> str:
     return h.hexdigest()[:12]
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str, fingerprint: str,
+def materialize(spark: SparkSession, df, name: str, fingerprint: str,
                 partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` once under the shared work folder and read it back.
+    """Write ``df`` (a DataFrame, or a function building one -- only called
+    when the table is not written yet) once under the shared work folder and
+    read it back.
 
     The write goes to a unique staging folder that is renamed into place, so
     a failed or concurrent writer never leaves a half-written table behind.
@@ -67,6 +69,8 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, fingerprint: str,
     jvm = spark.sparkContext._jvm
     if not fs.exists(jvm.org.apache.hadoop.fs.Path(final + "/_SUCCESS")):
         staging = f"{base}/_staging-{name}-{uuid.uuid4().hex}"
+        if callable(df):
+            df = df()
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -100,22 +104,43 @@ class Layers:
         return file_fingerprint(self.spark, [self.path(t) for t in tables]) + code_fingerprint(*code)
 
     # -- silver -----------------------------------------------------------
-    def fact(self) -> DataFrame:
+    def fact_lazy(self) -> DataFrame:
         """Canonical fact table (14 columns), derived lazily from the tables."""
         from chanfold.plans.fixture_fact import derive_fact
         return derive_fact(self.table("lineitem"), self.table("orders"),
                            self.table("customer"), self.table("part"))
 
+    def fact(self) -> DataFrame:
+        """Canonical fact table (14 columns): the silver table without the
+        two EUR columns (column pruning keeps them out of the scan)."""
+        from chanfold.specs import FACT_COLUMNS
+        return self.fact_eur().select(*FACT_COLUMNS)
+
     def rates(self) -> DataFrame:
         """Rate reference table, written once per input snapshot."""
         if "rates" not in self._cache:
             from chanfold.plans import fixture_fact
             fp = self.fingerprint(["orders", "customer"], fixture_fact)
-            df = fixture_fact.derive_rates(self.table("orders"), self.table("customer"))
-            self._cache["rates"] = materialize(self.spark, df, "currency_reference", fp)
+            self._cache["rates"] = materialize(
+                self.spark, lambda: fixture_fact.derive_rates(self.table("orders"), self.table("customer")),
+                "currency_reference", fp)
         return self._cache["rates"]
 
-    def fact_eur(self) -> DataFrame:
-        """Fact with ``revenue_eur`` and ``unit_price_eur`` (16 columns)."""
+    def fact_eur_lazy(self) -> DataFrame:
+        """EUR-converted fact computed from the tables in the same plan."""
         from chanfold.operators.fx import convert_to_eur
-        return convert_to_eur(self.fact(), self.rates())
+        return convert_to_eur(self.fact_lazy(), self.rates())
+
+    def fact_eur(self) -> DataFrame:
+        """Silver table: fact with ``revenue_eur`` and ``unit_price_eur`` (16
+        columns), written once per input snapshot and read back, as the
+        medallion layout prescribes (gold reads silver)."""
+        if "fact_eur" not in self._cache:
+            from chanfold.functions import arith, months
+            from chanfold.functions import recode_mod as recode
+            from chanfold.operators import fx
+            from chanfold.plans import fixture_fact
+            fp = self.fingerprint(["lineitem", "orders", "customer", "part"],
+                                  fixture_fact, fx, arith, recode, months)
+            self._cache["fact_eur"] = materialize(self.spark, self.fact_eur_lazy, "fact_eur", fp)
+        return self._cache["fact_eur"]
