@@ -20,7 +20,7 @@ from chanfold.sources import xlsx
 
 # Rows per written part file; bounds the memory of one JSON-array document
 # and of one workbook.
-ROWS_PER_FILE = 50_000
+ROWS_PER_FILE = 25_000
 
 RAW_FILE_NAMES = {
     "retail": "retail_orders.csv",
