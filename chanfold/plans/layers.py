@@ -65,6 +65,8 @@ def materialize(spark: SparkSession, df, name: str, fingerprint: str,
     """
     base = f"{work_dir(spark)}/chanfold-layers"
     final = f"{base}/{name}-{fingerprint}"
+    if partition_by:
+        final += "-by-" + "-".join(partition_by)
     fs, fpath = _hadoop_fs(spark, final)
     jvm = spark.sparkContext._jvm
     if not fs.exists(jvm.org.apache.hadoop.fs.Path(final + "/_SUCCESS")):
@@ -142,5 +144,10 @@ class Layers:
             from chanfold.plans import fixture_fact
             fp = self.fingerprint(["lineitem", "orders", "customer", "part"],
                                   fixture_fact, fx, arith, recode, months)
-            self._cache["fact_eur"] = materialize(self.spark, self.fact_eur_lazy, "fact_eur", fp)
+            # Partitioned by channel: per-channel readers (the raw-dialect
+            # encoders, channel filters) prune to their own folder.
+            from chanfold.specs import FACT_COLUMNS
+            cols = FACT_COLUMNS + ["revenue_eur", "unit_price_eur"]
+            self._cache["fact_eur"] = materialize(self.spark, self.fact_eur_lazy, "fact_eur", fp,
+                                                  partition_by=["channel"]).select(*cols)
         return self._cache["fact_eur"]
