@@ -3,6 +3,8 @@ IEEE arithmetic (Column -> Column)."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 from chanfold.functions.recode import _as_col
@@ -41,6 +43,32 @@ def sum_or_zero(c) -> Column:
     return F.coalesce(F.sum(_as_col(c)), F.lit(0).cast("double"))
 
 
+# Money is summed as a fixed-point decimal: exact, so the result does not
+# depend on the order of addition (which differs between runs, partitionings
+# and engines).  Each line is held to a micro-unit; 18 digits fit a long,
+# which keeps Spark on its fast decimal path.
+MONEY_TYPE = "decimal(18,6)"
+
+
+def money(c) -> Column:
+    """Double -> decimal(18,6), rounding half away from zero on the BINARY
+    value (``round(x * 10^6)``).  A plain cast would decide ties on the
+    shortest decimal text of the double instead, and doubles such as
+    ``ext / 32`` sit exactly on such text ties while their binary value lies
+    just below or above; the binary rule is the portable one."""
+    scaled = F.round(_as_col(c).cast("double") * F.lit(1e6), 0).cast("decimal(18,0)")
+    return (scaled * F.lit(Decimal("0.000001"))).cast(MONEY_TYPE)
+
+
+def money_sum(c) -> Column:
+    """Exact sum of a money column (null when there is no non-null value)."""
+    return F.sum(money(c))
+
+
+def money_sum_or_zero(c) -> Column:
+    return F.coalesce(money_sum(c), F.lit(0).cast(MONEY_TYPE))
+
+
 def n_unique(c) -> Column:
     """Distinct count in which null counts as one more value."""
     c = _as_col(c)

@@ -15,7 +15,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chanfold.functions.arith import ieee_divide, nan_to_zero, sum_or_zero, zero_if_null
+from chanfold.functions.arith import (MONEY_TYPE, ieee_divide, money, money_sum_or_zero, nan_to_zero,
+                                      zero_if_null)
 from chanfold.specs import REAL_SALE_STATUSES
 
 
@@ -70,7 +71,7 @@ def _is_real() -> F.Column:
 def kpi_partials(fact: DataFrame, group_by: list[str]) -> DataFrame:
     """Additive KPI inputs per group: one pass, partial aggregation map-side."""
     group_by = _check_group_by(group_by)
-    rev = zero_if_null(F.col("revenue_eur"))
+    rev = money(zero_if_null(F.col("revenue_eur")))
     status = F.col("order_status")
     return fact.groupBy(*group_by).agg(
         F.count_if(_is_real()).alias("n_real"),
@@ -92,12 +93,13 @@ def finish_kpis(partials: DataFrame, group_by: list[str]) -> DataFrame:
     """KPIs from the additive inputs.  Groups without any real sale are
     absent; a group with a null key keeps its revenue but gets null rates
     (null keys never match in the per-KPI join formulation)."""
-    deliv = F.coalesce(F.col("rev_delivered"), F.lit(0.0))
-    ret = F.coalesce(F.col("rev_returned"), F.lit(0.0))
+    zero = F.lit(0).cast(MONEY_TYPE)
+    deliv = F.coalesce(F.col("rev_delivered"), zero)
+    ret = F.coalesce(F.col("rev_returned"), zero)
     null_key = _any_null(group_by)
     return (partials.filter(F.col("n_real") > 0)
             .select(*group_by,
-                    F.coalesce(F.col("rev_real"), F.lit(0.0)).alias("revenue_bruto_eur"),
+                    F.coalesce(F.col("rev_real"), zero).alias("revenue_bruto_eur"),
                     F.when(null_key, F.lit(None).cast("double"))
                      .otherwise(nan_to_zero(ieee_divide(ret, deliv + ret))).alias("return_rate"),
                     F.when(null_key, F.lit(None).cast("double"))
@@ -158,7 +160,7 @@ def gross_revenue(fact: DataFrame, group_by: list[str]) -> DataFrame:
     """KPI v1.0 gross revenue: sum of revenue_eur (null as 0) over real sales."""
     group_by = _check_group_by(group_by)
     return (fact.filter(_is_real()).groupBy(*group_by)
-                .agg(sum_or_zero(zero_if_null(F.col("revenue_eur"))).alias("revenue_bruto_eur")))
+                .agg(money_sum_or_zero(zero_if_null(F.col("revenue_eur"))).alias("revenue_bruto_eur")))
 
 
 def return_rate(fact: DataFrame, group_by: list[str]) -> DataFrame:
@@ -166,8 +168,8 @@ def return_rate(fact: DataFrame, group_by: list[str]) -> DataFrame:
     group_by = _check_group_by(group_by)
     rev = zero_if_null(F.col("revenue_eur"))
     agg = (fact.filter(_is_real()).groupBy(*group_by)
-               .agg(sum_or_zero(F.when(F.col("order_status") == "delivered", rev)).alias("d"),
-                    sum_or_zero(F.when(F.col("order_status") == "returned", rev)).alias("r")))
+               .agg(money_sum_or_zero(F.when(F.col("order_status") == "delivered", rev)).alias("d"),
+                    money_sum_or_zero(F.when(F.col("order_status") == "returned", rev)).alias("r")))
     return agg.select(*group_by,
                       nan_to_zero(ieee_divide(F.col("r"), F.col("d") + F.col("r"))).alias("return_rate"))
 
@@ -196,6 +198,6 @@ def pivot_status_revenue(fact: DataFrame, group_by: list[str]) -> DataFrame:
     piv = (fact.filter(_is_real())
                .groupBy(*group_by)
                .pivot("order_status", REAL_SALE_STATUSES)
-               .agg(F.sum(zero_if_null(F.col("revenue_eur")))))
-    return piv.select(*group_by, *[F.coalesce(F.col(s), F.lit(0.0)).alias(s)
+               .agg(F.sum(money(zero_if_null(F.col("revenue_eur"))))))
+    return piv.select(*group_by, *[F.coalesce(F.col(s), F.lit(0).cast(MONEY_TYPE)).alias(s)
                                    for s in REAL_SALE_STATUSES])

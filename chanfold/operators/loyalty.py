@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from chanfold.functions.arith import ieee_divide, n_unique, sum_or_zero, zero_if_null
+from chanfold.functions.arith import ieee_divide, money_sum_or_zero, n_unique, zero_if_null
 from chanfold.specs import REAL_SALE_STATUSES
 
 
@@ -20,7 +20,7 @@ def member_comparison(fact_eur: DataFrame) -> DataFrame:
     aggregate shuffled on (member, order_id), so the two-valued flag does
     not put all rows on one task."""
     agg = _real_known(fact_eur).groupBy("member").agg(
-        sum_or_zero(zero_if_null(F.col("revenue_eur"))).alias("revenue_total"),
+        money_sum_or_zero(zero_if_null(F.col("revenue_eur"))).alias("revenue_total"),
         F.count(F.lit(1)).alias("num_lineas"),
         n_unique(F.col("order_id")).alias("num_ordenes_unicas"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from chanfold.functions.arith import ieee_divide, money_sum
 from chanfold.specs import (CATEGORY_FIX, CHANNEL_SPECS, COUNTRY_NAME_TO_ISO2, FRANCHISE_STATUS_MAP)
 
 ALLOWED_COUNTRIES = sorted(set(COUNTRY_NAME_TO_ISO2.values()))
@@ -62,6 +63,6 @@ def avg_revenue_by_channel(fact_eur: DataFrame) -> DataFrame:
     """Mean EUR line revenue and null count per channel (sanity check that
     all channels are in one unit after conversion)."""
     return fact_eur.groupBy("channel").agg(
-        F.avg("revenue_eur").alias("avg_revenue_eur"),
+        ieee_divide(money_sum("revenue_eur"), F.count("revenue_eur")).alias("avg_revenue_eur"),
         F.count_if(F.col("revenue_eur").isNull()).alias("nulls"),
     )

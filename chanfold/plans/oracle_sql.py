@@ -96,6 +96,14 @@ FACT_COLS_SQL = ("channel, consumer_id, order_id, country, year_month, category,
                  "qty_ordered, qty_sold, unit_price, currency, revenue_local, order_status, member")
 
 
+# Money is summed as decimal(18,6) (exact, independent of summation order).
+MONEY_REV = "CAST(coalesce(revenue_eur, 0.0) AS DECIMAL(18,6))"
+
+
+def money(expr: str) -> str:
+    return f"CAST({expr} AS DECIMAL(18,6))"
+
+
 def with_base(body: str, extra_ctes: str = "") -> str:
     """``WITH <fact CTEs>[, extra] <body>``."""
     ctes = FACT_CTES + ("," + extra_ctes if extra_ctes else "")
@@ -108,11 +116,11 @@ def kpi_joined_sql(group_by: list[str], source: str = "fact_eur", where: str = "
     real = "order_status IN ('delivered', 'returned')"
     extra = f"""
 kin AS (SELECT * FROM {source} WHERE {where}),
-rev AS (SELECT {g}, sum(coalesce(revenue_eur, 0.0)) AS revenue_bruto_eur
+rev AS (SELECT {g}, sum({MONEY_REV}) AS revenue_bruto_eur
         FROM kin WHERE {real} GROUP BY {g}),
 ret AS (SELECT {g},
-          coalesce(sum(CASE WHEN order_status = 'delivered' THEN coalesce(revenue_eur, 0.0) END), 0.0) AS d,
-          coalesce(sum(CASE WHEN order_status = 'returned' THEN coalesce(revenue_eur, 0.0) END), 0.0) AS r
+          coalesce(sum(CASE WHEN order_status = 'delivered' THEN {MONEY_REV} END), 0) AS d,
+          coalesce(sum(CASE WHEN order_status = 'returned' THEN {MONEY_REV} END), 0) AS r
         FROM kin WHERE {real} GROUP BY {g}),
 ful AS (SELECT {g}, sum(qty_sold) AS s, sum(qty_ordered) AS o FROM kin GROUP BY {g})"""
     # Null keys never match in the join (plain equality), as in the source
@@ -122,8 +130,9 @@ ful AS (SELECT {g}, sum(qty_sold) AS s, sum(qty_ordered) AS o FROM kin GROUP BY
     cols = ", ".join(f"rev.{c}" for c in group_by)
     body = f"""
 SELECT {cols},
-  round(rev.revenue_bruto_eur, 4) AS revenue_bruto_eur,
-  round(CASE WHEN ret.d + ret.r = 0 THEN 0.0 ELSE ret.r / (ret.d + ret.r) END, 6) AS return_rate,
+  CAST(round(rev.revenue_bruto_eur, 4) AS DOUBLE) AS revenue_bruto_eur,
+  round(CASE WHEN ret.d + ret.r = 0 THEN 0.0
+        ELSE CAST(ret.r AS DOUBLE) / CAST(ret.d + ret.r AS DOUBLE) END, 6) AS return_rate,
   round(CAST(ful.s AS DOUBLE) / CAST(ful.o AS DOUBLE), 6) AS fulfillment_rate
 FROM rev LEFT JOIN ret ON {on_ret} LEFT JOIN ful ON {on_ful}"""
     return with_base(body, extra)

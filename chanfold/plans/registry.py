@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from chanfold.functions.arith import money_sum
 from chanfold.operators import fx, kpis, loyalty
 from chanfold.plans import oracle_sql as osql
 from chanfold.plans.layers import Layers
@@ -34,6 +35,7 @@ def register(name: str, sql: str | None):
 
 
 REAL = "order_status IN ('delivered', 'returned')"
+M = osql.MONEY_REV
 
 
 # ---------------------------------------------------------------- gold KPIs
@@ -91,10 +93,10 @@ def _all_cuts_sql() -> str:
                         for c in ["country", "channel", "category", "year_month"])
         parts.append(f"""
 SELECT '{name}' AS cut, {sel},
-  round(sum(CASE WHEN {REAL} THEN coalesce(revenue_eur, 0.0) END), 4) AS revenue_bruto_eur,
-  round(CASE WHEN coalesce(sum(CASE WHEN {REAL} THEN coalesce(revenue_eur, 0.0) END), 0.0) = 0 THEN 0.0
-        ELSE coalesce(sum(CASE WHEN order_status = 'returned' THEN coalesce(revenue_eur, 0.0) END), 0.0)
-             / sum(CASE WHEN {REAL} THEN coalesce(revenue_eur, 0.0) END) END, 6) AS return_rate,
+  CAST(round(sum(CASE WHEN {REAL} THEN {M} END), 4) AS DOUBLE) AS revenue_bruto_eur,
+  round(CASE WHEN coalesce(sum(CASE WHEN {REAL} THEN {M} END), 0) = 0 THEN 0.0
+        ELSE CAST(coalesce(sum(CASE WHEN order_status = 'returned' THEN {M} END), 0) AS DOUBLE)
+             / CAST(sum(CASE WHEN {REAL} THEN {M} END) AS DOUBLE) END, 6) AS return_rate,
   round(CAST(sum(qty_sold) AS DOUBLE) / CAST(sum(qty_ordered) AS DOUBLE), 6) AS fulfillment_rate
 FROM fact_eur GROUP BY {g}
 HAVING count(*) FILTER (WHERE {REAL}) > 0""")
@@ -107,7 +109,7 @@ def _kpi_all_cuts(spark, sf_dir):
 
 
 @register("gross_revenue", osql.with_base(f"""
-SELECT channel, category, round(sum(coalesce(revenue_eur, 0.0)), 4) AS revenue_bruto_eur
+SELECT channel, category, CAST(round(sum({M}), 4) AS DOUBLE) AS revenue_bruto_eur
 FROM fact_eur WHERE {REAL} GROUP BY channel, category"""))
 def _gross_revenue(spark, sf_dir):
     return present(kpis.gross_revenue(Layers(spark, sf_dir).fact_eur(), ["channel", "category"]),
@@ -116,9 +118,9 @@ def _gross_revenue(spark, sf_dir):
 
 @register("return_rate", osql.with_base(f"""
 SELECT channel, category,
-  round(CASE WHEN sum(coalesce(revenue_eur, 0.0)) = 0 THEN 0.0
-        ELSE coalesce(sum(CASE WHEN order_status = 'returned' THEN coalesce(revenue_eur, 0.0) END), 0.0)
-             / sum(coalesce(revenue_eur, 0.0)) END, 6) AS return_rate
+  round(CASE WHEN sum({M}) = 0 THEN 0.0
+        ELSE CAST(coalesce(sum(CASE WHEN order_status = 'returned' THEN {M} END), 0) AS DOUBLE)
+             / CAST(sum({M}) AS DOUBLE) END, 6) AS return_rate
 FROM fact_eur WHERE {REAL} GROUP BY channel, category"""))
 def _return_rate(spark, sf_dir):
     return present(kpis.return_rate(Layers(spark, sf_dir).fact_eur(), ["channel", "category"]),
@@ -136,8 +138,8 @@ def _fulfillment_rate(spark, sf_dir):
 
 @register("pivot_status_revenue", osql.with_base(f"""
 SELECT channel,
-  round(coalesce(sum(CASE WHEN order_status = 'delivered' THEN coalesce(revenue_eur, 0.0) END), 0.0), 4) AS delivered,
-  round(coalesce(sum(CASE WHEN order_status = 'returned' THEN coalesce(revenue_eur, 0.0) END), 0.0), 4) AS returned
+  CAST(round(coalesce(sum(CASE WHEN order_status = 'delivered' THEN {M} END), 0), 4) AS DOUBLE) AS delivered,
+  CAST(round(coalesce(sum(CASE WHEN order_status = 'returned' THEN {M} END), 0), 4) AS DOUBLE) AS returned
 FROM fact_eur WHERE {REAL} GROUP BY channel"""))
 def _pivot_status_revenue(spark, sf_dir):
     return present(kpis.pivot_status_revenue(Layers(spark, sf_dir).fact_eur(), ["channel"]),
@@ -153,14 +155,14 @@ def _count_by_channel_category(spark, sf_dir):
 
 @register("filter_real_sales", osql.with_base(f"""
 SELECT channel, order_status, count(*) AS n_lines,
-  round(sum(coalesce(revenue_eur, 0.0)), 4) AS revenue_eur
+  CAST(round(sum({M}), 4) AS DOUBLE) AS revenue_eur
 FROM fact_eur WHERE {REAL} GROUP BY channel, order_status"""))
 def _filter_real_sales(spark, sf_dir):
     fact = Layers(spark, sf_dir).fact_eur()
     out = (fact.filter(F.col("order_status").isin("delivered", "returned"))
                .groupBy("channel", "order_status")
                .agg(F.count(F.lit(1)).alias("n_lines"),
-                    F.sum(F.coalesce("revenue_eur", F.lit(0.0))).alias("revenue_eur")))
+                    money_sum(F.coalesce("revenue_eur", F.lit(0.0))).alias("revenue_eur")))
     return present(out, money=["revenue_eur"])
 
 
@@ -216,15 +218,15 @@ def _currency_reference(spark, sf_dir):
 
 _MEMBER_CMP_SQL = f"""
 SELECT member,
-  sum(coalesce(revenue_eur, 0.0)) AS revenue_total,
+  sum({M}) AS revenue_total,
   count(*) AS num_lineas,
   CAST(count(DISTINCT order_id) + max(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS num_ordenes_unicas
 FROM fact_eur WHERE member IS NOT NULL AND {REAL} GROUP BY member"""
 
 
 @register("member_comparison", osql.with_base(f"""
-SELECT member, round(revenue_total, 4) AS revenue_total, num_lineas, num_ordenes_unicas,
-  round(revenue_total / num_ordenes_unicas, 4) AS avg_revenue_por_orden
+SELECT member, CAST(round(revenue_total, 4) AS DOUBLE) AS revenue_total, num_lineas, num_ordenes_unicas,
+  round(CAST(revenue_total AS DOUBLE) / num_ordenes_unicas, 4) AS avg_revenue_por_orden
 FROM ({_MEMBER_CMP_SQL}) c"""))
 def _member_comparison(spark, sf_dir):
     return present(loyalty.member_comparison(Layers(spark, sf_dir).fact_eur()),
@@ -257,7 +259,7 @@ SELECT member_orders, non_member_orders, round(member_avg_ticket, 4) AS member_a
 FROM (
   SELECT max(CASE WHEN member THEN num_ordenes_unicas END) AS member_orders,
          max(CASE WHEN NOT member THEN num_ordenes_unicas END) AS non_member_orders,
-         max(CASE WHEN member THEN revenue_total / num_ordenes_unicas END) AS member_avg_ticket
+         max(CASE WHEN member THEN CAST(revenue_total AS DOUBLE) / num_ordenes_unicas END) AS member_avg_ticket
   FROM ({_MEMBER_CMP_SQL}) c
 ) u"""))
 def _member_uplift(spark, sf_dir):
@@ -395,26 +397,26 @@ _pairs_key("cast_ids", [
 
 @register("derive_revenue", osql.with_raw("""
 SELECT country_code AS country, count(*) FILTER (WHERE sell_out_units * avg_price IS NULL) AS null_revenue,
-  round(sum(sell_out_units * avg_price), 4) AS revenue_local
+  CAST(round(sum(CAST(sell_out_units * avg_price AS DECIMAL(18,6))), 4) AS DOUBLE) AS revenue_local
 FROM raw_wholesale GROUP BY country_code"""))
 def _derive_revenue(spark, sf_dir):
     df = conf.derive_revenue(conf.rename_strict(raw_frame(spark, sf_dir, "wholesale"),
                                                 CHANNEL_SPECS["wholesale"].rename))
     return present(df.groupBy("country").agg(
         F.count_if(F.col("revenue_local").isNull()).alias("null_revenue"),
-        F.sum("revenue_local").alias("revenue_local")), money=["revenue_local"])
+        money_sum("revenue_local").alias("revenue_local")), money=["revenue_local"])
 
 
 @register("derive_unit_price", osql.with_raw("""
 SELECT cc AS country, count(*) FILTER (WHERE sold <= 0) AS null_unit_price,
-  round(sum(CASE WHEN sold > 0 THEN amount / sold END), 4) AS unit_price_total
+  CAST(round(sum(CAST(CASE WHEN sold > 0 THEN amount / sold END AS DECIMAL(18,6))), 4) AS DOUBLE) AS unit_price_total
 FROM raw_app GROUP BY cc"""))
 def _derive_unit_price(spark, sf_dir):
     df = conf.derive_unit_price(conf.rename_strict(raw_frame(spark, sf_dir, "app"),
                                                    CHANNEL_SPECS["app"].rename))
     return present(df.groupBy("country").agg(
         F.count_if(F.col("unit_price").isNull()).alias("null_unit_price"),
-        F.sum("unit_price").alias("unit_price_total")), money=["unit_price_total"])
+        money_sum("unit_price").alias("unit_price_total")), money=["unit_price_total"])
 
 
 # ------------------------------------------------------ profiling and quality
@@ -588,7 +590,8 @@ def _null_revenue_diagnosis(spark, sf_dir):
 
 
 @register("avg_revenue_by_channel", osql.with_base("""
-SELECT channel, round(avg(revenue_eur), 4) AS avg_revenue_eur,
+SELECT channel,
+  round(CAST(sum(CAST(revenue_eur AS DECIMAL(18,6))) AS DOUBLE) / count(revenue_eur), 4) AS avg_revenue_eur,
   count(*) FILTER (WHERE revenue_eur IS NULL) AS nulls
 FROM fact_eur GROUP BY channel"""))
 def _avg_revenue_by_channel(spark, sf_dir):
