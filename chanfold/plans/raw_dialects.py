@@ -50,6 +50,7 @@ def retail_raw(fact: DataFrame) -> DataFrame:
 
 
 LINE_FIELDS = ["catCode", "article", "qtyOrd", "qtySold", "priceFinal"]
+NULL_ORDER_BUCKETS = 4096
 ECOMM_ORDER_FIELDS = ["orderId", "customerId", "market", "period", "currency", "adiClub", "status"]
 
 
@@ -78,8 +79,16 @@ def ecomm_raw(fact: DataFrame) -> DataFrame:
     currency, flag, status) with its lines as an array of structs.  The group
     is one order, so the collected array is bounded by the order's lines."""
     flat = ecomm_lines_flat(fact)
-    return (flat.groupBy(*ECOMM_ORDER_FIELDS)
-                .agg(F.collect_list(F.struct(*LINE_FIELDS)).alias("lines")))
+    # Lines without an order id would all share one group; spread them over
+    # hash buckets so no collected list is unbounded (each bucket becomes
+    # its own record; flattening gives the same lines back).
+    bucket = (F.when(F.col("orderId").isNull(),
+                     F.pmod(F.xxhash64(*LINE_FIELDS), F.lit(NULL_ORDER_BUCKETS)))
+               .otherwise(F.lit(0)))
+    return (flat.withColumn("_bucket", bucket)
+                .groupBy(*ECOMM_ORDER_FIELDS, "_bucket")
+                .agg(F.collect_list(F.struct(*LINE_FIELDS)).alias("lines"))
+                .drop("_bucket"))
 
 
 def app_raw(fact: DataFrame) -> DataFrame:
