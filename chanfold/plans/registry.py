@@ -613,9 +613,13 @@ def _raw_path(spark, sf_dir, channel: str) -> tuple[str, Layers]:
 
 
 def _bronze(spark, sf_dir) -> dict[str, DataFrame]:
+    """Ingest all raw files into a bronze folder of this call's own: frames
+    handed out earlier keep reading their files, never a half-overwritten
+    folder."""
+    import uuid
     layers = Layers(spark, sf_dir)
     raw_dir = raw_files.raw_folder(layers)
-    bronze_dir = raw_dir.replace("/chanfold-raw/", "/chanfold-bronze/")
+    bronze_dir = raw_dir.replace("/chanfold-raw/", "/chanfold-bronze/") + "/" + uuid.uuid4().hex
     return ing.ingest_all(spark, raw_dir, bronze_dir, raw_files.declared_schemas())
 
 
@@ -684,7 +688,9 @@ def _bronze_summary(spark, sf_dir):
 @register("bronze_ingest", None)
 def _bronze_ingest(spark, sf_dir):
     path, _ = _raw_path(spark, sf_dir, "retail")
-    bronze_dir = path.rsplit("/", 1)[0].replace("/chanfold-raw/", "/chanfold-bronze-single/")
+    import uuid
+    bronze_dir = (path.rsplit("/", 1)[0].replace("/chanfold-raw/", "/chanfold-bronze-single/")
+                  + "/" + uuid.uuid4().hex)
     return ing.ingest_source(spark, path, "retail_orders", ".csv", bronze_dir, RAW_SCHEMAS["retail"])
 
 
@@ -699,3 +705,16 @@ def _gold_from_files(spark, sf_dir):
     fact = conf.build_fact_orders(bronze)
     fact_eur = fx.convert_to_eur(fact, bronze["currency_reference"])
     return present_kpis(kpis.build_kpi_table(fact_eur, ["country", "year_month"]))
+
+
+@register("wholesale_summary", osql.with_base("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS count, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    f"round(avg(CAST({c} AS DOUBLE)), 4) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std, "
+    f"min(CAST({c} AS DOUBLE)) AS min, max(CAST({c} AS DOUBLE)) AS max FROM fact_eur "
+    f"WHERE channel = 'wholesale'"
+    for c in ["qty_sold", "unit_price", "unit_price_eur", "revenue_eur"])))
+def _wholesale_summary(spark, sf_dir):
+    """Cross-channel check, wholesale part: summary of the converted values."""
+    fact = Layers(spark, sf_dir).fact_eur().filter(F.col("channel") == "wholesale")
+    out = prof.describe_numeric(fact, ["qty_sold", "unit_price", "unit_price_eur", "revenue_eur"])
+    return present(out, money=["mean", "std"])
