@@ -229,7 +229,11 @@ def workbook_bytes(columns: list[str], rows) -> bytes:
 
 def write_xlsx(df: DataFrame, folder: str) -> int:
     """Write one workbook per partition of ``df`` into ``folder`` (a POSIX
-    path shared by all executors).  Returns the number of workbooks."""
+    path shared by all executors).  Returns the number of workbooks.
+
+    The file name is the partition number and each file is written under a
+    temporary name and renamed into place, so a retried or speculative task
+    replaces its own workbook instead of adding a second one."""
     import os
     import uuid
     local = folder[len("file:"):] if folder.startswith("file:") else folder
@@ -237,13 +241,16 @@ def write_xlsx(df: DataFrame, folder: str) -> int:
     columns = df.columns
 
     def run(batches):
+        from pyspark import TaskContext
         rows = []
         for pdf in batches:
             rows.extend(pdf.astype(object).where(pdf.notna(), None).itertuples(index=False, name=None))
         if rows:
-            name = f"part-{uuid.uuid4().hex}.xlsx"
-            with open(os.path.join(local, name), "wb") as fh:
+            name = f"part-{TaskContext.get().partitionId():05d}.xlsx"
+            tmp = os.path.join(local, f".{name}.{uuid.uuid4().hex}.tmp")
+            with open(tmp, "wb") as fh:
                 fh.write(workbook_bytes(columns, rows))
+            os.replace(tmp, os.path.join(local, name))
             yield pd.DataFrame({"file": [name], "rows": [len(rows)]})
 
     return df.mapInPandas(run, "file string, rows bigint").count()
