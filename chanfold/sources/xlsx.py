@@ -60,13 +60,15 @@ def _shared_strings(z: zipfile.ZipFile) -> list[str]:
 
 _ROW = re.compile(rb"<(?:\w+:)?row\b[^>]*?(?:/>|>(.*?)</(?:\w+:)?row>)", re.S)
 _CELL = re.compile(rb"<(?:\w+:)?c\b([^>]*?)(?:/>|>(.*?)</(?:\w+:)?c>)", re.S)
-_ATTR = re.compile(rb'(\w+)="([^"]*)"')
+_REF = re.compile(rb'\br="([A-Z]+)')
+_TYPE = re.compile(rb'\bt="(\w+)"')
 _V = re.compile(rb"<(?:\w+:)?v>(.*?)</(?:\w+:)?v>", re.S)
 _T = re.compile(rb"<(?:\w+:)?t(?:\s[^>]*)?>(.*?)</(?:\w+:)?t>", re.S)
 
 
 def _text(raw: bytes) -> str:
-    return html.unescape(raw.decode("utf-8"))
+    text = raw.decode("utf-8")
+    return html.unescape(text) if "&" in text else text
 
 
 def iter_sheet_rows(content: bytes):
@@ -79,15 +81,21 @@ def iter_sheet_rows(content: bytes):
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         strings = _shared_strings(z)
         xml = z.read(_first_sheet_part(z))
+    col_of: dict[bytes, int] = {}
     for rm in _ROW.finditer(xml):
         body = rm.group(1) or b""
         row = {}
-        for cm in _CELL.finditer(body):
-            attrs = dict(_ATTR.findall(cm.group(1)))
-            inner = cm.group(2) or b""
-            ref = _CELL_REF.match(attrs.get(b"r", b"").decode())
-            idx = _col_index(ref.group(1)) if ref else len(row)
-            t = attrs.get(b"t", b"n")
+        for attrs, inner in _CELL.findall(body):
+            ref = _REF.search(attrs)
+            if ref is None:
+                idx = len(row)
+            else:
+                letters = ref.group(1)
+                idx = col_of.get(letters)
+                if idx is None:
+                    idx = col_of[letters] = _col_index(letters.decode())
+            tm = _TYPE.search(attrs)
+            t = tm.group(1) if tm else b"n"
             if t == b"inlineStr":
                 row[idx] = "".join(_text(x) for x in _T.findall(inner))
                 continue
@@ -106,29 +114,36 @@ def iter_sheet_rows(content: bytes):
         yield row
 
 
-def _convert(value, dtype):
-    """Raw cell value -> the declared type (numbers typed as text keep no
-    trailing ``.0``)."""
-    if value is None:
-        return None
+def _to_text(v):
+    if isinstance(v, float) and v.is_integer():
+        return str(int(v))          # numbers typed as text keep no trailing ".0"
+    return str(v)
+
+
+def _converter(dtype):
+    """Raw cell value -> the declared type (None stays None)."""
     if isinstance(dtype, StringType):
-        if isinstance(value, float) and value.is_integer():
-            return str(int(value))
-        return str(value)
-    if isinstance(dtype, (LongType, IntegerType)):
-        return int(float(value))
-    if isinstance(dtype, DoubleType):
-        return float(value)
-    if isinstance(dtype, BooleanType):
-        return bool(value)
-    return value
+        fn = _to_text
+    elif isinstance(dtype, (LongType, IntegerType)):
+        def fn(v):
+            return int(float(v))
+    elif isinstance(dtype, DoubleType):
+        fn = float
+    elif isinstance(dtype, BooleanType):
+        fn = bool
+    else:
+        def fn(v):
+            return v
+    return lambda v: None if v is None else fn(v)
 
 
 def parse_workbooks(schema: StructType):
-    """``mapInPandas`` function: (path, content) batches -> typed rows.  The
-    header row names the columns; declared columns absent from a workbook are
-    null; undeclared columns are dropped."""
+    """``mapInPandas`` function: (content) batches -> typed rows.  The header
+    row names the columns; declared columns absent from a workbook are null;
+    undeclared columns are dropped."""
     fields = schema.fields
+    names = [f.name for f in fields]
+    convs = [_converter(f.dataType) for f in fields]
 
     def run(batches):
         for pdf in batches:
@@ -138,14 +153,15 @@ def parse_workbooks(schema: StructType):
                 if header is None:
                     continue
                 pos = {str(v): i for i, v in header.items()}
+                plan = [(pos.get(n, -1), c) for n, c in zip(names, convs)]
                 buf = []
                 for r in rows:
-                    buf.append([_convert(r.get(pos.get(f.name, -1)), f.dataType) for f in fields])
+                    buf.append([c(r.get(i)) for i, c in plan])
                     if len(buf) >= BATCH_ROWS:
-                        yield pd.DataFrame(buf, columns=[f.name for f in fields])
+                        yield pd.DataFrame(buf, columns=names)
                         buf = []
                 if buf:
-                    yield pd.DataFrame(buf, columns=[f.name for f in fields])
+                    yield pd.DataFrame(buf, columns=names)
     return run
 
 
