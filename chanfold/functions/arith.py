@@ -43,26 +43,37 @@ def sum_or_zero(c) -> Column:
     return F.coalesce(F.sum(_as_col(c)), F.lit(0).cast("double"))
 
 
-# Money is summed as a fixed-point decimal: exact, so the result does not
-# depend on the order of addition (which differs between runs, partitionings
-# and engines).  Each line is held to a micro-unit; 18 digits fit a long,
-# which keeps Spark on its fast decimal path.
-MONEY_TYPE = "decimal(18,6)"
+# Money is summed exactly, so the result does not depend on the order of
+# addition (which differs between runs, partitionings and engines): each
+# amount becomes an integer number of micro-units, the integers are summed as
+# decimals (Spark keeps them on its 64-bit fast path while they fit, and
+# widens instead of overflowing beyond), and the total is scaled back once per
+# group.  Amounts are rounded to micro-units half away from zero on the
+# binary value, ``round(x * 10^6)``, which is also what a SQL cast of a double
+# to DECIMAL(18,6) does; a Spark cast would instead decide ties on the
+# shortest decimal text of the double (e.g. ``ext / 32`` values).
+MONEY_TYPE = "decimal(38,6)"
+_MICRO = 1_000_000
 
 
-def money(c) -> Column:
-    """Double -> decimal(18,6), rounding half away from zero on the BINARY
-    value (``round(x * 10^6)``).  A plain cast would decide ties on the
-    shortest decimal text of the double instead, and doubles such as
-    ``ext / 32`` sit exactly on such text ties while their binary value lies
-    just below or above; the binary rule is the portable one."""
-    scaled = F.round(_as_col(c).cast("double") * F.lit(1e6), 0).cast("decimal(18,0)")
-    return (scaled * F.lit(Decimal("0.000001"))).cast(MONEY_TYPE)
+def micro_units(c) -> Column:
+    """Amount -> whole micro-units (bigint)."""
+    return F.round(_as_col(c).cast("double") * F.lit(float(_MICRO)), 0).cast("bigint")
+
+
+def micro_sum(c) -> Column:
+    """Exact sum of micro-units as decimal(30,0); null when no value."""
+    return F.sum(micro_units(c).cast("decimal(20,0)"))
+
+
+def from_micro(c) -> Column:
+    """Micro-units (any integral decimal) -> money decimal(38,6), exactly."""
+    return (_as_col(c).cast("decimal(38,0)") / F.lit(Decimal(_MICRO))).cast(MONEY_TYPE)
 
 
 def money_sum(c) -> Column:
-    """Exact sum of a money column (null when there is no non-null value)."""
-    return F.sum(money(c))
+    """Exact sum of a money column as decimal(38,6) (null when no value)."""
+    return from_micro(micro_sum(c))
 
 
 def money_sum_or_zero(c) -> Column:

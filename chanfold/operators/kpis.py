@@ -15,8 +15,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chanfold.functions.arith import (MONEY_TYPE, ieee_divide, money, money_sum_or_zero, nan_to_zero,
-                                      zero_if_null)
+from chanfold.functions.arith import (MONEY_TYPE, from_micro, ieee_divide, micro_units, money_sum,
+                                      money_sum_or_zero, nan_to_zero, zero_if_null)
 from chanfold.specs import REAL_SALE_STATUSES
 
 
@@ -69,9 +69,10 @@ def _is_real() -> F.Column:
 
 
 def kpi_partials(fact: DataFrame, group_by: list[str]) -> DataFrame:
-    """Additive KPI inputs per group: one pass, partial aggregation map-side."""
+    """Additive KPI inputs per group: one pass, partial aggregation map-side.
+    Revenue inputs are exact sums of micro-units (decimal(30,0))."""
     group_by = _check_group_by(group_by)
-    rev = money(zero_if_null(F.col("revenue_eur")))
+    rev = micro_units(zero_if_null(F.col("revenue_eur"))).cast("decimal(20,0)")
     status = F.col("order_status")
     return fact.groupBy(*group_by).agg(
         F.count_if(_is_real()).alias("n_real"),
@@ -94,12 +95,12 @@ def finish_kpis(partials: DataFrame, group_by: list[str]) -> DataFrame:
     absent; a group with a null key keeps its revenue but gets null rates
     (null keys never match in the per-KPI join formulation)."""
     zero = F.lit(0).cast(MONEY_TYPE)
-    deliv = F.coalesce(F.col("rev_delivered"), zero)
-    ret = F.coalesce(F.col("rev_returned"), zero)
+    deliv = F.coalesce(from_micro(F.col("rev_delivered")), zero)
+    ret = F.coalesce(from_micro(F.col("rev_returned")), zero)
     null_key = _any_null(group_by)
     return (partials.filter(F.col("n_real") > 0)
             .select(*group_by,
-                    F.coalesce(F.col("rev_real"), zero).alias("revenue_bruto_eur"),
+                    F.coalesce(from_micro(F.col("rev_real")), zero).alias("revenue_bruto_eur"),
                     F.when(null_key, F.lit(None).cast("double"))
                      .otherwise(nan_to_zero(ieee_divide(ret, deliv + ret))).alias("return_rate"),
                     F.when(null_key, F.lit(None).cast("double"))
@@ -198,6 +199,6 @@ def pivot_status_revenue(fact: DataFrame, group_by: list[str]) -> DataFrame:
     piv = (fact.filter(_is_real())
                .groupBy(*group_by)
                .pivot("order_status", REAL_SALE_STATUSES)
-               .agg(F.sum(money(zero_if_null(F.col("revenue_eur"))))))
+               .agg(money_sum(zero_if_null(F.col("revenue_eur")))))
     return piv.select(*group_by, *[F.coalesce(F.col(s), F.lit(0).cast(MONEY_TYPE)).alias(s)
                                    for s in REAL_SALE_STATUSES])
