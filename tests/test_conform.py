@@ -65,3 +65,18 @@ def test_unmapped_values_pass_through(spark):
     r = conf.conform(raw, CHANNEL_SPECS["retail"]).first()
     assert (r["country"], r["category"], r["order_status"], r["member"]) == \
         ("Atlantis", "Running", "weird", True)
+
+
+def test_hot_order_is_split_into_bounded_records(spark, monkeypatch):
+    from chanfold.plans import raw_dialects as rd
+    monkeypatch.setattr(rd, "MAX_LINES_PER_RECORD", 50)
+    fact = Layers(spark, SF_SMALL).fact()
+    ecomm = fact.filter(F.col("channel") == "ecomm")
+    hot = ecomm.withColumn("order_id", F.lit("HOT")).withColumn("consumer_id", F.lit("c")) \
+               .withColumn("country", F.lit("AR")).withColumn("year_month", F.lit("2000-01")) \
+               .withColumn("order_status", F.lit("delivered")).withColumn("member", F.lit(True))
+    nested = rd.ecomm_raw(hot)
+    sizes = [r[0] for r in nested.select(F.size("lines")).collect()]
+    assert max(sizes) <= 3 * 50 and sum(sizes) == hot.count()
+    back = conf.flatten_lines(nested, "lines")
+    assert back.count() == hot.count()
