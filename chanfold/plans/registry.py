@@ -718,3 +718,20 @@ def _wholesale_summary(spark, sf_dir):
     fact = Layers(spark, sf_dir).fact_eur().filter(F.col("channel") == "wholesale")
     out = prof.describe_numeric(fact, ["qty_sold", "unit_price", "unit_price_eur", "revenue_eur"])
     return present(out, money=["mean", "std"])
+
+
+RATE_PROFILE_COLS = ["country", "year_month", "currency_from", "currency_to"]
+
+
+@register("profile_rates", osql.with_base(f"""
+SELECT column_name, value, value_rank, n_distinct FROM (
+  SELECT column_name, value,
+    row_number() OVER (PARTITION BY column_name ORDER BY value ASC NULLS FIRST) AS value_rank,
+    count(*) OVER (PARTITION BY column_name) AS n_distinct
+  FROM ({_distinct_pairs_sql(RATE_PROFILE_COLS, 'rates')}) p
+) r WHERE value_rank <= 15"""))
+def _profile_rates(spark, sf_dir):
+    """Rate-table check as printed by the source system: the countries, month
+    format and currency codes present (with counts of distinct values)."""
+    out = prof.profile_distinct(Layers(spark, sf_dir).rates(), RATE_PROFILE_COLS, n=15)
+    return out.withColumn("value_rank", F.col("value_rank").cast("bigint"))
