@@ -87,8 +87,13 @@ def materialize(spark: SparkSession, df, name: str, fingerprint: str,
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(staging)
         sfs, spath = _hadoop_fs(spark, staging)
+        try:
+            writer.parquet(staging)
+        except Exception:
+            if sfs.exists(spath):
+                sfs.delete(spath, True)
+            raise
         if not fs.exists(fpath):
             fs.mkdirs(fpath.getParent())
             if not sfs.rename(spath, fpath) and not fs.exists(fpath):

@@ -78,8 +78,13 @@ def raw_folder(layers: Layers) -> str:
     marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(final + "/_COMPLETE")
     if not fs.exists(marker):
         staging = f"{base}/_staging-{uuid.uuid4().hex}"
-        write_raw_files(layers, staging)
         sfs, spath = _hadoop_fs(spark, staging)
+        try:
+            write_raw_files(layers, staging)
+        except Exception:
+            if sfs.exists(spath):
+                sfs.delete(spath, True)
+            raise
         sfs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging + "/_COMPLETE")).close()
         if not fs.exists(fpath):
             fs.mkdirs(fpath.getParent())
