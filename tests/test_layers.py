@@ -9,16 +9,21 @@ from conftest import SF_SMALL
 
 
 def test_failed_write_leaves_no_table(spark):
+    import uuid
+    fp = uuid.uuid4().hex[:8]
     bad = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("boom")))
                                  .otherwise(F.col("id")).alias("id"))
     with pytest.raises(Exception):
-        materialize(spark, bad, "atomic_test", "fp1")
-    final = f"{work_dir(spark)}/chanfold-layers/atomic_test-fp1"
+        materialize(spark, bad, "atomic_test", fp)
+    final = f"{work_dir(spark)}/chanfold-layers/atomic_test-{fp}"
     assert not os.path.exists(final.replace("file:", ""))
-    good = materialize(spark, spark.range(10), "atomic_test", "fp1")
+    staging = [d for d in os.listdir(f"{work_dir(spark)}/chanfold-layers".replace("file:", ""))
+               if d.startswith("_staging-atomic_test")]
+    assert staging == []
+    good = materialize(spark, spark.range(10), "atomic_test", fp)
     assert good.count() == 10
     # written once: a second call reuses the table without running the plan
-    assert materialize(spark, lambda: pytest.fail("must not rebuild"), "atomic_test", "fp1").count() == 10
+    assert materialize(spark, lambda: pytest.fail("must not rebuild"), "atomic_test", fp).count() == 10
 
 
 def test_fingerprint_tracks_file_metadata(spark, tmpdir_path):
