@@ -12,11 +12,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import chanfold.functions.months as fmonths
+from chanfold.functions import recode_mod as frecode
 from chanfold.functions.arith import money_sum
+from chanfold.operators import conform as conf
 from chanfold.operators import fx, kpis, loyalty
+from chanfold.operators import profile as prof
+from chanfold.operators import quality as qual
 from chanfold.plans import oracle_sql as osql
+from chanfold.plans import raw_dialects as raw
+from chanfold.plans import raw_files
 from chanfold.plans.layers import Layers
+from chanfold.plans.raw_dialects import RAW_SCHEMAS
 from chanfold.plans.report import present, present_kpis
+from chanfold.sources import ingest as ing
+from chanfold.sources import readers as rd
+from chanfold.specs import (CATEGORY_FIX, CHANNEL_SPECS, COUNTRY_ISO3_TO_ISO2,
+                            COUNTRY_NAME_TO_ISO2, ECOMM_CATCODE_TO_CATEGORY,
+                            FRANCHISE_STATUS_MAP, SPANISH_MONTH_TO_NUM,
+                            WHOLESALE_CATCODE_TO_CATEGORY)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -271,14 +285,6 @@ def _member_uplift(spark, sf_dir):
 
 # -------------------------------------------------------------------- silver
 
-import chanfold.functions.months as fmonths  # noqa: E402
-from chanfold.functions import recode_mod as frecode  # noqa: E402
-from chanfold.operators import conform as conf  # noqa: E402
-from chanfold.plans import raw_dialects as raw  # noqa: E402
-from chanfold.specs import (CATEGORY_FIX, CHANNEL_SPECS, COUNTRY_ISO3_TO_ISO2,  # noqa: E402
-                            COUNTRY_NAME_TO_ISO2, ECOMM_CATCODE_TO_CATEGORY,
-                            FRANCHISE_STATUS_MAP, SPANISH_MONTH_TO_NUM,
-                            WHOLESALE_CATCODE_TO_CATEGORY)
 
 
 def raw_frame(spark, sf_dir, channel: str) -> DataFrame:
@@ -337,7 +343,7 @@ def _pairs_key(name: str, parts: list[tuple]):
             if ch == "ecomm":
                 src = conf.flatten_lines(src, "lines")
             frames.append(_pairs(src, ch, col, fn(col)))
-        return conf.reduce(lambda a, b: a.unionByName(b), frames)
+        return prof.union_all(frames)
     return q
 
 
@@ -421,8 +427,6 @@ def _derive_unit_price(spark, sf_dir):
 
 # ------------------------------------------------------ profiling and quality
 
-from chanfold.operators import profile as prof  # noqa: E402
-from chanfold.operators import quality as qual  # noqa: E402
 
 FACT_EUR_TYPES = [
     ("channel", "string"), ("consumer_id", "string"), ("order_id", "string"),
@@ -601,10 +605,6 @@ def _avg_revenue_by_channel(spark, sf_dir):
 
 # ------------------------------------------------------------ bronze (files)
 
-from chanfold.plans import raw_files  # noqa: E402
-from chanfold.plans.raw_dialects import RAW_SCHEMAS  # noqa: E402
-from chanfold.sources import ingest as ing  # noqa: E402
-from chanfold.sources import readers as rd  # noqa: E402
 
 
 def _raw_path(spark, sf_dir, channel: str) -> tuple[str, Layers]:
