@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from chanfold.plans import fixture_fact, raw_dialects
 from chanfold.plans.layers import Layers, _hadoop_fs, code_fingerprint
-from chanfold.session import work_dir
+from chanfold.session import ship_package, work_dir
 from chanfold.sources import xlsx
 
 # Rows per written part file; bounds the memory of one JSON-array document
@@ -42,6 +42,7 @@ def _parts(df: DataFrame, approx_rows: int | None = None) -> DataFrame:
 def write_json_array(df: DataFrame, path: str) -> None:
     """One JSON array document per partition (Spark's writer only emits
     JSON lines): each task joins its rows into ``[...]``."""
+    ship_package(df.sparkSession)
     lines = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
 
     def run(batches):

@@ -96,3 +96,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(hpath)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``chanfold`` importable in Python workers (needed by the few
+    ``mapInPandas`` tasks): the package is zipped once per application and
+    handed to ``addPyFile``, which distributes it to every executor."""
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import chanfold
+    root = os.path.dirname(os.path.abspath(chanfold.__file__))
+    parent = os.path.dirname(root)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="chanfold-pkg-"), "chanfold.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, parent))
+    spark.sparkContext.addPyFile(zpath)
+    _SHIPPED.add(app)

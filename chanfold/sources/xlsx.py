@@ -167,6 +167,8 @@ def parse_workbooks(schema: StructType):
 
 def read_xlsx(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """Read every ``*.xlsx`` under ``path`` (a file or a folder of workbooks)."""
+    from chanfold.session import ship_package
+    ship_package(spark)
     if isinstance(schema, str):
         schema = _parse_datatype_string(schema)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
@@ -252,6 +254,8 @@ def write_xlsx(df: DataFrame, folder: str) -> int:
     replaces its own workbook instead of adding a second one."""
     import os
     import uuid
+    from chanfold.session import ship_package
+    ship_package(df.sparkSession)
     local = folder[len("file:"):] if folder.startswith("file:") else folder
     os.makedirs(local, exist_ok=True)
     columns = df.columns
