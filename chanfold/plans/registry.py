@@ -291,6 +291,14 @@ def raw_frame(spark, sf_dir, channel: str) -> DataFrame:
     return raw.RAW_ENCODERS[channel](Layers(spark, sf_dir).fact())
 
 
+def ecomm_lines(spark, sf_dir) -> DataFrame:
+    """Ecomm order lines in raw column names, i.e. the nested orders after
+    explode.  Analyses of lines read them directly; the nesting and explode
+    themselves are exercised by ``explode_order_lines``, ``conform_ecomm``,
+    ``ingest_ndjson`` and ``fact_orders``."""
+    return raw.ecomm_lines_flat(Layers(spark, sf_dir).fact())
+
+
 def _conform_key(channel: str):
     body = f"SELECT * FROM ({osql.CONFORMED_CTE_BODY}) c WHERE channel = '{channel}'"
 
@@ -339,9 +347,7 @@ def _pairs_key(name: str, parts: list[tuple]):
     def q(spark, sf_dir):
         frames = []
         for ch, col, fn, _ in parts:
-            src = raw_frame(spark, sf_dir, ch)
-            if ch == "ecomm":
-                src = conf.flatten_lines(src, "lines")
+            src = ecomm_lines(spark, sf_dir) if ch == "ecomm" else raw_frame(spark, sf_dir, ch)
             frames.append(_pairs(src, ch, col, fn(col)))
         return prof.union_all(frames)
     return q
@@ -516,7 +522,7 @@ def _app_labelled(spark, sf_dir) -> DataFrame:
 
 
 def _crosstab(spark, sf_dir) -> DataFrame:
-    ecomm = conf.flatten_lines(raw_frame(spark, sf_dir, "ecomm"), "lines")
+    ecomm = ecomm_lines(spark, sf_dir)
     return prof.category_crosstab(ecomm, "catCode", "article",
                                   _app_labelled(spark, sf_dir), "category_clean", "productId")
 
@@ -549,7 +555,7 @@ UNION ALL
 SELECT 'ecomm_wholesale' AS pair, count(*) AS overlap FROM (
   SELECT CAST(article AS VARCHAR) FROM raw_ecomm_flat INTERSECT SELECT CAST(material_id AS VARCHAR) FROM raw_wholesale) b"""))
 def _id_overlap(spark, sf_dir):
-    ecomm = conf.flatten_lines(raw_frame(spark, sf_dir, "ecomm"), "lines")
+    ecomm = ecomm_lines(spark, sf_dir)
     a = prof.id_overlap(ecomm, "article", raw_frame(spark, sf_dir, "app"), "productId")
     b = prof.id_overlap(ecomm, "article", raw_frame(spark, sf_dir, "wholesale"), "material_id")
     return prof.union_all([a.select(F.lit("ecomm_app").alias("pair"), "overlap"),
