@@ -57,8 +57,14 @@ _MICRO = 1_000_000
 
 
 def micro_units(c) -> Column:
-    """Amount -> whole micro-units (bigint)."""
-    return F.round(_as_col(c).cast("double") * F.lit(float(_MICRO)), 0).cast("bigint")
+    """Amount -> whole micro-units (bigint), half away from zero on the
+    binary value of ``x * 10^6``.  Built from a truncating cast and the exact
+    remainder, so it stays in primitive arithmetic (``round`` on a double
+    goes through a BigDecimal per row)."""
+    y = _as_col(c).cast("double") * F.lit(float(_MICRO))
+    whole = y.cast("bigint")                       # truncates toward zero
+    frac = y - whole.cast("double")                # exact for |y| < 2^53
+    return whole + F.when(frac >= 0.5, F.lit(1)).when(frac <= -0.5, F.lit(-1)).otherwise(F.lit(0))
 
 
 def micro_sum(c) -> Column:

@@ -53,3 +53,19 @@ def test_ieee_divide(spark):
 def test_n_unique_counts_null_once(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "o string")
     assert df.select(n_unique("o")).first()[0] == 3
+
+
+def test_micro_units_round_half_away_on_binary_value(spark):
+    from chanfold.functions.arith import micro_units
+    vals = [12.0078125, -12.0078125, 0.0000005, 190648.79665, 1.0000004999, 2.5e-7, None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r[0] for r in df.select(micro_units("x")).collect()]
+
+    def ref(v):   # half away from zero on the binary product, as a SQL cast does
+        if v is None:
+            return None
+        y = v * 1e6
+        import math
+        return int(math.copysign(math.floor(abs(y) + 0.5), y)) if abs(abs(y) % 1 - 0.5) > 1e-9 \
+            else int(math.copysign(math.floor(abs(y)) + 1, y))
+    assert got == [ref(v) for v in vals]
