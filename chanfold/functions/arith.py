@@ -86,11 +86,15 @@ def money_sum_or_zero(c) -> Column:
     return F.coalesce(money_sum(c), F.lit(0).cast(MONEY_TYPE))
 
 
-def n_unique(c) -> Column:
-    """Distinct count in which null counts as one more value."""
+def n_unique(c, approx: bool = False, rsd: float = 0.01) -> Column:
+    """Distinct count in which null counts as one more value.
+
+    Exact by default (a two-phase aggregate shuffled on the value).  With
+    ``approx`` a HyperLogLog++ sketch of relative error ``rsd`` is used
+    instead: fixed-size state per group, no shuffle of the values."""
     c = _as_col(c)
-    return (F.count_distinct(c)
-            + F.max(F.when(c.isNull(), F.lit(1)).otherwise(F.lit(0)))).cast("bigint")
+    distinct = F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
+    return (distinct + F.max(F.when(c.isNull(), F.lit(1)).otherwise(F.lit(0)))).cast("bigint")
 
 
 def guarded_divide(num, den) -> Column:

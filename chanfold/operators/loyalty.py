@@ -13,7 +13,7 @@ def _real_known(fact: DataFrame) -> DataFrame:
                        & F.col("order_status").isin(*REAL_SALE_STATUSES))
 
 
-def member_comparison(fact_eur: DataFrame) -> DataFrame:
+def member_comparison(fact_eur: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Per member flag over real sales with a known flag: revenue, lines,
     distinct orders (on ``order_id`` alone; null counts once) and revenue
     per distinct order.  The distinct count is planned as a two-phase
@@ -22,16 +22,16 @@ def member_comparison(fact_eur: DataFrame) -> DataFrame:
     agg = _real_known(fact_eur).groupBy("member").agg(
         money_sum_or_zero(zero_if_null(F.col("revenue_eur"))).alias("revenue_total"),
         F.count(F.lit(1)).alias("num_lineas"),
-        n_unique(F.col("order_id")).alias("num_ordenes_unicas"),
+        n_unique(F.col("order_id"), approx=approx_distinct).alias("num_ordenes_unicas"),
     )
     return agg.withColumn("avg_revenue_por_orden",
                           ieee_divide(F.col("revenue_total"), F.col("num_ordenes_unicas")))
 
 
-def member_orders_by_channel(fact_eur: DataFrame) -> DataFrame:
+def member_orders_by_channel(fact_eur: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Distinct orders per (channel, member flag) over real sales."""
     return (_real_known(fact_eur).groupBy("channel", "member")
-            .agg(n_unique(F.col("order_id")).alias("num_ordenes"))
+            .agg(n_unique(F.col("order_id"), approx=approx_distinct).alias("num_ordenes"))
             .orderBy("channel", "member"))
 
 

@@ -24,3 +24,13 @@ def test_member_comparison_distinct_on_order_id(spark):
     assert set(out) == {True, False}
     assert out[True]["num_ordenes_unicas"] == 1 and out[True]["num_lineas"] == 2
     assert out[True]["revenue_total"] == 15.0 and out[False]["revenue_total"] == 0.0
+
+
+def test_approx_distinct_is_close(spark):
+    from chanfold.plans.layers import Layers
+    from conftest import SF_SMALL
+    fact = Layers(spark, SF_SMALL).fact_eur()
+    exact = {r["member"]: r["num_ordenes_unicas"] for r in loyalty.member_comparison(fact).collect()}
+    approx = {r["member"]: r["num_ordenes_unicas"]
+              for r in loyalty.member_comparison(fact, approx_distinct=True).collect()}
+    assert all(abs(approx[k] - exact[k]) <= 0.05 * exact[k] + 2 for k in exact)
