@@ -1,7 +1,8 @@
 """Profiling: null counts, value counts, distinct values, summary statistics,
 source profiles, ID overlap and code-dictionary inference.
 
-All results are DataFrames in long form; nothing is collected to the driver.
+All results are DataFrames in long form.  The only values that reach the
+driver are the per-partition row counts of the exact quantile selection.
 """
 
 from __future__ import annotations
@@ -82,8 +83,8 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFra
 def describe_quantiles(df: DataFrame, columns: list[str] | None = None,
                        probabilities=(0.25, 0.5, 0.75), accuracy: int = 10_000) -> DataFrame:
     """Quartiles per numeric column with a bounded-memory sketch
-    (``percentile_approx``: rank error at most 1/accuracy of the count).  An
-    exact quantile would need all distinct values of a column in one task."""
+    (``percentile_approx``: rank error at most 1/accuracy of the count), one
+    pass.  ``exact_quantiles`` gives exact values at the price of a sort."""
     columns = columns or numeric_columns(df)
     probs = F.array(*[F.lit(float(p)) for p in probabilities])
     wide = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"q{i}")
@@ -151,3 +152,60 @@ def sample_rows(df: DataFrame, n: int = 10, order_by: list[str] | None = None) -
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def exact_quantiles(spark, df: DataFrame, columns: list[str], probabilities=(0.25, 0.5, 0.75),
+                    name: str = "quantiles") -> DataFrame:
+    """Exact discrete quantiles (the SQL ``percentile_disc`` definition: the
+    smallest value whose cumulative share reaches p, i.e. the value of rank
+    ceil(p * n) among the n non-null values) without holding a column in one
+    task.
+
+    All columns at once: the (column, value) pairs are range-partitioned and
+    sorted, and every row gets its position inside its sorted partition
+    (``monotonically_increasing_id``); this is written once to the shared
+    work folder, so the counting job and the fetching job see the same
+    layout.  Only one count per (partition, column) reaches the driver, where
+    the partition and offset of each wanted rank are computed; the values are
+    then fetched by position.  Output: (column_name, p<percent>...)."""
+    import math
+    import uuid
+    from fractions import Fraction
+
+    from chanfold.session import work_dir
+
+    pairs = (df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+               .unpivot([], columns, "column_name", "v")
+               .filter(F.col("v").isNotNull()))
+    # A random tie-breaker lets the range partitioner split a value that
+    # repeats in a large share of the rows (equal values are interchangeable).
+    ranked = (pairs.orderBy("column_name", "v", F.rand(17))
+                   .select("column_name", "v", F.spark_partition_id().alias("pid"),
+                           F.monotonically_increasing_id().alias("pos")))
+    path = f"{work_dir(spark)}/chanfold-tmp/{name}-{uuid.uuid4().hex}"
+    ranked.write.parquet(path)
+    ranked = spark.read.parquet(path)
+    parts = sorted((r["column_name"], r["pid"], r["n"], r["first"]) for r in
+                   ranked.groupBy("column_name", "pid").agg(F.count(F.lit(1)).alias("n"),
+                                                            F.min("pos").alias("first")).collect())
+    wanted = {}                                   # (column, p) -> position
+    for c in columns:
+        mine = [(n, first) for col, _, n, first in parts if col == c]
+        total = sum(n for n, _ in mine)
+        for p in probabilities:
+            if total == 0:
+                continue
+            k = max(1, math.ceil(Fraction(p) * total))      # 1-based rank
+            before = 0
+            for n, first in mine:
+                if k <= before + n:
+                    wanted[(c, p)] = first + (k - before - 1)
+                    break
+                before += n
+    found = {r["pos"]: r["v"] for r in
+             ranked.filter(F.col("pos").isin(list(wanted.values()))).select("pos", "v").collect()}
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    rows = [(c, *[found.get(wanted.get((c, p))) for p in probabilities]) for c in columns]
+    return spark.createDataFrame(
+        rows, "column_name string, " + ", ".join(f"p{int(round(p * 100))} double" for p in probabilities))

@@ -741,3 +741,13 @@ def _profile_rates(spark, sf_dir):
     format and currency codes present (with counts of distinct values)."""
     out = prof.profile_distinct(Layers(spark, sf_dir).rates(), RATE_PROFILE_COLS, n=15)
     return out.withColumn("value_rank", F.col("value_rank").cast("bigint"))
+
+
+@register("describe_quartiles_exact", osql.with_base("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, "
+    f"quantile_disc(CAST({c} AS DOUBLE), 0.25) AS p25, quantile_disc(CAST({c} AS DOUBLE), 0.5) AS p50, "
+    f"quantile_disc(CAST({c} AS DOUBLE), 0.75) AS p75 FROM fact_eur"
+    for c in NUMERIC_FACT_COLS)))
+def _describe_quartiles_exact(spark, sf_dir):
+    """Exact quartiles of the numeric fact columns (distributed rank selection)."""
+    return prof.exact_quantiles(spark, Layers(spark, sf_dir).fact_eur(), NUMERIC_FACT_COLS)

@@ -66,3 +66,14 @@ def test_null_counts_and_sample(spark):
     assert {r[0]: r[1] for r in prof.null_counts(df).collect()} == {"a": 1, "b": 2}
     assert [tuple(r) for r in prof.sample_rows(df, 2).collect()] == [(None, None), (1, None)]
     assert prof.value_counts(df, "b").filter(F.col("value").isNull()).first()["n"] == 2
+
+
+def test_exact_quantiles_match_brute_force(spark):
+    import math
+    fact = Layers(spark, SF_SMALL).fact_eur()
+    out = {r["column_name"]: r for r in prof.exact_quantiles(spark, fact, ["revenue_eur", "qty_sold"]).collect()}
+    for c in ["revenue_eur", "qty_sold"]:
+        vals = sorted(v for v in fact.select(c).toPandas()[c].dropna().tolist())
+        for p in (0.25, 0.5, 0.75):
+            k = max(1, math.ceil(p * len(vals)))
+            assert out[c][f"p{int(p * 100)}"] == float(vals[k - 1])
