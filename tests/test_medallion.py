@@ -26,3 +26,15 @@ def test_files_to_gold(spark, tmpdir_path):
     got = out["gold"]["kpis_country_month"]
     assert r6(rows(got, *got.columns)) == want
     assert out["gold"]["member_uplift"].count() == 1
+
+
+def test_command_line_run(spark, tmpdir_path, capsys):
+    import json
+
+    from chanfold.__main__ import main
+    raw_dir = raw_files.raw_folder(Layers(spark, SF_SMALL))
+    assert main(["run", "--raw", raw_dir, "--lake", f"{tmpdir_path}/lake", "--master", "local[4]",
+                 "--declared-schemas"]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["silver_rows"] == Layers(spark, SF_SMALL).fact_eur().count()
+    assert "kpis_country_month" in report["gold_tables"] and report["missing_rate_rows"] > 0
