@@ -751,3 +751,52 @@ def _profile_rates(spark, sf_dir):
 def _describe_quartiles_exact(spark, sf_dir):
     """Exact quartiles of the numeric fact columns (distributed rank selection)."""
     return prof.exact_quantiles(spark, Layers(spark, sf_dir).fact_eur(), NUMERIC_FACT_COLS)
+
+
+def _ddl_columns(ddl: str) -> list[tuple[str, str]]:
+    """'a string, b array<struct<x: bigint, y: double>>' -> [(a, string), (b, array<...>)]
+    with types in Spark's compact form."""
+    import re
+    cols, depth, cur = [], 0, ""
+    for ch in ddl + ",":
+        if ch == "<":
+            depth += 1
+        elif ch == ">":
+            depth -= 1
+        if ch == "," and depth == 0:
+            name, typ = cur.strip().split(" ", 1)
+            cols.append((name, re.sub(r"\s*([:,])\s*", r"\1", typ.strip())))
+            cur = ""
+        else:
+            cur += ch
+    return cols
+
+
+_BRONZE_SOURCES = [
+    ("app_orders", "app", "raw_app"),
+    ("currency_reference", "currency_reference", "rates"),
+    ("ecomm_orders", "ecomm", "(SELECT DISTINCT orderId, customerId, market, period, currency, "
+                              "adiClub, status, 0 AS lines FROM raw_ecomm_flat)"),
+    ("franchise_orders", "franchise", "raw_franchise"),
+    ("retail_orders", "retail", "raw_retail"),
+    ("wholesale_orders", "wholesale", "raw_wholesale"),
+]
+
+
+def _profile_bronze_sql() -> str:
+    parts = []
+    for source, key, table in _BRONZE_SOURCES:
+        cols = _ddl_columns(RAW_SCHEMAS[key]) + [("_source", "string"), ("_ingested_at", "string")]
+        for i, (c, t) in enumerate(cols, 1):
+            nulls = "0" if c.startswith("_") or c == "lines" else f"count(*) FILTER (WHERE {c} IS NULL)"
+            parts.append(f"SELECT '{source}' AS source, count(*) AS n_rows, {i} AS position, "
+                         f"'{c}' AS column_name, '{t}' AS data_type, CAST({nulls} AS BIGINT) AS null_count "
+                         f"FROM {table} s")
+    return osql.with_raw("\nUNION ALL\n".join(parts))
+
+
+@register("profile_bronze", _profile_bronze_sql())
+def _profile_bronze(spark, sf_dir):
+    """Source profile of every ingested raw source: rows, schema, nulls."""
+    frames = _bronze(spark, sf_dir)
+    return prof.union_all([prof.profile_source(df, name) for name, df in sorted(frames.items())])
