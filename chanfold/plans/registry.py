@@ -800,3 +800,42 @@ def _profile_bronze(spark, sf_dir):
     """Source profile of every ingested raw source: rows, schema, nulls."""
     frames = _bronze(spark, sf_dir)
     return prof.union_all([prof.profile_source(df, name) for name, df in sorted(frames.items())])
+
+
+# Columns inspected per raw source in the exploration step (fixed values).
+RAW_PROFILE_COLUMNS = {
+    "retail": ["store_country", "order_month", "currency", "loyalty_flag", "order_state"],
+    "ecomm": ["market", "period", "currency", "adiClub", "status"],
+    "app": ["cc", "yearmonth", "category", "currency", "member", "fulfillment"],
+    "wholesale": ["country_code", "category_code", "currency", "status"],
+    "franchise": ["Pais", "Mes", "Moneda", "AdiClub", "Estado_Orden"],
+}
+
+
+def _profile_raw_sql() -> str:
+    parts = []
+    for ch, cols in RAW_PROFILE_COLUMNS.items():
+        table = "raw_ecomm_flat" if ch == "ecomm" else f"raw_{ch}"
+        pairs = "\nUNION ALL\n".join(
+            f"SELECT DISTINCT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM {table}" for c in cols)
+        parts.append(f"""
+SELECT '{ch}' AS source, column_name, value, value_rank, n_distinct FROM (
+  SELECT column_name, value,
+    row_number() OVER (PARTITION BY column_name ORDER BY value ASC NULLS FIRST) AS value_rank,
+    count(*) OVER (PARTITION BY column_name) AS n_distinct
+  FROM ({pairs}) p
+) r WHERE value_rank <= 15""")
+    return osql.with_raw("\nUNION ALL\n".join(parts))
+
+
+@register("profile_distinct_raw", _profile_raw_sql())
+def _profile_distinct_raw(spark, sf_dir):
+    """Distinct-value profile of each raw source's coded columns (how the
+    typos, dialects and codes were found), up to 15 example values each."""
+    frames = []
+    for ch, cols in RAW_PROFILE_COLUMNS.items():
+        src = ecomm_lines(spark, sf_dir) if ch == "ecomm" else raw_frame(spark, sf_dir, ch)
+        out = prof.profile_distinct(src, cols, n=15)
+        frames.append(out.select(F.lit(ch).alias("source"), "column_name", "value",
+                                 F.col("value_rank").cast("bigint").alias("value_rank"), "n_distinct"))
+    return prof.union_all(frames)
