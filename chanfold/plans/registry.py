@@ -839,3 +839,14 @@ def _profile_distinct_raw(spark, sf_dir):
         frames.append(out.select(F.lit(ch).alias("source"), "column_name", "value",
                                  F.col("value_rank").cast("bigint").alias("value_rank"), "n_distinct"))
     return prof.union_all(frames)
+
+
+@register("member_nulls_by_channel", osql.with_base("""
+SELECT channel, count(*) FILTER (WHERE member IS NULL) AS member_nulls, count(*) AS n_lines
+FROM fact GROUP BY channel"""))
+def _member_nulls_by_channel(spark, sf_dir):
+    """Known versus unknown member flag per channel (which channels can enter
+    the loyalty comparison)."""
+    return (Layers(spark, sf_dir).fact().groupBy("channel")
+            .agg(F.count_if(F.col("member").isNull()).alias("member_nulls"),
+                 F.count(F.lit(1)).alias("n_lines")))
