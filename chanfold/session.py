@@ -103,8 +103,10 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``chanfold`` importable in Python workers (needed by the few
-    ``mapInPandas`` tasks): the package is zipped once per application and
-    handed to ``addPyFile``, which distributes it to every executor."""
+    ``mapInPandas`` tasks): the package is zipped once per application into
+    the shared work folder and handed to ``addPyFile``, which distributes it
+    to every executor."""
+    import hashlib
     import zipfile
 
     app = spark.sparkContext.applicationId
@@ -113,12 +115,32 @@ def ship_package(spark: SparkSession) -> None:
     import chanfold
     root = os.path.dirname(os.path.abspath(chanfold.__file__))
     parent = os.path.dirname(root)
-    zpath = os.path.join(tempfile.mkdtemp(prefix="chanfold-pkg-"), "chanfold.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
-        for dirpath, _, files in os.walk(root):
-            for f in sorted(files):
-                if f.endswith(".py"):
-                    full = os.path.join(dirpath, f)
-                    z.write(full, os.path.relpath(full, parent))
-    spark.sparkContext.addPyFile(zpath)
+    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".py"))
+    digest = hashlib.sha256()
+    for full in files:
+        digest.update(full.encode())
+        with open(full, "rb") as fh:
+            digest.update(fh.read())
+    name = f"chanfold-{digest.hexdigest()[:16]}.zip"
+    base = work_dir(spark)
+    local_dir = (os.path.join(local_os_path(base), "chanfold-pkg") if is_local_path(base)
+                 else tempfile.mkdtemp(prefix="chanfold-pkg-"))
+    os.makedirs(local_dir, exist_ok=True)
+    local_zip = os.path.join(local_dir, name)
+    if not os.path.exists(local_zip):
+        tmp = f"{local_zip}.{os.getpid()}.tmp"
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+            for full in files:
+                z.write(full, os.path.relpath(full, parent))
+        os.replace(tmp, local_zip)
+    target = local_zip
+    if not is_local_path(base):
+        # remote work folder (hdfs://, s3a://...): copy the archive there
+        jvm = spark.sparkContext._jvm
+        remote = jvm.org.apache.hadoop.fs.Path(f"{base}/chanfold-pkg/{name}")
+        fs = remote.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(remote):
+            fs.copyFromLocalFile(jvm.org.apache.hadoop.fs.Path(local_zip), remote)
+        target = remote.toString()
+    spark.sparkContext.addPyFile(target)
     _SHIPPED.add(app)
