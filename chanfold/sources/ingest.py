@@ -39,6 +39,9 @@ def ingest_source(spark: SparkSession, path: str, name: str, file_format: str, b
 def catalog_rows(spark: SparkSession, raw_dir: str) -> list:
     """The catalog on the driver: one row of metadata per source (bounded by
     the number of sources, not by their size)."""
+    from chanfold.session import path_exists
+    if not path_exists(spark, raw_dir):
+        raise FileNotFoundError(f"raw folder does not exist: {raw_dir}")
     rows = discover_sources(spark, raw_dir).collect()
     if not rows:
         raise FileNotFoundError(f"no supported sources found in {raw_dir}")

@@ -39,6 +39,8 @@ def test_empty_folder_and_unknown_format(spark, tmpdir_path):
         ing.catalog_rows(spark, tmpdir_path)
     with pytest.raises(ValueError, match="unsupported"):
         rd.reader_for(".xml")
+    with pytest.raises(FileNotFoundError):
+        ing.catalog_rows(spark, f"{tmpdir_path}/missing")
 
 
 def test_csv_inference_keeps_month_text(spark, tmpdir_path):
