@@ -680,8 +680,9 @@ def _bronze_provenance(spark, sf_dir):
                            for _, df in sorted(frames.items())])
 
 
-_BRONZE_WIDTH = {"retail_orders": 14, "ecomm_orders": 10, "app_orders": 14,
-                 "wholesale_orders": 11, "franchise_orders": 14, "currency_reference": 7}
+# bronze width = the declared raw columns + the two provenance columns
+_BRONZE_WIDTH = {(f"{k}_orders" if k != "currency_reference" else k): len(raw.schema_columns(ddl)) + 2
+                 for k, ddl in RAW_SCHEMAS.items()}
 
 
 @register("bronze_summary", osql.with_raw("\nUNION ALL\n".join(
@@ -753,25 +754,6 @@ def _describe_quartiles_exact(spark, sf_dir):
     return prof.exact_quantiles(spark, Layers(spark, sf_dir).fact_eur(), NUMERIC_FACT_COLS)
 
 
-def _ddl_columns(ddl: str) -> list[tuple[str, str]]:
-    """'a string, b array<struct<x: bigint, y: double>>' -> [(a, string), (b, array<...>)]
-    with types in Spark's compact form."""
-    import re
-    cols, depth, cur = [], 0, ""
-    for ch in ddl + ",":
-        if ch == "<":
-            depth += 1
-        elif ch == ">":
-            depth -= 1
-        if ch == "," and depth == 0:
-            name, typ = cur.strip().split(" ", 1)
-            cols.append((name, re.sub(r"\s*([:,])\s*", r"\1", typ.strip())))
-            cur = ""
-        else:
-            cur += ch
-    return cols
-
-
 _BRONZE_SOURCES = [
     ("app_orders", "app", "raw_app"),
     ("currency_reference", "currency_reference", "rates"),
@@ -786,7 +768,7 @@ _BRONZE_SOURCES = [
 def _profile_bronze_sql() -> str:
     parts = []
     for source, key, table in _BRONZE_SOURCES:
-        cols = _ddl_columns(RAW_SCHEMAS[key]) + [("_source", "string"), ("_ingested_at", "string")]
+        cols = raw.schema_columns(RAW_SCHEMAS[key]) + [("_source", "string"), ("_ingested_at", "string")]
         for i, (c, t) in enumerate(cols, 1):
             nulls = "0" if c.startswith("_") or c == "lines" else f"count(*) FILTER (WHERE {c} IS NULL)"
             parts.append(f"SELECT '{source}' AS source, count(*) AS n_rows, {i} AS position, "
