@@ -134,3 +134,7 @@ def build_fact_orders(sources: dict[str, DataFrame]) -> DataFrame:
             continue
         frames.append(conform(sources[name], CHANNEL_SPECS[channel]))
     return union_channels(frames).select(*FACT_COLUMNS)
+
+
+# Name used by the source system's API for the same step.
+build_silver_layer = build_fact_orders

@@ -202,3 +202,10 @@ def pivot_status_revenue(fact: DataFrame, group_by: list[str]) -> DataFrame:
                .agg(money_sum(zero_if_null(F.col("revenue_eur")))))
     return piv.select(*group_by, *[F.coalesce(F.col(s), F.lit(0).cast(MONEY_TYPE)).alias(s)
                                    for s in REAL_SALE_STATUSES])
+
+
+# The same KPI functions under the names the source system's API uses, so
+# existing callers keep working: (fact, group_by) -> DataFrame.
+calculate_revenue_bruto = gross_revenue
+calculate_return_rate = return_rate
+calculate_fulfillment_rate = fulfillment_rate

@@ -82,3 +82,10 @@ def test_kpi_versions_registry(spark):
     df = kpis.kpi_versions(spark)
     assert {r["metric"]: r["version"] for r in df.collect()} == {
         "revenue_bruto_eur": "v1.0", "return_rate": "v1.0", "fulfillment_rate": "v1.0"}
+
+
+def test_api_aliases(spark):
+    fact = _fact(spark, [("AR", "a", "delivered", 4.0, 1, 2), ("AR", "a", "returned", 1.0, 1, 1)])
+    assert kpis.calculate_revenue_bruto(fact, ["country"]).first()["revenue_bruto_eur"] == 5.0
+    assert kpis.calculate_return_rate(fact, ["country"]).first()["return_rate"] == 0.2
+    assert abs(kpis.calculate_fulfillment_rate(fact, ["country"]).first()["fulfillment_rate"] - 2 / 3) < 1e-12
