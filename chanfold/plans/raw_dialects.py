@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from chanfold.functions.recode import literal_map
+from chanfold.sources.readers import schema_columns  # noqa: F401  (used by the registry)
 from chanfold.specs import (CATEGORY_FIX, COUNTRY_ISO3_TO_ISO2, COUNTRY_NAME_TO_ISO2,
                             ECOMM_CATCODE_TO_CATEGORY, FRANCHISE_STATUS_MAP,
                             SPANISH_MONTH_TO_NUM, WHOLESALE_CATCODE_TO_CATEGORY)
@@ -181,22 +182,3 @@ RAW_SCHEMAS = {
     "currency_reference": ("country string, year_month string, currency_from string, "
                            "currency_to string, local_units_per_eur double"),
 }
-
-
-def schema_columns(ddl: str) -> list[tuple[str, str]]:
-    """'a string, b array<struct<x: bigint, y: double>>' -> [(a, string), (b, array<...>)]
-    with types in Spark's compact form."""
-    import re
-    cols, depth, cur = [], 0, ""
-    for ch in ddl + ",":
-        if ch == "<":
-            depth += 1
-        elif ch == ">":
-            depth -= 1
-        if ch == "," and depth == 0:
-            name, typ = cur.strip().split(" ", 1)
-            cols.append((name, re.sub(r"\s*([:,])\s*", r"\1", typ.strip())))
-            cur = ""
-        else:
-            cur += ch
-    return cols

@@ -50,10 +50,28 @@ def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return df if schema is None else df.select(*_names(schema))
 
 
+def schema_columns(ddl: str) -> list[tuple[str, str]]:
+    """'a string, b array<struct<x: bigint, y: double>>' -> [(a, string), (b, array<...>)]
+    with types in Spark's compact form."""
+    cols, depth, cur = [], 0, ""
+    for ch in ddl + ",":
+        if ch == "<":
+            depth += 1
+        elif ch == ">":
+            depth -= 1
+        if ch == "," and depth == 0:
+            name, typ = cur.strip().split(" ", 1)
+            cols.append((name, re.sub(r"\s*([:,])\s*", r"\1", typ.strip())))
+            cur = ""
+        else:
+            cur += ch
+    return cols
+
+
 def _names(schema) -> list[str]:
     if isinstance(schema, StructType):
         return schema.fieldNames()
-    return [part.strip().split(" ")[0] for part in re.split(r",(?![^<]*>)", schema)]
+    return [name for name, _ in schema_columns(schema)]
 
 
 def read_workbook(spark: SparkSession, path: str, schema=None) -> DataFrame:
