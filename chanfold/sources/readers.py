@@ -102,21 +102,22 @@ def _strip_scheme(path: str) -> str:
 
 def discover_sources(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Catalog of sources directly under ``raw_dir``:
-    (name, format, path, n_files, bytes), sorted by path.  ``name`` is the
+    (name, format, path, n_files, bytes, modified), sorted by path.  ``name`` is the
     entry name without its suffix; the suffix match is case-sensitive;
     entries with other suffixes, and folders without a suffix, are ignored."""
     base = _strip_scheme(raw_dir)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .load(raw_dir).select("path", "length"))
+             .load(raw_dir).select("path", "length", "modificationTime"))
     entry = F.regexp_extract("path", re.escape(base) + r"/([^/]+)", 1)
     suffix = F.regexp_extract(entry, r"(\.[^.]+)$", 1)
     known = list(READERS)
     return (files.withColumn("entry", entry).withColumn("format", suffix)
                  .filter(F.col("format").isin(*known))
                  .groupBy("entry", "format")
-                 .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+                 .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"),
+                      F.max("modificationTime").alias("modified"))
                  .select(F.expr("substring(entry, 1, length(entry) - length(format))").alias("name"),
                          "format",
                          F.concat(F.lit(raw_dir.rstrip("/") + "/"), F.col("entry")).alias("path"),
-                         "n_files", "bytes")
+                         "n_files", "bytes", "modified")
                  .orderBy("path"))
