@@ -137,18 +137,39 @@ GOLD_CUTS = {
 
 
 def kpi_all_cuts(fact: DataFrame, cuts: dict[str, list[str]] = GOLD_CUTS) -> DataFrame:
-    """All gold cuts in one long table (``cut`` names the grouping), rolled up
-    from one shared cube: one scan and one fact-sized shuffle in total."""
-    cube = kpi_cube(fact, sorted({c for cols in cuts.values() for c in cols}))
+    """All gold cuts in one long table (``cut`` names the grouping).
+
+    One cube at the finest grain the cuts need (the only fact-sized
+    shuffle), then one GROUPING SETS aggregation over that small cube.  The
+    null-key rule looks only at the columns of a row's own cut
+    (``grouping_id`` tells which columns were rolled away)."""
     all_cols = [c for c in CUBE_DIMS if any(c in cols for cols in cuts.values())]
-    parts = []
-    for name, cols in cuts.items():
-        part = rollup_cut(cube, cols, sort=False)
-        parts.append(part.select(F.lit(name).alias("cut"),
-                                 *[F.col(c) if c in cols else F.lit(None).cast("string").alias(c)
-                                   for c in all_cols],
-                                 "revenue_bruto_eur", "return_rate", "fulfillment_rate"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    cube = kpi_cube(fact, all_cols)
+    n = len(all_cols)
+
+    def gid(cols):     # bit i (from the left) is 1 when all_cols[i] is rolled away
+        return sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in cols)
+
+    sets = [[F.col(c) for c in cols] for cols in cuts.values()]
+    agg = cube.groupingSets(sets, *all_cols).agg(
+        *[F.sum(c).alias(c) for c in PARTIAL_COLS], F.grouping_id().alias("_gid"))
+    in_cut = [((F.col("_gid").bitwiseAND(F.lit(1 << (n - 1 - i)))) == 0) for i in range(n)]
+    null_key = reduce(lambda a, b: a | b,
+                      [inc & F.col(c).isNull() for inc, c in zip(in_cut, all_cols)])
+    names = {gid(cols): name for name, cols in cuts.items()}
+    cut = F.element_at(F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))]),
+                       F.col("_gid").cast("int"))
+    zero = F.lit(0).cast(MONEY_TYPE)
+    deliv = F.coalesce(from_micro(F.col("rev_delivered")), zero)
+    ret = F.coalesce(from_micro(F.col("rev_returned")), zero)
+    return (agg.filter(F.col("n_real") > 0)
+               .select(cut.alias("cut"), *all_cols,
+                       F.coalesce(from_micro(F.col("rev_real")), zero).alias("revenue_bruto_eur"),
+                       F.when(null_key, F.lit(None).cast("double"))
+                        .otherwise(nan_to_zero(ieee_divide(ret, deliv + ret))).alias("return_rate"),
+                       F.when(null_key, F.lit(None).cast("double"))
+                        .otherwise(ieee_divide(F.col("qty_sold_total"), F.col("qty_ordered_total")))
+                        .alias("fulfillment_rate")))
 
 
 def known_members(fact: DataFrame) -> DataFrame:

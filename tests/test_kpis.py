@@ -113,3 +113,24 @@ def test_hot_key_kpis_match_brute_force(spark):
         ret = Decimal(micro(real[real.order_status == "returned"].revenue_eur)) / Decimal(10 ** 6)
         assert abs(got[country]["return_rate"] - float(ret) / float(rev)) < 1e-12
         assert abs(got[country]["fulfillment_rate"] - g.qty_sold.sum() / g.qty_ordered.sum()) < 1e-12
+
+
+def test_all_cuts_null_key_rule_is_per_cut(spark):
+    rows_ = [("AR", "a", "delivered", 4.0, 1, 2), (None, "a", "returned", 1.0, 1, 1)]
+    fact = spark.createDataFrame(rows_, SCHEMA).withColumn("category", F.lit("Running")) \
+                .withColumn("year_month", F.lit("2025-01"))
+    out = kpis.kpi_all_cuts(fact)
+    got = {(r["cut"], r["country"], r["channel"]): r for r in out.collect()}
+    # country is part of these cuts: the null-country group keeps revenue, rates are null
+    assert got[("country_channel", None, "a")]["return_rate"] is None
+    assert got[("country_month", None, None)]["fulfillment_rate"] is None
+    # channel x category does not group by country: both rows count, rates present
+    r = got[("channel_category", None, "a")]
+    assert r["revenue_bruto_eur"] == 5.0 and r["return_rate"] == 0.2
+    # same answers as one cut at a time
+    for name, cols in kpis.GOLD_CUTS.items():
+        one = {tuple(x[c] for c in cols): x for x in kpis.build_kpi_table(fact, cols).collect()}
+        for (cut, *_), x in got.items():
+            if cut == name:
+                y = one[tuple(x[c] for c in cols)]
+                assert (x["revenue_bruto_eur"], x["return_rate"]) == (y["revenue_bruto_eur"], y["return_rate"])
