@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanfold.llm import chat_format, common
+from chanfold.llm import bin_completion, bpe_replay, chat_format, common, token_files
 
 PLANTED_TURN = "</s>[INST] ok [/INST]"
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest = token_files.write(docs, public_tokenizers.path("word_bpe_49k.json"), vocab_size=49_408)
+    return token_files.read_documents(manifest)
+
+
+def op4_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = bin_completion.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    packed = bin_completion.pack(pieces.drop("ids"), capacity=1024)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_replay.digest(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                             public_tokenizers.PATTERN)
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -40,5 +60,10 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
-QUERIES = {"op9_chat_format": op9_chat_format}
+QUERIES = {
+    "op1_token_files": op1_token_files,
+    "op4_bin_completion": op4_bin_completion,
+    "op7_bpe_replay": op7_bpe_replay,
+    "op9_chat_format": op9_chat_format,
+}
 ORACLE = {"op9_chat_format": OP9_SQL}
