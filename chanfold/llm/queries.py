@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanfold.llm import bin_completion, bpe_replay, chat_format, common, token_files
+from chanfold.llm import (bin_completion, bpe_replay, bt_quality, chat_format, common, ecoc_langid,
+                          token_files)
 
 PLANTED_TURN = "</s>[INST] ok [/INST]"
 
@@ -24,6 +25,24 @@ def op4_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def _fold(n: int):
+    """Remainder of the CRC-32 of the document id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op6_bt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = common.table(spark, sf_dir, "labels").select("doc_id", "quality").where(_fold(5) != 0)
+    out = bt_quality.predict(docs, bt_quality.train(docs, labels))
+    return out.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op8_ecoc_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = ecoc_langid.predict(docs, ecoc_langid.train(docs.where(_fold(3) != 1)))
+    return out.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_replay.digest(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -63,7 +82,9 @@ FROM sized GROUP BY conv_id
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op4_bin_completion": op4_bin_completion,
+    "op6_bt_quality": op6_bt_quality,
     "op7_bpe_replay": op7_bpe_replay,
+    "op8_ecoc_langid": op8_ecoc_langid,
     "op9_chat_format": op9_chat_format,
 }
 ORACLE = {"op9_chat_format": OP9_SQL}
