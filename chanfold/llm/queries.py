@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanfold.llm import (bin_completion, bpe_replay, bt_quality, chat_format, common, ecoc_langid,
-                          token_files)
+                          jaccard_join, token_files)
 
 PLANTED_TURN = "</s>[INST] ok [/INST]"
 
@@ -58,6 +58,11 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.segments(turns.unionByName(extra)))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.join(docs).select("doc_id", "n_shingles", "component_id")
+
+
 OP9_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -79,6 +84,30 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), grams AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END AS g
+  FROM words
+), sizes AS (SELECT doc_id, len(g) AS n FROM grams
+), tokens AS (SELECT doc_id, unnest(g) AS t FROM grams
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * k >= 75 * (a.n + b.n - k)
+), reach(x, y) AS (
+  SELECT doc_id, doc_id FROM sizes UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+)
+SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, min(r.y) AS component_id
+FROM sizes s JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, s.n
+"""
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op4_bin_completion": op4_bin_completion,
@@ -86,5 +115,6 @@ QUERIES = {
     "op7_bpe_replay": op7_bpe_replay,
     "op8_ecoc_langid": op8_ecoc_langid,
     "op9_chat_format": op9_chat_format,
+    "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLE = {"op9_chat_format": OP9_SQL}
+ORACLE = {"op9_chat_format": OP9_SQL, "op10_jaccard_join": OP10_SQL}
