@@ -40,6 +40,10 @@ class Model:
     trust: np.ndarray               # weight of each bit, summing to the bits
 
 
+def has_letter(text: str | None) -> bool:
+    return bool(text and _LETTER.search(text))
+
+
 def vectors(texts: list[str | None]) -> np.ndarray:
     rows = [b" " + (t or "").lower().encode("utf-8", "replace").translate(_CLASSES) + b" " for t in texts]
     parts = [unit_rows(ngram_counts(rows[p], ORDERS, BUCKETS, b"  ")) for p in groups_of(rows)]
@@ -101,7 +105,7 @@ def decode(model: Model | None, texts: list[str | None], ambiguous_below: float
     A text that is null or has no letter is ``und`` with score 0; so is every
     text when there is no model."""
     langs, scores, unsure = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
-    rows = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+    rows = [i for i, t in enumerate(texts) if has_letter(t)]
     if model is None or not rows:
         return langs, scores, unsure
     margin = vectors([texts[i] for i in rows]) @ model.weights + model.bias

@@ -147,9 +147,9 @@ def _group_of(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, percent: int = 75, width: int = 5, most_common: int = 200_000,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles (size of the set),
-    component_id (smallest doc_id reachable by links, itself included) and
-    n_copies (rows with the same set, itself included).
+    """One row per row of ``docs``: doc_id, text_hash (xxhash64 of the text),
+    n_shingles (size of the set), component_id (smallest doc_id reachable by links, itself
+    included) and n_copies (rows with the same set, itself included).
 
     Texts that are null, empty or without words have an empty set and link
     with nothing.  Rows that repeat a doc_id are separate texts and link only
@@ -230,9 +230,9 @@ def join(docs: DataFrame, percent: int = 75, width: int = 5, most_common: int =
         "component", F.coalesce("component", "nid"))
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.join(ids, "component").select("n", "f1", "f2", "n_copies", "component_id")
-    linked = linkable.select("doc_id", "n", "f1", "f2").join(named, ["n", "f1", "f2"]).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", "n_copies")
+    linked = linkable.select("doc_id", "text_hash", "n", "f1", "f2").join(named, ["n", "f1", "f2"]).select(
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id", "n_copies")
     alone = texts.where((F.col("n") == 0) | F.col("doc_id").isNull()).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
         F.lit(1).cast("long").alias("n_copies"))
     return linked.unionByName(alone)

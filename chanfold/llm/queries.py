@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanfold.llm import (bin_completion, bpe_replay, bt_quality, chat_format, common, ecoc_langid,
-                          jaccard_join, token_files)
+                          jaccard_join, line_chunks, multi_index, multiprobe_lsh, token_files)
 
 PLANTED_TURN = "</s>[INST] ok [/INST]"
 
@@ -18,6 +18,25 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(manifest)
 
 
+def op2_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return multiprobe_lsh.search(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(common.table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = lambda c: F.when(F.col(c).isNotNull(), F.size(F.split(c, "\n", -1)))
+    out = line_chunks.dedup(docs.withColumn("before", F.col("text")))
+    return out.select("doc_id", lines("before").alias("n_lines"),
+                      F.when(F.col("before") != F.col("text"), F.when(F.col("text") == "", lines("before"))
+                             .otherwise(lines("before") - lines("text"))).otherwise(0).alias("n_removed"),
+                      "text")
+
+
 def op4_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = bin_completion.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -110,7 +129,10 @@ FROM sizes s JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, s.n
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_multiprobe_lsh": op2_multiprobe_lsh,
+    "op3_line_chunks": op3_line_chunks,
     "op4_bin_completion": op4_bin_completion,
+    "op5_multi_index": op5_multi_index,
     "op6_bt_quality": op6_bt_quality,
     "op7_bpe_replay": op7_bpe_replay,
     "op8_ecoc_langid": op8_ecoc_langid,
