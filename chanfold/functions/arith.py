@@ -43,47 +43,51 @@ def sum_or_zero(c) -> Column:
     return F.coalesce(F.sum(_as_col(c)), F.lit(0).cast("double"))
 
 
-# Money is summed exactly, so the result does not depend on the order of
-# addition (which differs between runs, partitionings and engines): each
-# amount becomes an integer number of micro-units, the integers are summed as
-# decimals (Spark keeps them on its 64-bit fast path while they fit, and
-# widens instead of overflowing beyond), and the total is scaled back once per
-# group.  Amounts are rounded to micro-units half away from zero on the
-# binary value, ``round(x * 10^6)``, which is also what a SQL cast of a double
-# to DECIMAL(18,6) does; a Spark cast would instead decide ties on the
-# shortest decimal text of the double (e.g. ``ext / 32`` values).
-MONEY_TYPE = "decimal(38,6)"
+# A plain sum of doubles depends on the order of addition, so it moves with the
+# partitioning and decides rounding ties at random.  A money sum is therefore
+# kept in two additive parts: whole millionths, summed exactly as decimals
+# (Spark keeps them on its 64-bit path while they fit and widens beyond), and
+# what is left of each amount, summed as doubles.  Nothing is dropped: the rest
+# holds amounts below a millionth, and amounts beyond the integer range, NaN and
+# infinities go to it whole.
 _MICRO = 1_000_000
+_WHOLE_LIMIT = 9.0e12            # amounts whose millionths fit a bigint
 
 
-def micro_units(c) -> Column:
-    """Amount -> whole micro-units (bigint), half away from zero on the
-    binary value of ``x * 10^6``.  Built from a truncating cast and the exact
-    remainder, so it stays in primitive arithmetic (``round`` on a double
-    goes through a BigDecimal per row)."""
-    y = _as_col(c).cast("double") * F.lit(float(_MICRO))
-    whole = y.cast("bigint")                       # truncates toward zero
-    frac = y - whole.cast("double")                # exact for |y| < 2^53
-    return whole + F.when(frac >= 0.5, F.lit(1)).when(frac <= -0.5, F.lit(-1)).otherwise(F.lit(0))
+def _has_whole(x: Column) -> Column:
+    return F.abs(x) < F.lit(_WHOLE_LIMIT)          # false for NaN and infinities
 
 
-def micro_sum(c) -> Column:
-    """Exact sum of micro-units as decimal(30,0); null when no value."""
-    return F.sum(micro_units(c).cast("decimal(20,0)"))
+def _millionths(x: Column) -> Column:
+    return (x * F.lit(float(_MICRO))).cast("bigint")
 
 
-def from_micro(c) -> Column:
-    """Micro-units (any integral decimal) -> money decimal(38,6), exactly."""
-    return (_as_col(c).cast("decimal(38,0)") / F.lit(Decimal(_MICRO))).cast(MONEY_TYPE)
+def money_whole(c) -> Column:
+    """Whole millionths of an amount as decimal(20,0); null where it has none."""
+    x = _as_col(c).cast("double")
+    return F.when(_has_whole(x), _millionths(x)).cast("decimal(20,0)")
+
+
+def money_rest(c) -> Column:
+    """The amount without its whole millionths, or all of it."""
+    x = _as_col(c).cast("double")
+    return F.when(_has_whole(x), x - _millionths(x).cast("double") / F.lit(float(_MICRO))).otherwise(x)
+
+
+def money_total(whole, rest) -> Column:
+    """Double from the summed parts; null when there was no amount."""
+    scaled = (_as_col(whole).cast("decimal(38,0)") / F.lit(Decimal(_MICRO))).cast("double")
+    return F.coalesce(scaled, F.lit(0.0)) + _as_col(rest)
 
 
 def money_sum(c) -> Column:
-    """Exact sum of a money column as decimal(38,6) (null when no value)."""
-    return from_micro(micro_sum(c))
+    """Sum of a money column as a double (null when no value); NaN if one of
+    the amounts is NaN."""
+    return money_total(F.sum(money_whole(c)), F.sum(money_rest(c)))
 
 
 def money_sum_or_zero(c) -> Column:
-    return F.coalesce(money_sum(c), F.lit(0).cast(MONEY_TYPE))
+    return F.coalesce(money_sum(c), F.lit(0.0))
 
 
 def n_unique(c, approx: bool = False, rsd: float = 0.01) -> Column:

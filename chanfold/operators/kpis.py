@@ -15,8 +15,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chanfold.functions.arith import (MONEY_TYPE, from_micro, ieee_divide, micro_units, money_sum,
-                                      money_sum_or_zero, nan_to_zero, zero_if_null)
+from chanfold.functions.arith import (ieee_divide, money_rest, money_sum, money_sum_or_zero,
+                                      money_total, money_whole, nan_to_zero, zero_if_null)
 from chanfold.specs import REAL_SALE_STATUSES
 
 
@@ -43,7 +43,8 @@ KPI_DEFINITIONS = [
 ]
 
 CUBE_DIMS = ["country", "channel", "category", "year_month", "member"]
-PARTIAL_COLS = ["n_real", "rev_real", "rev_delivered", "rev_returned",
+REVENUES = ["real", "delivered", "returned"]
+PARTIAL_COLS = ["n_real", *[f"{part}_{r}" for r in REVENUES for part in ("whole", "rest")],
                 "qty_sold_total", "qty_ordered_total"]
 
 
@@ -70,20 +71,24 @@ def _is_real() -> F.Column:
 
 def kpi_partials(fact: DataFrame, group_by: list[str]) -> DataFrame:
     """Additive KPI inputs per group: one pass, partial aggregation map-side.
-    Revenue inputs are exact sums of micro-units (decimal(30,0))."""
+    Each revenue is a pair of sums (``arith.money_whole`` / ``money_rest``)."""
     group_by = _check_group_by(group_by)
-    rev = micro_units(zero_if_null(F.col("revenue_eur"))).cast("decimal(20,0)")
-    status = F.col("order_status")
+    rev = zero_if_null(F.col("revenue_eur"))
+    rows = {"real": _is_real(), "delivered": F.col("order_status") == "delivered",
+            "returned": F.col("order_status") == "returned"}
+    sums = [F.sum(F.when(rows[r], part(rev))).alias(f"{name}_{r}")
+            for r in REVENUES for name, part in (("whole", money_whole), ("rest", money_rest))]
     return fact.groupBy(*group_by).agg(
-        F.count_if(_is_real()).alias("n_real"),
-        F.sum(F.when(_is_real(), rev)).alias("rev_real"),
-        F.sum(F.when(status == "delivered", rev)).alias("rev_delivered"),
-        F.sum(F.when(status == "returned", rev)).alias("rev_returned"),
+        F.count_if(_is_real()).alias("n_real"), *sums,
         F.sum("qty_sold").alias("qty_sold_total"),
         F.sum("qty_ordered").alias("qty_ordered_total"),
     )
 
 
+def _revenue(name: str) -> F.Column:
+    return F.coalesce(money_total(F.col(f"whole_{name}"), F.col(f"rest_{name}")), F.lit(0.0))
+
+
 def _any_null(cols: list[str]) -> F.Column:
     if not cols:
         return F.lit(False)
@@ -94,13 +99,11 @@ def finish_kpis(partials: DataFrame, group_by: list[str]) -> DataFrame:
     """KPIs from the additive inputs.  Groups without any real sale are
     absent; a group with a null key keeps its revenue but gets null rates
     (null keys never match in the per-KPI join formulation)."""
-    zero = F.lit(0).cast(MONEY_TYPE)
-    deliv = F.coalesce(from_micro(F.col("rev_delivered")), zero)
-    ret = F.coalesce(from_micro(F.col("rev_returned")), zero)
+    deliv, ret = _revenue("delivered"), _revenue("returned")
     null_key = _any_null(group_by)
     return (partials.filter(F.col("n_real") > 0)
             .select(*group_by,
-                    F.coalesce(from_micro(F.col("rev_real")), zero).alias("revenue_bruto_eur"),
+                    _revenue("real").alias("revenue_bruto_eur"),
                     F.when(null_key, F.lit(None).cast("double"))
                      .otherwise(nan_to_zero(ieee_divide(ret, deliv + ret))).alias("return_rate"),
                     F.when(null_key, F.lit(None).cast("double"))
@@ -159,12 +162,10 @@ def kpi_all_cuts(fact: DataFrame, cuts: dict[str, list[str]] = GOLD_CUTS) -> Dat
     names = {gid(cols): name for name, cols in cuts.items()}
     cut = F.element_at(F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))]),
                        F.col("_gid").cast("int"))
-    zero = F.lit(0).cast(MONEY_TYPE)
-    deliv = F.coalesce(from_micro(F.col("rev_delivered")), zero)
-    ret = F.coalesce(from_micro(F.col("rev_returned")), zero)
+    deliv, ret = _revenue("delivered"), _revenue("returned")
     return (agg.filter(F.col("n_real") > 0)
                .select(cut.alias("cut"), *all_cols,
-                       F.coalesce(from_micro(F.col("rev_real")), zero).alias("revenue_bruto_eur"),
+                       _revenue("real").alias("revenue_bruto_eur"),
                        F.when(null_key, F.lit(None).cast("double"))
                         .otherwise(nan_to_zero(ieee_divide(ret, deliv + ret))).alias("return_rate"),
                        F.when(null_key, F.lit(None).cast("double"))
@@ -221,7 +222,7 @@ def pivot_status_revenue(fact: DataFrame, group_by: list[str]) -> DataFrame:
                .groupBy(*group_by)
                .pivot("order_status", REAL_SALE_STATUSES)
                .agg(money_sum(zero_if_null(F.col("revenue_eur")))))
-    return piv.select(*group_by, *[F.coalesce(F.col(s), F.lit(0).cast(MONEY_TYPE)).alias(s)
+    return piv.select(*group_by, *[F.coalesce(F.col(s), F.lit(0.0)).alias(s)
                                    for s in REAL_SALE_STATUSES])
 
 

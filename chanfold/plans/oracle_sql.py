@@ -96,12 +96,8 @@ FACT_COLS_SQL = ("channel, consumer_id, order_id, country, year_month, category,
                  "qty_ordered, qty_sold, unit_price, currency, revenue_local, order_status, member")
 
 
-# Money is summed as decimal(18,6) (exact, independent of summation order).
-MONEY_REV = "CAST(coalesce(revenue_eur, 0.0) AS DECIMAL(18,6))"
-
-
-def money(expr: str) -> str:
-    return f"CAST({expr} AS DECIMAL(18,6))"
+# Money is summed as doubles with compensation (the order does not matter).
+MONEY_REV = "coalesce(revenue_eur, 0.0)"
 
 
 def with_base(body: str, extra_ctes: str = "") -> str:
@@ -116,11 +112,11 @@ def kpi_joined_sql(group_by: list[str], source: str = "fact_eur", where: str = "
     real = "order_status IN ('delivered', 'returned')"
     extra = f"""
 kin AS (SELECT * FROM {source} WHERE {where}),
-rev AS (SELECT {g}, sum({MONEY_REV}) AS revenue_bruto_eur
+rev AS (SELECT {g}, kahan_sum({MONEY_REV}) AS revenue_bruto_eur
         FROM kin WHERE {real} GROUP BY {g}),
 ret AS (SELECT {g},
-          coalesce(sum(CASE WHEN order_status = 'delivered' THEN {MONEY_REV} END), 0) AS d,
-          coalesce(sum(CASE WHEN order_status = 'returned' THEN {MONEY_REV} END), 0) AS r
+          coalesce(kahan_sum(CASE WHEN order_status = 'delivered' THEN {MONEY_REV} END), 0) AS d,
+          coalesce(kahan_sum(CASE WHEN order_status = 'returned' THEN {MONEY_REV} END), 0) AS r
         FROM kin WHERE {real} GROUP BY {g}),
 ful AS (SELECT {g}, sum(qty_sold) AS s, sum(qty_ordered) AS o FROM kin GROUP BY {g})"""
     # Null keys never match in the join (plain equality), as in the source

@@ -107,10 +107,10 @@ def _all_cuts_sql() -> str:
                         for c in ["country", "channel", "category", "year_month"])
         parts.append(f"""
 SELECT '{name}' AS cut, {sel},
-  CAST(round(sum(CASE WHEN {REAL} THEN {M} END), 4) AS DOUBLE) AS revenue_bruto_eur,
-  round(CASE WHEN coalesce(sum(CASE WHEN {REAL} THEN {M} END), 0) = 0 THEN 0.0
-        ELSE CAST(coalesce(sum(CASE WHEN order_status = 'returned' THEN {M} END), 0) AS DOUBLE)
-             / CAST(sum(CASE WHEN {REAL} THEN {M} END) AS DOUBLE) END, 6) AS return_rate,
+  CAST(round(kahan_sum(CASE WHEN {REAL} THEN {M} END), 4) AS DOUBLE) AS revenue_bruto_eur,
+  round(CASE WHEN coalesce(kahan_sum(CASE WHEN {REAL} THEN {M} END), 0) = 0 THEN 0.0
+        ELSE CAST(coalesce(kahan_sum(CASE WHEN order_status = 'returned' THEN {M} END), 0) AS DOUBLE)
+             / CAST(kahan_sum(CASE WHEN {REAL} THEN {M} END) AS DOUBLE) END, 6) AS return_rate,
   round(CAST(sum(qty_sold) AS DOUBLE) / CAST(sum(qty_ordered) AS DOUBLE), 6) AS fulfillment_rate
 FROM fact_eur GROUP BY {g}
 HAVING count(*) FILTER (WHERE {REAL}) > 0""")
@@ -123,7 +123,7 @@ def _kpi_all_cuts(spark, sf_dir):
 
 
 @register("gross_revenue", osql.with_base(f"""
-SELECT channel, category, CAST(round(sum({M}), 4) AS DOUBLE) AS revenue_bruto_eur
+SELECT channel, category, CAST(round(kahan_sum({M}), 4) AS DOUBLE) AS revenue_bruto_eur
 FROM fact_eur WHERE {REAL} GROUP BY channel, category"""))
 def _gross_revenue(spark, sf_dir):
     return present(kpis.gross_revenue(Layers(spark, sf_dir).fact_eur(), ["channel", "category"]),
@@ -132,9 +132,9 @@ def _gross_revenue(spark, sf_dir):
 
 @register("return_rate", osql.with_base(f"""
 SELECT channel, category,
-  round(CASE WHEN sum({M}) = 0 THEN 0.0
-        ELSE CAST(coalesce(sum(CASE WHEN order_status = 'returned' THEN {M} END), 0) AS DOUBLE)
-             / CAST(sum({M}) AS DOUBLE) END, 6) AS return_rate
+  round(CASE WHEN kahan_sum({M}) = 0 THEN 0.0
+        ELSE CAST(coalesce(kahan_sum(CASE WHEN order_status = 'returned' THEN {M} END), 0) AS DOUBLE)
+             / CAST(kahan_sum({M}) AS DOUBLE) END, 6) AS return_rate
 FROM fact_eur WHERE {REAL} GROUP BY channel, category"""))
 def _return_rate(spark, sf_dir):
     return present(kpis.return_rate(Layers(spark, sf_dir).fact_eur(), ["channel", "category"]),
@@ -152,8 +152,8 @@ def _fulfillment_rate(spark, sf_dir):
 
 @register("pivot_status_revenue", osql.with_base(f"""
 SELECT channel,
-  CAST(round(coalesce(sum(CASE WHEN order_status = 'delivered' THEN {M} END), 0), 4) AS DOUBLE) AS delivered,
-  CAST(round(coalesce(sum(CASE WHEN order_status = 'returned' THEN {M} END), 0), 4) AS DOUBLE) AS returned
+  CAST(round(coalesce(kahan_sum(CASE WHEN order_status = 'delivered' THEN {M} END), 0), 4) AS DOUBLE) AS delivered,
+  CAST(round(coalesce(kahan_sum(CASE WHEN order_status = 'returned' THEN {M} END), 0), 4) AS DOUBLE) AS returned
 FROM fact_eur WHERE {REAL} GROUP BY channel"""))
 def _pivot_status_revenue(spark, sf_dir):
     return present(kpis.pivot_status_revenue(Layers(spark, sf_dir).fact_eur(), ["channel"]),
@@ -169,7 +169,7 @@ def _count_by_channel_category(spark, sf_dir):
 
 @register("filter_real_sales", osql.with_base(f"""
 SELECT channel, order_status, count(*) AS n_lines,
-  CAST(round(sum({M}), 4) AS DOUBLE) AS revenue_eur
+  CAST(round(kahan_sum({M}), 4) AS DOUBLE) AS revenue_eur
 FROM fact_eur WHERE {REAL} GROUP BY channel, order_status"""))
 def _filter_real_sales(spark, sf_dir):
     fact = Layers(spark, sf_dir).fact_eur()
@@ -232,7 +232,7 @@ def _currency_reference(spark, sf_dir):
 
 _MEMBER_CMP_SQL = f"""
 SELECT member,
-  sum({M}) AS revenue_total,
+  kahan_sum({M}) AS revenue_total,
   count(*) AS num_lineas,
   CAST(count(DISTINCT order_id) + max(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS num_ordenes_unicas
 FROM fact_eur WHERE member IS NOT NULL AND {REAL} GROUP BY member"""
@@ -409,7 +409,7 @@ _pairs_key("cast_ids", [
 
 @register("derive_revenue", osql.with_raw("""
 SELECT country_code AS country, count(*) FILTER (WHERE sell_out_units * avg_price IS NULL) AS null_revenue,
-  CAST(round(sum(CAST(sell_out_units * avg_price AS DECIMAL(18,6))), 4) AS DOUBLE) AS revenue_local
+  CAST(round(kahan_sum(sell_out_units * avg_price), 4) AS DOUBLE) AS revenue_local
 FROM raw_wholesale GROUP BY country_code"""))
 def _derive_revenue(spark, sf_dir):
     df = conf.derive_revenue(conf.rename_strict(raw_frame(spark, sf_dir, "wholesale"),
@@ -421,7 +421,7 @@ def _derive_revenue(spark, sf_dir):
 
 @register("derive_unit_price", osql.with_raw("""
 SELECT cc AS country, count(*) FILTER (WHERE sold <= 0) AS null_unit_price,
-  CAST(round(sum(CAST(CASE WHEN sold > 0 THEN amount / sold END AS DECIMAL(18,6))), 4) AS DOUBLE) AS unit_price_total
+  CAST(round(kahan_sum(CASE WHEN sold > 0 THEN amount / sold END), 4) AS DOUBLE) AS unit_price_total
 FROM raw_app GROUP BY cc"""))
 def _derive_unit_price(spark, sf_dir):
     df = conf.derive_unit_price(conf.rename_strict(raw_frame(spark, sf_dir, "app"),
@@ -601,7 +601,7 @@ def _null_revenue_diagnosis(spark, sf_dir):
 
 @register("avg_revenue_by_channel", osql.with_base("""
 SELECT channel,
-  round(CAST(sum(CAST(revenue_eur AS DECIMAL(18,6))) AS DOUBLE) / count(revenue_eur), 4) AS avg_revenue_eur,
+  round(CAST(kahan_sum(revenue_eur) AS DOUBLE) / count(revenue_eur), 4) AS avg_revenue_eur,
   count(*) FILTER (WHERE revenue_eur IS NULL) AS nulls
 FROM fact_eur GROUP BY channel"""))
 def _avg_revenue_by_channel(spark, sf_dir):

@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from chanfold.functions import (decode_flag, ieee_divide, month_from_int, month_from_slash,
@@ -55,17 +57,36 @@ def test_n_unique_counts_null_once(spark):
     assert df.select(n_unique("o")).first()[0] == 3
 
 
-def test_micro_units_round_half_away_on_binary_value(spark):
-    from chanfold.functions.arith import micro_units
-    vals = [12.0078125, -12.0078125, 0.0000005, 190648.79665, 1.0000004999, 2.5e-7, None]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = [r[0] for r in df.select(micro_units("x")).collect()]
-
-    def ref(v):   # half away from zero on the binary product, as a SQL cast does
-        if v is None:
-            return None
-        y = v * 1e6
-        import math
-        return int(math.copysign(math.floor(abs(y) + 0.5), y)) if abs(abs(y) % 1 - 0.5) > 1e-9 \
-            else int(math.copysign(math.floor(abs(y)) + 1, y))
-    assert got == [ref(v) for v in vals]
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_money_sums_lose_nothing(spark, ansi):
+    from chanfold.functions.arith import money_sum, money_sum_or_zero
+    groups = {"small": [4e-7] * 3, "large": [1e13] * 3, "mixed": [1e13, 0.25, 4e-7, -3.0], "nan": [1.0, float("nan")],
+              "inf": [float("inf"), 1.0], "none": [None, None], "some": [None, 2.5], "ties": [0.1] * 10,
+              "wide": [1e300, 1.0, -1e300], "cents": [190648.79665, -12.0078125, 2.5e-7, 1.0000004999]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, x double")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        got = {r["g"]: r for r in df.groupBy("g").agg(money_sum("x").alias("s"),
+                                                     money_sum_or_zero("x").alias("z")).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got["none"]["s"] is None and got["none"]["z"] == 0.0
+    assert math.isnan(got["nan"]["s"]) and got["inf"]["s"] == math.inf
+    for g in ("small", "large", "mixed", "some", "ties", "cents"):
+        assert math.isclose(got[g]["s"], math.fsum(v for v in groups[g] if v is not None), rel_tol=1e-15), g
+    assert abs(got["wide"]["s"] - 1.0) <= 1.0
+
+
+def test_money_sum_does_not_depend_on_order(spark):
+    import random
+
+    from chanfold.functions.arith import money_sum
+    rng = random.Random(1)
+    vals = [round(rng.uniform(-1e5, 1e5), 2) for _ in range(2000)] + [rng.random() / 7 for _ in range(500)]
+    sums = set()
+    for seed in range(4):
+        random.Random(seed).shuffle(vals)
+        df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(3 + seed)
+        sums.add(df.agg(money_sum("x")).first()[0])
+    assert len(sums) == 1 and math.isclose(sums.pop(), math.fsum(vals), rel_tol=1e-15)

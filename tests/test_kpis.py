@@ -63,7 +63,7 @@ def test_gross_revenue_total_is_cut_invariant(spark):
     fact = Layers(spark, SF_SMALL).fact_eur()
     totals = [kpis.build_kpi_table(fact, cut).agg(F.sum("revenue_bruto_eur")).first()[0]
               for cut in kpis.GOLD_CUTS.values()]
-    assert len(set(totals)) == 1          # exact decimal sums: identical, not just close
+    assert max(totals) - min(totals) <= 1e-12 * abs(totals[0])
 
 
 def test_pivot_keeps_absent_status_column(spark):
@@ -73,9 +73,11 @@ def test_pivot_keeps_absent_status_column(spark):
 
 
 def test_all_cuts_plan_scans_fact_once(spark):
-    plan = kpis.kpi_all_cuts(Layers(spark, SF_SMALL).fact_eur())._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert plan.count("Scan parquet") == 1 or "ReusedExchange" in plan or "AdaptiveSparkPlan" in plan
+    df = kpis.kpi_all_cuts(Layers(spark, SF_SMALL).fact_eur())
+    df.collect()                                     # the final adaptive plan
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert final.count("Scan parquet") == 1
 
 
 def test_kpi_versions_registry(spark):
@@ -94,7 +96,7 @@ def test_api_aliases(spark):
 def test_hot_key_kpis_match_brute_force(spark):
     """One country carries most rows (a hot key): the fused plan still
     aggregates map-side, and the results equal a pandas brute force."""
-    from decimal import Decimal
+    import math
 
     fact = Layers(spark, SF_SMALL).fact_eur()
     hot = fact.withColumn("country", F.when(F.col("channel") != "wholesale", F.lit("AR"))
@@ -106,12 +108,10 @@ def test_hot_key_kpis_match_brute_force(spark):
         if real.empty:
             assert country not in got
             continue
-        micro = lambda s: sum(int(Decimal(repr(v * 1e6)).to_integral_value("ROUND_HALF_UP"))
-                              for v in s.fillna(0.0))
-        rev = Decimal(micro(real.revenue_eur)) / Decimal(10 ** 6)
-        assert got[country]["revenue_bruto_eur"] == rev
-        ret = Decimal(micro(real[real.order_status == "returned"].revenue_eur)) / Decimal(10 ** 6)
-        assert abs(got[country]["return_rate"] - float(ret) / float(rev)) < 1e-12
+        rev = math.fsum(real.revenue_eur.fillna(0.0))
+        assert math.isclose(got[country]["revenue_bruto_eur"], rev, rel_tol=1e-14)
+        ret = math.fsum(real[real.order_status == "returned"].revenue_eur.fillna(0.0))
+        assert abs(got[country]["return_rate"] - ret / rev) < 1e-12
         assert abs(got[country]["fulfillment_rate"] - g.qty_sold.sum() / g.qty_ordered.sum()) < 1e-12
 
 
