@@ -2,7 +2,7 @@
 
     python -m chanfold run --raw <raw folder> --lake <lake folder> [--master local[8]]
 
-Discovers and ingests every source under ``--raw`` (bronze), conforms and
+Discovers and ingests every source (the known ones by their declared schemas) under ``--raw`` (bronze), conforms and
 converts them (silver, partitioned by channel) and writes the gold tables,
 then prints one JSON line with row counts and the missing-rate audit.  On a
 cluster, submit it with ``spark-submit`` and leave ``--master`` unset.
@@ -22,8 +22,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--raw", required=True)
     run.add_argument("--lake", required=True)
     run.add_argument("--master", default=None)
-    run.add_argument("--declared-schemas", action="store_true",
-                     help="use the built-in schemas of the five channel sources")
+    run.add_argument("--infer-schemas", action="store_true",
+                     help="infer the schemas of the known sources too (not for spreadsheets)")
     args = parser.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> int:
             builder = builder.config(k, v)
         spark = builder.getOrCreate()
     out = medallion.run_all(spark, args.raw, args.lake,
-                            declared_schemas() if args.declared_schemas else None)
+                            None if args.infer_schemas else declared_schemas())
     report = {
         "bronze_rows": {k: v.count() for k, v in sorted(out["bronze"].items())},
         "silver_rows": out["silver"].count(),

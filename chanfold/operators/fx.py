@@ -34,20 +34,42 @@ def rates_fit_broadcast(rates: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) ->
     return fits
 
 
+#: Slices of each (country, month) in the shuffle join.
+SALTS = 64
+
+
+class DuplicateRates(ValueError):
+    """The rate table holds a (country, month) more than once."""
+
+
+def check_unique_rates(rates: DataFrame) -> None:
+    """Raise if a key occurs twice: the join would repeat facts."""
+    twice = (rates.where(F.col("country").isNotNull() & F.col("year_month").isNotNull())
+             .groupBy(*RATE_KEYS).count().where("count > 1").orderBy(*RATE_KEYS).first())
+    if twice:
+        raise DuplicateRates(f"{twice['count']} rates for {twice['country']}, {twice['year_month']}")
+
+
 def join_rates(fact: DataFrame, rates: DataFrame, *, broadcast: bool | None = None) -> DataFrame:
     """Left equi-join fact x rates on (country, year_month); adds the rate.
+    A key that occurs twice in ``rates`` raises ``DuplicateRates``.
 
     ``broadcast=None`` decides by the size check.  Broadcasting keeps the fact
-    where it is (no shuffle at all).  Beyond the bound the join falls back to
-    a shuffle join; the fact is then heavily skewed on the few (country,
-    month) keys, which AQE's skew-join splitting handles.
+    where it is (no shuffle at all).  Beyond the bound the join shuffles; since
+    a few (country, month) keys then hold most of the fact, each is dealt over
+    ``SALTS`` slices by a hash of the row, and the rates are repeated for each.
     """
     r = rates.select(*RATE_KEYS, RATE_COL)
+    check_unique_rates(r)
     if broadcast is None:
         broadcast = rates_fit_broadcast(r)
     if broadcast:
-        r = F.broadcast(r)
-    return fact.join(r, on=RATE_KEYS, how="left").select(*fact.columns, RATE_COL)
+        return fact.join(F.broadcast(r), on=RATE_KEYS, how="left").select(*fact.columns, RATE_COL)
+    salt = F.pmod(F.xxhash64(*[c for c, t in fact.dtypes if not t.startswith("map")]), F.lit(SALTS))
+    salted = fact.withColumn("_salt", salt)
+    spread = r.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return (salted.join(spread.hint("merge"), on=[*RATE_KEYS, "_salt"], how="left")
+            .select(*fact.columns, RATE_COL))
 
 
 def _eur(value: str) -> F.Column:

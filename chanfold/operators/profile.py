@@ -111,9 +111,9 @@ def profile_source(df: DataFrame, source: str) -> DataFrame:
 def id_overlap(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
     """Size of the intersection of the two distinct key sets (compared as
     text; null counts as a value, as in a set intersection)."""
-    a = left.select(F.col(left_col).cast("string").alias("k"))
-    b = right.select(F.col(right_col).cast("string").alias("k"))
-    return a.intersect(b).agg(F.count(F.lit(1)).alias("overlap"))
+    a = left.select(F.col(left_col).cast("string").alias("a")).distinct()
+    b = right.select(F.col(right_col).cast("string").alias("b")).distinct()
+    return a.join(b, F.col("a").eqNullSafe(F.col("b"))).agg(F.count(F.lit(1)).alias("overlap"))
 
 
 def category_crosstab(coded: DataFrame, code_col: str, coded_key: str,
@@ -135,10 +135,11 @@ def category_crosstab(coded: DataFrame, code_col: str, coded_key: str,
 
 
 def infer_code_mapping(crosstab: DataFrame) -> DataFrame:
-    """Per code: the label seen most often, its share of the code's matches
+    """Per code: the label seen most often (of equals the last in text order;
+    a null label only if there is no other), its share of the code's matches
     (1.0 = fully consistent) and the number of matched rows."""
     return (crosstab.groupBy("code")
-            .agg(F.max_by("label", "count").alias("inferred_label"),
+            .agg(F.max_by("label", F.struct("count", "label")).alias("inferred_label"),
                  (F.max("count") / F.sum("count")).alias("share"),
                  F.sum("count").alias("n_matched")))
 

@@ -14,7 +14,7 @@ import hashlib
 import inspect
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chanfold.session import apply_sql_defaults, work_dir
 
@@ -35,11 +35,18 @@ def file_fingerprint(spark: SparkSession, paths: list[str]) -> str:
     h = hashlib.sha256()
     for p in sorted(paths):
         fs, hpath = _hadoop_fs(spark, p)
-        it = fs.listFiles(hpath, True)
-        entries = []
-        while it.hasNext():
-            st = it.next()
-            entries.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+        status = fs.getFileStatus(hpath)
+        if status.isFile():
+            entries = [f"{status.getPath()}|{status.getLen()}|{status.getModificationTime()}"]
+        else:
+            # One listing by the readers' own index instead of a call per file;
+            # a folder that was written again has new file names and times.
+            meta = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p)
+                    .select(F.concat_ws("|", "path", F.col("length").cast("string"),
+                                        F.unix_micros("modificationTime").cast("string")).alias("e")))
+            got = meta.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("e").cast("decimal(20,0)")).alias("a"),
+                           F.bit_xor(F.xxhash64("e", F.lit(1))).alias("b")).first()
+            entries = [f"{p}|{got['n']}|{got['a']}|{got['b']}"]
         for e in sorted(entries):
             h.update(e.encode())
     return h.hexdigest()[:16]
@@ -62,47 +69,73 @@ def code_fingerprint(*objs) -> str:
     return h.hexdigest()[:12]
 
 
+def published(spark: SparkSession, base: str, key: str, write) -> str:
+    """Folder that ``write(folder)`` has filled for ``key`` under ``base``.
+
+    Every writer uses a folder of its own; one small file, ``<key>.path``,
+    created only after the write has ended, names the folder that counts.  So a
+    reader never sees a folder that is half written or half moved, whatever the
+    file system does, and a folder without a pointer is never read."""
+    jvm = spark.sparkContext._jvm
+    pointer = f"{base}/{key}.path"
+    fs, ref = _hadoop_fs(spark, pointer)
+
+    def current() -> str | None:
+        if not fs.exists(ref):
+            return None
+        stream = fs.open(ref)
+        try:
+            name = bytes(stream.readNBytes(4096)).decode().strip()
+        finally:
+            stream.close()
+        return f"{base}/{name}" if name and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{name}")) else None
+
+    found = current()
+    if found:
+        return found
+    name = f"{key}-{uuid.uuid4().hex}"
+    _, folder = _hadoop_fs(spark, f"{base}/{name}")
+    try:
+        write(f"{base}/{name}")
+    except Exception:
+        fs.delete(folder, True)
+        raise
+    if current() is None and fs.exists(ref):
+        fs.delete(ref, False)                      # names a folder that is gone
+    draft = jvm.org.apache.hadoop.fs.Path(f"{base}/_{name}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(name.encode()))
+    out.close()
+    if not fs.rename(draft, ref):                  # another writer was first
+        fs.delete(draft, False)
+        other = current()
+        if other is None:
+            raise RuntimeError(f"could not publish {base}/{name}")
+        fs.delete(folder, True)
+        return other
+    return f"{base}/{name}"
+
+
 def materialize(spark: SparkSession, df, name: str, fingerprint: str,
                 partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` (a DataFrame, or a function building one -- only called
     when the table is not written yet) once under the shared work folder and
-    read it back.
-
-    The write goes to a unique staging folder that is renamed into place, so
-    a failed or concurrent writer never leaves a half-written table behind.
-    """
+    read it back (see ``published``)."""
     base = f"{work_dir(spark)}/chanfold-layers"
-    final = f"{base}/{name}-{fingerprint}"
-    if partition_by:
-        final += "-by-" + "-".join(partition_by)
-    memo_key = (spark.sparkContext.applicationId, final)
+    key = f"{name}-{fingerprint}" + (f"-by-{'-'.join(partition_by)}" if partition_by else "")
+    memo_key = (spark.sparkContext.applicationId, f"{base}/{key}")
     if memo_key in _READ_MEMO:
         return _READ_MEMO[memo_key]
-    fs, fpath = _hadoop_fs(spark, final)
-    jvm = spark.sparkContext._jvm
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(final + "/_SUCCESS")):
-        staging = f"{base}/_staging-{name}-{uuid.uuid4().hex}"
-        if callable(df):
-            df = df()
-        writer = df.write.mode("overwrite")
+
+    def write(folder: str) -> None:
+        writer = (df() if callable(df) else df).write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        sfs, spath = _hadoop_fs(spark, staging)
-        try:
-            writer.parquet(staging)
-        except Exception:
-            if sfs.exists(spath):
-                sfs.delete(spath, True)
-            raise
-        if not fs.exists(fpath):
-            fs.mkdirs(fpath.getParent())
-            if not sfs.rename(spath, fpath) and not fs.exists(fpath):
-                raise RuntimeError(f"could not move {staging} to {final}")
-        if fs.exists(spath):
-            sfs.delete(spath, True)
-    df = spark.read.parquet(final)
-    _READ_MEMO[memo_key] = df
-    return df
+        writer.parquet(folder)
+
+    out = spark.read.parquet(published(spark, base, key, write))
+    _READ_MEMO[memo_key] = out
+    return out
 
 
 class Layers:
@@ -139,8 +172,9 @@ class Layers:
     def rates(self) -> DataFrame:
         """Rate reference table, written once per input snapshot."""
         if "rates" not in self._cache:
+            from chanfold import specs
             from chanfold.plans import fixture_fact
-            fp = self.fingerprint(["orders", "customer"], fixture_fact)
+            fp = self.fingerprint(["orders", "customer"], fixture_fact, specs)
             self._cache["rates"] = materialize(
                 self.spark, lambda: fixture_fact.derive_rates(self.table("orders"), self.table("customer")),
                 "currency_reference", fp)
@@ -158,10 +192,11 @@ class Layers:
         if "fact_eur" not in self._cache:
             from chanfold.functions import arith, months
             from chanfold.functions import recode_mod as recode
+            from chanfold import specs
             from chanfold.operators import fx
             from chanfold.plans import fixture_fact
             fp = self.fingerprint(["lineitem", "orders", "customer", "part"],
-                                  fixture_fact, fx, arith, recode, months)
+                                  fixture_fact, fx, arith, recode, months, specs)
             # Partitioned by channel: per-channel readers (the raw-dialect
             # encoders, channel filters) prune to their own folder.
             from chanfold.specs import FACT_COLUMNS

@@ -51,7 +51,6 @@ def retail_raw(fact: DataFrame) -> DataFrame:
 
 
 LINE_FIELDS = ["catCode", "article", "qtyOrd", "qtySold", "priceFinal"]
-MAX_LINES_PER_RECORD = 10_000
 ECOMM_ORDER_FIELDS = ["orderId", "customerId", "market", "period", "currency", "adiClub", "status"]
 
 
@@ -77,24 +76,10 @@ def ecomm_lines_flat(fact: DataFrame) -> DataFrame:
 
 def ecomm_raw(fact: DataFrame) -> DataFrame:
     """Nested ecomm orders: one record per (order, customer, market, period,
-    currency, flag, status) with its lines as an array of structs.
-
-    A record never holds more than about ``MAX_LINES_PER_RECORD`` lines: the
-    lines per order key are counted first (a partial aggregate, one row per
-    order), and an order above the bound -- or the group of lines without an
-    order id -- is split by a hash of its lines into several records.  Small
-    orders stay whole.  The join back is on the order key with null-safe
-    equality; AQE splits the partition of a hot order across tasks."""
-    flat = ecomm_lines_flat(fact)
-    counts = flat.groupBy(*ECOMM_ORDER_FIELDS).agg(F.count(F.lit(1)).alias("_n"))
-    cond = [flat[c].eqNullSafe(counts[c]) for c in ECOMM_ORDER_FIELDS]
-    sized = flat.join(counts, cond, "inner").select(flat["*"], counts["_n"])
-    n_buckets = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(MAX_LINES_PER_RECORD)))
-    bucket = F.pmod(F.xxhash64(*LINE_FIELDS), n_buckets)
-    return (sized.withColumn("_bucket", bucket)
-                 .groupBy(*ECOMM_ORDER_FIELDS, "_bucket")
-                 .agg(F.collect_list(F.struct(*LINE_FIELDS)).alias("lines"))
-                 .drop("_bucket"))
+    currency, flag, status) with its lines as an array of structs.  A record is
+    one document of the source system, so an order is never split."""
+    return ecomm_lines_flat(fact).groupBy(*ECOMM_ORDER_FIELDS).agg(
+        F.collect_list(F.struct(*LINE_FIELDS)).alias("lines"))
 
 
 def app_raw(fact: DataFrame) -> DataFrame:

@@ -8,13 +8,11 @@ file-source query reads them back through the bronze readers.
 
 from __future__ import annotations
 
-import uuid
-
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from chanfold.plans import fixture_fact, raw_dialects
-from chanfold.plans.layers import Layers, _hadoop_fs, code_fingerprint
+from chanfold.plans.layers import Layers, code_fingerprint, published
 from chanfold.session import ship_package, work_dir
 from chanfold.sources import xlsx
 
@@ -67,32 +65,30 @@ def write_raw_files(layers: Layers, target: str) -> None:
         f"{target}/{names['currency_reference']}")
 
 
+def _fingerprint(layers: Layers) -> str:
+    """Of the input tables and of all code and dictionaries that encode them."""
+    from chanfold import specs
+    from chanfold.functions import arith, months
+    from chanfold.functions import recode_mod as recode
+    from chanfold.operators import fx
+    fp = layers.fingerprint(["lineitem", "orders", "customer", "part"], fixture_fact, raw_dialects,
+                            xlsx, specs, recode, arith, months, fx)
+    return fp + code_fingerprint(write_raw_files, write_json_array)
+
+
 def raw_folder(layers: Layers) -> str:
     """Folder with the six raw sources, written on first use per snapshot."""
-    spark = layers.spark
-    fp = layers.fingerprint(["lineitem", "orders", "customer", "part"],
-                            fixture_fact, raw_dialects, xlsx)
-    fp += code_fingerprint(write_raw_files, write_json_array)
-    base = f"{work_dir(spark)}/chanfold-raw"
-    final = f"{base}/{fp}"
-    fs, fpath = _hadoop_fs(spark, final)
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(final + "/_COMPLETE")
-    if not fs.exists(marker):
-        staging = f"{base}/_staging-{uuid.uuid4().hex}"
-        sfs, spath = _hadoop_fs(spark, staging)
-        try:
-            write_raw_files(layers, staging)
-        except Exception:
-            if sfs.exists(spath):
-                sfs.delete(spath, True)
-            raise
-        sfs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging + "/_COMPLETE")).close()
-        if not fs.exists(fpath):
-            fs.mkdirs(fpath.getParent())
-            sfs.rename(spath, fpath)
-        if fs.exists(spath):
-            sfs.delete(spath, True)
-    return final
+    return published(layers.spark, f"{work_dir(layers.spark)}/chanfold-raw", _fingerprint(layers),
+                     lambda folder: write_raw_files(layers, folder))
+
+
+def bronze_folder(layers: Layers) -> str:
+    """Folder with all raw sources ingested, written once per snapshot."""
+    from chanfold.sources import ingest, readers
+    raw_dir = raw_folder(layers)
+    return published(layers.spark, f"{work_dir(layers.spark)}/chanfold-bronze",
+                     _fingerprint(layers) + code_fingerprint(ingest, readers),
+                     lambda folder: ingest.ingest_all(layers.spark, raw_dir, folder, declared_schemas()))
 
 
 def declared_schemas() -> dict[str, str]:

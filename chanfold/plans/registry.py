@@ -619,14 +619,8 @@ def _raw_path(spark, sf_dir, channel: str) -> tuple[str, Layers]:
 
 
 def _bronze(spark, sf_dir) -> dict[str, DataFrame]:
-    """Ingest all raw files into a bronze folder of this call's own: frames
-    handed out earlier keep reading their files, never a half-overwritten
-    folder."""
-    import uuid
-    layers = Layers(spark, sf_dir)
-    raw_dir = raw_files.raw_folder(layers)
-    bronze_dir = raw_dir.replace("/chanfold-raw/", "/chanfold-bronze/") + "/" + uuid.uuid4().hex
-    return ing.ingest_all(spark, raw_dir, bronze_dir, raw_files.declared_schemas())
+    """All raw files ingested, once per input snapshot."""
+    return ing.load_layer(spark, raw_files.bronze_folder(Layers(spark, sf_dir)))
 
 
 @register("source_catalog", None)
@@ -692,13 +686,10 @@ def _bronze_summary(spark, sf_dir):
     return ing.bronze_summary(_bronze(spark, sf_dir))
 
 
-@register("bronze_ingest", None)
+@register("bronze_ingest", osql.with_raw("SELECT *, 'retail_orders.csv' AS _source FROM raw_retail"))
 def _bronze_ingest(spark, sf_dir):
-    path, _ = _raw_path(spark, sf_dir, "retail")
-    import uuid
-    bronze_dir = (path.rsplit("/", 1)[0].replace("/chanfold-raw/", "/chanfold-bronze-single/")
-                  + "/" + uuid.uuid4().hex)
-    return ing.ingest_source(spark, path, "retail_orders", ".csv", bronze_dir, RAW_SCHEMAS["retail"])
+    """One ingested source; the time of the ingestion differs by run."""
+    return _bronze(spark, sf_dir)["retail_orders"].drop("_ingested_at")
 
 
 @register("silver_from_files", osql.with_base(osql.CONFORMED_CTE_BODY))

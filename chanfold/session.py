@@ -58,9 +58,10 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for materialized layers.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one (it must be a
-    folder every executor can reach).  Only when nothing is configured --
-    local runs and tests -- a private temporary folder is created and
-    registered as the checkpoint folder.
+    folder every executor can reach).  When nothing is configured, a private
+    temporary folder is created and registered as the checkpoint folder, but
+    only if the driver is the only process (master ``local...``); elsewhere
+    that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -68,6 +69,8 @@ def work_dir(spark: SparkSession) -> str:
         if current:
             configured = current
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="chanfold-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -75,27 +78,11 @@ def work_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_os_path(path: str) -> str:
-    """Strip a ``file:`` scheme for os-level checks on local folders."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system of the path."""
-    if is_local_path(path):
-        return os.path.exists(local_os_path(path))
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    """Existence check through the Hadoop file system of the path (a path
+    without a scheme belongs to the default file system)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
 _SHIPPED: set[str] = set()
@@ -122,25 +109,16 @@ def ship_package(spark: SparkSession) -> None:
         with open(full, "rb") as fh:
             digest.update(fh.read())
     name = f"chanfold-{digest.hexdigest()[:16]}.zip"
-    base = work_dir(spark)
-    local_dir = (os.path.join(local_os_path(base), "chanfold-pkg") if is_local_path(base)
-                 else tempfile.mkdtemp(prefix="chanfold-pkg-"))
-    os.makedirs(local_dir, exist_ok=True)
-    local_zip = os.path.join(local_dir, name)
-    if not os.path.exists(local_zip):
-        tmp = f"{local_zip}.{os.getpid()}.tmp"
-        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
-            for full in files:
-                z.write(full, os.path.relpath(full, parent))
-        os.replace(tmp, local_zip)
-    target = local_zip
-    if not is_local_path(base):
-        # remote work folder (hdfs://, s3a://...): copy the archive there
-        jvm = spark.sparkContext._jvm
-        remote = jvm.org.apache.hadoop.fs.Path(f"{base}/chanfold-pkg/{name}")
-        fs = remote.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(remote):
-            fs.copyFromLocalFile(jvm.org.apache.hadoop.fs.Path(local_zip), remote)
-        target = remote.toString()
+    # Zipped on the driver, then copied into the shared folder.
+    local_zip = os.path.join(tempfile.mkdtemp(prefix="chanfold-pkg-"), name)
+    with zipfile.ZipFile(local_zip, "w", zipfile.ZIP_DEFLATED) as z:
+        for full in files:
+            z.write(full, os.path.relpath(full, parent))
+    jvm = spark.sparkContext._jvm
+    shared = jvm.org.apache.hadoop.fs.Path(f"{work_dir(spark)}/chanfold-pkg/{name}")
+    fs = shared.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(shared):
+        fs.copyFromLocalFile(True, True, jvm.org.apache.hadoop.fs.Path(f"file://{local_zip}"), shared)
+    target = fs.makeQualified(shared).toString()
     spark.sparkContext.addPyFile(target)
     _SHIPPED.add(app)

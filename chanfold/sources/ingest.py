@@ -79,9 +79,22 @@ def ingest_all(spark: SparkSession, raw_dir: str, bronze_dir: str,
 
 
 def load_layer(spark: SparkSession, layer_dir: str) -> dict[str, DataFrame]:
-    """Every Parquet table of a layer folder, keyed by name."""
-    return {r["name"]: spark.read.parquet(r["path"])
-            for r in catalog_rows(spark, layer_dir) if r["format"] == ".parquet"}
+    """Every Parquet table of a layer folder (bronze, silver or gold), keyed by
+    name without ``.parquet``.  Entries that start with ``_`` or ``.`` and files
+    of other kinds are left out."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(layer_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        raise FileNotFoundError(f"layer folder does not exist: {layer_dir}")
+    out = {}
+    for entry in fs.listStatus(path):
+        name = entry.getPath().getName()
+        if not name.startswith(("_", ".")) and (entry.isDirectory() or name.endswith(".parquet")):
+            out[name.removesuffix(".parquet")] = spark.read.parquet(entry.getPath().toString())
+    if not out:
+        raise FileNotFoundError(f"no tables found in {layer_dir}")
+    return out
 
 
 def bronze_summary(frames: dict[str, DataFrame]) -> DataFrame:

@@ -120,20 +120,33 @@ def _to_text(v):
     return str(v)
 
 
+def _to_int(v):
+    number = float(v)
+    if not number.is_integer():
+        raise ValueError(f"{v!r} is not a whole number")
+    return int(number)
+
+
+_BOOLEANS = {"true": True, "1": True, "false": False, "0": False}
+
+
+def _to_bool(v):
+    if isinstance(v, bool):
+        return v
+    text = _to_text(v).strip().lower()
+    if text not in _BOOLEANS:
+        raise ValueError(f"{v!r} is not a boolean")
+    return _BOOLEANS[text]
+
+
 def _converter(dtype):
-    """Raw cell value -> the declared type (None stays None)."""
-    if isinstance(dtype, StringType):
-        fn = _to_text
-    elif isinstance(dtype, (LongType, IntegerType)):
-        def fn(v):
-            return int(float(v))
-    elif isinstance(dtype, DoubleType):
-        fn = float
-    elif isinstance(dtype, BooleanType):
-        fn = bool
-    else:
-        def fn(v):
-            return v
+    """Raw cell value -> the declared type (None stays None).  A value that is
+    not of that type, or a type that cells do not have, is an error."""
+    kinds = {StringType: _to_text, LongType: _to_int, IntegerType: _to_int, DoubleType: float,
+             BooleanType: _to_bool}
+    fn = kinds.get(type(dtype))
+    if fn is None:
+        raise TypeError(f"spreadsheet cells cannot be read as {dtype.simpleString()}")
     return lambda v: None if v is None else fn(v)
 
 

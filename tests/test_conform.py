@@ -67,16 +67,15 @@ def test_unmapped_values_pass_through(spark):
         ("Atlantis", "Running", "weird", True)
 
 
-def test_hot_order_is_split_into_bounded_records(spark, monkeypatch):
-    from chanfold.plans import raw_dialects as rd
-    monkeypatch.setattr(rd, "MAX_LINES_PER_RECORD", 50)
-    fact = Layers(spark, SF_SMALL).fact()
-    ecomm = fact.filter(F.col("channel") == "ecomm")
-    hot = ecomm.withColumn("order_id", F.lit("HOT")).withColumn("consumer_id", F.lit("c")) \
-               .withColumn("country", F.lit("AR")).withColumn("year_month", F.lit("2000-01")) \
-               .withColumn("order_status", F.lit("delivered")).withColumn("member", F.lit(True))
-    nested = rd.ecomm_raw(hot)
-    sizes = [r[0] for r in nested.select(F.size("lines")).collect()]
-    assert max(sizes) <= 3 * 50 and sum(sizes) == hot.count()
-    back = conf.flatten_lines(nested, "lines")
-    assert back.count() == hot.count()
+@pytest.mark.parametrize("same", [True, False])
+def test_large_order_stays_one_record(spark, same):
+    line = F.lit(1) if same else F.col("id")
+    hot = spark.range(25_000).select(
+        F.lit("ecomm").alias("channel"), F.lit("c").alias("consumer_id"), F.lit("HOT").alias("order_id"),
+        F.lit("AR").alias("country"), F.lit("2000-01").alias("year_month"), F.lit("Running").alias("category"),
+        line.cast("string").alias("product_id"), F.lit(1).cast("bigint").alias("qty_ordered"),
+        F.lit(1).cast("bigint").alias("qty_sold"), F.lit(2.0).alias("unit_price"), F.lit("ARS").alias("currency"),
+        F.lit(2.0).alias("revenue_local"), F.lit("delivered").alias("order_status"), F.lit(True).alias("member"))
+    nested = raw_dialects.ecomm_raw(hot)
+    assert [r[0] for r in nested.select(F.size("lines")).collect()] == [25_000]
+    assert conf.flatten_lines(nested, "lines").count() == 25_000

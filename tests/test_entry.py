@@ -18,7 +18,6 @@ def test_entry_smoke(spark):
 
 def test_oracle_keys_are_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert not any(k.startswith("op") for k in E.queries())
 
 
 def _norm(v):

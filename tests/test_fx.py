@@ -57,6 +57,38 @@ def test_rate_one_is_identity(spark):
 
 
 def test_broadcast_check(spark):
-    rates = spark.createDataFrame([("AR", "2025-01", "EUR", 1.0)] * 5, RATES)
+    rates = spark.createDataFrame([("AR", f"2025-0{i}", "EUR", 1.0) for i in range(1, 6)], RATES)
     assert fx.rates_fit_broadcast(rates, max_rows=5)
     assert not fx.rates_fit_broadcast(rates, max_rows=4)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_duplicate_rates_raise(spark, broadcast):
+    fact, rates = _data(spark)
+    twice = rates.union(spark.createDataFrame([("AR", "2025-01", "EUR", 5.0)], RATES))
+    with pytest.raises(fx.DuplicateRates, match="2 rates for AR, 2025-01"):
+        fx.convert_to_eur(fact, twice, broadcast=broadcast)
+
+
+def test_shuffle_join_deals_a_hot_month_over_slices(spark):
+    from pyspark.sql import functions as F
+
+    from chanfold.operators import kpis
+    _, rates = _data(spark)
+    hot = spark.range(5000).select(
+        F.lit("retail").alias("channel"), F.lit("AR").alias("country"), F.lit("2025-01").alias("year_month"),
+        F.lit("ARS").alias("currency"), F.col("id").cast("double").alias("revenue_local"), F.lit(1.0).alias("unit_price"),
+        F.lit("delivered").alias("order_status"), F.lit(1).cast("bigint").alias("qty_sold"),
+        F.lit(1).cast("bigint").alias("qty_ordered"))
+    eur = fx.convert_to_eur(hot, rates, broadcast=False)
+    table = kpis.build_kpi_table(eur, fx.RATE_KEYS, sort=False)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "_salt" in plan
+    # The aggregate has an exchange of its own, so slices stay apart in the join.
+    import re
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert any("_salt" not in k for k in keys) and any("_salt" in k for k in keys)
+    r = table.first()
+    assert r["revenue_bruto_eur"] == sum(range(5000)) / 4.0
+    slices = fx.join_rates(hot.withColumn("k", F.col("revenue_local")), rates, broadcast=False)
+    assert slices.count() == 5000

@@ -33,8 +33,18 @@ def test_command_line_run(spark, tmpdir_path, capsys):
 
     from chanfold.__main__ import main
     raw_dir = raw_files.raw_folder(Layers(spark, SF_SMALL))
-    assert main(["run", "--raw", raw_dir, "--lake", f"{tmpdir_path}/lake", "--master", "local[4]",
-                 "--declared-schemas"]) == 0
+    assert main(["run", "--raw", raw_dir, "--lake", f"{tmpdir_path}/lake", "--master", "local[4]"]) == 0
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report["silver_rows"] == Layers(spark, SF_SMALL).fact_eur().count()
     assert "kpis_country_month" in report["gold_tables"] and report["missing_rate_rows"] > 0
+
+
+def test_layers_written_by_the_run_can_be_loaded(spark, tmpdir_path):
+    from chanfold.sources.ingest import load_layer
+    raw_dir = raw_files.raw_folder(Layers(spark, SF_SMALL))
+    out = medallion.run_all(spark, raw_dir, f"{tmpdir_path}/lake", raw_files.declared_schemas())
+    for layer in ("bronze", "silver", "gold"):
+        got = load_layer(spark, f"{tmpdir_path}/lake/{layer}")
+        want = {"fact_orders": out["silver"]} if layer == "silver" else out[layer]
+        assert set(got) == set(want)
+        assert all(got[k].count() == want[k].count() for k in want)

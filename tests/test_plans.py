@@ -39,8 +39,15 @@ def test_rate_join_is_broadcast_after_size_check(spark):
     layers = Layers(spark, SF_SMALL)
     p = _plan(fx.join_rates(layers.fact(), layers.rates()))
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
-    p2 = _plan(fx.join_rates(layers.fact(), layers.rates(), broadcast=False).hint("no_broadcast"))
-    assert "Join" in p2
+    p2 = _plan(fx.join_rates(layers.fact(), layers.rates(), broadcast=False))
+    assert "SortMergeJoin" in p2 and "_salt" in p2 and "BroadcastHashJoin" not in p2
+
+
+def test_id_overlap_shuffles_distinct_keys(spark):
+    from pyspark.sql import functions as F
+    fact = Layers(spark, SF_SMALL).fact()
+    p = _plan(profile.id_overlap(fact, "product_id", fact.where(F.col("channel") == "app"), "product_id"))
+    assert p.count("HashAggregate(keys=[") >= 4 and "LeftSemi" not in p
 
 
 def test_channel_readers_prune_partitions(spark):

@@ -77,3 +77,11 @@ def test_exact_quantiles_match_brute_force(spark):
         for p in (0.25, 0.5, 0.75):
             k = max(1, math.ceil(p * len(vals)))
             assert out[c][f"p{int(p * 100)}"] == float(vals[k - 1])
+
+
+def test_code_mapping_ties_do_not_depend_on_order(spark):
+    rows_ = [("1", "a", 3), ("1", "b", 3), ("1", "c", 1), ("2", None, 2), ("2", "z", 2), ("3", "x", 1)]
+    for order in (rows_, rows_[::-1]):
+        df = spark.createDataFrame(order, "code string, label string, count long").coalesce(1)
+        got = {r["code"]: r["inferred_label"] for r in prof.infer_code_mapping(df).collect()}
+        assert got == {"1": "b", "2": "z", "3": "x"}

@@ -78,3 +78,20 @@ def test_ingest_adds_provenance(spark, tmpdir_path):
     assert len(vals) == 1 and next(iter(vals))[0] == "sales.csv"
     assert ing.bronze_summary(out).first()["n_rows"] == 2
     assert set(ing.load_layer(spark, f"{tmpdir_path}/bronze")) == {"sales"}
+
+
+def test_workbook_values_keep_their_meaning():
+    import pytest as _pytest
+    from pyspark.sql.types import BooleanType, DateType, DoubleType, LongType, StringType
+
+    from chanfold.sources.xlsx import _converter
+    assert _converter(LongType())(3.0) == 3 and _converter(LongType())("4") == 4
+    with _pytest.raises(ValueError):
+        _converter(LongType())(3.7)
+    for text, want in (("FALSE", False), ("true", True), (0.0, False), (1.0, True), (True, True), (None, None)):
+        assert _converter(BooleanType())(text) is want
+    with _pytest.raises(ValueError):
+        _converter(BooleanType())("No")
+    with _pytest.raises(TypeError):
+        _converter(DateType())
+    assert _converter(DoubleType())("2.5") == 2.5 and _converter(StringType())(7.0) == "7"
