@@ -104,7 +104,7 @@ def derive_fact(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
          .otherwise(sold * price).alias("revenue_local"),
         "order_status",
         F.when(ch == "wholesale", F.lit(None).cast("boolean"))
-         .when(ch == "app", F.lit(True))
+         .when((ch == "app") & (F.col("_custkey") % 3 == 0), F.lit(None).cast("boolean"))
          .when((ch == "retail") & (F.col("_custkey") % 50 == 0), F.lit(None).cast("boolean"))
          .otherwise(F.col("_custkey") % 3 != 0).alias("member"),
     ).select(*FACT_COLUMNS)

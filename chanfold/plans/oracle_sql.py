@@ -60,7 +60,7 @@ fact AS (
     CASE WHEN channel = 'wholesale' AND qty_sold = 0 THEN NULL ELSE qty_sold * price END AS revenue_local,
     order_status,
     CASE WHEN channel = 'wholesale' THEN NULL
-         WHEN channel = 'app' THEN TRUE
+         WHEN channel = 'app' AND custkey % 3 = 0 THEN NULL
          WHEN channel = 'retail' AND custkey % 50 = 0 THEN NULL
          ELSE custkey % 3 <> 0 END AS member
   FROM fj2
@@ -148,20 +148,31 @@ def sql_case(expr: str, mapping: dict, passthrough: bool = False) -> str:
     return f"coalesce({case}, {expr})" if passthrough else case
 
 
-def _raw_ctes() -> str:
-    from chanfold.specs import (CATEGORY_FIX, COUNTRY_ISO3_TO_ISO2, COUNTRY_NAME_TO_ISO2,
-                                ECOMM_CATCODE_TO_CATEGORY, FRANCHISE_STATUS_MAP,
-                                SPANISH_MONTH_TO_NUM, WHOLESALE_CATCODE_TO_CATEGORY)
+# Fixed values, written out here once more so that the oracle does not share
+# them with the code under test.
+ISO2_OF_NAME = {"Brazil": "BR", "Mexico": "MX", "Colombia": "CO", "Chile": "CL", "Argentina": "AR", "Peru": "PE"}
+ISO2_OF_ISO3 = {"BRA": "BR", "MEX": "MX", "COL": "CO", "PER": "PE", "ARG": "AR", "CHL": "CL"}
+CATEGORY_OF_TEXT = {"Runing": "Running", "Outdor": "Outdoor", "Footbal": "Football", "Originls": "Originals",
+                    "Running": "Running", "Outdoor": "Outdoor", "Football": "Football", "Originals": "Originals"}
+CATEGORY_OF_NUMBER = {1: "Running", 2: "Outdoor", 3: "Football", 4: "Originals"}
+CATEGORY_OF_CODE = {"RUN": "Running", "OUT": "Outdoor", "FBL": "Football", "ORG": "Originals"}
+NUMBER_OF_MONTH = {"Ene": "01", "Feb": "02", "Mar": "03", "Abr": "04", "May": "05", "Jun": "06",
+                   "Jul": "07", "Ago": "08", "Sep": "09", "Oct": "10", "Nov": "11", "Dic": "12"}
+STATUS_OF_TEXT = {"En proceso": "processing", "Entregado": "delivered", "Cancelado": "cancelled",
+                  "Devuelto": "returned"}
+# End of fixed values.
+
 
+def _raw_ctes() -> str:
     def inv(m):
         return {v: k for k, v in m.items()}
-    typo = {v: k for k, v in CATEGORY_FIX.items() if k != v}
+    typo = {v: k for k, v in CATEGORY_OF_TEXT.items() if k != v}
     misspelt = (f"CASE WHEN CAST(product_id AS BIGINT) % 10 = 0 "
                 f"THEN {sql_case('category', typo, passthrough=True)} ELSE category END")
     return f"""
 raw_retail AS (
   SELECT order_id AS transaction_id, consumer_id,
-    {sql_case('country', inv(COUNTRY_NAME_TO_ISO2))} AS store_country,
+    {sql_case('country', inv(ISO2_OF_NAME))} AS store_country,
     year_month AS order_month, {misspelt} AS product_category,
     product_id AS sku, qty_ordered AS units_ordered, qty_sold AS units_sold, unit_price, currency,
     CASE WHEN member THEN 'Y' WHEN NOT member THEN 'N' ELSE '?' END AS loyalty_flag,
@@ -171,11 +182,11 @@ raw_ecomm_flat AS (
   SELECT order_id AS orderId, consumer_id AS customerId, country AS market,
     CAST(replace(year_month, '-', '') AS BIGINT) AS period, currency, member AS adiClub,
     order_status AS status,
-    CAST({sql_case('category', inv(ECOMM_CATCODE_TO_CATEGORY))} AS BIGINT) AS catCode,
+    CAST({sql_case('category', inv(CATEGORY_OF_NUMBER))} AS BIGINT) AS catCode,
     product_id AS article, qty_ordered AS qtyOrd, qty_sold AS qtySold, unit_price AS priceFinal
   FROM fact WHERE channel = 'ecomm'),
 raw_app AS (
-  SELECT consumer_id AS uid, {sql_case('country', inv(COUNTRY_ISO3_TO_ISO2))} AS cc,
+  SELECT consumer_id AS uid, {sql_case('country', inv(ISO2_OF_ISO3))} AS cc,
     replace(year_month, '-', '/') AS yearmonth, {misspelt} AS category,
     CAST(product_id AS BIGINT) AS productId, qty_ordered AS qty, qty_sold AS sold,
     revenue_local AS amount, currency, order_id AS orderRef,
@@ -184,19 +195,19 @@ raw_app AS (
   FROM fact WHERE channel = 'app'),
 raw_wholesale AS (
   SELECT country AS country_code,
-    {sql_case('category', inv(WHOLESALE_CATCODE_TO_CATEGORY))} AS category_code,
+    {sql_case('category', inv(CATEGORY_OF_CODE))} AS category_code,
     CAST(year_month || '-01' AS TIMESTAMP) AS yr_month, product_id AS material_id,
     qty_ordered AS sell_in_units, qty_sold AS sell_out_units, unit_price AS avg_price,
     currency, order_status AS status
   FROM fact WHERE channel = 'wholesale'),
 raw_franchise AS (
   SELECT order_id AS Num_Orden, consumer_id AS Consumidor, country AS Pais,
-    {sql_case('substr(year_month, 6, 2)', inv(SPANISH_MONTH_TO_NUM))} || '-' || substr(year_month, 1, 4) AS Mes,
+    {sql_case('substr(year_month, 6, 2)', inv(NUMBER_OF_MONTH))} || '-' || substr(year_month, 1, 4) AS Mes,
     {misspelt} AS Categoria, product_id AS Codigo_Producto,
     qty_ordered AS Cant_Pedida, qty_sold AS Cant_Vendida, unit_price AS Precio_Unitario,
     currency AS Moneda,
     CASE WHEN member THEN 'Si' WHEN NOT member THEN 'No' ELSE '?' END AS AdiClub,
-    {sql_case('order_status', inv(FRANCHISE_STATUS_MAP))} AS Estado_Orden
+    {sql_case('order_status', inv(STATUS_OF_TEXT))} AS Estado_Orden
   FROM fact WHERE channel = 'franchise')"""
 
 

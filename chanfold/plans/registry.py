@@ -29,8 +29,7 @@ from chanfold.sources import ingest as ing
 from chanfold.sources import readers as rd
 from chanfold.specs import (CATEGORY_FIX, CHANNEL_SPECS, COUNTRY_ISO3_TO_ISO2,
                             COUNTRY_NAME_TO_ISO2, ECOMM_CATCODE_TO_CATEGORY,
-                            FRANCHISE_STATUS_MAP, SPANISH_MONTH_TO_NUM,
-                            WHOLESALE_CATCODE_TO_CATEGORY)
+                            FRANCHISE_STATUS_MAP, WHOLESALE_CATCODE_TO_CATEGORY)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -192,7 +191,8 @@ def _filter_known_members(spark, sf_dir):
 
 @register("fx_convert", osql.with_base("SELECT * FROM fact_eur"))
 def _fx_convert(spark, sf_dir):
-    return Layers(spark, sf_dir).fact_eur()
+    """Computed from the tables, not read from the written silver layer."""
+    return Layers(spark, sf_dir).fact_eur_lazy()
 
 
 @register("fx_join", osql.with_base(f"SELECT {osql.FACT_COLS_SQL}, local_units_per_eur FROM fact_rated"))
@@ -223,6 +223,39 @@ def _validate_rates(spark, sf_dir):
     return fx.validate_rates(Layers(spark, sf_dir).rates())
 
 
+def _faulty_rates(rates: DataFrame) -> DataFrame:
+    """The rate table with every kind of fault planted."""
+    month = F.substring("year_month", 6, 2)
+    changed = rates.withColumns({
+        "local_units_per_eur": F.when(month == "06", F.lit(0.0)).when(month == "05", F.lit(None).cast("double"))
+        .otherwise(F.col("local_units_per_eur")),
+        "year_month": F.when(month == "07", F.regexp_replace("year_month", "-", "/")).otherwise(F.col("year_month")),
+        "currency_to": F.when(F.col("country") == "PE", F.lit("USD")).otherwise(F.col("currency_to")),
+        "country": F.when((F.col("country") == "CL") & (month == "02"), F.lit(None).cast("string"))
+        .otherwise(F.col("country"))})
+    return changed.unionByName(rates.where(F.col("country") == "AR"))
+
+
+@register("validate_rates_faults", osql.with_base("""
+SELECT rule, violations FROM (
+  SELECT 'duplicate_keys' AS rule,
+    CAST((SELECT count(*) FROM (SELECT country, year_month FROM faulty GROUP BY ALL HAVING count(*) > 1)) AS BIGINT) AS violations
+  UNION ALL SELECT 'non_positive_rate', CAST(count(*) FILTER (WHERE local_units_per_eur IS NULL OR local_units_per_eur <= 0) AS BIGINT) FROM faulty
+  UNION ALL SELECT 'bad_month_format', CAST(count(*) FILTER (WHERE NOT coalesce(regexp_full_match(year_month, '[0-9]{4}-[0-9]{2}'), FALSE)) AS BIGINT) FROM faulty
+  UNION ALL SELECT 'null_country', CAST(count(*) FILTER (WHERE country IS NULL) AS BIGINT) FROM faulty
+  UNION ALL SELECT 'currency_to_not_eur', CAST(count(*) FILTER (WHERE NOT coalesce(currency_to = 'EUR', FALSE)) AS BIGINT) FROM faulty
+)""", """
+faulty AS (
+  SELECT CASE WHEN country = 'CL' AND substr(year_month, 6, 2) = '02' THEN NULL ELSE country END AS country,
+    CASE WHEN substr(year_month, 6, 2) = '07' THEN replace(year_month, '-', '/') ELSE year_month END AS year_month,
+    CASE WHEN country = 'PE' THEN 'USD' ELSE currency_to END AS currency_to,
+    CASE substr(year_month, 6, 2) WHEN '06' THEN 0.0 WHEN '05' THEN NULL ELSE local_units_per_eur END AS local_units_per_eur
+  FROM rates
+  UNION ALL SELECT country, year_month, currency_to, local_units_per_eur FROM rates WHERE country = 'AR')"""))
+def _validate_rates_faults(spark, sf_dir):
+    return fx.validate_rates(_faulty_rates(Layers(spark, sf_dir).rates()))
+
+
 @register("currency_reference", osql.with_base("SELECT * FROM rates"))
 def _currency_reference(spark, sf_dir):
     return Layers(spark, sf_dir).rates()
@@ -354,29 +387,29 @@ def _pairs_key(name: str, parts: list[tuple]):
 
 
 _case = osql.sql_case
-_ecomm_codes = {str(k): v for k, v in ECOMM_CATCODE_TO_CATEGORY.items()}
+_ecomm_codes = {str(k): v for k, v in osql.CATEGORY_OF_NUMBER.items()}
 
 _pairs_key("recode_country", [
     ("retail", "store_country", lambda c: frecode.recode(c, COUNTRY_NAME_TO_ISO2),
-     _case("store_country", COUNTRY_NAME_TO_ISO2, passthrough=True)),
+     _case("store_country", osql.ISO2_OF_NAME, passthrough=True)),
     ("app", "cc", lambda c: frecode.recode(c, COUNTRY_ISO3_TO_ISO2),
-     _case("cc", COUNTRY_ISO3_TO_ISO2, passthrough=True)),
+     _case("cc", osql.ISO2_OF_ISO3, passthrough=True)),
 ])
 _pairs_key("recode_category", [
-    (ch, col, lambda c: frecode.recode(c, CATEGORY_FIX), _case(col, CATEGORY_FIX, passthrough=True))
+    (ch, col, lambda c: frecode.recode(c, CATEGORY_FIX), _case(col, osql.CATEGORY_OF_TEXT, passthrough=True))
     for ch, col in [("retail", "product_category"), ("app", "category"), ("franchise", "Categoria")]
 ])
 _pairs_key("recode_category_code", [
     ("ecomm", "catCode", lambda c: frecode.recode_code(c, ECOMM_CATCODE_TO_CATEGORY),
      _case("CAST(catCode AS VARCHAR)", _ecomm_codes, passthrough=True)),
     ("wholesale", "category_code", lambda c: frecode.recode_code(c, WHOLESALE_CATCODE_TO_CATEGORY),
-     _case("category_code", WHOLESALE_CATCODE_TO_CATEGORY, passthrough=True)),
+     _case("category_code", osql.CATEGORY_OF_CODE, passthrough=True)),
 ])
 _pairs_key("recode_status", [
     ("retail", "order_state", frecode.lower_status, "lower(order_state)"),
     ("app", "fulfillment", frecode.lower_status, "lower(fulfillment)"),
     ("franchise", "Estado_Orden", lambda c: frecode.recode(c, FRANCHISE_STATUS_MAP),
-     _case("Estado_Orden", FRANCHISE_STATUS_MAP, passthrough=True)),
+     _case("Estado_Orden", osql.STATUS_OF_TEXT, passthrough=True)),
 ])
 _pairs_key("member_flag", [
     ("retail", "loyalty_flag", lambda c: frecode.decode_flag(c, "Y", "N"),
@@ -389,7 +422,7 @@ _pairs_key("member_flag", [
 _pairs_key("month_spanish", [
     ("franchise", "Mes", fmonths.month_from_spanish,
      "split_part(Mes, '-', 2) || '-' || "
-     + _case("split_part(Mes, '-', 1)", SPANISH_MONTH_TO_NUM, passthrough=True)),
+     + _case("split_part(Mes, '-', 1)", osql.NUMBER_OF_MONTH, passthrough=True)),
 ])
 _pairs_key("month_int", [
     ("ecomm", "period", fmonths.month_from_int,
@@ -530,7 +563,7 @@ def _crosstab(spark, sf_dir) -> DataFrame:
 _CROSSTAB_SQL = f"""
 SELECT e.catCode AS code, a.label, count(*) AS count
 FROM raw_ecomm_flat e
-JOIN (SELECT DISTINCT productId AS key, {osql.sql_case('category', CATEGORY_FIX, passthrough=True)} AS label
+JOIN (SELECT DISTINCT productId AS key, {osql.sql_case('category', osql.CATEGORY_OF_TEXT, passthrough=True)} AS label
       FROM raw_app) a ON CAST(e.article AS BIGINT) = a.key
 GROUP BY e.catCode, a.label"""
 
@@ -562,7 +595,7 @@ def _id_overlap(spark, sf_dir):
                            b.select(F.lit("ecomm_wholesale").alias("pair"), "overlap")])
 
 
-def _rules_sql() -> str:
+def _rules_sql(source: str = "fact") -> str:
     def inlist(vals):
         return ", ".join(f"'{v}'" for v in vals)
     rules = {
@@ -580,7 +613,7 @@ def _rules_sql() -> str:
             "coalesce(channel = 'app' AND qty_sold = 0 AND revenue_local <> 0, FALSE)",
     }
     sel = ", ".join(f"count(*) FILTER (WHERE {p}) AS {n}" for n, p in rules.items())
-    return f"UNPIVOT (SELECT {sel} FROM fact) ON COLUMNS(*) INTO NAME rule VALUE violations"
+    return f"UNPIVOT (SELECT {sel} FROM {source}) ON COLUMNS(*) INTO NAME rule VALUE violations"
 
 
 @register("validate_fact", osql.with_base(_rules_sql()))
@@ -588,6 +621,38 @@ def _validate_fact(spark, sf_dir):
     return qual.validate_fact(Layers(spark, sf_dir).fact())
 
 
+def _faulty_fact(fact: DataFrame) -> DataFrame:
+    """The fact with every kind of fault planted."""
+    n = F.col("qty_ordered")
+    plant = lambda c, when, value: F.when(when, value).otherwise(F.col(c))
+    return fact.withColumns({
+        "country": plant("country", n % 5 == 4, F.lit("XX")),
+        "category": plant("category", n % 7 == 3, F.lit("Tennis")),
+        "order_status": plant("order_status", n % 11 == 5, F.lit("lost")),
+        "channel": plant("channel", n % 13 == 6, F.lit("kiosk")),
+        "year_month": plant("year_month", n % 6 == 2, F.regexp_replace("year_month", "-", "/")),
+        "currency": plant("currency", n % 9 == 1, F.lit(None).cast("string")),
+        "qty_sold": F.when(n % 8 == 1, F.lit(-1).cast("bigint")).when(n % 8 == 7, n + 1).otherwise(F.col("qty_sold")),
+        "revenue_local": F.when((F.col("channel") == "wholesale") & (n % 4 == 2), F.lit(None).cast("double"))
+        .when((F.col("channel") == "app") & (F.col("qty_sold") == 0), F.lit(1.0)).otherwise(F.col("revenue_local"))})
+
+
+@register("validate_fact_faults", osql.with_base(_rules_sql("faulty"), """
+faulty AS (
+  SELECT CASE WHEN qty_ordered % 5 = 4 THEN 'XX' ELSE country END AS country,
+    CASE WHEN qty_ordered % 7 = 3 THEN 'Tennis' ELSE category END AS category,
+    CASE WHEN qty_ordered % 11 = 5 THEN 'lost' ELSE order_status END AS order_status,
+    CASE WHEN qty_ordered % 13 = 6 THEN 'kiosk' ELSE channel END AS channel,
+    CASE WHEN qty_ordered % 6 = 2 THEN replace(year_month, '-', '/') ELSE year_month END AS year_month,
+    CASE WHEN qty_ordered % 9 = 1 THEN NULL ELSE currency END AS currency, qty_ordered,
+    CASE WHEN qty_ordered % 8 = 1 THEN -1 WHEN qty_ordered % 8 = 7 THEN qty_ordered + 1 ELSE qty_sold END AS qty_sold,
+    CASE WHEN channel = 'wholesale' AND qty_ordered % 4 = 2 THEN NULL
+         WHEN channel = 'app' AND qty_sold = 0 THEN 1.0 ELSE revenue_local END AS revenue_local
+  FROM fact)"""))
+def _validate_fact_faults(spark, sf_dir):
+    return qual.validate_fact(_faulty_fact(Layers(spark, sf_dir).fact()))
+
+
 @register("null_revenue_diagnosis", osql.with_base("""
 SELECT order_status, count(*) AS n_rows,
   count(*) FILTER (WHERE qty_sold IS NULL) AS null_qty_sold,
