@@ -10,6 +10,7 @@ map task thanks to partial aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,26 +23,46 @@ from chanfold.specs import REAL_SALE_STATUSES
 
 @dataclass(frozen=True)
 class MetricDef:
+    """One version of a KPI: its documented contract, and the formula over the
+    additive inputs that every KPI table of the gold layer is made with.
+    ``rate`` formulas are null where a grouping key is null (null keys never
+    match in the per-KPI join formulation)."""
+
     name: str
     version: str
     numerator: str
     denominator: str
     zero_rule: str
+    value: Callable[[], F.Column]
+    rate: bool = True
+
+
+def _revenue(name: str) -> F.Column:
+    return F.coalesce(money_total(F.col(f"whole_{name}"), F.col(f"rest_{name}")), F.lit(0.0))
 
 
-# Versioned metric definitions (the documented contract of the gold layer).
+# Versioned metric definitions (the contract of the gold layer).
 KPI_DEFINITIONS = [
     MetricDef("revenue_bruto_eur", "v1.0",
               "sum(revenue_eur, null as 0) where order_status in (delivered, returned)",
-              "-", "no real sale: group absent"),
+              "-", "no real sale: group absent",
+              lambda: _revenue("real"), rate=False),
     MetricDef("return_rate", "v1.0",
               "sum(revenue_eur) where order_status = returned",
               "sum(revenue_eur) where order_status in (delivered, returned)",
-              "0/0 -> 0"),
+              "0/0 -> 0",
+              lambda: nan_to_zero(ieee_divide(_revenue("returned"), _revenue("delivered") + _revenue("returned")))),
     MetricDef("fulfillment_rate", "v1.0", "sum(qty_sold) over all statuses",
-              "sum(qty_ordered) over all statuses", "0/0 -> NaN, x/0 -> inf"),
+              "sum(qty_ordered) over all statuses", "0/0 -> NaN, x/0 -> inf",
+              lambda: ieee_divide(F.col("qty_sold_total"), F.col("qty_ordered_total"))),
 ]
 
+
+def _kpi_columns(null_key: F.Column) -> list[F.Column]:
+    return [(F.when(null_key, F.lit(None).cast("double")).otherwise(m.value()) if m.rate else m.value())
+            .alias(m.name) for m in KPI_DEFINITIONS]
+
+
 CUBE_DIMS = ["country", "channel", "category", "year_month", "member"]
 REVENUES = ["real", "delivered", "returned"]
 PARTIAL_COLS = ["n_real", *[f"{part}_{r}" for r in REVENUES for part in ("whole", "rest")],
@@ -85,10 +106,6 @@ def kpi_partials(fact: DataFrame, group_by: list[str]) -> DataFrame:
     )
 
 
-def _revenue(name: str) -> F.Column:
-    return F.coalesce(money_total(F.col(f"whole_{name}"), F.col(f"rest_{name}")), F.lit(0.0))
-
-
 def _any_null(cols: list[str]) -> F.Column:
     if not cols:
         return F.lit(False)
@@ -99,16 +116,8 @@ def finish_kpis(partials: DataFrame, group_by: list[str]) -> DataFrame:
     """KPIs from the additive inputs.  Groups without any real sale are
     absent; a group with a null key keeps its revenue but gets null rates
     (null keys never match in the per-KPI join formulation)."""
-    deliv, ret = _revenue("delivered"), _revenue("returned")
-    null_key = _any_null(group_by)
     return (partials.filter(F.col("n_real") > 0)
-            .select(*group_by,
-                    _revenue("real").alias("revenue_bruto_eur"),
-                    F.when(null_key, F.lit(None).cast("double"))
-                     .otherwise(nan_to_zero(ieee_divide(ret, deliv + ret))).alias("return_rate"),
-                    F.when(null_key, F.lit(None).cast("double"))
-                     .otherwise(ieee_divide(F.col("qty_sold_total"), F.col("qty_ordered_total")))
-                     .alias("fulfillment_rate")))
+            .select(*group_by, *_kpi_columns(_any_null(group_by))))
 
 
 def build_kpi_table(fact: DataFrame, group_by: list[str], *, sort: bool = True) -> DataFrame:
@@ -162,15 +171,8 @@ def kpi_all_cuts(fact: DataFrame, cuts: dict[str, list[str]] = GOLD_CUTS) -> Dat
     names = {gid(cols): name for name, cols in cuts.items()}
     cut = F.element_at(F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))]),
                        F.col("_gid").cast("int"))
-    deliv, ret = _revenue("delivered"), _revenue("returned")
     return (agg.filter(F.col("n_real") > 0)
-               .select(cut.alias("cut"), *all_cols,
-                       _revenue("real").alias("revenue_bruto_eur"),
-                       F.when(null_key, F.lit(None).cast("double"))
-                        .otherwise(nan_to_zero(ieee_divide(ret, deliv + ret))).alias("return_rate"),
-                       F.when(null_key, F.lit(None).cast("double"))
-                        .otherwise(ieee_divide(F.col("qty_sold_total"), F.col("qty_ordered_total")))
-                        .alias("fulfillment_rate")))
+               .select(cut.alias("cut"), *all_cols, *_kpi_columns(null_key)))
 
 
 def known_members(fact: DataFrame) -> DataFrame:

@@ -156,57 +156,96 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def exact_quantiles(spark, df: DataFrame, columns: list[str], probabilities=(0.25, 0.5, 0.75),
-                    name: str = "quantiles") -> DataFrame:
-    """Exact discrete quantiles (the SQL ``percentile_disc`` definition: the
-    smallest value whose cumulative share reaches p, i.e. the value of rank
-    ceil(p * n) among the n non-null values) without holding a column in one
-    task.
-
-    All columns at once: the (column, value) pairs are range-partitioned and
-    sorted, and every row gets its position inside its sorted partition
-    (``monotonically_increasing_id``); this is written once to the shared
-    work folder, so the counting job and the fetching job see the same
-    layout.  Only one count per (partition, column) reaches the driver, where
-    the partition and offset of each wanted rank are computed; the values are
-    then fetched by position.  Output: (column_name, p<percent>...)."""
+                    name: str = "quantiles", method: str = "disc", accuracy: int = 10_000) -> DataFrame:
+    """Exact quantiles without sorting whole columns or holding one in a task.
+
+    ``method``: ``disc`` is SQL's ``percentile_disc``, the value of rank
+    ceil(p * n) of the n values that are not null; ``nearest`` is the value of
+    rank round(p * (n - 1)) + 1.
+
+    A sketch first gives two values around each wanted rank.  One pass counts
+    the values below the lower one, and only the values between the two, a few
+    of every ``accuracy`` rows, are sorted: range-partitioned, with a random
+    tie-breaker so that a value that fills much of a column is split over tasks,
+    and written once with their positions.  One count per partition reaches the
+    driver, and the wanted values are fetched by position.  Where the sketch
+    missed (its error is a bound on average size only), the column is sorted
+    whole.  Output: (column_name, p<percent>...)."""
     import math
     import uuid
     from fractions import Fraction
 
     from chanfold.session import work_dir
 
-    pairs = (df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-               .unpivot([], columns, "column_name", "v")
-               .filter(F.col("v").isNotNull()))
-    # A random tie-breaker lets the range partitioner split a value that
-    # repeats in a large share of the rows (equal values are interchangeable).
-    ranked = (pairs.orderBy("column_name", "v", F.rand(17))
-                   .select("column_name", "v", F.spark_partition_id().alias("pid"),
-                           F.monotonically_increasing_id().alias("pos")))
-    path = f"{work_dir(spark)}/chanfold-tmp/{name}-{uuid.uuid4().hex}"
-    ranked.write.parquet(path)
-    ranked = spark.read.parquet(path)
-    parts = sorted((r["column_name"], r["pid"], r["n"], r["first"]) for r in
-                   ranked.groupBy("column_name", "pid").agg(F.count(F.lit(1)).alias("n"),
-                                                            F.min("pos").alias("first")).collect())
-    wanted = {}                                   # (column, p) -> position
-    for c in columns:
-        mine = [(n, first) for col, _, n, first in parts if col == c]
-        total = sum(n for n, _ in mine)
-        for p in probabilities:
-            if total == 0:
-                continue
-            k = max(1, math.ceil(Fraction(p) * total))      # 1-based rank
-            before = 0
-            for n, first in mine:
-                if k <= before + n:
-                    wanted[(c, p)] = first + (k - before - 1)
-                    break
-                before += n
-    found = {r["pos"]: r["v"] for r in
-             ranked.filter(F.col("pos").isin(list(wanted.values()))).select("pos", "v").collect()}
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
-    rows = [(c, *[found.get(wanted.get((c, p))) for p in probabilities]) for c in columns]
+    x = {c: F.col(c).cast("double") for c in columns}
+    spread = Fraction(2, accuracy)
+    around = [float(min(max(Fraction(p) + side, 0), 1)) for p in probabilities for side in (-spread, spread)]
+    seen = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(columns)],
+                  *[F.percentile_approx(x[c], F.array(*map(F.lit, around)), accuracy).alias(f"q{i}")
+                    for i, c in enumerate(columns)]).first()
+    want = {}                                       # (column, p) -> rank, lower and upper value
+    for i, c in enumerate(columns):
+        n = seen[f"n{i}"]
+        for j, p in enumerate(probabilities):
+            if n:
+                rank = (max(1, math.ceil(Fraction(p) * n)) if method == "disc"
+                        else math.floor(Fraction(p) * (n - 1) + Fraction(1, 2)) + 1)
+                want[c, p] = rank, seen[f"q{i}"][2 * j], seen[f"q{i}"][2 * j + 1]
+    keys = list(want)
+    if keys:
+        parts = [F.count_if(x[c] < F.lit(want[c, p][1])).alias(f"b{k}") for k, (c, p) in enumerate(keys)]
+        parts += [F.count_if(x[c].between(want[c, p][1], want[c, p][2])).alias(f"m{k}")
+                  for k, (c, p) in enumerate(keys)]
+        sizes = df.agg(*parts).first()
+        rank_in = {}
+        for k, key in enumerate(keys):
+            rank_in[k] = want[key][0] - sizes[f"b{k}"]
+            if not 1 <= rank_in[k] <= sizes[f"m{k}"]:
+                rank_in[k] = want[key][0]
+                want[key] = want[key][0], float("-inf"), float("nan")      # NaN is the largest double
+        pairs = df.select(F.inline(F.array(*[
+            F.struct(F.lit(k).alias("k"), F.when(x[c].between(want[c, p][1], want[c, p][2]), x[c]).alias("v"))
+            for k, (c, p) in enumerate(keys)]))).where(F.col("v").isNotNull())
+        path = f"{work_dir(spark)}/chanfold-tmp/{name}-{uuid.uuid4().hex}"
+        try:
+            (pairs.orderBy("k", "v", F.rand(17))
+             .select("k", "v", F.spark_partition_id().alias("pid"), F.monotonically_increasing_id().alias("pos"))
+             .write.parquet(path))
+            ranked = spark.read.parquet(path)
+            runs = sorted(tuple(r) for r in ranked.groupBy("k", "pid").agg(
+                F.count(F.lit(1)).alias("n"), F.min("pos").alias("first")).collect())
+            at = {}
+            for k in rank_in:
+                before = 0
+                for _, _, n, first in (r for r in runs if r[0] == k):
+                    if before < rank_in[k] <= before + n:
+                        at[k] = first + rank_in[k] - before - 1
+                    before += n
+            value = {r["pos"]: r["v"] for r in
+                     ranked.where(F.col("pos").isin(list(at.values()))).select("pos", "v").collect()}
+        finally:
+            hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+        found = {keys[k]: value[pos] for k, pos in at.items()}
+    else:
+        found = {}
+    rows = [(c, *[found.get((c, p)) for p in probabilities]) for c in columns]
     return spark.createDataFrame(
         rows, "column_name string, " + ", ".join(f"p{int(round(p * 100))} double" for p in probabilities))
+
+
+def describe_all(spark, df: DataFrame) -> DataFrame:
+    """Summary of every column in one table: column_name, count, null_count,
+    mean, std, min, p25, p50, p75, max (of numbers, quartiles by nearest rank)
+    and min_text, max_text (of all other columns)."""
+    numeric = numeric_columns(df)
+    other = [c for c in df.columns if c not in numeric]
+    numbers = describe_numeric(df, numeric).join(
+        F.broadcast(exact_quantiles(spark, df, numeric, method="nearest")), "column_name")
+    wide = df.agg(*[a for i, c in enumerate(other) for a in (
+        F.count(c).alias(f"n{i}"), F.count_if(F.col(c).isNull()).alias(f"z{i}"),
+        F.min(F.col(c).cast("string")).alias(f"lo{i}"), F.max(F.col(c).cast("string")).alias(f"hi{i}"))])
+    texts = wide.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"), F.col(f"z{i}").alias("null_count"),
+        F.col(f"lo{i}").alias("min_text"), F.col(f"hi{i}").alias("max_text")) for i, c in enumerate(other)])))
+    return numbers.unionByName(texts, allowMissingColumns=True)

@@ -810,6 +810,42 @@ def _describe_quartiles_exact(spark, sf_dir):
     return prof.exact_quantiles(spark, Layers(spark, sf_dir).fact_eur(), NUMERIC_FACT_COLS)
 
 
+def _describe_all_sql() -> str:
+    def nearest(c, p):
+        return (f"(SELECT v FROM (SELECT CAST({c} AS DOUBLE) AS v, row_number() OVER (ORDER BY {c}) AS k, "
+                f"count(*) OVER () AS n FROM fact_eur WHERE {c} IS NOT NULL) WHERE k = floor({p} * (n - 1) + 0.5) + 1)")
+    numbers = [f"SELECT '{c}' AS column_name, count({c}) AS count, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+               f"round(avg(CAST({c} AS DOUBLE)), 4) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std, "
+               f"min(CAST({c} AS DOUBLE)) AS min, {nearest(c, 0.25)} AS p25, {nearest(c, 0.5)} AS p50, "
+               f"{nearest(c, 0.75)} AS p75, max(CAST({c} AS DOUBLE)) AS max, NULL AS min_text, NULL AS max_text FROM fact_eur"
+               for c in NUMERIC_FACT_COLS]
+    texts = [f"SELECT '{c}', count({c}), count(*) FILTER (WHERE {c} IS NULL), NULL, NULL, NULL, NULL, NULL, NULL, NULL, "
+             f"min(CAST({c} AS VARCHAR)), max(CAST({c} AS VARCHAR)) FROM fact_eur"
+             for c, _ in FACT_EUR_TYPES if c not in NUMERIC_FACT_COLS]
+    return "\nUNION ALL\n".join(numbers + texts)
+
+
+@register("describe_all", osql.with_base(_describe_all_sql()))
+def _describe_all(spark, sf_dir):
+    return present(prof.describe_all(spark, Layers(spark, sf_dir).fact_eur()), money=["mean", "std"])
+
+
+def _sample_raw_key(channel: str):
+    names = [c for c, _ in raw.schema_columns(RAW_SCHEMAS[channel])]
+
+    @register(f"sample_raw_{channel}", osql.with_raw(
+        f"SELECT {', '.join(names)} FROM raw_{channel} ORDER BY "
+        + ", ".join(f"{c} ASC NULLS FIRST" for c in names) + " LIMIT 5"))
+    def q(spark, sf_dir):
+        """First rows of one ingested raw source, in the order of its columns."""
+        return prof.sample_rows(_bronze(spark, sf_dir)[f"{channel}_orders"].select(*names), 5)
+    return q
+
+
+for _ch in ("retail", "app", "wholesale", "franchise"):
+    _sample_raw_key(_ch)
+
+
 _BRONZE_SOURCES = [
     ("app_orders", "app", "raw_app"),
     ("currency_reference", "currency_reference", "rates"),
