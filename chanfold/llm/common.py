@@ -36,6 +36,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete written tables that no later step reads."""
+    for path in {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()}:
+        if f"/{FOLDER}/" in path:
+            hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete every intermediate table; call it when no result that reads
     them is needed any more."""

@@ -13,8 +13,9 @@ word shingles.  The steps, each a Spark job over all rows:
    nodes that link share a token of their prefixes.  So the overlap of a
    node's prefix with a group's row bounds what it can share with any member:
    only groups with an overlap, and with members of a fitting size, are opened.
-4. Members of opened groups that share a prefix token with the node are
-   compared exactly, and the components of all links are the result.
+4. Members of opened groups that share a prefix token with the node are first
+   held against a bound from short signatures, then compared exactly; the
+   components of all links are the result.
 
 Links inside a group need no search, since components do not change by them;
 so a group of thousands of near copies costs a comparison or two per member.
@@ -30,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chanfold.llm.common import python_tasks, written
+from chanfold.llm.common import delete, python_tasks, written
 from chanfold.llm.components import components
 from chanfold.llm.shingles import mix, shingle_sets
 
 BANDS, ROWS = 6, 3
 #: A token is counted if a block of texts holds it in this many different sets,
 #: and is common from this many sets on.
-BLOCK_SETS, COMMON_SETS = 8, 64
+BLOCK_SETS, COMMON_SETS = 3, 8
 #: Rows up to which a side is broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 
@@ -111,15 +112,62 @@ def _needs(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100)
 
 
+def _per_node(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, name: str, work) -> DataFrame:
+    """A written row for each node of ``pairs``, made by ``work`` of (nid, text)."""
+    wanted = written(pairs.select(F.col("a").alias("nid")).union(pairs.select("b")).distinct()
+                     .join(nodes.select("nid", "doc_id", "text_hash"), "nid"), "wanted")
+    found = written(work(docs.join(_bounded(wanted), ["doc_id", "text_hash"]).select("nid", "text")), name)
+    # Rows that repeat id and text are the same node.
+    once = found if found.count() == wanted.count() else written(found.dropDuplicates(["nid"]), name)
+    delete(docs.sparkSession, wanted)
+    return once
+
+
+def _sides(pairs: DataFrame, rows: DataFrame, *names: str) -> DataFrame:
+    """``pairs`` (a, b) with the columns of both nodes, as name_a and name_b."""
+    for side in ("a", "b"):
+        pairs = pairs.join(rows.select(F.col("nid").alias(side), *(F.col(n).alias(f"{n}_{side}") for n in names)), side)
+    return pairs.select("a", "b", *(f"{n}_{side}" for n in names for side in ("a", "b")))
+
+
+def _sifted(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """``pairs`` without those that a bound rules out.
+
+    A node is given by 16 bits of each second token.  A token of A whose bits
+    do not occur in B is not in B, so ``|A & B| <= |A| - missing``, and the same
+    from B; a pair that could not link even then is dropped."""
+    def half(texts):
+        for batch in texts:
+            sets = shingle_sets(batch.column("text").to_pylist(), width)
+            bits = [np.unique((s[s & np.uint64(1) == 0] >> np.uint64(24)).astype(np.uint16)).tobytes() for s in sets]
+            yield pa.record_batch([batch.column("nid"), pa.array([len(s) for s in sets], pa.int64()),
+                                   pa.array(bits, pa.binary())], names=["nid", "n", "bits"])
+
+    rows = _per_node(pairs, docs, nodes, "signatures",
+                     lambda t: t.mapInArrow(half, "nid long, n long, bits binary"))
+
+    def task(batches):
+        for batch in batches:
+            keep = []
+            cols = [batch.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b")]
+            for n_a, n_b, x, y in zip(*cols):
+                x, y = np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)
+                # Tokens with equal bits count as found: only surplus bits are surely missing.
+                lost_a = len(np.setdiff1d(x, y, assume_unique=True))
+                lost_b = len(np.setdiff1d(y, x, assume_unique=True))
+                most = min(n_a - lost_a, n_b - lost_b)
+                keep.append(100 * most >= percent * (n_a + n_b - most))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    out = written(_sides(pairs, rows, "n", "bits").mapInArrow(task, "a long, b long"), "sifted")
+    delete(docs.sparkSession, rows)
+    return out
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """Of ``pairs`` (a, b) of nodes, those that link.  ``docs``: doc_id,
     text_hash, text; ``nodes``: nid, doc_id, text_hash."""
-    wanted = written(pairs.select(F.col("a").alias("nid")).union(pairs.select("b")).distinct()
-                     .join(nodes.select("nid", "doc_id", "text_hash"), "nid"), "wanted")
-    texts = written(docs.join(_bounded(wanted), ["doc_id", "text_hash"]).select("nid", "text")
-                    .dropDuplicates(["nid"]), "texts")
-    left = texts.select(F.col("nid").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("nid").alias("b"), F.col("text").alias("text_b"))
+    texts = _per_node(pairs, docs, nodes, "texts", lambda t: t)
 
     def task(batches):
         for batch in batches:
@@ -134,8 +182,9 @@ def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, per
                     keep.append(100 * shared >= percent * (both - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return written(both.mapInArrow(task, "a long, b long"), "links")
+    links = written(_sides(pairs, texts, "text").mapInArrow(task, "a long, b long"), "links")
+    delete(docs.sparkSession, texts)
+    return links
 
 
 def _group_of(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -145,7 +194,7 @@ def _group_of(nodes: DataFrame, links: DataFrame) -> DataFrame:
         "nid", F.coalesce("component", "nid").alias("grp"))
 
 
-def join(docs: DataFrame, percent: int = 75, width: int = 5, most_common: int = 200_000,
+def join(docs: DataFrame, percent: int = 75, width: int = 5, most_common: int = 500_000,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, text_hash (xxhash64 of the text),
     n_shingles (size of the set), component_id (smallest doc_id reachable by links, itself
@@ -223,7 +272,8 @@ def join(docs: DataFrame, percent: int = 75, width: int = 5, most_common: int =
              .join(member, ["token", "grp"])
              .where((F.col("n_b") >= _needs(F.col("n_a"), percent)) & (F.col("n_a") >= _needs(F.col("n_b"), percent)))
              .select("a", "b").distinct())
-    links = links.unionByName(_linked(written(pairs, "pairs"), docs, nodes, width, percent))
+    pairs = _sifted(written(pairs, "pairs"), docs, nodes, width, percent)
+    links = links.unionByName(_linked(pairs, docs, nodes, width, percent))
 
     found = components(links).select(F.col("node").alias("nid"), "component")
     named = nodes.select("nid", "n", "f1", "f2", "n_copies", "doc_id").join(found, "nid", "left").withColumn(
