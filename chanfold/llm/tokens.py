@@ -1,17 +1,20 @@
 """Tokenizing of whole texts inside Spark tasks.
 
-A text is cut before every space that follows a character other than white
-space; no token of the word-splitting tokenizers used here crosses such a cut,
-so the ids of a text are the ids of its pieces, one after another.  Every
-distinct piece is encoded once and kept in a bounded table of the Python
-worker, which turns most of the work into look-ups and one array gather.
+The tokenizers used here first split a text into words by the same rules: a
+run of letters, digits or other characters, each with at most one leading
+space, and runs of white space.  No word crosses the start of a run of white
+space, a line feed between two other characters, or the place where
+punctuation follows a letter.  So the ids of a text are the ids of the pieces
+between such cuts, one after another.  Every distinct piece is encoded once and
+kept in a bounded table of the Python worker, which turns most of the work into
+look-ups and one array gather.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
@@ -20,19 +23,48 @@ from chanfold.llm.common import batches, csr_gather
 #: Distinct pieces a worker keeps, longest piece that is kept, characters cut
 #: at a time, and pieces encoded and gathered at a time.  They bound memory,
 #: not results.
-MAX_PIECES, MAX_PIECE_CHARS, GROUP_CHARS = 400_000, 64, 4 << 20
+MAX_PIECES, MAX_PIECE_CHARS, GROUP_CHARS = 700_000, 64, 4 << 20
 ENCODE_PIECES, GATHER_PIECES = 1 << 18, 1 << 17
 
-_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
-_RISKY = [w + " " for w in _SPACES]
+_RUNS = ("  ", " \n", "\n\n", "\n ")
+_RARE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+_TAIL = ",.!?;:|$#%&*"
 
 
 def cut(text: str) -> list[str]:
     """Pieces of a text; ``"".join(cut(t)) == t``."""
-    if any(w in text for w in _RISKY):
+    if any(w in text for w in _RUNS) or any(w in text for w in _RARE):
         return re.split(r"(?<=\S)(?= )", text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + w for w in rest]]
+    out: list[str] = []
+    for k, line in enumerate(text.split("\n")):
+        if k:
+            out.append("\n")
+        first, *rest = line.split(" ")
+        out.append(first)
+        out += [" " + w for w in rest]
+    return out
+
+
+def stem(piece: str) -> str:
+    """The piece without the punctuation after its last letter."""
+    bare = piece.rstrip(_TAIL)
+    return bare if bare and bare[-1].isalpha() and bare[-1] < "\u0250" else piece
+
+
+def is_plain(piece: str) -> bool:
+    """One run of characters other than white space and zero bytes, after one
+    space at most."""
+    words = piece.split()
+    return (len(words) == 1 and len(piece) - len(words[0]) == (piece[0] == " ")
+            and "\0" not in piece)
+
+
+class _Index(dict):
+    """Numbers of pieces in the order in which they are first asked for."""
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        return n
 
 
 class PieceEncoder:
@@ -40,26 +72,47 @@ class PieceEncoder:
 
     def __init__(self, encode_many):
         self.encode_many = encode_many
-        self._reset()
-
-    def _reset(self) -> None:
-        self.index: dict[str, int] = {"": 0}
-        self.lens: list[np.ndarray] = [np.zeros(1, np.int64)]
-        self.ids: list[np.ndarray] = [np.zeros(0, np.uint32)]
-
-    def _table(self):
-        if len(self.lens) > 1:
-            self.lens, self.ids = [np.concatenate(self.lens)], [np.concatenate(self.ids)]
-        return np.concatenate([[0], np.cumsum(self.lens[0])]), self.ids[0]
+        self.index = _Index({"": 0})
+        self.offsets, self.flat = np.zeros(2, np.int64), np.zeros(0, np.uint32)
+        self.uses = np.zeros(1, np.int64)
+
+    def _forget(self) -> None:
+        """Keep what was asked for more than once."""
+        keep = self.uses > 1
+        keep[0] = True
+        if 2 * keep.sum() > MAX_PIECES:
+            keep[1:] = False
+        at = np.flatnonzero(keep)
+        names = np.array(list(self.index), object)[at].tolist()
+        self.flat, lens = csr_gather(self.offsets, self.flat, at)
+        self.offsets = np.concatenate([[0], np.cumsum(lens)])
+        self.index = _Index(zip(names, range(len(names))))
+        self.uses = np.ones(len(names), np.int64)
 
     def _learn(self, pieces: list[str]) -> None:
-        for lo in range(0, len(pieces), ENCODE_PIECES):
-            some = pieces[lo:lo + ENCODE_PIECES]
-            flat, lens = self.encode_many(some)
-            n = len(self.index)
-            self.index.update(zip(some, range(n, n + len(some))))
-            self.lens.append(np.asarray(lens, np.int64))
-            self.ids.append(np.asarray(flat, np.uint32))
+        """ids of pieces that just got the last numbers of the index."""
+        index, start = self.index, len(self.index) - len(pieces)
+        own: dict[str, int] = {}
+        pairs = np.empty((len(pieces), 2), np.int64)
+        for k, p in enumerate(pieces):
+            s = stem(p)
+            for side, atom in enumerate((s, p[len(s):])):
+                known = index.get(atom, start)
+                pairs[k, side] = known if known < start else start + own.setdefault(atom, len(own))
+        atoms = list(own)
+        got = [self.encode_many(atoms[lo:lo + ENCODE_PIECES]) for lo in range(0, len(atoms), ENCODE_PIECES)]
+        flat = np.concatenate([self.flat, *(np.asarray(f, np.uint32) for f, _ in got)])
+        offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.concatenate(
+            [np.zeros(0, np.int64), *(np.asarray(n, np.int64) for _, n in got)]))])
+        ids, lens = csr_gather(offsets, flat, pairs.ravel())
+        # Stems that are no pieces themselves are kept too: they come again.
+        more = [a for a in atoms if a not in index]
+        more_ids, more_lens = csr_gather(offsets, flat, np.array([start + own[a] for a in more], np.int64))
+        for a in more:
+            index[a]
+        self.flat = np.concatenate([self.flat, ids, more_ids])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(
+            np.concatenate([lens.reshape(-1, 2).sum(axis=1), more_lens]))])
 
     def encode(self, texts: list[str]):
         """Yields for groups of consecutive texts: the ids of all, and the
@@ -69,24 +122,26 @@ class PieceEncoder:
 
     def _encode(self, cuts: list[list[str]]):
         if len(self.index) > MAX_PIECES:
-            self._reset()
-        new = set().union(*(set(c).difference(self.index) for c in cuts))
-        long = [w for w in new if len(w) > MAX_PIECE_CHARS]
-        self._learn([w for w in new if len(w) <= MAX_PIECE_CHARS])
-        kept = len(self.index)
-        self._learn(long)
-        offsets, flat = self._table()
+            self._forget()
+        start = len(self.index)
+        picks = np.fromiter(map(self.index.__getitem__, chain.from_iterable(cuts)), np.int64,
+                            sum(map(len, cuts)))
+        new = list(islice(reversed(self.index), len(self.index) - start))[::-1]
+        if new:
+            self._learn(new)
+        self.uses = np.bincount(picks, minlength=len(self.index)) + np.pad(
+            self.uses, (0, len(self.index) - len(self.uses)))
+        done = 0
         for part in batches([len(c) for c in cuts], GATHER_PIECES):
-            some = cuts[part]
-            picks = np.fromiter(map(self.index.__getitem__, chain.from_iterable(some)), np.int64,
-                                sum(map(len, some)))
-            ids, lens = csr_gather(offsets, flat, picks)
-            ends = np.concatenate([[0], np.cumsum([len(c) for c in some])])
+            ends = np.concatenate([[0], np.cumsum([len(c) for c in cuts[part]])])
+            ids, lens = csr_gather(self.offsets, self.flat, picks[done:done + ends[-1]])
+            done += ends[-1]
             yield ids, np.diff(np.concatenate([[0], np.cumsum(lens)])[ends])
-        if long:  # passages without a space are not kept
-            for w in long:
-                del self.index[w]
-            self.lens, self.ids = [self.lens[0][:kept].copy()], [flat[:offsets[kept]].copy()]
+        if any(len(w) > MAX_PIECE_CHARS for w in new):  # passages without a space are not kept
+            while len(self.index) > start:
+                self.index.popitem()
+            self.offsets, self.uses = self.offsets[:start + 1].copy(), self.uses[:start]
+            self.flat = self.flat[:self.offsets[-1]].copy()
 
 
 _ENCODERS: dict[tuple, PieceEncoder] = {}
@@ -102,14 +157,42 @@ def library_encoder(path: str) -> PieceEncoder:
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True
 
+        def one_by_one(pieces):
+            ids = [e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
+            return (np.fromiter(chain.from_iterable(ids), np.uint32),
+                    np.fromiter(map(len, ids), np.int64, len(ids)))
+
+        # One text of many pieces is encoded faster than many texts.  A line
+        # feed (or, where white space has no ids, a zero byte) between two
+        # pieces is a token of its own and occurs in none of them.
+        mark = next(m for m in ("\n", " \0 ")
+                    if len(tok.encode(f"a{m}b", add_special_tokens=False).ids) == 3)
+        mark_id = tok.encode(mark, add_special_tokens=False).ids
+
+        def together(pieces):
+            if len(mark_id) != 1 or not pieces:
+                return one_by_one(pieces)
+            text = mark.join(pieces) + mark
+            ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(ids == mark_id[0])
+            if len(ends) != len(pieces):
+                return one_by_one(pieces)
+            return np.delete(ids, ends), np.diff(np.concatenate([[-1], ends])) - 1
+
         def encode_many(pieces):
-            out, lens = [], np.empty(len(pieces), np.int64)
-            for lo in range(0, len(pieces), 2048):
-                ids = [e.ids for e in tok.encode_batch_fast(pieces[lo:lo + 2048],
-                                                            add_special_tokens=False)]
-                lens[lo:lo + len(ids)] = [len(x) for x in ids]
-                out.append(np.fromiter((i for x in ids for i in x), np.uint32))
-            return np.concatenate(out) if out else np.zeros(0, np.uint32), lens
+            odd = [not is_plain(p) for p in pieces]
+            order = np.argsort(odd, kind="stable")
+            plain = [p for p, o in zip(pieces, odd) if not o]
+            got = [together(plain[lo:lo + 8192]) for lo in range(0, len(plain), 8192)]
+            strange = [p for p, o in zip(pieces, odd) if o]
+            got += [one_by_one(strange[lo:lo + 1024]) for lo in range(0, len(strange), 1024)]
+            flat = np.concatenate([ids for ids, _ in got])
+            lens = np.concatenate([n for _, n in got])
+            if not strange:
+                return flat, lens
+            back = np.empty(len(order), np.int64)
+            back[order] = np.arange(len(order))
+            return csr_gather(np.concatenate([[0], np.cumsum(lens)]), flat, back)
 
         _ENCODERS[key] = PieceEncoder(encode_many)
     return _ENCODERS[key]
