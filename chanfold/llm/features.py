@@ -65,11 +65,17 @@ def groups_of(texts: list[bytes]):
 def sample_ids(rows: DataFrame, id_col: Column, label: Column, per_label: int) -> DataFrame:
     """At most ``per_label`` rows of each label: id, label.  They are those
     with the smallest hash of the id, so the sample does not depend on
-    partitioning; only ids and labels are read."""
+    partitioning; only ids and labels are read.
+
+    Of a label with many ids only those with a hash below twice the share that
+    is wanted are ranked, so the ranking stays small however large it is."""
     own = rows.select(id_col.cast("string").alias("id"), label.alias("label"))
-    own = own.where(F.col("label").isNotNull() & F.col("id").isNotNull())
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    return own.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_label).drop("n")
+    own = own.where(F.col("label").isNotNull() & F.col("id").isNotNull()).distinct()
+    place = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))      # 0 to 1
+    sizes = own.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    low = own.join(F.broadcast(sizes), "label").where(place * F.col("size") <= 2 * per_label)
+    order = Window.partitionBy("label").orderBy(place, "id")
+    return low.select("id", "label", F.row_number().over(order).alias("n")).where(F.col("n") <= per_label).drop("n")
 
 
 def training_rows(docs: DataFrame, sample: DataFrame, vectors, most: int,
