@@ -11,8 +11,8 @@ from chanfold.llm.common import written
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (the smallest node reachable) for every node of a link.
 
-    Each round takes the smallest label among a node's neighbours and then the
-    label of that label, so a chain shortens to its logarithm.  Labels live in
+    Each round takes the smallest of a node's label, its neighbours' labels and
+    the label of its label, so a chain shortens to its logarithm.  Labels live in
     written tables; only the number of changes reaches the driver.  Links to
     itself, repeated links and an empty table are allowed."""
     edges = links.select(F.col(a).alias("node"), F.col(b).alias("other")).where(F.col("node") != F.col("other"))
@@ -23,13 +23,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         near = (both.join(labels.withColumnRenamed("node", "other"), "other")
                 .groupBy("node").agg(F.min("component").alias("near")))
-        step = labels.join(near, "node").select(
-            "node", F.col("component").alias("was"), F.least("component", "near").alias("now"))
-        step = written(step, "labels")
-        jump = step.select(F.col("node").alias("now"), F.col("now").alias("beyond"))
-        after = written(step.join(jump, "now").select(
-            "node", F.least("now", "beyond").alias("component"),
-            (F.least("now", "beyond") != F.col("was")).alias("moved")), "labels")
-        labels = after.select("node", "component")
+        beyond = labels.select(F.col("node").alias("component"), F.col("component").alias("beyond"))
+        now = F.least("component", "near", "beyond")
+        after = written(labels.join(near, "node").join(beyond, "component").select(
+            "node", now.alias("now"), (now != F.col("component")).alias("moved")), "labels")
+        labels = after.select("node", F.col("now").alias("component"))
         if not after.where("moved").limit(1).count():
             return labels
