@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from chanfold.llm import common
 from chanfold.llm.features import groups_of, ngram_counts, sample_ids, training_rows, unit_rows
 
-BUCKETS, ORDERS, UNKNOWN = 4096, (1, 2, 3), "und"
+BUCKETS, ORDERS, UNKNOWN = 2048, (1, 2, 3), "und"
 _LETTER = regex.compile(r"\p{L}")
 #: Bytes as they are hashed: letters and bytes beyond ASCII, all else a space.
 _CLASSES = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -45,9 +45,9 @@ def has_letter(text: str | None) -> bool:
 
 
 def vectors(texts: list[str | None]) -> np.ndarray:
+    """Feature rows of whole texts; callers pass a few at a time."""
     rows = [b" " + (t or "").lower().encode("utf-8", "replace").translate(_CLASSES) + b" " for t in texts]
-    parts = [unit_rows(ngram_counts(rows[p], ORDERS, BUCKETS, b"  ")) for p in groups_of(rows)]
-    return np.concatenate(parts).astype(np.float32) if parts else np.zeros((0, BUCKETS), np.float32)
+    return unit_rows(ngram_counts(rows, ORDERS, BUCKETS, b"  ")).astype(np.float32, copy=False)
 
 
 def codewords(n: int, seed: int = 7) -> np.ndarray:
@@ -69,7 +69,7 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
 
 def fit(x: np.ndarray, labels: list[str], steps: int = 200, decay: float = 1e-4) -> Model | None:
     """All bit classifiers together, by accelerated gradient descent."""
-    languages, x = sorted(set(labels)), x.astype(np.float32)
+    languages, x = sorted(set(labels)), np.asarray(x, np.float32)
     if not languages:
         return None
     code = codewords(len(languages))
@@ -108,7 +108,8 @@ def decode(model: Model | None, texts: list[str | None], ambiguous_below: float
     rows = [i for i, t in enumerate(texts) if has_letter(t)]
     if model is None or not rows:
         return langs, scores, unsure
-    margin = vectors([texts[i] for i in rows]) @ model.weights + model.bias
+    own = [texts[i] for i in rows]
+    margin = np.concatenate([vectors(own[part]) @ model.weights + model.bias for part in groups_of(own)])
     loss = np.logaddexp(0, -margin[:, None, :] * model.code[None]) @ model.trust
     odds = np.exp(loss.min(axis=1, keepdims=True) - loss)
     share = odds / odds.sum(axis=1, keepdims=True)

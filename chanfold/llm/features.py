@@ -56,10 +56,9 @@ def unit_rows(counts: np.ndarray) -> np.ndarray:
     return x / np.maximum(norm, 1e-12)
 
 
-def groups_of(texts: list[bytes]):
-    """Slices of texts that fit in memory as count rows."""
-    for part in batches([max(len(t), 4096) for t in texts], 1 << 20):
-        yield part
+def groups_of(texts: list[str | None]):
+    """Slices of texts whose bytes and feature rows take little memory."""
+    yield from batches([max(len(t or ""), 4096) for t in texts], 1 << 20)
 
 
 def sample_ids(rows: DataFrame, id_col: Column, label: Column, per_label: int) -> DataFrame:
@@ -92,16 +91,16 @@ def training_rows(docs: DataFrame, sample: DataFrame, vectors, most: int,
 
     def task(frames):
         for batch in frames:
-            rows = vectors(batch.column("text").to_pylist())
-            yield pa.record_batch([batch.column("id"), batch.column("label"),
-                                   pa.array([r.tobytes() for r in rows], pa.binary())],
+            texts = batch.column("text").to_pylist()
+            rows = [r.tobytes() for part in groups_of(texts) for r in vectors(texts[part])]
+            yield pa.record_batch([batch.column("id"), batch.column("label"), pa.array(rows, pa.binary())],
                                   names=["id", "label", "vector"])
 
     kind = dict(sample.dtypes)["label"]
     got = (texts.mapInArrow(task, f"id string, label {kind}, vector binary")
            .orderBy("label", F.xxhash64("id"), "vector").limit(most).collect())
     x = np.frombuffer(b"".join(r["vector"] for r in got), np.float32)
-    return [r["label"] for r in got], x.reshape(len(got), -1) if got else x.reshape(0, 0)
+    return [r["label"] for r in got], x.reshape(len(got), -1 if got else 0)
 
 
 def keep_rows(docs: DataFrame, decide, text_col: str = "text") -> DataFrame:
