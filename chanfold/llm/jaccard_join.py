@@ -88,9 +88,13 @@ def sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
                                    pa.array(f1), pa.array(f2), keys, null, null], names=names)
             seen = {(a, b): i for i, (a, b) in enumerate(zip(f1.tolist(), f2.tolist()))}
             if seen:
-                token, times = np.unique(np.concatenate([sets[i] for i in seen.values()]), return_counts=True)
-                many = times >= BLOCK_SETS
-                token, times = token[many].view(np.int64), times[many].astype(np.int64)
+                flat = np.concatenate([sets[i] for i in seen.values()])
+                del sets
+                flat.sort()
+                more = BLOCK_SETS - 1
+                token = np.unique(flat[more:][flat[more:] == flat[:len(flat) - more]])
+                times = np.searchsorted(flat, token, "right") - np.searchsorted(flat, token)
+                token = token.view(np.int64)
                 null = pa.nulls(len(token), pa.int64())
                 yield pa.record_batch([null, null, null, null, null, pa.nulls(len(token), pa.list_(pa.int64())),
                                        pa.array(token), pa.array(times)], names=names)

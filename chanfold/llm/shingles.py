@@ -71,9 +71,8 @@ def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text (null: none)."""
     out: list[np.ndarray] = []
-    data = [(t or "").encode("utf-8", "replace").translate(_FOLD) for t in texts]
-    for group in batches([len(d) + 1 for d in data], _SLICE):
-        own = data[group]
+    for group in batches([len(t or "") + 1 for t in texts], _SLICE):
+        own = [(t or "").encode("utf-8", "replace").translate(_FOLD) for t in texts[group]]
         words, starts = _word_hashes(np.frombuffer(b" ".join(own) + b" ", np.uint8))
         cuts = np.searchsorted(starts, np.cumsum([0, *(len(d) + 1 for d in own)]))
         n = max(0, len(words) - width + 1)
