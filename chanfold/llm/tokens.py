@@ -23,7 +23,7 @@ from chanfold.llm.common import batches, csr_gather
 #: Distinct pieces a worker keeps, longest piece that is kept, characters cut
 #: at a time, and pieces encoded and gathered at a time.  They bound memory,
 #: not results.
-MAX_PIECES, MAX_PIECE_CHARS, GROUP_CHARS = 200_000, 64, 2 << 20
+MAX_PIECES, MAX_PIECE_CHARS, GROUP_CHARS = 350_000, 64, 2 << 20
 ENCODE_PIECES, GATHER_PIECES = 1 << 18, 1 << 17
 
 _RUNS = ("  ", " \n", "\n\n", "\n ")
