@@ -30,7 +30,7 @@ def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = lambda c: F.when(F.col(c).isNotNull(), F.size(F.split(c, "\n", -1)))
-    out = line_chunks.dedup(docs.withColumn("before", F.col("text")))
+    out = line_chunks.dedup(docs.withColumn("before", F.col("text")), passages=True)
     return out.select("doc_id", lines("before").alias("n_lines"),
                       F.when(F.col("before") != F.col("text"), F.when(F.col("text") == "", lines("before"))
                              .otherwise(lines("before") - lines("text"))).otherwise(0).alias("n_removed"),

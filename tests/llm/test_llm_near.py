@@ -267,3 +267,39 @@ def test_chunks_cover_every_line(text):
     spans = [(lo, hi) for lo, hi, _ in line_chunks.chunks(text, 1, 50)]
     assert spans[0][0] == 0 and spans[-1][1] == len(text.split("\n"))
     assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def removed_by_windows(docs, long_words):
+    """Lines of each text in a window of lines that also stands earlier."""
+    seen, out = {}, {i: set() for i, _ in docs}
+    for i, text in docs:
+        lines = text.split("\n")
+        for lo in range(len(lines)):
+            for hi in range(lo + 1, len(lines) + 1):
+                if len(" ".join(lines[lo:hi]).split()) >= long_words:
+                    for d, at in seen.setdefault(tuple(lines[lo:hi]), []):
+                        out[i] |= set(range(max(lo, at + hi - lo) if d == i else lo, hi))
+                    seen[tuple(lines[lo:hi])].append((i, lo))
+    return out
+
+
+def test_every_repeated_passage_is_removed(spark):
+    rng = random.Random(9)
+    line = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    passages = [[line(w) for _ in range(n)] for n, w in [(3, 20), (5, 12), (6, 10), (20, 10), (2, 25), (3, 16), (4, 13)] * 2]
+    docs = []
+    for i in range(80):
+        own = passages[i % len(passages)]
+        docs.append((i, "\n".join([line(rng.randint(1, 9)), *own, *([""] if i % 3 else []), line(7)])))
+    docs.append((80, "\n".join([passages[0][0]] * 20)))           # a line that repeats itself
+    docs.append((81, "\n".join(passages[3][4:12] + passages[3][2:9])))
+    want = removed_by_windows(docs, 50)
+    # Chunks of fewer words are out of the way with least_words = long_words.
+    got = line_chunks.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), 50, 50, passages=True)
+    texts = {r["doc_id"]: r["text"] for r in got.collect()}
+    for i, text in docs:
+        assert texts[i] == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in want[i])
+    for k, own in enumerate(passages):
+        words = len(" ".join(own).split())
+        copies = sum("\n".join(own) in t for t in texts.values())
+        assert copies == (1 if words >= 50 else len([i for i in range(80) if i % len(passages) == k]))
