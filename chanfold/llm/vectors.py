@@ -50,9 +50,9 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip((a * b).sum(axis=1), -1.0, 1.0)
 
 
-def cells_to_blocks(cells: np.ndarray, ids: np.ndarray, data: np.ndarray, most: int):
+def cells_to_blocks(cells: np.ndarray, ids: np.ndarray, data: np.ndarray, most: int, kind: str = "<f8"):
     """Rows (cell, ids, data) that hold the rows of each cell, at most ``most``
-    of them in a row."""
+    of them in a row; ``kind`` is the type of the data's numbers."""
     order = np.argsort(cells, kind="stable")
     cuts = np.flatnonzero(np.diff(cells[order])) + 1
     out = []
@@ -61,7 +61,7 @@ def cells_to_blocks(cells: np.ndarray, ids: np.ndarray, data: np.ndarray, most:
             own = part[lo:lo + most]
             if len(own):
                 out.append((int(cells[own[0]]), ids[own].astype("<i8").tobytes(),
-                            np.ascontiguousarray(data[own], "<f8").tobytes()))
+                            np.ascontiguousarray(data[own], kind).tobytes()))
     return pd.DataFrame(out, columns=["cell", "ids", "data"])
 
 

@@ -199,6 +199,25 @@ def test_near_duplicate_vectors(spark, monkeypatch):
     assert multi_index.near_duplicates(spark.createDataFrame([], VECS)).count() == 0
 
 
+@pytest.mark.parametrize("cosine", [0.91])
+def test_rare_links_of_many_vectors_are_met(spark, tmpdir_path, cosine):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    rng = np.random.default_rng(12)
+    x = unit(rng.normal(size=(100_000, 64)))
+    z = rng.normal(size=(500, 64))
+    z = unit(z - (z * x[:500]).sum(axis=1, keepdims=True) * x[:500])
+    x[50_000:50_500] = cosine * x[:500] + np.sqrt(1 - cosine * cosine) * z          # 1% of the rows
+    column = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 64).cast(pa.list_(pa.float64()))
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": column}), f"{tmpdir_path}/v.parquet",
+                   row_group_size=10_000)
+    out = multi_index.near_duplicates(spark.read.parquet(f"{tmpdir_path}/v.parquet")).where("n_links > 0").collect()
+    found = {r["vec_id"]: r for r in out}
+    met = [i for i in range(500) if i in found and found[i]["component_id"] == found[50_000 + i]["component_id"] == i]
+    assert len(met) >= 0.98 * 500 and len(found) == 2 * len(met)
+    assert all(r["n_links"] == 1 for r in out)
+
+
 def test_multi_sequence_is_the_sorted_product():
     rng = np.random.default_rng(4)
     index = multi_index.Index(rng.normal(size=(7, 3)), rng.normal(size=(5, 3)))
