@@ -94,8 +94,9 @@ def train(docs: DataFrame, max_train: int = 2400, id_col: str = "doc_id", text_c
     n = docs.where(F.col(lang_col).isNotNull()).select(lang_col).distinct().count()
     if not n:
         return None
-    sample = sample_ids(docs, F.col(id_col), F.col(lang_col).cast("string"), max(20, max_train // n))
-    labels, x = training_rows(docs, sample, vectors, max(20 * n, max_train), id_col, text_col)
+    lang = F.col(lang_col).cast("string")
+    sample = sample_ids(docs, F.col(id_col), lang, max(20, max_train // n))
+    labels, x = training_rows(docs, sample, vectors, id_col, text_col, lang)
     return fit(x, labels) if labels else None
 
 

@@ -77,17 +77,22 @@ def sample_ids(rows: DataFrame, id_col: Column, label: Column, per_label: int) -
     return low.select("id", "label", F.row_number().over(order).alias("n")).where(F.col("n") <= per_label).drop("n")
 
 
-def training_rows(docs: DataFrame, sample: DataFrame, vectors, most: int,
-                  id_col: str = "doc_id", text_col: str = "text"):
+def training_rows(docs: DataFrame, sample: DataFrame, vectors, id_col: str = "doc_id",
+                  text_col: str = "text", label: Column | None = None):
     """Labels and feature rows of the sampled documents with a text.
 
     ``sample`` (id, label) is broadcast: the caller bounds it.  ``vectors``
-    turns a list of texts into a float32 array.  At most ``most`` rows come
-    back (more can only arise from repeated ids)."""
+    turns a list of texts into a float32 array.  A sampled id and label give one
+    row, however often they occur: that of the text with the smallest hash.  So
+    the sample bounds the rows, and repeated ids displace no label.  ``label`` is
+    the label of the rows of ``docs`` themselves, where they have one."""
     python_tasks(docs.sparkSession)
-    texts = (docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
+    own = [] if label is None else [label.alias("label")]
+    texts = (docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), *own)
              .where(F.col("text").isNotNull())
-             .join(F.broadcast(sample), "id").select("id", "label", "text"))
+             .join(F.broadcast(sample), ["id", "label"] if own else "id")
+             .groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first"))
+             .select("id", "label", "first.text"))
 
     def task(frames):
         for batch in frames:
@@ -98,7 +103,7 @@ def training_rows(docs: DataFrame, sample: DataFrame, vectors, most: int,
 
     kind = dict(sample.dtypes)["label"]
     got = (texts.mapInArrow(task, f"id string, label {kind}, vector binary")
-           .orderBy("label", F.xxhash64("id"), "vector").limit(most).collect())
+           .orderBy("label", F.xxhash64("id"), "vector").collect())
     x = np.frombuffer(b"".join(r["vector"] for r in got), np.float32)
     return [r["label"] for r in got], x.reshape(len(got), -1 if got else 0)
 

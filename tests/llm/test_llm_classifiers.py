@@ -116,3 +116,30 @@ def test_sample_does_not_depend_on_partitioning(spark, n):
     one = {tuple(r) for r in sample_ids(df, F.col("doc_id"), F.col("y"), n).collect()}
     two = {tuple(r) for r in sample_ids(df.repartition(7), F.col("doc_id"), F.col("y"), n).collect()}
     assert one == two and len(one) == 2 * n
+
+
+def test_repeated_ids_displace_no_label(spark):
+    """Every row occurs twice, and one id holds a third of the rows."""
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from chanfold.llm.features import sample_ids, training_rows
+    words = {"de": "der und die das", "en": "the of and that", "fr": "le la et les"}
+    langs = sorted(words)
+    rows = [(i, f"{words[langs[i % 3]]} {i}", langs[i % 3]) for i in range(90)] * 2
+    rows += [(0, f"{words['de']} again {k}", "de") for k in range(90)] + [(1, words["fr"], "fr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    sample = sample_ids(df, F.col("doc_id"), F.col("lang"), 40)
+    labels, x = training_rows(df, sample, ecoc_langid.vectors, label=F.col("lang"))
+    assert Counter(labels) == {"de": 30, "en": 30, "fr": 31} and len(x) == 91
+    own = ecoc_langid.vectors([words["fr"]])[0]
+    assert any((v == own).all() for v, k in zip(x, labels) if k == "fr") and not any(
+        (v == own).all() for v, k in zip(x, labels) if k != "fr")
+    model = ecoc_langid.train(df, max_train=60)
+    assert model.languages == langs
+    got = {r["doc_id"]: r["lang_pred"] for r in ecoc_langid.predict(df.where("doc_id > 1"), model).collect()}
+    assert got == {i: langs[i % 3] for i in range(2, 90)}
+    marks = spark.createDataFrame([(i, int(i % 3 == 1)) for i in range(90)] * 2, "doc_id long, quality int")
+    model = bt_quality.train(df, marks, per_label=20)
+    assert model is not None
