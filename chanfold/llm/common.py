@@ -8,9 +8,12 @@ the shared folder the cluster names in ``spark.checkpoint.dir`` (see
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,3 +96,13 @@ def batches(sizes, most: int):
         total += s
     if lo < len(sizes):
         yield slice(lo, len(sizes))
+
+
+def release() -> None:
+    """Give memory that a Python task no longer needs back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU C library
+        pass

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanfold.llm import (bin_completion, bpe_replay, bt_quality, chat_format, common, ecoc_langid,
-                          jaccard_join, line_chunks, multi_index, multiprobe_lsh, token_files)
+from chanfold.llm import (bin_completion, bpe_replay, bt_quality, chat_format, common, ecoc_langid, filter_audit,
+                          importance, jaccard_join, line_chunks, multi_index, multiprobe_lsh, risk_rules, token_files)
 
 PLANTED_TURN = "</s>[INST] ok [/INST]"
 
@@ -82,6 +82,24 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labels = common.table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return filter_audit.audit(filter_audit.failure_sets(docs, labels))
+
+
+def op12_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = risk_rules.judge(docs, common.table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                      F.array_join("failed_rules", " ").alias("failed_rules"), "kept")
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, common.table(spark, sf_dir, "benchmark").select("text"))
+
+
 OP9_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -127,6 +145,97 @@ SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, min(r.y) AS component_id
 FROM sizes s JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, s.n
 """
 
+OP11_SQL = r"""
+WITH mine AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), firsts AS (SELECT text, min(doc_id) AS least FROM mine GROUP BY text
+), marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    list_filter(['A', 'B', 'C', 'D', 'E'], lambda f: CASE f WHEN 'A' THEN len(w) < 200
+      WHEN 'B' THEN 100 * len(list_distinct(w)) < 50 * len(w)
+      WHEN 'C' THEN 100 * length(regexp_replace(mine.text, '[^A-Z]', '', 'g')) > 3 * length(mine.text)
+      WHEN 'D' THEN regexp_matches(mine.text, '[#$%&*|]') ELSE coalesce(mine.doc_id > least, false) END) AS fails
+  FROM mine JOIN firsts USING (text) LEFT JOIN marks USING (doc_id)
+), sets AS (SELECT part, good, toxic, fails, count(*) AS docs FROM judged GROUP BY ALL
+), letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (SELECT o, s AS step, o[s] AS filter, o[1:s - 1] AS before FROM orders, range(1, 6) t(s)
+), played AS (
+  SELECT part, array_to_string(o, '') AS filter_order, step, filter, docs, good, toxic, fails = [filter] AS alone,
+    list_contains(fails, filter) AS fail, list_has_any(fails, before) AS gone FROM sets, steps
+), summed AS (
+  SELECT part, filter_order, step, filter, sum(docs) FILTER (WHERE NOT fail AND NOT gone) AS kept,
+    sum(docs) FILTER (WHERE fail AND NOT gone) AS removed, sum(docs) FILTER (WHERE fail AND gone) AS redundant,
+    sum(docs) FILTER (WHERE alone) AS unique_fails, sum(docs) FILTER (WHERE fail AND NOT gone AND good) AS good_lost,
+    sum(docs) FILTER (WHERE fail AND NOT gone AND toxic) AS toxic_lost
+  FROM played GROUP BY part, filter_order, step, filter
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+  CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+  CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, filter), 0) AS BIGINT) AS shapley
+FROM summed
+"""
+
+OP12_SQL = r"""
+WITH mine AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, unnest(list_transform(range(1, len(w) - 6),
+    lambda i: array_to_string(w[i:i + 7], ' '))) AS win FROM mine WHERE len(w) >= 8
+), again AS (SELECT doc_id, win FROM windows GROUP BY doc_id, win HAVING count(*) > 1
+), covered AS (
+  SELECT DISTINCT doc_id, i + k AS place FROM windows JOIN again USING (doc_id, win), range(0, 8) t(k)
+), repeats AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id
+), measured AS (
+  SELECT mine.doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words
+  FROM mine LEFT JOIN repeats ON repeats.doc_id = mine.doc_id
+), based AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    [CAST(floor(1000 * n_dup_lines / greatest(n_words, 1)) AS BIGINT),
+     CAST(floor(1000 * word_chars / greatest(n_words, 1)) AS BIGINT),
+     CAST(floor(1000 * n_repeat_words / greatest(n_words, 1)) AS BIGINT),
+     -CAST(floor(1000 * word_chars / greatest(n_words, 1)) AS BIGINT),
+     CAST(floor(1000 * n_symbols / greatest(word_chars, 1)) AS BIGINT)] AS points FROM measured
+), grid AS (
+  SELECT r, unnest(cuts) AS cutoff FROM (VALUES
+    (1, [5, 10, 20, 40, 60, 80, 120, 160]), (2, [5500, 6000, 6500, 7000, 8000, 10000, 14000, 20000]),
+    (3, [20, 40, 80, 120, 160, 200, 250, 290]), (4, [-4500, -4200, -4000, -3800, -3500, -3000, -2500, -2000]),
+    (5, [5, 10, 20, 40, 80, 160, 320, 500])) t(r, cuts)
+), good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1
+), counts AS (
+  SELECT stratum, r, cutoff, count(*) AS n, count(*) FILTER (WHERE points[r] >= cutoff) AS k
+  FROM based, grid WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good) GROUP BY ALL
+), tails AS (
+  SELECT stratum, r, cutoff, CASE WHEN k >= n * 0.01 THEN 1 ELSE list_sum(list_transform(range(0, k + 1),
+    lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) END AS tail
+  FROM counts
+), held AS (
+  SELECT stratum, r, min(cutoff) AS cutoff FROM tails
+  WHERE tail <= 0.05 / (40 * (SELECT count(DISTINCT stratum) FROM based)) GROUP BY stratum, r
+), names(r, name) AS (VALUES (1, 'lines'), (2, 'long_words'), (3, 'repeats'), (4, 'short_words'), (5, 'symbols')
+), failed AS (
+  SELECT doc_id, string_agg(name, ' ' ORDER BY name) AS failed_rules
+  FROM based JOIN held USING (stratum) JOIN names USING (r) WHERE points[r] >= cutoff GROUP BY doc_id
+)
+SELECT based.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  coalesce(failed_rules, '') AS failed_rules, NOT base_failed AND failed_rules IS NULL AS kept
+FROM based LEFT JOIN failed ON failed.doc_id = based.doc_id
+"""
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_multiprobe_lsh": op2_multiprobe_lsh,
@@ -138,5 +247,9 @@ QUERIES = {
     "op8_ecoc_langid": op8_ecoc_langid,
     "op9_chat_format": op9_chat_format,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_risk_rules": op12_risk_rules,
+    "op13_importance": op13_importance,
 }
-ORACLE = {"op9_chat_format": OP9_SQL, "op10_jaccard_join": OP10_SQL}
+ORACLE = {"op9_chat_format": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op11_filter_audit": OP11_SQL,
+          "op12_risk_rules": OP12_SQL}
