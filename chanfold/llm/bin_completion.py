@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import zlib
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -229,29 +229,33 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end
     ids (little-endian unsigned 32-bit), ids_crc32.  Null text is empty."""
     common.python_tasks(docs.sparkSession)
 
-    def task(frames):
-        for frame in frames:
-            encoder = library_encoder(tokenizer_path)
-            rows = []
-            for doc_id, ids in zip(frame["id"], documents_ids(encoder, frame["text"].tolist(), end_id)):
+    names = ["doc_id", "piece", "start", "length", "ids", "ids_crc32"]
+
+    def task(batches):
+        encoder = library_encoder(tokenizer_path)
+        for batch in batches:
+            doc_ids, rows = batch.column("id").to_pylist(), []
+            for doc_id, ids in zip(doc_ids, documents_ids(encoder, batch.column("text"), end_id)):
                 data = ids.astype("<u4").tobytes()
                 cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
                 for k, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
                     own = data[4 * lo:4 * hi]
                     rows.append((doc_id, k, lo, hi - lo, own, zlib.crc32(own)))
                 if len(rows) >= 4096:
-                    yield _frame(rows)
+                    yield _batch(rows)
                     rows = []
-            yield _frame(rows)
+            yield _batch(rows)
+        del encoder
+        common.release()
 
-    def _frame(rows):
-        out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids", "ids_crc32"])
-        return out.astype({"doc_id": "Int64"})
+    def _batch(rows):
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+        return pa.record_batch([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return rows.mapInPandas(task, "doc_id long, piece int, start long, length long, ids binary, "
-                                  "ids_crc32 long")
+    return rows.mapInArrow(task, "doc_id long, piece int, start long, length long, ids binary, "
+                                 "ids_crc32 long")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -22,14 +22,17 @@ import heapq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chanfold.llm.common import csr_gather, python_tasks
+from chanfold.llm.common import csr_gather, python_tasks, release
 from chanfold.llm.tokens import PieceEncoder, documents_ids
 
 _NONE = np.iinfo(np.int32).max
+#: Bytes of texts whose new words are replayed together; bounds memory.
+GROUP_BYTES = 8 << 20
 
 
 class MergeTable:
@@ -171,9 +174,14 @@ def replay(words: list[bytes], table: MergeTable):
     return ids, lens
 
 
-def _encoder(path: str, pattern: str):
-    table = load_ranks(path)
-    words_of = regex.compile(pattern).findall
+_TABLES: dict[tuple, tuple] = {}                         # one merge table per file, of constant size
+
+
+def replay_encoder(path: str, pattern: str) -> tuple[PieceEncoder, MergeTable]:
+    """A new encoder, with no words yet, and the merge table."""
+    if (path, pattern) not in _TABLES:
+        _TABLES[path, pattern] = load_ranks(path), regex.compile(pattern).findall
+    table, words_of = _TABLES[path, pattern]
 
     def encode_many(pieces: list[str]):
         found = [words_of(p) for p in pieces]
@@ -185,18 +193,7 @@ def _encoder(path: str, pattern: str):
         ends = np.concatenate([[0], np.cumsum([len(ws) for ws in found])])
         return ids, np.diff(np.concatenate([[0], np.cumsum(each)])[ends])
 
-    return PieceEncoder(encode_many), table
-
-
-_ENCODERS: dict[tuple, tuple] = {}
-
-
-def replay_encoder(path: str, pattern: str) -> tuple[PieceEncoder, MergeTable]:
-    """Encoder and merge table, one per Python worker."""
-    key = (path, pattern)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = _encoder(path, pattern)
-    return _ENCODERS[key]
+    return PieceEncoder(encode_many, GROUP_BYTES), table
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -212,17 +209,20 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     ids and an empty table are allowed; other columns are ignored."""
     python_tasks(docs.sparkSession)
 
-    def task(frames):
-        for frame in frames:
-            encoder, _ = replay_encoder(path, pattern)
-            ids = documents_ids(encoder, frame["text"].tolist(), None)
-            for lo in range(0, len(frame), 512):
-                some = frame["doc_id"].iloc[lo:lo + 512].astype("Int64")
-                own = [next(ids) for _ in range(len(some))]
-                yield pd.DataFrame({"doc_id": some, "n_tokens": [len(x) for x in own],
-                                    "ids": [x.astype(np.int32) for x in own]})
+    def task(batches):
+        encoder, _ = replay_encoder(path, pattern)
+        for batch in batches:
+            ids = documents_ids(encoder, batch.column("text"), None)
+            for lo in range(0, batch.num_rows, 512):
+                some = batch.column("doc_id").slice(lo, 512)
+                own = [next(ids).astype(np.int32) for _ in range(len(some))]
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in own])])
+                yield pa.record_batch([some, pa.array(np.diff(ends)), pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(np.concatenate(own)))], names=["doc_id", "n_tokens", "ids"])
+        del encoder
+        release()
 
-    return _texts(docs, id_col, text_col).mapInPandas(task, "doc_id long, n_tokens long, ids array<int>")
+    return _texts(docs, id_col, text_col).mapInArrow(task, "doc_id long, n_tokens long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -245,18 +245,20 @@ def digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     decimal ids joined by one space) and decoded_sha256 (of the bytes)."""
     python_tasks(docs.sparkSession)
 
-    def task(frames):
-        for frame in frames:
-            encoder, table = replay_encoder(path, pattern)
-            if not hasattr(table, "decimals"):
-                table.decimals = np.array([str(i) for i in range(table.size)], object)
+    def task(batches):
+        encoder, table = replay_encoder(path, pattern)
+        if not hasattr(table, "decimals"):
+            table.decimals = np.array([str(i) for i in range(table.size)], object)
+        for batch in batches:
             rows = []
-            for doc_id, ids in zip(frame["doc_id"], documents_ids(encoder, frame["text"].tolist(), None)):
+            for ids in documents_ids(encoder, batch.column("text"), None):
                 decimal = " ".join(table.decimals[ids].tolist()).encode()
-                rows.append((doc_id, len(ids), hashlib.sha256(decimal).hexdigest(),
+                rows.append((len(ids), hashlib.sha256(decimal).hexdigest(),
                              hashlib.sha256(table.decode(ids).data).hexdigest()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                               ).astype({"doc_id": "Int64"})
+            yield pa.record_batch([batch.column("doc_id"), *map(pa.array, zip(*rows))],
+                                  names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        del encoder
+        release()
 
-    return _texts(docs, id_col, text_col).mapInPandas(
+    return _texts(docs, id_col, text_col).mapInArrow(
         task, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

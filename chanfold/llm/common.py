@@ -32,6 +32,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{FOLDER}/{name}-{uuid.uuid4().hex}"
 
 
+def arrow_uri(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system that Spark finds it in, in
+    the spelling of ``pyarrow.fs``."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    scheme, rest = str(fs.makeQualified(hpath).toString()).split(":", 1)
+    if scheme == "file":
+        return "file://" + rest.removeprefix("//")
+    return {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + rest
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a new shared folder and read back."""
     path = scratch_path(df.sparkSession, name)

@@ -13,7 +13,9 @@ hold ``BATCH_ROWS`` sequences (the last one fewer) of exactly ``seq_len`` ids:
 So sequence ``i`` of a memory-mapped file is a view into its buffers
 (``TokenFile``).  Files are written through ``pyarrow.fs``, hence to any store
 it knows, under a name of their own for each attempt; the manifest, a Parquet
-table committed by Spark, names the files of the attempts that count.
+table committed by Spark, names the files of the attempts that count.  A folder
+without a scheme belongs to Spark's default file system, not to the executor's
+own disk.
 
 Defined cases: null text is empty (its ids are the end id alone); documents
 with equal ids stand in the order of their texts; null ids come first; an
@@ -106,28 +108,31 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_i
     n_sequences and start (ids in all files before it)."""
     spark = docs.sparkSession
     common.python_tasks(spark)
-    folder = folder or common.scratch_path(spark, "token-files")
+    folder = common.arrow_uri(spark, folder or common.scratch_path(spark, "token-files"))
     id_type = pa.uint16() if vocab_size <= 1 << 16 else pa.uint32()
 
-    def task(frames):
-        writer = None
-        for frame in frames:
-            ids = documents_ids(library_encoder(tokenizer_path), frame["text"].tolist(), end_id)
-            for doc_id, own in zip(frame["id"].tolist(), ids):
+    def task(batches):
+        writer, encoder = None, library_encoder(tokenizer_path)
+        for batch in batches:
+            ids = documents_ids(encoder, batch.column("text"), end_id)
+            for doc_id, own in zip(batch.column("id").to_pylist(), ids):
                 if writer is None:
                     shard = TaskContext.get().partitionId()
                     uri = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.arrows"
                     writer = _Writer(uri, seq_len, id_type)
-                writer.add(None if pd.isna(doc_id) else int(doc_id), own)
+                writer.add(doc_id, own)
         if writer is not None:
             writer.close()
-            yield pd.DataFrame({"shard": [shard], "path": [uri], "n_docs": [writer.n_docs],
-                                "n_tokens": [writer.n_tokens], "n_sequences": [writer.n_sequences]})
+            yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([uri]), pa.array([writer.n_docs]),
+                                   pa.array([writer.n_tokens]), pa.array([writer.n_sequences])],
+                                  names=["shard", "path", "n_docs", "n_tokens", "n_sequences"])
+        del encoder
+        common.release()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange(F.col("id"), F.xxhash64("text")).sortWithinPartitions("id", "text")
-    manifest = common.written(ordered.mapInPandas(task, MANIFEST), "token-manifest")
+    manifest = common.written(ordered.mapInArrow(task, MANIFEST), "token-manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 

@@ -5,50 +5,157 @@ run of letters, digits or other characters, each with at most one leading
 space, and runs of white space.  No word crosses the start of a run of white
 space, a line feed between two other characters, or the place where
 punctuation follows a letter.  So the ids of a text are the ids of the pieces
-between such cuts, one after another.  Every distinct piece is encoded once and
-kept in a bounded table of the Python worker, which turns most of the work into
-look-ups and one array gather.
+between such cuts, one after another.
+
+Texts stay arrays of bytes: cuts are found for many texts at once, every piece
+is looked up by its bytes in a table (``spans.Dictionary``), and only pieces that
+are new to the task are encoded by the library.  The ids of all texts are then
+one array gather.  A table lives as long as its task, in bounded memory.
 """
 
 from __future__ import annotations
 
 import os
-import re
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+
+from chanfold.llm.common import csr_gather
+from chanfold.llm.spans import Dictionary, Grown, distinct, hashes, joined, runs, text_slices
+
+#: Bytes of a table, of the longest piece that is kept, and of texts cut at a
+#: time; pieces encoded at a time.  They bound memory, not results.
+TABLE_BYTES, MAX_PIECE_BYTES, GROUP_BYTES, ENCODE_PIECES = 64 << 20, 64, 2 << 20, 1 << 18
+
+_SPACE, _OTHER, _LETTER, _TAIL, _SOLID = 1, 2, 4, 8, 16
+_MARK = 0xFF                                             # no byte of UTF-8
+_KIND = np.array([(_SPACE if b in b" \n" else 0) | (_OTHER if b in b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f" else 0)
+                  | (_LETTER if b < 128 and chr(b).isalpha() else 0) | (_TAIL if b in b",.!?;:|$#%&*" else 0)
+                  | (_SOLID if 33 <= b < 127 else 0) for b in range(256)], np.uint8)
+#: First bytes of the white space beyond ASCII (and of other characters).
+_WIDE = np.zeros(256, bool)
+_WIDE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def pieces(data: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the pieces of texts (``spans.joined`` with two
+    marks ahead).  Where a byte may belong to white space beyond ASCII there is
+    no cut."""
+    end = int(texts[-1])
+    kind = _KIND[data[:end]]
+    bound = np.zeros(end + 1, bool)
+    bound[0] = True
+    bound[texts] = True
+    bound[texts[1:] - 1] = True
+    at = np.flatnonzero(kind & _SPACE)
+    last, before = data[at - 1], data[at - 2]
+    blank = (kind[at - 1] & (_SPACE | _OTHER)) > 0
+    blank |= (before == 0xC2) & ((last == 0x85) | (last == 0xA0))
+    blank |= ((before == 0x9A) | (before == 0x80) | (before == 0x81)) & (last >= 0x80) & (last < 0xB0)
+    at = at[~blank]
+    bound[at] = True
+    line = at[data[at] == 10]
+    bound[line[((kind[line + 1] & (_SPACE | _OTHER)) == 0) & ~_WIDE[data[line + 1]]] + 1] = True
+    at, lens = runs((kind & _TAIL) > 0)
+    last, before = data[at - 1], data[at - 2]
+    letter = (kind[at - 1] & _LETTER) > 0
+    letter |= ((before >= 0xC3) & (before <= 0xC5) & (last >= 0x80) & (last < 0xC0)
+               & ~((before == 0xC3) & ((last == 0x97) | (last == 0xB7))))
+    bound[at[letter & bound[at + lens]]] = True
+    starts = np.flatnonzero(bound[:end])
+    lens = np.diff(np.append(starts, end))
+    real = data[starts] != _MARK
+    return starts[real], lens[real]
+
+
+def segments(data: np.ndarray, most: int):
+    """A long text in parts of about ``most`` bytes, cut where pieces are cut."""
+    lo = 0
+    while lo < len(data):
+        hi = lo
+        while hi < len(data):
+            size = max(most, 2 * (hi - lo))
+            hi = min(lo + size, len(data))
+            if hi == len(data):
+                break
+            cuts = np.flatnonzero((data[lo + 1:hi] == 32) & ((_KIND[data[lo:hi - 1]] & _SOLID) > 0))
+            if len(cuts):
+                hi = lo + 1 + int(cuts[-1])
+                break
+        yield data[lo:hi]
+        lo = hi
 
-from chanfold.llm.common import batches, csr_gather
-
-#: Distinct pieces a worker keeps, longest piece that is kept, characters cut
-#: at a time, and pieces encoded and gathered at a time.  They bound memory,
-#: not results.
-MAX_PIECES, MAX_PIECE_CHARS, GROUP_CHARS = 350_000, 64, 2 << 20
-ENCODE_PIECES, GATHER_PIECES = 1 << 18, 1 << 17
-
-_RUNS = ("  ", " \n", "\n\n", "\n ")
-_RARE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
-_TAIL = ",.!?;:|$#%&*"
 
+class PieceEncoder:
+    """ids of texts from ``encode_many(pieces) -> (flat ids, lengths)``."""
 
-def cut(text: str) -> list[str]:
-    """Pieces of a text; ``"".join(cut(t)) == t``."""
-    if any(w in text for w in _RUNS) or any(w in text for w in _RARE):
-        return re.split(r"(?<=\S)(?= )", text)
-    out: list[str] = []
-    for k, line in enumerate(text.split("\n")):
-        if k:
-            out.append("\n")
-        first, *rest = line.split(" ")
-        out.append(first)
-        out += [" " + w for w in rest]
-    return out
+    def __init__(self, encode_many, group_bytes: int | None = None):
+        self.encode_many = encode_many
+        self.group_bytes = group_bytes or GROUP_BYTES
+        self._start(Dictionary(), np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
+    def _start(self, book: Dictionary, ids: np.ndarray, lens: np.ndarray) -> None:
+        self.book, self.ids = book, Grown(np.uint32, ids)
+        self.ends = Grown(np.int64, np.concatenate([[0], np.cumsum(lens)]))
+        self.uses = np.ones(len(book), np.int64)
 
-def stem(piece: str) -> str:
-    """The piece without the punctuation after its last letter."""
-    bare = piece.rstrip(_TAIL)
-    return bare if bare and bare[-1].isalpha() and bare[-1] < "\u0250" else piece
+    def _forget(self) -> None:
+        """Keep what was asked for more than once."""
+        keep = np.flatnonzero(self.uses > 1)
+        if 2 * len(keep) > len(self.book):
+            keep = keep[:0]
+        old, book = self.book, Dictionary()
+        book.add(old.bytes.all, old.starts.all[keep], old.lens.all[keep], old.keys.all[keep])
+        self._start(book, *csr_gather(self.ends.all, self.ids.all, keep))
+
+    def encode(self, texts: pa.Array):
+        """Yields for groups of consecutive texts: the ids of all, and the
+        number of ids of each."""
+        for _, offsets, data in text_slices(texts, self.group_bytes):
+            if len(offsets) == 2 and len(data) > 2 * self.group_bytes:
+                own = [self._encode(np.array([0, len(part)]), part)[0] for part in segments(data, self.group_bytes)]
+                yield np.concatenate(own), np.array([sum(map(len, own))])
+            else:
+                yield self._encode(offsets, data)
+
+    def _encode(self, offsets: np.ndarray, data: np.ndarray):
+        data, texts = joined(offsets, data, _MARK, 2)
+        starts, lens = pieces(data, texts)
+        keys = hashes(data, starts, lens)
+        picks = self.book.find(data, starts, lens, keys)
+        new = np.flatnonzero(picks < 0)
+        if len(new):
+            picks[new] = self._learn(data, starts[new], lens[new], keys[new])
+        ids, sizes = csr_gather(self.ends.all, self.ids.all, picks)
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        out = ids, np.diff(upto[np.searchsorted(starts, texts)])
+        kept = len(self.book)                            # longer pieces are not kept
+        self.ends.n, self.ids.n = kept + 1, int(self.ends.room[kept])
+        used = np.bincount(picks[picks < kept], minlength=kept)
+        used[:len(self.uses)] += self.uses
+        self.uses = used
+        if self.book.size + 4 * self.ids.n + 16 * kept > TABLE_BYTES:
+            self._forget()
+        return out
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, lens: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Numbers of pieces that are not in the table; long ones get the last."""
+        same = distinct(data, starts, lens, keys)
+        first = np.flatnonzero(same == np.arange(len(same)))
+        long = lens[first] > MAX_PIECE_BYTES
+        first = first[np.argsort(long, kind="stable")]
+        number = np.empty(len(same), np.int64)
+        number[first] = len(self.book) + np.arange(len(first))
+        whole = data.tobytes()
+        names = [whole[a:b].decode("utf-8") for a, b in zip(starts[first].tolist(), (starts + lens)[first].tolist())]
+        for lo in range(0, len(names), ENCODE_PIECES):
+            ids, sizes = self.encode_many(names[lo:lo + ENCODE_PIECES])
+            self.ids.add(np.asarray(ids, np.uint32))
+            self.ends.add(self.ends.all[-1] + np.cumsum(sizes))
+        short = first[:len(first) - int(long.sum())]
+        self.book.add(data, starts[short], lens[short], keys[short])
+        return number[same]
 
 
 def is_plain(piece: str) -> bool:
@@ -59,148 +166,69 @@ def is_plain(piece: str) -> bool:
             and "\0" not in piece)
 
 
-class _Index(dict):
-    """Numbers of pieces in the order in which they are first asked for."""
-
-    def __missing__(self, piece: str) -> int:
-        self[piece] = n = len(self)
-        return n
-
-
-class PieceEncoder:
-    """ids of texts from ``encode_many(pieces) -> (flat ids, lengths)``."""
-
-    def __init__(self, encode_many):
-        self.encode_many = encode_many
-        self.index = _Index({"": 0})
-        self.offsets, self.flat = np.zeros(2, np.int64), np.zeros(0, np.uint32)
-        self.uses = np.zeros(1, np.int64)
-
-    def _forget(self) -> None:
-        """Keep what was asked for more than once."""
-        keep = self.uses > 1
-        keep[0] = True
-        if 2 * keep.sum() > MAX_PIECES:
-            keep[1:] = False
-        at = np.flatnonzero(keep)
-        names = np.array(list(self.index), object)[at].tolist()
-        self.flat, lens = csr_gather(self.offsets, self.flat, at)
-        self.offsets = np.concatenate([[0], np.cumsum(lens)])
-        self.index = _Index(zip(names, range(len(names))))
-        self.uses = np.ones(len(names), np.int64)
-
-    def _learn(self, pieces: list[str]) -> None:
-        """ids of pieces that just got the last numbers of the index."""
-        index, start = self.index, len(self.index) - len(pieces)
-        own: dict[str, int] = {}
-        pairs = np.empty((len(pieces), 2), np.int64)
-        for k, p in enumerate(pieces):
-            s = stem(p)
-            for side, atom in enumerate((s, p[len(s):])):
-                known = index.get(atom, start)
-                pairs[k, side] = known if known < start else start + own.setdefault(atom, len(own))
-        atoms = list(own)
-        got = [self.encode_many(atoms[lo:lo + ENCODE_PIECES]) for lo in range(0, len(atoms), ENCODE_PIECES)]
-        flat = np.concatenate([self.flat, *(np.asarray(f, np.uint32) for f, _ in got)])
-        offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.concatenate(
-            [np.zeros(0, np.int64), *(np.asarray(n, np.int64) for _, n in got)]))])
-        ids, lens = csr_gather(offsets, flat, pairs.ravel())
-        # Stems that are no pieces themselves are kept too: they come again.
-        more = [a for a in atoms if a not in index]
-        more_ids, more_lens = csr_gather(offsets, flat, np.array([start + own[a] for a in more], np.int64))
-        for a in more:
-            index[a]
-        self.flat = np.concatenate([self.flat, ids, more_ids])
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(
-            np.concatenate([lens.reshape(-1, 2).sum(axis=1), more_lens]))])
-
-    def encode(self, texts: list[str]):
-        """Yields for groups of consecutive texts: the ids of all, and the
-        number of ids of each."""
-        for part in batches([len(t) for t in texts], GROUP_CHARS):
-            yield from self._encode([cut(t) for t in texts[part]])
-
-    def _encode(self, cuts: list[list[str]]):
-        if len(self.index) > MAX_PIECES:
-            self._forget()
-        start = len(self.index)
-        picks = np.fromiter(map(self.index.__getitem__, chain.from_iterable(cuts)), np.int64,
-                            sum(map(len, cuts)))
-        new = list(islice(reversed(self.index), len(self.index) - start))[::-1]
-        if new:
-            self._learn(new)
-        self.uses = np.bincount(picks, minlength=len(self.index)) + np.pad(
-            self.uses, (0, len(self.index) - len(self.uses)))
-        done = 0
-        for part in batches([len(c) for c in cuts], GATHER_PIECES):
-            ends = np.concatenate([[0], np.cumsum([len(c) for c in cuts[part]])])
-            ids, lens = csr_gather(self.offsets, self.flat, picks[done:done + ends[-1]])
-            done += ends[-1]
-            yield ids, np.diff(np.concatenate([[0], np.cumsum(lens)])[ends])
-        if any(len(w) > MAX_PIECE_CHARS for w in new):  # passages without a space are not kept
-            while len(self.index) > start:
-                self.index.popitem()
-            self.offsets, self.uses = self.offsets[:start + 1].copy(), self.uses[:start]
-            self.flat = self.flat[:self.offsets[-1]].copy()
-
-
-_ENCODERS: dict[tuple, PieceEncoder] = {}
+_LIBRARY: dict[str, object] = {}                         # one tokenizer per file, of constant size
 
 
 def library_encoder(path: str) -> PieceEncoder:
-    """Encoder of a ``tokenizers`` file, one per Python worker; strings of
+    """A new encoder of a ``tokenizers`` file, with an empty table; strings of
     special tokens inside a text are ordinary text."""
-    key = ("tokenizers", path)
-    if key not in _ENCODERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
-
-        def one_by_one(pieces):
-            ids = [e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
-            return (np.fromiter(chain.from_iterable(ids), np.uint32),
-                    np.fromiter(map(len, ids), np.int64, len(ids)))
-
-        # One text of many pieces is encoded faster than many texts.  A line
-        # feed (or, where white space has no ids, a zero byte) between two
-        # pieces is a token of its own and occurs in none of them.
-        mark = next(m for m in ("\n", " \0 ")
-                    if len(tok.encode(f"a{m}b", add_special_tokens=False).ids) == 3)
-        mark_id = tok.encode(mark, add_special_tokens=False).ids
-
-        def together(pieces):
-            if len(mark_id) != 1 or not pieces:
-                return one_by_one(pieces)
-            text = mark.join(pieces) + mark
-            ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.flatnonzero(ids == mark_id[0])
-            if len(ends) != len(pieces):
-                return one_by_one(pieces)
-            return np.delete(ids, ends), np.diff(np.concatenate([[-1], ends])) - 1
-
-        def encode_many(pieces):
-            odd = [not is_plain(p) for p in pieces]
-            order = np.argsort(odd, kind="stable")
-            plain = [p for p, o in zip(pieces, odd) if not o]
-            got = [together(plain[lo:lo + 8192]) for lo in range(0, len(plain), 8192)]
-            strange = [p for p, o in zip(pieces, odd) if o]
-            got += [one_by_one(strange[lo:lo + 1024]) for lo in range(0, len(strange), 1024)]
-            flat = np.concatenate([ids for ids, _ in got])
-            lens = np.concatenate([n for _, n in got])
-            if not strange:
-                return flat, lens
-            back = np.empty(len(order), np.int64)
-            back[order] = np.arange(len(order))
-            return csr_gather(np.concatenate([[0], np.cumsum(lens)]), flat, back)
-
-        _ENCODERS[key] = PieceEncoder(encode_many)
-    return _ENCODERS[key]
-
-
-def documents_ids(encoder: PieceEncoder, texts: list[str], end_id: int | None):
-    """Yields one uint32 array of ids per text, with ``end_id`` appended."""
+    if path not in _LIBRARY:
+        _LIBRARY[path] = _library(path)
+    return PieceEncoder(_LIBRARY[path])
+
+
+def _library(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+
+    def one_by_one(pieces):
+        ids = [e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        return (np.fromiter(chain.from_iterable(ids), np.uint32),
+                np.fromiter(map(len, ids), np.int64, len(ids)))
+
+    # One text of many pieces is encoded faster than many texts.  A line
+    # feed (or, where white space has no ids, a zero byte) between two
+    # pieces is a token of its own and occurs in none of them.
+    mark = next(m for m in ("\n", " \0 ")
+                if len(tok.encode(f"a{m}b", add_special_tokens=False).ids) == 3)
+    mark_id = tok.encode(mark, add_special_tokens=False).ids
+
+    def together(pieces):
+        if len(mark_id) != 1 or not pieces:
+            return one_by_one(pieces)
+        text = mark.join(pieces) + mark
+        ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(ids == mark_id[0])
+        if len(ends) != len(pieces):
+            return one_by_one(pieces)
+        return np.delete(ids, ends), np.diff(np.concatenate([[-1], ends])) - 1
+
+    def encode_many(pieces):
+        odd = [not is_plain(p) for p in pieces]
+        order = np.argsort(odd, kind="stable")
+        plain = [p for p, o in zip(pieces, odd) if not o]
+        got = [together(plain[lo:lo + 8192]) for lo in range(0, len(plain), 8192)]
+        strange = [p for p, o in zip(pieces, odd) if o]
+        got += [one_by_one(strange[lo:lo + 1024]) for lo in range(0, len(strange), 1024)]
+        flat = np.concatenate([ids for ids, _ in got])
+        lens = np.concatenate([n for _, n in got])
+        if not strange:
+            return flat, lens
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return csr_gather(np.concatenate([[0], np.cumsum(lens)]), flat, back)
+
+    return encode_many
+
+
+def documents_ids(encoder: PieceEncoder, texts, end_id: int | None):
+    """Yields one uint32 array of ids per text (null: empty) of a list or an
+    Arrow array, with ``end_id`` appended."""
     tail = np.array([] if end_id is None else [end_id], np.uint32)
-    for ids, lens in encoder.encode(texts):
-        for doc in np.split(ids, np.cumsum(lens)[:-1]):
-            yield np.concatenate([doc, tail])
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    for ids, lens in encoder.encode(column):
+        ends = np.cumsum(lens).tolist()
+        for lo, hi in zip([0, *ends], ends):
+            yield np.concatenate([ids[lo:hi], tail])

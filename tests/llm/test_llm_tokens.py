@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from chanfold.llm import bin_completion, bpe_replay, token_files, tokens
+from chanfold.llm import bin_completion, bpe_replay, spans, token_files, tokens
 
 ODD_TEXTS = ["", " ", "  a  b ", "a\n b  c", "x'll don't 123456 ... $$$ \r\n\t\t  z", "　  q",
              "日本語テキスト 🙂🙂 é \x85 a\x1c b", "a \n b  \n", "<|endoftext|> <|startoftext|> x", "a\x00b \x00 c",
@@ -49,19 +49,34 @@ def ordered(rows):
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_pieces_give_the_librarys_ids(name, monkeypatch):
-    monkeypatch.setattr(tokens, "MAX_PIECES", 200)   # the table is emptied again and again
-    monkeypatch.setattr(tokens, "GROUP_CHARS", 2000)
-    monkeypatch.setattr(tokens, "GATHER_PIECES", 100)
-    monkeypatch.setattr(tokens, "_ENCODERS", {})
-    texts = ODD_TEXTS + random_texts()
+    monkeypatch.setattr(tokens, "TABLE_BYTES", 20_000)   # the table is emptied again and again
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 2000)
+    monkeypatch.setattr(tokens, "MAX_PIECE_BYTES", 12)
+    texts = ODD_TEXTS + random_texts() + [" ".join(random_texts(60, 8)), "u" * 9000, "é" * 5000 + " a"]
     got = list(tokens.documents_ids(tokens.library_encoder(P.path(name)), texts, None))
     want = library(name).encode_batch(texts, add_special_tokens=False)
     assert [g.tolist() for g in got] == [w.ids for w in want]
 
 
-def test_cut_keeps_every_character():
-    for t in ODD_TEXTS + random_texts(100, 9):
-        assert "".join(tokens.cut(t)) == t
+def test_pieces_keep_every_character():
+    texts = ODD_TEXTS + random_texts(100, 9)
+    own = [t.encode() for t in texts]
+    data, starts = spans.joined(np.cumsum([0, *map(len, own)]), np.frombuffer(b"".join(own), np.uint8), 0xFF, 2)
+    at, lens = tokens.pieces(data, starts)
+    cuts = np.searchsorted(at, starts)
+    for k, t in enumerate(own):
+        some = range(cuts[k], cuts[k + 1])
+        assert b"".join(data[at[i]:at[i] + lens[i]].tobytes() for i in some) == t
+    long = " ".join(texts).encode() * 3
+    assert b"".join(p.tobytes() for p in tokens.segments(np.frombuffer(long, np.uint8), 300)) == long
+
+
+def test_ids_of_a_long_text():
+    text = "the word, " * 2_000_000
+    (ids,) = tokens.documents_ids(tokens.library_encoder(P.path("byte_bpe_50k.json")), [text], 2)
+    own = library("byte_bpe_50k.json").encode("the word, the word, ", add_special_tokens=False).ids
+    assert len(ids) == 6_000_002 and ids[:3].tolist() == own[:3] and ids[3:6].tolist() == own[3:6]
+    assert (ids[3:-2].reshape(-1, 3) == ids[3:6]).all()
 
 
 def test_token_files(spark, docs):
@@ -194,7 +209,7 @@ def ranks():
 
 
 def test_replay_is_tiktoken(ranks, monkeypatch):
-    monkeypatch.setattr(tokens, "GROUP_CHARS", 5000)
+    monkeypatch.setattr(bpe_replay, "GROUP_BYTES", 5000)
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     encoder, table = bpe_replay.replay_encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
     texts = ODD_TEXTS + random_texts(400, 3)
