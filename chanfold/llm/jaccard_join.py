@@ -5,23 +5,26 @@ word shingles.  The steps, each a Spark job over all rows:
 
 1. Texts with equal sets form a class; a class is one node from here on.
 2. Similar nodes are put into groups: nodes that agree in a band of min-hashes
-   are compared with that band's leader, and the links found this way make the
-   groups (their connected components).
+   are compared with the node of that band's bucket that shares most buckets
+   with others, and the links found this way make the groups (their connected
+   components).
 3. The token-group matrix holds, for each token, the groups with that token in
-   the union of their members' prefixes.  A node's prefix is its
-   ``n - ceil(percent * n / 100) + 1`` first tokens in one order of all tokens;
-   nodes that link share a token of their prefixes.  So the overlap of a
-   node's prefix with a group's row bounds what it can share with any member:
-   only groups with an overlap, and with members of a fitting size, are opened.
-4. Members of opened groups that share a prefix token with the node are first
-   held against a bound from short signatures, then compared exactly; the
-   components of all links are the result.
+   the union of their members' prefixes.  A node's prefix is its ``n - need + k``
+   first tokens in one order of all tokens, where ``need`` is the least overlap
+   with a linked set and ``k`` grows with n.  Nodes that link share at least the
+   smaller ``k`` of the two within their prefixes, so the overlap of two rows of
+   the matrix bounds what any two members can share: a group opens another one
+   only if the overlap of their rows reaches the smaller ``k`` of their members,
+   and if some members' sizes fit.
+4. Members of groups that open each other meet as blocks.  Short signatures rule
+   out nearly all pairs that do not link; the others are compared exactly, and
+   the components of all links are the result.
 
 Links inside a group need no search, since components do not change by them;
 so a group of thousands of near copies costs a comparison or two per member.
-The token order puts tokens of many texts last (the ``most_common`` most
-frequent ones, from counts over all texts).  It decides how many groups are
-opened, never which links are found.
+The token order puts frequent tokens last (those of several sets of a sample,
+the ``most_common`` most frequent of them, in ascending order).  It decides how
+many groups are opened, never which links are found.
 """
 
 from __future__ import annotations
@@ -31,20 +34,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chanfold.llm.common import delete, python_tasks, written
+from chanfold.llm.common import delete, mix, python_tasks, release, written
 from chanfold.llm.components import components
-from chanfold.llm.shingles import mix, shingle_sets
+from chanfold.llm.shingles import column_sets
 
 BANDS, ROWS = 6, 3
-#: A token is counted if a block of texts holds it in this many different sets,
-#: and is common from this many sets on.
-BLOCK_SETS, COMMON_SETS = 3, 8
+#: One of so many sets is in the sample that orders tokens.
+SAMPLE = 32
+#: A prefix is one token longer for each so many tokens of a set.
+STEP = 40
+#: A token in more groups than this is joined once per pair of groups, unless a
+#: group has more than ``HOT_TOKENS`` of them.
+HOT_GROUPS, HOT_TOKENS = 32, 256
+#: Members and shingles of a block, on average at most.
+BLOCK_NODES, BLOCK_SHINGLES = 32, 1 << 17
+#: Sets up to this size are given by 16 bits of each shingle, larger ones by 32.
+SMALL_SET = 8192
 #: Rows up to which a side is broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 
 _FACTORS = np.random.default_rng(31).integers(1, 1 << 62, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SKETCH = ("doc_id long, text_hash long, n long, f1 long, f2 long, bands array<long>, "
-          "token long, sets long")
+          "token long, of_set int")
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -58,68 +69,92 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        text.alias("text"))
 
 
+def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sets that are not empty, laid end to end: their numbers, starts and items."""
+    full = np.array([i for i, s in enumerate(sets) if len(s)], np.int64)
+    starts = np.cumsum([0, *(len(sets[i]) for i in full)])[:-1]
+    return full, starts, np.concatenate([sets[i] for i in full]) if len(full) else np.zeros(0, np.uint64)
+
+
 def _fingerprints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    f1 = np.array([np.add.reduce(mix(s ^ np.uint64(77))) if len(s) else 0 for s in sets], np.uint64)
-    f2 = np.array([np.bitwise_xor.reduce(s) if len(s) else 0 for s in sets], np.uint64)
+    """128 bits of each set (0 for empty ones)."""
+    f1, f2 = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
+    full, starts, flat = _flat(sets)
+    if len(full):
+        f1[full] = np.add.reduceat(mix(flat ^ np.uint64(77)), starts)
+        f2[full] = np.bitwise_xor.reduceat(flat, starts)
     return f1.view(np.int64), f2.view(np.int64)
 
 
+def _bands(sets: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros((len(sets), BANDS), np.uint64)
+    full, starts, flat = _flat(sets)
+    if len(full):
+        low = np.stack([mix(np.minimum.reduceat(mix(flat * f), starts)) for f in _FACTORS])
+        low = low.reshape(BANDS, ROWS, -1)
+        out[full] = mix(sum(low[:, r] * np.uint64(2 * r + 1) for r in range(ROWS))).T
+    return out.view(np.int64)
+
+
 def sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """A row per text (set size, 128-bit fingerprint, band keys) and, with null
-    n, a row per token that many sets of a block hold."""
+    n, the tokens of the sets in the sample with bits of their set."""
     python_tasks(docs.sparkSession)
+    names = ["doc_id", "text_hash", "n", "f1", "f2", "bands", "token", "of_set"]
 
     def task(batches):
         for batch in batches:
-            sets = shingle_sets(batch.column("text").to_pylist(), width)
-            n = np.array([len(s) for s in sets], np.int64)
-            f1, f2 = _fingerprints(sets)
-            bands = np.zeros((len(sets), BANDS), np.uint64)
-            for i, s in enumerate(sets):
-                if len(s):
-                    low = np.array([mix(s * f).min() for f in _FACTORS]).reshape(BANDS, ROWS)
-                    bands[i] = mix(low[:, 0] + np.uint64(3) * mix(low[:, 1]) + np.uint64(5) * mix(~low[:, 2]))
-            bands = bands.view(np.int64)
-            size = len(sets)
-            null = pa.nulls(size, pa.int64())
-            keys = pa.ListArray.from_arrays(pa.array(np.arange(size + 1) * BANDS, pa.int32()),
-                                            pa.array(bands.ravel()))
-            yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(n),
-                                   pa.array(f1), pa.array(f2), keys, null, null], names=names)
-            seen = {(a, b): i for i, (a, b) in enumerate(zip(f1.tolist(), f2.tolist()))}
-            if seen:
-                flat = np.concatenate([sets[i] for i in seen.values()])
-                del sets
-                flat.sort()
-                more = BLOCK_SETS - 1
-                token = np.unique(flat[more:][flat[more:] == flat[:len(flat) - more]])
-                times = np.searchsorted(flat, token, "right") - np.searchsorted(flat, token)
-                token = token.view(np.int64)
-                null = pa.nulls(len(token), pa.int64())
-                yield pa.record_batch([null, null, null, null, null, pa.nulls(len(token), pa.list_(pa.int64())),
-                                       pa.array(token), pa.array(times)], names=names)
-
-    names = ["doc_id", "text_hash", "n", "f1", "f2", "bands", "token", "sets"]
-    return _rows(docs, id_col, text_col).mapInArrow(task, SKETCH)
-
-
-def _common_tokens(sketch: DataFrame, most_common: int) -> np.ndarray:
-    """The most frequent tokens, at most ``most_common`` of them, sorted."""
-    counts = (sketch.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("sets").alias("sets"))
-              .where(F.col("sets") >= COMMON_SETS).orderBy(F.desc("sets"), "token").limit(most_common))
-    got = counts.select("token").toPandas()["token"].to_numpy(np.int64)
-    return np.sort(got.view(np.uint64))
-
+            lo, seen = 0, set()
+            for sets in column_sets(batch.column("text"), width):
+                size, some = len(sets), batch.slice(lo, len(sets))
+                lo += size
+                f1, f2 = _fingerprints(sets)
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(size + 1) * BANDS, pa.int32()),
+                                                pa.array(_bands(sets).ravel()))
+                yield pa.record_batch([some.column("doc_id"), some.column("text_hash"),
+                                       pa.array([len(s) for s in sets], pa.int64()), pa.array(f1), pa.array(f2), keys,
+                                       pa.nulls(size, pa.int64()), pa.nulls(size, pa.int32())], names=names)
+                own = [i for i in np.flatnonzero(f1 % SAMPLE == 0).tolist()
+                       if len(sets[i]) and f1[i] not in seen and not seen.add(f1[i])]
+                if own:
+                    token = np.concatenate([sets[i] for i in own]).view(np.int64)
+                    of_set = np.repeat((f1[own] >> 32).astype(np.int32), [len(sets[i]) for i in own])
+                    none = pa.nulls(len(token), pa.int64())
+                    yield pa.record_batch([none, none, none, none, none, pa.nulls(len(token), pa.list_(pa.int64())),
+                                           pa.array(token), pa.array(of_set)], names=names)
+        release()
 
-def _needs(n: Column, percent: int) -> Column:
-    """Least overlap of a set of size n with any set it links to."""
-    return F.ceil(n * percent / 100)
+    return _rows(docs, id_col, text_col).mapInArrow(task, SKETCH)
 
 
-def _per_node(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, name: str, work) -> DataFrame:
-    """A written row for each node of ``pairs``, made by ``work`` of (nid, text)."""
-    wanted = written(pairs.select(F.col("a").alias("nid")).union(pairs.select("b")).distinct()
-                     .join(nodes.select("nid", "doc_id", "text_hash"), "nid"), "wanted")
+def _late_tokens(sketch: DataFrame, most_common: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of several sets of the sample, sorted, at most ``most_common`` of
+    them, and the rank of each by its number of sets."""
+    counts = (sketch.where(F.col("token").isNotNull()).groupBy("token")
+              .agg(F.count(F.lit(1)).alias("sets"), F.min("of_set").alias("lo"), F.max("of_set").alias("hi"))
+              .where("lo <> hi").orderBy(F.desc("sets"), "token").limit(most_common))
+    got = counts.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(got)
+    return got[order], (len(got) - order).astype(np.int32)
+
+
+def _prefix(s: np.ndarray, late: np.ndarray, rank: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The prefix of a set, and how many of its last tokens are late ones."""
+    need = -(-len(s) * percent // 100)
+    size = len(s) - need + min(need, 1 + len(s) // STEP)
+    at = np.minimum(np.searchsorted(late, s), max(len(late) - 1, 0))
+    is_late = late[at] == s if len(late) else np.zeros(len(s), bool)
+    early = s[~is_late][:size]
+    if len(early) == size:
+        return early, 0
+    last = s[is_late][np.argsort(rank[at[is_late]])][:size - len(early)]
+    return np.concatenate([early, last]), len(last)
+
+
+def _per_node(nodes_wanted: DataFrame, docs: DataFrame, name: str, work) -> DataFrame:
+    """A written row for each wanted node (nid, doc_id, text_hash), made by
+    ``work`` of (nid, text)."""
+    wanted = written(nodes_wanted, "wanted")
     found = written(work(docs.join(_bounded(wanted), ["doc_id", "text_hash"]).select("nid", "text")), name)
     # Rows that repeat id and text are the same node.
     once = found if found.count() == wanted.count() else written(found.dropDuplicates(["nid"]), name)
@@ -127,66 +162,28 @@ def _per_node(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, name: str, wo
     return once
 
 
-def _sides(pairs: DataFrame, rows: DataFrame, *names: str) -> DataFrame:
-    """``pairs`` (a, b) with the columns of both nodes, as name_a and name_b."""
-    for side in ("a", "b"):
-        pairs = pairs.join(rows.select(F.col("nid").alias(side), *(F.col(n).alias(f"{n}_{side}") for n in names)), side)
-    return pairs.select("a", "b", *(f"{n}_{side}" for n in names for side in ("a", "b")))
-
-
-def _sifted(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """``pairs`` without those that a bound rules out.
-
-    A node is given by 16 bits of each second token.  A token of A whose bits
-    do not occur in B is not in B, so ``|A & B| <= |A| - missing``, and the same
-    from B; a pair that could not link even then is dropped."""
-    def half(texts):
-        for batch in texts:
-            sets = shingle_sets(batch.column("text").to_pylist(), width)
-            bits = [np.unique((s[s & np.uint64(1) == 0] >> np.uint64(24)).astype(np.uint16)).tobytes() for s in sets]
-            yield pa.record_batch([batch.column("nid"), pa.array([len(s) for s in sets], pa.int64()),
-                                   pa.array(bits, pa.binary())], names=["nid", "n", "bits"])
-
-    rows = _per_node(pairs, docs, nodes, "signatures",
-                     lambda t: t.mapInArrow(half, "nid long, n long, bits binary"))
-
-    def task(batches):
-        for batch in batches:
-            keep = []
-            cols = [batch.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b")]
-            for n_a, n_b, x, y in zip(*cols):
-                x, y = np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)
-                # Tokens with equal bits count as found: only surplus bits are surely missing.
-                lost_a = len(np.setdiff1d(x, y, assume_unique=True))
-                lost_b = len(np.setdiff1d(y, x, assume_unique=True))
-                most = min(n_a - lost_a, n_b - lost_b)
-                keep.append(100 * most >= percent * (n_a + n_b - most))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    out = written(_sides(pairs, rows, "n", "bits").mapInArrow(task, "a long, b long"), "sifted")
-    delete(docs.sparkSession, rows)
-    return out
-
-
 def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of ``pairs`` (a, b) of nodes, those that link.  ``docs``: doc_id,
+    """Of written ``pairs`` (a, b) of nodes, those that link.  ``docs``: doc_id,
     text_hash, text; ``nodes``: nid, doc_id, text_hash."""
-    texts = _per_node(pairs, docs, nodes, "texts", lambda t: t)
+    ends = pairs.select(F.col("a").alias("nid")).union(pairs.select("b")).distinct()
+    texts = _per_node(ends.join(nodes.select("nid", "doc_id", "text_hash"), "nid"), docs, "texts", lambda t: t)
 
     def task(batches):
         for batch in batches:
-            keep = []
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                one = shingle_sets(part.column("text_a").to_pylist(), width)
-                two = shingle_sets(part.column("text_b").to_pylist(), width)
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                one, two = ([s for some in column_sets(part.column(c), width) for s in some] for c in ("text_a", "text_b"))
+                keep = []
                 for x, y in zip(one, two):
                     both = len(x) + len(y)
                     shared = both - len(np.union1d(x, y))
                     keep.append(100 * shared >= percent * (both - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
 
-    links = written(_sides(pairs, texts, "text").mapInArrow(task, "a long, b long"), "links")
+    for side in ("a", "b"):
+        pairs = pairs.join(texts.select(F.col("nid").alias(side), F.col("text").alias(f"text_{side}")), side)
+    links = written(pairs.select("a", "b", "text_a", "text_b").mapInArrow(task, "a long, b long"), "links")
     delete(docs.sparkSession, texts)
     return links
 
@@ -198,95 +195,211 @@ def _group_of(nodes: DataFrame, links: DataFrame) -> DataFrame:
         "nid", F.coalesce("component", "nid").alias("grp"))
 
 
-def join(docs: DataFrame, percent: int = 75, width: int = 5, most_common: int = 500_000,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_hash (xxhash64 of the text),
-    n_shingles (size of the set), component_id (smallest doc_id reachable by links, itself
-    included) and n_copies (rows with the same set, itself included).
+def _similar(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between nodes and the leaders of their buckets.  A bucket's leader
+    is the node with the largest buckets in sum."""
+    own = nodes.select("nid", F.posexplode("bands").alias("band", "key"))
+    several = own.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    own = written(own.join(several, ["band", "key"]), "buckets")
+    weight = own.groupBy("nid").agg(F.sum("size").alias("weight"))
+    lead = (own.join(weight, "nid").groupBy("band", "key")
+            .agg(F.max(F.struct("weight", (-F.col("nid")).alias("minus"))).alias("lead")))
+    leaders = written(own.join(lead, ["band", "key"]).where(F.col("nid") != -F.col("lead.minus"))
+                      .select(F.col("nid").alias("a"), "lead.*").distinct(), "leaders")
+    best = leaders.groupBy("a").agg(F.max(F.struct("weight", "minus")).alias("best"))
+    first = written(best.select("a", (-F.col("best.minus")).alias("b")), "first-pairs")
+    links = _linked(first, docs, nodes, width, percent)
+    # The other leaders, where that did not put both into one star.
+    star = written(links.toDF("nid", "star"), "stars")
+    side = _bounded(star)
+    rest = leaders.select("a", (-F.col("minus")).alias("b")).join(first, ["a", "b"], "left_anti")
+    rest = (rest.join(side.toDF("a", "star_a"), "a", "left").join(side.toDF("b", "star_b"), "b", "left")
+            .where(F.coalesce("star_a", "a") != F.coalesce("star_b", "b")).select("a", "b"))
+    return links.unionByName(_linked(written(rest, "rest-pairs"), docs, nodes, width, percent))
 
-    Texts that are null, empty or without words have an empty set and link
-    with nothing.  Rows that repeat a doc_id are separate texts and link only
-    by their sets.  Rows with a null doc_id get a null component and take part
-    in no link.  Other columns are ignored."""
-    spark = docs.sparkSession
+
+def _matrix(docs: DataFrame, nodes: DataFrame, groups: DataFrame, sketch: DataFrame, width: int, percent: int,
+            most_common: int) -> DataFrame:
+    """token, grp for the tokens that several nodes have in their prefix."""
+    order = docs.sparkSession.sparkContext.broadcast(_late_tokens(sketch, most_common))
+
+    def prefixes(batches):
+        late, rank = order.value
+        for batch in batches:
+            seen = set()
+            for sets in column_sets(batch.column("text"), width):
+                f1, _ = _fingerprints(sets)
+                own = [i for i, f in enumerate(f1.tolist()) if len(sets[i]) and f not in seen and not seen.add(f)]
+                got = [_prefix(sets[i], late, rank, percent) for i in own]
+                if got:
+                    lens = np.array([len(p) for p, _ in got])
+                    back = np.repeat(np.cumsum(lens), lens) - np.arange(lens.sum())     # 1 for a prefix's last token
+                    is_late = back <= np.repeat([n for _, n in got], lens)
+                    yield pa.record_batch([pa.array(np.concatenate([p for p, _ in got]).view(np.int64)),
+                                           pa.array(np.repeat(f1[own], lens)), pa.array(is_late)],
+                                          names=["token", "f1", "late"])
+        release()
+
+    postings = docs.mapInArrow(prefixes, "token long, f1 long, late boolean")
+    # Late tokens stand in several sets of the sample; the others are rare.
+    same = Window.partitionBy("token", F.when(F.col("late"), F.col("f1")))
+    shared = (postings.withColumn("lo", F.min("f1").over(same)).withColumn("hi", F.max("f1").over(same))
+              .where("late or lo <> hi").select("token", "f1").distinct())
+    return written(shared.join(nodes.select("nid", "f1"), "f1").join(groups.select("nid", "grp"), "nid")
+                   .select("token", "grp").distinct(), "matrix")
+
+
+def _opened(matrix: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of groups whose rows of the matrix overlap enough, x < y.
+    ``groups``: grp, least, most (set sizes), k."""
+    wide = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("n_groups")).where("n_groups > 1")
+    rows = written(matrix.join(wide, "token").join(groups, "grp"), "shared-tokens")
+    hot = rows.where(F.col("n_groups") > HOT_GROUPS)
+    lists = (hot.groupBy("grp").agg(F.count(F.lit(1)).alias("n_hot")).where(F.col("n_hot") <= HOT_TOKENS)
+             .join(hot, "grp").groupBy("grp").agg(F.sort_array(F.collect_set("token")).alias("hot")))
+    hot = written(hot.join(lists, "grp", "left"), "hot-tokens")
+
+    def pairs(rows: DataFrame, *more: str) -> DataFrame:
+        x, y = (rows.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("grp", "least", "most", "k", *more)))
+                for side in ("x", "y"))
+        fit = ((100 * F.col("most_x") >= percent * F.col("least_y")) & (100 * F.col("most_y") >= percent * F.col("least_x")))
+        first = F.lit(True)
+        if more:
+            first = F.coalesce(F.get(F.array_intersect("hot_x", "hot_y"), F.lit(0)) == F.col("token"), F.lit(True))
+        return x.join(y.withColumnRenamed("token", "token_y"), (F.col("token") == F.col("token_y"))
+                      & (F.col("grp_x") < F.col("grp_y")) & fit & first)
+
+    ends = [F.col("grp_x").alias("x"), F.col("grp_y").alias("y"), F.least("k_x", "k_y").alias("k")]
+    shared = F.coalesce(F.size(F.array_intersect("hot_x", "hot_y")), F.lit(1))
+    found = pairs(rows.where(F.col("n_groups") <= HOT_GROUPS)).select(*ends, F.lit(1).alias("shared")).unionByName(
+        pairs(hot, "hot").select(*ends, F.when(F.col("hot_x").isNull() | F.col("hot_y").isNull(), 1)
+                                 .otherwise(shared).alias("shared")))
+    return written(found.groupBy("x", "y", "k").agg(F.sum("shared").alias("shared"))
+                   .where("shared >= k").select("x", "y"), "opened")
+
+
+def _signature(s: np.ndarray) -> bytes:
+    """Distinct bits of each shingle, sorted."""
+    bits = np.uint16 if len(s) <= SMALL_SET else np.uint32
+    return np.unique((s >> np.uint64(20)).astype(bits)).tobytes()
+
+
+def _may_link(n_a: int, bits_a: bytes, n_b: int, bits_b: bytes, percent: int) -> bool:
+    """A shingle of A whose bits do not occur in B is not in B, so
+    ``|A & B| <= |A| - missing``, and the same from B."""
+    if 100 * min(n_a, n_b) < percent * max(n_a, n_b):
+        return False
+    x, y = (np.frombuffer(b, np.uint16 if n <= SMALL_SET else np.uint32) for n, b in ((n_a, bits_a), (n_b, bits_b)))
+    if x.dtype != y.dtype:
+        x, y = np.unique(x.astype(np.uint16)), np.unique(y.astype(np.uint16))
+    shared = len(x) + len(y) - len(np.union1d(x, y))
+    most = min(n_a - len(x), n_b - len(y)) + shared
+    return 100 * most >= percent * (n_a + n_b - most)
+
+
+def _candidates(opened: DataFrame, docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int,
+                percent: int) -> DataFrame:
+    """Pairs (a, b) of members of groups that open each other which signatures
+    do not rule out.  Members meet as blocks; ``nodes``: nid, grp, n and more."""
+    wanted = opened.select(F.col("x").alias("grp")).union(opened.select("y")).distinct()
+    nodes = nodes.join(wanted, "grp")
+
+    def signatures(batches):
+        for batch in batches:
+            lo = 0
+            for sets in column_sets(batch.column("text"), width):
+                some = batch.slice(lo, len(sets))
+                lo += len(sets)
+                yield pa.record_batch([some.column("nid"), pa.array([_signature(s) for s in sets], pa.binary())],
+                                      names=["nid", "bits"])
+        release()
+
+    rows = _per_node(nodes.select("nid", "doc_id", "text_hash"), docs, "signatures",
+                     lambda t: t.mapInArrow(signatures, "nid long, bits binary"))
+    share = F.ceil(F.greatest(F.col("size") / BLOCK_NODES, F.col("shingles") / BLOCK_SHINGLES))
+    blocks = (rows.join(nodes.select("nid", "grp", "n"), "nid").join(groups.select("grp", "size", "shingles"), "grp")
+              .groupBy("grp", F.pmod(F.xxhash64("nid"), share).alias("block"))
+              .agg(F.collect_list(F.struct("nid", "n", "bits")).alias("own")).select("grp", "own"))
+    blocks = written(blocks, "blocks")
+
+    def task(batches):
+        for batch in batches:
+            a, b = [], []
+            for k in range(batch.num_rows):
+                one, two = (batch.column(c).slice(k, 1).to_pylist()[0] for c in ("own_x", "own_y"))
+                for p in one:
+                    for q in two:
+                        if _may_link(p["n"], p["bits"], q["n"], q["bits"], percent):
+                            a.append(p["nid"])
+                            b.append(q["nid"])
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        release()
+
+    for side in ("x", "y"):
+        opened = opened.join(blocks.toDF(side, f"own_{side}"), side)
+    return written(opened.select("own_x", "own_y").mapInArrow(task, "a long, b long"), "candidates")
+
+
+def _search(docs: DataFrame, percent: int, width: int, most_common: int, id_col: str, text_col: str):
+    """The written sketch, the classes, their groups and the links."""
     sketch = written(sketches(docs, width, id_col, text_col), "sketches")
     docs = _rows(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
-    texts = sketch.where(F.col("n").isNotNull())
-    linkable = texts.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    linkable = sketch.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = linkable.groupBy("n", "f1", "f2").agg(
         F.min(F.struct("doc_id", "text_hash", "bands")).alias("first"), F.count(F.lit(1)).alias("n_copies"))
     nodes = written(classes.select(F.monotonically_increasing_id().alias("nid"), "n", "f1", "f2",
                                    "n_copies", "first.*"), "nodes")
+    near = _similar(nodes, docs, width, percent)
+    groups = written(_group_of(nodes, near), "groups")
+    nodes = nodes.join(groups, "nid")
+    k = F.least(F.ceil(F.col("n") * percent / 100), 1 + F.floor(F.col("n") / STEP))
+    about = written(nodes.groupBy("grp").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min(k).alias("k"), F.count(F.lit(1)).alias("size"),
+        F.sum("n").alias("shingles")), "group-sizes")
+    matrix = _matrix(docs, nodes, groups, sketch, width, percent, most_common)
+    opened = _opened(matrix, about.select("grp", "least", "most", "k"), percent)
+    pairs = _candidates(opened, docs, nodes, about, width, percent)
+    return sketch, nodes, near, _linked(pairs, docs, nodes, width, percent)
 
-    # Groups: members that link to the leader of a band bucket.
-    bands = nodes.select("nid", F.posexplode("bands").alias("band", "key"))
-    lead = (bands.groupBy("band", "key").agg(
-        F.min(F.struct(F.xxhash64("nid", "band").alias("h"), "nid")).alias("lead"),
-        F.count(F.lit(1)).alias("size")).where("size > 1").select("band", "key", "lead.nid", "size"))
-    leaders = written(bands.join(lead.withColumnRenamed("nid", "b"), ["band", "key"])
-                      .where("nid <> b").groupBy(F.col("nid").alias("a"), "b").agg(F.max("size").alias("size")),
-                      "leaders")
-    first = leaders.groupBy("a").agg(F.max(F.struct("size", "b")).alias("top")).select("a", "top.b")
-    links = _linked(first, docs, nodes, width, percent)
-    groups = written(_group_of(nodes, links), "groups")
-    rest = leaders.select("a", "b").join(groups.toDF("a", "grp_a"), "a").join(groups.toDF("b", "grp_b"), "b")
-    rest = written(rest.where("grp_a <> grp_b").select("a", "b"), "rest")
-    links = links.unionByName(_linked(rest, docs, nodes, width, percent))
-    groups = written(_group_of(nodes, links), "groups")
-
-    # Token-group matrix over the tokens that several nodes have in their prefix.
-    common = spark.sparkContext.broadcast(_common_tokens(sketch, most_common))
 
-    def prefixes(batches):
-        for batch in batches:
-            late = common.value
-            sets = shingle_sets(batch.column("text").to_pylist(), width)
-            f1, f2 = _fingerprints(sets)
-            once = {(a, b): i for i, (a, b) in enumerate(zip(f1.tolist(), f2.tolist())) if len(sets[i])}
-            tokens, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for i in once.values():
-                s = sets[i]
-                at = np.minimum(np.searchsorted(late, s), max(len(late) - 1, 0))
-                is_late = late[at] == s if len(late) else np.zeros(len(s), bool)
-                size = len(s) - -(-len(s) * percent // 100) + 1
-                own = np.concatenate([s[~is_late], s[is_late]])[:size]
-                tokens.append(own)
-                owners.append(np.full(len(own), f1[i]))
-            yield pa.record_batch([pa.array(np.concatenate(tokens).view(np.int64)),
-                                   pa.array(np.concatenate(owners))], names=["token", "f1"])
-
-    postings = docs.mapInArrow(prefixes, "token long, f1 long")
-    same = Window.partitionBy("token")
-    shared = (postings.withColumn("lo", F.min("f1").over(same)).withColumn("hi", F.max("f1").over(same))
-              .where("lo <> hi").select("token", "f1").distinct())
-    matrix = (shared.join(nodes.select("nid", "n", "f1"), "f1").join(groups, "nid")
-              .select("token", "nid", "n", "grp"))
-    by_token = written(matrix, "matrix")
-    rows = by_token.groupBy("token", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    wide = rows.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1").select("token")
-    rows, asked = rows.join(wide, "token"), by_token.join(wide, "token")
-    # A query opens a group if it overlaps its row and a member's size can fit.
-    opened = (asked.select("token", F.col("nid").alias("a"), F.col("n").alias("n_a"), F.col("grp").alias("grp_a"))
-              .join(rows, "token").where(F.col("grp") < F.col("grp_a"))
-              .where((F.col("most") >= _needs(F.col("n_a"), percent))
-                     & (_needs(F.col("least"), percent) <= F.col("n_a")))
-              .groupBy("a", "n_a", "grp").agg(F.collect_set("token").alias("tokens")))
-    member = by_token.select("token", "grp", F.col("nid").alias("b"), F.col("n").alias("n_b"))
-    pairs = (opened.select("a", "n_a", "grp", F.explode("tokens").alias("token"))
-             .join(member, ["token", "grp"])
-             .where((F.col("n_b") >= _needs(F.col("n_a"), percent)) & (F.col("n_a") >= _needs(F.col("n_b"), percent)))
-             .select("a", "b").distinct())
-    pairs = _sifted(written(pairs, "pairs"), docs, nodes, width, percent)
-    links = links.unionByName(_linked(pairs, docs, nodes, width, percent))
+def join(docs: DataFrame, percent: int = 75, width: int = 5, most_common: int = 500_000,
+         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_hash (xxhash64 of the text),
+    n_shingles (size of the set), component_id (smallest doc_id reachable by links, itself
+    included) and n_copies (rows with the same set, itself included).
 
-    found = components(links).select(F.col("node").alias("nid"), "component")
-    named = nodes.select("nid", "n", "f1", "f2", "n_copies", "doc_id").join(found, "nid", "left").withColumn(
-        "component", F.coalesce("component", "nid"))
+    Texts that are null, empty or without words have an empty set and link
+    with nothing.  Rows that repeat a doc_id are separate texts and link only
+    by their sets.  Rows with a null doc_id get a null component and take part
+    in no link.  Other columns are ignored."""
+    sketch, nodes, _, links = _search(docs, percent, width, most_common, id_col, text_col)
+    # The links inside groups made the groups; the others join groups.
+    of = nodes.select("nid", "grp")
+    across = (links.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").select("x", "y").distinct())
+    found = components(across, "x", "y").select(F.col("node").alias("grp"), "component")
+    named = nodes.select("n", "f1", "f2", "n_copies", "doc_id", "grp").join(_bounded(found), "grp", "left").withColumn(
+        "component", F.coalesce("component", "grp"))
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.join(ids, "component").select("n", "f1", "f2", "n_copies", "component_id")
+    texts = sketch.where(F.col("n").isNotNull())
+    linkable = texts.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     linked = linkable.select("doc_id", "text_hash", "n", "f1", "f2").join(named, ["n", "f1", "f2"]).select(
         "doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id", "n_copies")
     alone = texts.where((F.col("n") == 0) | F.col("doc_id").isNull()).select(
         "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
         F.lit(1).cast("long").alias("n_copies"))
     return linked.unionByName(alone)
+
+
+def representative_links(docs: DataFrame, percent: int = 75, width: int = 5, most_common: int = 500_000,
+                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The links that were found, between the smallest doc_ids of classes of
+    equal sets: doc_id_a, doc_id_b and the rows of both classes, n_copies_a and
+    n_copies_b.  They hold every link between different groups and enough
+    links inside each group to connect it, not all of those."""
+    _, nodes, near, links = _search(docs, percent, width, most_common, id_col, text_col)
+    out = near.unionByName(links).distinct()
+    for side in ("a", "b"):
+        out = out.join(nodes.select(F.col("nid").alias(side), F.col("doc_id").alias(f"doc_id_{side}"),
+                                    F.col("n_copies").alias(f"n_copies_{side}")), side)
+    return out.select("doc_id_a", "doc_id_b", "n_copies_a", "n_copies_b")

@@ -9,8 +9,10 @@ text without words has none.  Shingles are 64-bit hashes.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
-from chanfold.llm.common import batches
+from chanfold.llm.common import batches, mix
+from chanfold.llm.spans import joined, text_slices
 
 _SLICE = 1 << 19
 _BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -28,13 +30,6 @@ def _powers(base: int, n: int) -> np.ndarray:
 _UP, _DOWN = _powers(_P, _SLICE + 1), _powers(pow(_P, -1, 2**64), _SLICE + 1)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """Bijective scrambling of 64-bit values."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of every word of folded bytes."""
     hashes, starts, lo = [], [], 0
@@ -68,24 +63,40 @@ def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(starts)
 
 
+def _sets(data: np.ndarray, texts: np.ndarray, width: int) -> list[np.ndarray]:
+    """Sets of texts that start at ``texts`` (the last is the end of all) in
+    folded bytes with a space after each text."""
+    words, starts = _word_hashes(data)
+    cuts = np.searchsorted(starts, texts)
+    n = max(0, len(words) - width + 1)
+    grams = np.zeros(n, np.uint64)
+    for k in range(width):
+        grams += words[k:k + n] * _STEP[k]
+    grams = mix(grams)
+    out: list[np.ndarray] = []
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if hi - lo >= width:
+            out.append(np.unique(grams[lo:hi - width + 1]))
+        elif hi > lo:
+            few = (words[lo:hi] * _STEP[:hi - lo]).sum(dtype=np.uint64)
+            out.append(mix(np.array([few], np.uint64) + _STEP[40 + hi - lo]))
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
+
+
 def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text (null: none)."""
     out: list[np.ndarray] = []
     for group in batches([len(t or "") + 1 for t in texts], _SLICE):
         own = [(t or "").encode("utf-8", "replace").translate(_FOLD) for t in texts[group]]
-        words, starts = _word_hashes(np.frombuffer(b" ".join(own) + b" ", np.uint8))
-        cuts = np.searchsorted(starts, np.cumsum([0, *(len(d) + 1 for d in own)]))
-        n = max(0, len(words) - width + 1)
-        grams = np.zeros(n, np.uint64)
-        for k in range(width):
-            grams += words[k:k + n] * _STEP[k]
-        grams = mix(grams)
-        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if hi - lo >= width:
-                out.append(np.unique(grams[lo:hi - width + 1]))
-            elif hi > lo:
-                few = (words[lo:hi] * _STEP[:hi - lo]).sum(dtype=np.uint64)
-                out.append(mix(np.array([few], np.uint64) + _STEP[40 + hi - lo]))
-            else:
-                out.append(np.zeros(0, np.uint64))
+        out += _sets(np.frombuffer(b" ".join(own) + b" ", np.uint8), np.cumsum([0, *(len(d) + 1 for d in own)]), width)
     return out
+
+
+def column_sets(texts: pa.Array, width: int = 5):
+    """Yields lists of the sets of consecutive texts of an Arrow column."""
+    fold = np.frombuffer(_FOLD, np.uint8)
+    for _, offsets, data in text_slices(texts, _SLICE):
+        data, starts = joined(offsets, fold[data], 32)
+        yield _sets(data[:starts[-1]], starts, width)

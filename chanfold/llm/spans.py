@@ -13,8 +13,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 
-from chanfold.llm.common import csr_gather
-from chanfold.llm.shingles import mix
+from chanfold.llm.common import csr_gather, mix
 
 PAD = 16
 #: Spans up to this many bytes are hashed and compared eight bytes at a time.

@@ -76,9 +76,13 @@ def test_shingles_of_long_texts_and_words(monkeypatch):
     assert (shingles.shingle_sets([" ".join(texts)])[0] == joined).all()
 
 
-def test_jaccard_join_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 2)
-    monkeypatch.setattr(jaccard_join, "COMMON_SETS", 6)
+@pytest.mark.parametrize("grouped", [True, False])       # without groups all links are left to the matrix
+def test_jaccard_join_is_exact(spark, monkeypatch, grouped):
+    monkeypatch.setattr(jaccard_join, "HOT_GROUPS", 3)
+    monkeypatch.setattr(jaccard_join, "HOT_TOKENS", 30)
+    monkeypatch.setattr(jaccard_join, "BLOCK_NODES", 4)
+    if not grouped:
+        monkeypatch.setattr(jaccard_join, "_similar", lambda nodes, *_: nodes.selectExpr("nid AS a", "nid AS b").limit(0))
     texts = make_texts()
     rows = [(3 * i - 7, t, "x", i, None, 0.5) for i, t in enumerate(texts)]
     rows += [(None, texts[0], "x", 1, "t", 0.1), (None, None, None, None, None, None), (10_000, None, "x", 1, "t", 1.0),
@@ -97,6 +101,48 @@ def test_jaccard_join_is_exact(spark, monkeypatch):
     want.update((None, len(word_set(r[1])), None) for r in rows if r[0] is None)
     assert got == want
     assert len(links) > 100
+    if grouped:
+        return
+    smallest = [min(r[0] for r, s in zip(own, sets) if s == mine) for mine in sets]
+    known = {frozenset((smallest[i], smallest[j])) for i, j in links}
+    found = {(r["doc_id_a"], r["doc_id_b"]) for r in jaccard_join.representative_links(df).collect()}
+    assert found and {frozenset(x) for x in found} <= known
+
+
+def test_signatures_rule_out_no_link(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SMALL_SET", 60)       # sets of both widths meet
+    rng, out = np.random.default_rng(3), 0
+    for n in (3, 10, 55, 58, 62, 70, 400):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for _ in range(60):
+            a, b = (np.unique(np.concatenate([base[rng.random(n) < rng.choice([0.6, 0.95, 1])], rng.integers(
+                0, 1 << 63, int(rng.integers(0, 1 + n // 4)), dtype=np.uint64)])) for _ in range(2))
+            both = len(np.union1d(a, b))
+            links = 100 * (len(a) + len(b) - both) >= 75 * both and both > 0
+            may = len(a) and len(b) and jaccard_join._may_link(
+                len(a), jaccard_join._signature(a), len(b), jaccard_join._signature(b), 75)
+            assert may or not links
+            out += not may
+    assert out > 100
+
+
+def test_jaccard_join_of_a_cloud_that_nearly_links(spark):
+    """Texts that share a passage but do not link, beside one family that does."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 6)))
+    passage = [word() for _ in range(60)]
+    texts = [" ".join([word() for _ in range(12)] + passage + [word() for _ in range(8)]) for _ in range(70)]
+    for k in range(50):
+        own = list(passage) + ["tail"]
+        own[k] = word()
+        texts.append(" ".join(own))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    sets = [word_set(t) for t in texts]
+    label = least([(i, j) for i in range(len(sets)) for j in range(i)
+                   if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])], len(sets))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(df).collect()}
+    assert got == {i: (len(s), label[i]) for i, s in enumerate(sets)}
+    assert len(set(label)) > 60
 
 
 def test_jaccard_join_of_nothing(spark):
