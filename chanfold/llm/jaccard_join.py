@@ -4,10 +4,11 @@ Two texts link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
 word shingles.  The steps, each a Spark job over all rows:
 
 1. Texts with equal sets form a class; a class is one node from here on.
-2. Similar nodes are put into groups: nodes that agree in a band of min-hashes
-   are compared with the node of that band's bucket that shares most buckets
-   with others, and the links found this way make the groups (their connected
-   components).
+2. Nodes that agree in a band of min-hashes are compared with the node of that
+   band's bucket that shares most buckets with others; the links found this way
+   make clusters (their connected components).  Groups are made of similar nodes:
+   a cluster that is larger than a block is cut into groups, and smaller ones
+   that look to the same leader, linked with it or not, share groups.
 3. The token-group matrix holds, for each token, the groups with that token in
    the union of their members' prefixes.  A node's prefix is its ``n - need + k``
    first tokens in one order of all tokens, where ``need`` is the least overlap
@@ -16,12 +17,13 @@ word shingles.  The steps, each a Spark job over all rows:
    the matrix bounds what any two members can share: a group opens another one
    only if the overlap of their rows reaches the smaller ``k`` of their members,
    and if some members' sizes fit.
-4. Members of groups that open each other meet as blocks.  Short signatures rule
-   out nearly all pairs that do not link; the others are compared exactly, and
-   the components of all links are the result.
+4. Groups that open each other, and groups of several clusters by themselves,
+   meet as rows.  Short signatures rule out nearly all pairs of members of
+   different clusters that do not link; the others are compared exactly, and the
+   components of all links are the result.
 
-Links inside a group need no search, since components do not change by them;
-so a group of thousands of near copies costs a comparison or two per member.
+Links inside a cluster need no search, since components do not change by them;
+so thousands of near copies cost a comparison or two each.
 The token order puts frequent tokens last (those of several sets of a sample,
 the ``most_common`` most frequent of them, in ascending order).  It decides how
 many groups are opened, never which links are found.
@@ -40,14 +42,14 @@ from chanfold.llm.shingles import column_sets
 
 BANDS, ROWS = 6, 3
 #: One of so many sets is in the sample that orders tokens.
-SAMPLE = 32
+SAMPLE = 16
 #: A prefix is one token longer for each so many tokens of a set.
 STEP = 40
 #: A token in more groups than this is joined once per pair of groups, unless a
 #: group has more than ``HOT_TOKENS`` of them.
 HOT_GROUPS, HOT_TOKENS = 32, 256
-#: Members and shingles of a block, on average at most.
-BLOCK_NODES, BLOCK_SHINGLES = 32, 1 << 17
+#: Members and shingles of a group, on average at most.
+GROUP_NODES, GROUP_SHINGLES = 32, 1 << 17
 #: Sets up to this size are given by 16 bits of each shingle, larger ones by 32.
 SMALL_SET = 8192
 #: Rows up to which a side is broadcast; beyond, the join shuffles.
@@ -188,16 +190,30 @@ def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, per
     return links
 
 
-def _group_of(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """nid, grp for all nodes: the component of a linked node, else itself."""
+def _grouped(nodes: DataFrame, links: DataFrame, first: DataFrame) -> DataFrame:
+    """``nodes`` with cluster (the component of a linked node, else itself) and
+    grp.  Large clusters and many clusters of one leader are dealt by hashes."""
     found = components(links).select(F.col("node").alias("nid"), "component")
-    return nodes.select("nid").join(found, "nid", "left").select(
-        "nid", F.coalesce("component", "nid").alias("grp"))
-
-
-def _similar(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between nodes and the leaders of their buckets.  A bucket's leader
-    is the node with the largest buckets in sum."""
+    nodes = (nodes.join(found, "nid", "left").join(first.select(F.col("a").alias("nid"), "b"), "nid", "left")
+             .withColumn("cluster", F.coalesce("component", "nid")).drop("component"))
+    nodes = written(nodes, "clusters")
+    parts = lambda n, shingles: F.ceil(F.greatest(n / GROUP_NODES, shingles / GROUP_SHINGLES))
+    clusters = nodes.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.min(F.coalesce("b", "nid")).alias("leader"))
+    clusters = written(clusters.withColumn("parts", parts(F.col("size"), F.col("shingles"))), "cluster-sizes")
+    small = clusters.where("parts = 1").groupBy("leader").agg(
+        parts(F.sum("size"), F.sum("shingles")).alias("shares"))
+    clusters = clusters.join(small, "leader", "left").select("cluster", "leader", "parts", "shares")
+    grp = F.when(F.col("parts") > 1, F.xxhash64(F.lit(1), "cluster", F.pmod(F.xxhash64("nid"), F.col("parts")))).otherwise(
+        F.xxhash64(F.lit(0), "leader", F.pmod(F.xxhash64("cluster"), F.col("shares"))))
+    return written(nodes.join(clusters, "cluster").withColumn("grp", grp)
+                   .select("nid", "n", "f1", "f2", "n_copies", "doc_id", "text_hash", "cluster", "grp"), "groups")
+
+
+def _similar(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links between nodes and the leaders of their buckets, and the first
+    leader (a, b) of each node that has one.  A bucket's leader is the node with
+    the largest buckets in sum."""
     own = nodes.select("nid", F.posexplode("bands").alias("band", "key"))
     several = own.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     own = written(own.join(several, ["band", "key"]), "buckets")
@@ -215,10 +231,10 @@ def _similar(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     rest = leaders.select("a", (-F.col("minus")).alias("b")).join(first, ["a", "b"], "left_anti")
     rest = (rest.join(side.toDF("a", "star_a"), "a", "left").join(side.toDF("b", "star_b"), "b", "left")
             .where(F.coalesce("star_a", "a") != F.coalesce("star_b", "b")).select("a", "b"))
-    return links.unionByName(_linked(written(rest, "rest-pairs"), docs, nodes, width, percent))
+    return links.unionByName(_linked(written(rest, "rest-pairs"), docs, nodes, width, percent)), first
 
 
-def _matrix(docs: DataFrame, nodes: DataFrame, groups: DataFrame, sketch: DataFrame, width: int, percent: int,
+def _matrix(docs: DataFrame, nodes: DataFrame, sketch: DataFrame, width: int, percent: int,
             most_common: int) -> DataFrame:
     """token, grp for the tokens that several nodes have in their prefix."""
     order = docs.sparkSession.sparkContext.broadcast(_late_tokens(sketch, most_common))
@@ -242,16 +258,17 @@ def _matrix(docs: DataFrame, nodes: DataFrame, groups: DataFrame, sketch: DataFr
 
     postings = docs.mapInArrow(prefixes, "token long, f1 long, late boolean")
     # Late tokens stand in several sets of the sample; the others are rare.
-    same = Window.partitionBy("token", F.when(F.col("late"), F.col("f1")))
-    shared = (postings.withColumn("lo", F.min("f1").over(same)).withColumn("hi", F.max("f1").over(same))
+    same = Window.partitionBy("token", "apart")
+    shared = (postings.withColumn("apart", F.when(F.col("late"), F.col("f1")))
+              .select("token", "f1", "late", F.min("f1").over(same).alias("lo"), F.max("f1").over(same).alias("hi"))
               .where("late or lo <> hi").select("token", "f1").distinct())
-    return written(shared.join(nodes.select("nid", "f1"), "f1").join(groups.select("nid", "grp"), "nid")
-                   .select("token", "grp").distinct(), "matrix")
+    return written(shared.join(nodes.select("f1", "grp"), "f1").select("token", "grp").distinct(), "matrix")
 
 
 def _opened(matrix: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) of groups whose rows of the matrix overlap enough, x < y.
-    ``groups``: grp, least, most (set sizes), k."""
+    """Pairs (x, y) of groups whose rows of the matrix overlap enough, x < y,
+    and groups of several clusters with themselves.  ``groups``: grp, least, most
+    (set sizes), k, lo, hi (clusters)."""
     wide = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("n_groups")).where("n_groups > 1")
     rows = written(matrix.join(wide, "token").join(groups, "grp"), "shared-tokens")
     hot = rows.where(F.col("n_groups") > HOT_GROUPS)
@@ -260,12 +277,13 @@ def _opened(matrix: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     hot = written(hot.join(lists, "grp", "left"), "hot-tokens")
 
     def pairs(rows: DataFrame, *more: str) -> DataFrame:
-        x, y = (rows.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("grp", "least", "most", "k", *more)))
+        x, y = (rows.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("grp", "least", "most", "k", "lo", "hi", *more)))
                 for side in ("x", "y"))
         fit = ((100 * F.col("most_x") >= percent * F.col("least_y")) & (100 * F.col("most_y") >= percent * F.col("least_x")))
-        first = F.lit(True)
+        one = (F.col("lo_x") == F.col("hi_y")) & (F.col("hi_x") == F.col("lo_y"))
+        first = ~one
         if more:
-            first = F.coalesce(F.get(F.array_intersect("hot_x", "hot_y"), F.lit(0)) == F.col("token"), F.lit(True))
+            first &= F.coalesce(F.get(F.array_intersect("hot_x", "hot_y"), F.lit(0)) == F.col("token"), F.lit(True))
         return x.join(y.withColumnRenamed("token", "token_y"), (F.col("token") == F.col("token_y"))
                       & (F.col("grp_x") < F.col("grp_y")) & fit & first)
 
@@ -274,8 +292,9 @@ def _opened(matrix: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     found = pairs(rows.where(F.col("n_groups") <= HOT_GROUPS)).select(*ends, F.lit(1).alias("shared")).unionByName(
         pairs(hot, "hot").select(*ends, F.when(F.col("hot_x").isNull() | F.col("hot_y").isNull(), 1)
                                  .otherwise(shared).alias("shared")))
-    return written(found.groupBy("x", "y", "k").agg(F.sum("shared").alias("shared"))
-                   .where("shared >= k").select("x", "y"), "opened")
+    found = found.groupBy("x", "y", "k").agg(F.sum("shared").alias("shared")).where("shared >= k").select("x", "y")
+    return written(found.unionByName(groups.where("lo <> hi").select(F.col("grp").alias("x"), F.col("grp").alias("y"))),
+                   "opened")
 
 
 def _signature(s: np.ndarray) -> bytes:
@@ -297,10 +316,9 @@ def _may_link(n_a: int, bits_a: bytes, n_b: int, bits_b: bytes, percent: int) ->
     return 100 * most >= percent * (n_a + n_b - most)
 
 
-def _candidates(opened: DataFrame, docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int,
-                percent: int) -> DataFrame:
-    """Pairs (a, b) of members of groups that open each other which signatures
-    do not rule out.  Members meet as blocks; ``nodes``: nid, grp, n and more."""
+def _candidates(opened: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of groups that open each other, of different
+    clusters, which signatures do not rule out."""
     wanted = opened.select(F.col("x").alias("grp")).union(opened.select("y")).distinct()
     nodes = nodes.join(wanted, "grp")
 
@@ -316,32 +334,30 @@ def _candidates(opened: DataFrame, docs: DataFrame, nodes: DataFrame, groups: Da
 
     rows = _per_node(nodes.select("nid", "doc_id", "text_hash"), docs, "signatures",
                      lambda t: t.mapInArrow(signatures, "nid long, bits binary"))
-    share = F.ceil(F.greatest(F.col("size") / BLOCK_NODES, F.col("shingles") / BLOCK_SHINGLES))
-    blocks = (rows.join(nodes.select("nid", "grp", "n"), "nid").join(groups.select("grp", "size", "shingles"), "grp")
-              .groupBy("grp", F.pmod(F.xxhash64("nid"), share).alias("block"))
-              .agg(F.collect_list(F.struct("nid", "n", "bits")).alias("own")).select("grp", "own"))
-    blocks = written(blocks, "blocks")
+    members = written(rows.join(nodes.select("nid", "grp", "cluster", "n"), "nid").groupBy("grp")
+                      .agg(F.collect_list(F.struct("nid", "cluster", "n", "bits")).alias("own")), "members")
 
     def task(batches):
         for batch in batches:
             a, b = [], []
             for k in range(batch.num_rows):
-                one, two = (batch.column(c).slice(k, 1).to_pylist()[0] for c in ("own_x", "own_y"))
-                for p in one:
-                    for q in two:
-                        if _may_link(p["n"], p["bits"], q["n"], q["bits"], percent):
+                x, y, one, two = (batch.column(c).slice(k, 1).to_pylist()[0] for c in ("x", "y", "own_x", "own_y"))
+                for i, p in enumerate(one):
+                    for q in two[i + 1:] if x == y else two:
+                        if p["cluster"] != q["cluster"] and _may_link(p["n"], p["bits"], q["n"], q["bits"], percent):
                             a.append(p["nid"])
                             b.append(q["nid"])
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
         release()
 
     for side in ("x", "y"):
-        opened = opened.join(blocks.toDF(side, f"own_{side}"), side)
-    return written(opened.select("own_x", "own_y").mapInArrow(task, "a long, b long"), "candidates")
+        opened = opened.join(members.select(F.col("grp").alias(side), F.col("own").alias(f"own_{side}")), side)
+    return written(opened.select("x", "y", "own_x", "own_y").mapInArrow(task, "a long, b long"), "candidates")
 
 
 def _search(docs: DataFrame, percent: int, width: int, most_common: int, id_col: str, text_col: str):
-    """The written sketch, the classes, their groups and the links."""
+    """The written sketch, the classes with their clusters, and the links inside
+    clusters and between them."""
     sketch = written(sketches(docs, width, id_col, text_col), "sketches")
     docs = _rows(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
     linkable = sketch.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
@@ -349,16 +365,14 @@ def _search(docs: DataFrame, percent: int, width: int, most_common: int, id_col:
         F.min(F.struct("doc_id", "text_hash", "bands")).alias("first"), F.count(F.lit(1)).alias("n_copies"))
     nodes = written(classes.select(F.monotonically_increasing_id().alias("nid"), "n", "f1", "f2",
                                    "n_copies", "first.*"), "nodes")
-    near = _similar(nodes, docs, width, percent)
-    groups = written(_group_of(nodes, near), "groups")
-    nodes = nodes.join(groups, "nid")
+    near, first = _similar(nodes, docs, width, percent)
+    nodes = _grouped(nodes, near, first)
     k = F.least(F.ceil(F.col("n") * percent / 100), 1 + F.floor(F.col("n") / STEP))
-    about = written(nodes.groupBy("grp").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min(k).alias("k"), F.count(F.lit(1)).alias("size"),
-        F.sum("n").alias("shingles")), "group-sizes")
-    matrix = _matrix(docs, nodes, groups, sketch, width, percent, most_common)
-    opened = _opened(matrix, about.select("grp", "least", "most", "k"), percent)
-    pairs = _candidates(opened, docs, nodes, about, width, percent)
+    groups = written(nodes.groupBy("grp").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min(k).alias("k"), F.min("cluster").alias("lo"),
+        F.max("cluster").alias("hi")), "group-sizes")
+    matrix = _matrix(docs, nodes, sketch, width, percent, most_common)
+    pairs = _candidates(_opened(matrix, groups, percent), docs, nodes, width, percent)
     return sketch, nodes, near, _linked(pairs, docs, nodes, width, percent)
 
 
@@ -373,12 +387,12 @@ def join(docs: DataFrame, percent: int = 75, width: int = 5, most_common: int =
     by their sets.  Rows with a null doc_id get a null component and take part
     in no link.  Other columns are ignored."""
     sketch, nodes, _, links = _search(docs, percent, width, most_common, id_col, text_col)
-    # The links inside groups made the groups; the others join groups.
-    of = nodes.select("nid", "grp")
+    # The links inside clusters made the clusters; the others join clusters.
+    of = nodes.select("nid", "cluster")
     across = (links.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").select("x", "y").distinct())
-    found = components(across, "x", "y").select(F.col("node").alias("grp"), "component")
-    named = nodes.select("n", "f1", "f2", "n_copies", "doc_id", "grp").join(_bounded(found), "grp", "left").withColumn(
-        "component", F.coalesce("component", "grp"))
+    found = components(across, "x", "y").select(F.col("node").alias("cluster"), "component")
+    named = (nodes.select("n", "f1", "f2", "n_copies", "doc_id", "cluster").join(_bounded(found), "cluster", "left")
+             .withColumn("component", F.coalesce("component", "cluster")))
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.join(ids, "component").select("n", "f1", "f2", "n_copies", "component_id")
     texts = sketch.where(F.col("n").isNotNull())
@@ -395,8 +409,8 @@ def representative_links(docs: DataFrame, percent: int = 75, width: int = 5, mos
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The links that were found, between the smallest doc_ids of classes of
     equal sets: doc_id_a, doc_id_b and the rows of both classes, n_copies_a and
-    n_copies_b.  They hold every link between different groups and enough
-    links inside each group to connect it, not all of those."""
+    n_copies_b.  They hold every link between different clusters and enough
+    links inside each cluster to connect it, not all of those."""
     _, nodes, near, links = _search(docs, percent, width, most_common, id_col, text_col)
     out = near.unionByName(links).distinct()
     for side in ("a", "b"):

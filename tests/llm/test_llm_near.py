@@ -80,9 +80,10 @@ def test_shingles_of_long_texts_and_words(monkeypatch):
 def test_jaccard_join_is_exact(spark, monkeypatch, grouped):
     monkeypatch.setattr(jaccard_join, "HOT_GROUPS", 3)
     monkeypatch.setattr(jaccard_join, "HOT_TOKENS", 30)
-    monkeypatch.setattr(jaccard_join, "BLOCK_NODES", 4)
+    monkeypatch.setattr(jaccard_join, "GROUP_NODES", 4)
     if not grouped:
-        monkeypatch.setattr(jaccard_join, "_similar", lambda nodes, *_: nodes.selectExpr("nid AS a", "nid AS b").limit(0))
+        none = lambda nodes: nodes.selectExpr("nid AS a", "nid AS b").limit(0)
+        monkeypatch.setattr(jaccard_join, "_similar", lambda nodes, *_: (none(nodes), none(nodes)))
     texts = make_texts()
     rows = [(3 * i - 7, t, "x", i, None, 0.5) for i, t in enumerate(texts)]
     rows += [(None, texts[0], "x", 1, "t", 0.1), (None, None, None, None, None, None), (10_000, None, "x", 1, "t", 1.0),
