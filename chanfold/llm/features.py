@@ -8,9 +8,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chanfold.llm.common import batches, python_tasks
+from chanfold.llm.common import batches, python_tasks, release
+from chanfold.llm.spans import text_slices
 
 _SLICE = 1 << 19                     # bytes hashed at a time; bounds memory
+TEXT_BYTES = 4 << 20                 # bytes of texts that are Python strings at a time
 _MIX = np.array([2654435761, 2246822519, 3266489917, 668265263], np.uint32)
 
 
@@ -116,7 +118,10 @@ def keep_rows(docs: DataFrame, decide, text_col: str = "text") -> DataFrame:
 
     def task(frames):
         for batch in frames:
-            texts = pc.cast(batch.column(at), pa.string()).to_pylist()
-            yield batch.filter(pa.array(decide(texts), pa.bool_()))
+            texts = pc.cast(batch.column(at), pa.string())
+            for lo, offsets, _ in text_slices(texts, TEXT_BYTES):
+                n = len(offsets) - 1
+                yield batch.slice(lo, n).filter(pa.array(decide(texts.slice(lo, n).to_pylist()), pa.bool_()))
+        release()
 
     return docs.mapInArrow(task, docs.schema)

@@ -26,14 +26,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chanfold.llm.common import python_tasks, written
+from chanfold.llm.common import python_tasks, release, written
+from chanfold.llm.spans import text_slices
 
 WINDOW, DIVISOR = 2, 3
 #: Rows up to which a side is broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 500_000
+#: Bytes of texts whose chunks are made at a time; bounds memory.
+SLICE = 1 << 20
 _M = (1 << 64) - 1
 
 
@@ -96,25 +100,30 @@ def _chunk_rows(rows: DataFrame, least_words: int, long_words: int, passages: bo
     """A row per chunk that counts (and run); k1 and k2 are 128 bits of its bytes' hash."""
     def task(batches):
         for batch in batches:
-            doc, lo_, hi_, k1, k2, body = [], [], [], [], [], []
-            for d, text in enumerate(batch.column("text").to_pylist()):
-                lines = None
-                for lo, hi in _spans(text, least_words, long_words, passages):
-                    lines = lines or text.split("\n")
-                    own = "\n".join(lines[lo:hi])
-                    key = hashlib.blake2b(own.encode("utf-8", "replace"), digest_size=16).digest()
-                    doc.append(d)
-                    lo_.append(lo)
-                    hi_.append(hi)
-                    k1.append(key[:8])
-                    k2.append(key[8:])
-                    body.append(own if with_text else None)
-            pick = pa.array(doc, pa.int64())
-            longs = [pa.array(np.frombuffer(b"".join(k), "<i8")) for k in (k1, k2)]
-            yield pa.record_batch([batch.column("doc_id").take(pick), batch.column("text_hash").take(pick),
-                                   pa.array(lo_, pa.int32()), pa.array(hi_, pa.int32()), *longs,
-                                   pa.array(body, pa.string())],
-                                  names=["doc_id", "text_hash", "lo", "hi", "k1", "k2", "body"])
+            for start, offsets, _ in text_slices(batch.column("text"), SLICE):
+                yield _keyed(batch.slice(start, len(offsets) - 1))
+        release()
+
+    def _keyed(batch):
+        doc, lo_, hi_, k1, k2, body = [], [], [], [], [], []
+        for d, text in enumerate(batch.column("text").to_pylist()):
+            lines = None
+            for lo, hi in _spans(text, least_words, long_words, passages):
+                lines = lines or text.split("\n")
+                own = "\n".join(lines[lo:hi])
+                key = hashlib.blake2b(own.encode("utf-8", "replace"), digest_size=16).digest()
+                doc.append(d)
+                lo_.append(lo)
+                hi_.append(hi)
+                k1.append(key[:8])
+                k2.append(key[8:])
+                body.append(own if with_text else None)
+        pick = pa.array(doc, pa.int64())
+        longs = [pa.array(np.frombuffer(b"".join(k), "<i8")) for k in (k1, k2)]
+        return pa.record_batch([batch.column("doc_id").take(pick), batch.column("text_hash").take(pick),
+                                pa.array(lo_, pa.int32()), pa.array(hi_, pa.int32()), *longs,
+                                pa.array(body, pa.string())],
+                               names=["doc_id", "text_hash", "lo", "hi", "k1", "k2", "body"])
 
     return rows.mapInArrow(task, "doc_id long, text_hash long, lo int, hi int, k1 long, k2 long, body string")
 
@@ -168,17 +177,22 @@ def dedup(docs: DataFrame, least_words: int = 12, long_words: int = 50, id_col:
 
     def task(batches):
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            for i, own in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                if own and texts[i] is not None:
-                    lines, left = texts[i].split("\n"), []
-                    lo = 0
-                    for s in sorted((s["lo"], s["hi"]) for s in own):
-                        left += lines[lo:s[0]]
-                        lo = max(lo, s[1])
-                    texts[i] = "\n".join(left + lines[lo:])
-            columns = list(batch.columns[:-1])
-            columns[at] = pa.array(texts, columns[at].type)
-            yield pa.record_batch(columns, names=schema.names)
+            for start, offsets, _ in text_slices(pc.cast(batch.column(at), pa.string()), SLICE):
+                yield _without(batch.slice(start, len(offsets) - 1))
+        release()
+
+    def _without(batch):
+        texts = batch.column(at).to_pylist()
+        for i, own in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+            if own and texts[i] is not None:
+                lines, left = texts[i].split("\n"), []
+                lo = 0
+                for s in sorted((s["lo"], s["hi"]) for s in own):
+                    left += lines[lo:s[0]]
+                    lo = max(lo, s[1])
+                texts[i] = "\n".join(left + lines[lo:])
+        columns = list(batch.columns[:-1])
+        columns[at] = pa.array(texts, columns[at].type)
+        return pa.record_batch(columns, names=schema.names)
 
     return joined.mapInArrow(task, schema)

@@ -340,9 +340,10 @@ def removed_by_windows(docs, long_words):
     seen, out = {}, {i: set() for i, _ in docs}
     for i, text in docs:
         lines = text.split("\n")
+        words = [len(x.split()) for x in lines]
         for lo in range(len(lines)):
             for hi in range(lo + 1, len(lines) + 1):
-                if len(" ".join(lines[lo:hi]).split()) >= long_words:
+                if sum(words[lo:hi]) >= long_words:
                     for d, at in seen.setdefault(tuple(lines[lo:hi]), []):
                         out[i] |= set(range(max(lo, at + hi - lo) if d == i else lo, hi))
                     seen[tuple(lines[lo:hi])].append((i, lo))

@@ -11,7 +11,7 @@ def test_registered():
     import __spark_entry__ as E
     names = E.queries()
     assert "pipeline" in names and "pipeline" not in E.oracle_sql()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
@@ -47,17 +47,20 @@ def test_stages(spark, tmpdir_path):
     assert set(rows(after)) == want
 
     before, after = kept["line dedup"]
-    first, want = {}, {}
-    for i, t in sorted(rows(before).items()):
+    from test_llm_near import least, removed_by_windows, word_set
+    texts, first = rows(before), {}
+    gone = removed_by_windows(sorted(texts.items()), 50)
+    for i, t in sorted(texts.items()):
         lines = t.split("\n")
-        want[i] = "\n".join(x for lo, hi, counts in line_chunks.chunks(t, 12, 50)
-                            if not counts or first.setdefault("\n".join(lines[lo:hi]), (i, lo)) == (i, lo)
-                            for x in lines[lo:hi])
-    assert rows(after) == want
+        for lo, hi, counts in line_chunks.chunks(t, 12, 50):
+            if counts and first.setdefault("\n".join(lines[lo:hi]), (i, lo)) != (i, lo):
+                gone[i] |= set(range(lo, hi))
+    left = rows(after)
+    assert left == {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]) for i, t in texts.items()}
+    assert any(gone.values()) and not any(removed_by_windows(sorted(left.items()), 50).values())
     assert all(r["n_chars"] == len(r["text"]) for r in after.collect())
 
     before, after = kept["n-gram Jaccard join"]
-    from test_llm_near import least, word_set
     texts = sorted(rows(before).items())
     sets = [word_set(t) for _, t in texts]
     links = [(a, b) for a in range(len(sets)) for b in range(a)
