@@ -43,9 +43,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without chunks of lines that stand in an earlier one;
-    ``n_chars`` follows the text."""
-    out = line_chunks.dedup(docs)
+    """All documents, without chunks and runs of lines that stand at an earlier
+    place; ``n_chars`` follows the text."""
+    out = line_chunks.dedup(docs, passages=True)
     if "n_chars" not in out.columns:
         return out
     kind = dict(docs.dtypes)["n_chars"]
