@@ -3,8 +3,6 @@ IEEE arithmetic (Column -> Column)."""
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, functions as F
 
 from chanfold.functions.recode import _as_col
@@ -45,45 +43,80 @@ def sum_or_zero(c) -> Column:
 
 # A plain sum of doubles depends on the order of addition, so it moves with the
 # partitioning and decides rounding ties at random.  A money sum is therefore
-# kept in two additive parts: whole millionths, summed exactly as decimals
-# (Spark keeps them on its 64-bit path while they fit and widens beyond), and
-# what is left of each amount, summed as doubles.  Nothing is dropped: the rest
-# holds amounts below a millionth, and amounts beyond the integer range, NaN and
-# infinities go to it whole.
-_MICRO = 1_000_000
-_WHOLE_LIMIT = 9.0e12            # amounts whose millionths fit a bigint
-
-
-def _has_whole(x: Column) -> Column:
-    return F.abs(x) < F.lit(_WHOLE_LIMIT)          # false for NaN and infinities
-
-
-def _millionths(x: Column) -> Column:
-    return (x * F.lit(float(_MICRO))).cast("bigint")
-
-
-def money_whole(c) -> Column:
-    """Whole millionths of an amount as decimal(20,0); null where it has none."""
-    x = _as_col(c).cast("double")
-    return F.when(_has_whole(x), _millionths(x)).cast("decimal(20,0)")
-
-
-def money_rest(c) -> Column:
-    """The amount without its whole millionths, or all of it."""
+# kept by binary exponent: an amount is cut into digits of 24 bits, for the
+# powers of 2**24 from ``_LOW`` to ``_HIGH``, and each digit is summed as an
+# integer, exactly.  Any double from about 1e-13 to 4.7e21 in size, and zero, is
+# the sum of its digits.  The last part is what they leave: of smaller amounts the
+# bits below 2**-96, and larger ones, NaN and infinities whole; it is summed as
+# doubles.  All parts are additive, so sums of sums stay exact, and the total is
+# rounded to a double once, to the nearest.
+_BITS, _LOW, _HIGH = 24, -4, 2
+_SIZE = float(1 << _BITS)
+_BELOW = 2.0 ** (_BITS * (_HIGH + 1))
+MONEY_PARTS = [*(f"digit{b - _LOW}" for b in range(_LOW, _HIGH + 1)), "rest"]
+
+
+def money_parts(c) -> dict[str, Column]:
+    """The parts of an amount by name (``MONEY_PARTS``), all null for null."""
     x = _as_col(c).cast("double")
-    return F.when(_has_whole(x), x - _millionths(x).cast("double") / F.lit(float(_MICRO))).otherwise(x)
-
-
-def money_total(whole, rest) -> Column:
+    inside = F.abs(x) < F.lit(_BELOW)                  # false for NaN and infinities
+    scaled = lambda b: x * F.lit(2.0 ** (-_BITS * b))  # noqa: E731  exact
+    digits = [F.when(x.isNotNull(), F.when(inside, (scaled(b) % F.lit(_SIZE)).cast("bigint")).otherwise(0))
+              for b in range(_LOW, _HIGH + 1)]
+    left = (scaled(_LOW) % F.lit(1.0)) * F.lit(2.0 ** (_BITS * _LOW))
+    return dict(zip(MONEY_PARTS, [*digits, F.when(inside, left).otherwise(x)]))
+
+
+def _carried(digits: Column) -> Column:
+    """struct(carry, own) of digits, lowest first, each brought to 0 .. 2**24 - 1."""
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("own"))
+    return F.aggregate(digits, start, lambda acc, d: F.struct(
+        F.shiftright(acc["carry"] + d, _BITS).alias("carry"),
+        F.array_append(acc["own"], (acc["carry"] + d).bitwiseAND(F.lit((1 << _BITS) - 1))).alias("own")))
+
+
+def _nearest(own: Column) -> Column:
+    """The double nearest to a number of digits from 0 to 2**24 - 1, lowest first.
+
+    Its first two digits that are not leading zeros make one double, the next
+    two another, which holds half a unit more if any digit after them is not
+    zero.  Both are exact, so their sum is rounded once, and rightly."""
+    zero = F.lit(0.0)
+    start = F.struct(F.lit(0).alias("n"), zero.alias("high"), zero.alias("low"), F.lit(0).alias("after"),
+                     F.lit(False).alias("more"))
+
+    def step(acc, d):
+        n, x = acc["n"], d.cast("double")
+        taken = (n > 0) | (d != 0)
+        return F.struct(
+            F.when(taken & (n < 4), n + 1).otherwise(n).alias("n"),
+            F.when(taken & (n < 2), acc["high"] * _SIZE + x).otherwise(acc["high"]).alias("high"),
+            F.when((n == 2) | (n == 3), acc["low"] * _SIZE + x).otherwise(acc["low"]).alias("low"),
+            F.when(n == 4, acc["after"] + 1).otherwise(acc["after"]).alias("after"),
+            (acc["more"] | ((n == 4) & (d != 0))).alias("more"))
+
+    def total(acc):
+        low = acc["low"] + F.when(acc["more"], 0.5).otherwise(0.0)
+        scale = F.array(*(F.lit(2.0 ** (_BITS * (k + _LOW - 4))) for k in range(16)))
+        return (acc["high"] * F.lit(_SIZE * _SIZE) + low) * F.get(scale, acc["after"])
+
+    below = F.array(*[F.lit(0).cast("bigint")] * 4)
+    return F.aggregate(F.reverse(F.concat(below, own)), start, step, total)
+
+
+def money_total(parts: dict[str, Column]) -> Column:
     """Double from the summed parts; null when there was no amount."""
-    scaled = (_as_col(whole).cast("decimal(38,0)") / F.lit(Decimal(_MICRO))).cast("double")
-    return F.coalesce(scaled, F.lit(0.0)) + _as_col(rest)
+    digits = [F.coalesce(_as_col(parts[name]), F.lit(0)).cast("bigint") for name in MONEY_PARTS[:-1]]
+    above = [F.lit(0).cast("bigint")] * 2              # where carries end
+    up, down = _carried(F.array(*digits, *above)), _carried(F.array(*(-d for d in digits), *above))
+    exact = F.when(up["carry"] < 0, -_nearest(down["own"])).otherwise(_nearest(up["own"]))
+    return exact + _as_col(parts["rest"])
 
 
 def money_sum(c) -> Column:
     """Sum of a money column as a double (null when no value); NaN if one of
     the amounts is NaN."""
-    return money_total(F.sum(money_whole(c)), F.sum(money_rest(c)))
+    return money_total({name: F.sum(part) for name, part in money_parts(c).items()})
 
 
 def money_sum_or_zero(c) -> Column:

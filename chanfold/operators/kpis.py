@@ -16,8 +16,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chanfold.functions.arith import (ieee_divide, money_rest, money_sum, money_sum_or_zero,
-                                      money_total, money_whole, nan_to_zero, zero_if_null)
+from chanfold.functions.arith import (MONEY_PARTS, ieee_divide, money_parts, money_sum, money_sum_or_zero,
+                                      money_total, nan_to_zero, zero_if_null)
 from chanfold.specs import REAL_SALE_STATUSES
 
 
@@ -38,7 +38,7 @@ class MetricDef:
 
 
 def _revenue(name: str) -> F.Column:
-    return F.coalesce(money_total(F.col(f"whole_{name}"), F.col(f"rest_{name}")), F.lit(0.0))
+    return F.coalesce(money_total({part: F.col(f"{part}_{name}") for part in MONEY_PARTS}), F.lit(0.0))
 
 
 # Versioned metric definitions (the contract of the gold layer).
@@ -65,7 +65,7 @@ def _kpi_columns(null_key: F.Column) -> list[F.Column]:
 
 CUBE_DIMS = ["country", "channel", "category", "year_month", "member"]
 REVENUES = ["real", "delivered", "returned"]
-PARTIAL_COLS = ["n_real", *[f"{part}_{r}" for r in REVENUES for part in ("whole", "rest")],
+PARTIAL_COLS = ["n_real", *[f"{part}_{r}" for r in REVENUES for part in MONEY_PARTS],
                 "qty_sold_total", "qty_ordered_total"]
 
 
@@ -92,13 +92,13 @@ def _is_real() -> F.Column:
 
 def kpi_partials(fact: DataFrame, group_by: list[str]) -> DataFrame:
     """Additive KPI inputs per group: one pass, partial aggregation map-side.
-    Each revenue is a pair of sums (``arith.money_whole`` / ``money_rest``)."""
+    Each revenue is kept as the sums of its exact parts (``arith.money_parts``)."""
     group_by = _check_group_by(group_by)
     rev = zero_if_null(F.col("revenue_eur"))
     rows = {"real": _is_real(), "delivered": F.col("order_status") == "delivered",
             "returned": F.col("order_status") == "returned"}
-    sums = [F.sum(F.when(rows[r], part(rev))).alias(f"{name}_{r}")
-            for r in REVENUES for name, part in (("whole", money_whole), ("rest", money_rest))]
+    sums = [F.sum(F.when(rows[r], part)).alias(f"{name}_{r}")
+            for r in REVENUES for name, part in money_parts(rev).items()]
     return fact.groupBy(*group_by).agg(
         F.count_if(_is_real()).alias("n_real"), *sums,
         F.sum("qty_sold").alias("qty_sold_total"),

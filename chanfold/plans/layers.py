@@ -204,3 +204,22 @@ class Layers:
             self._cache["fact_eur"] = materialize(self.spark, self.fact_eur_lazy, "fact_eur", fp,
                                                   partition_by=["channel"]).select(*cols)
         return self._cache["fact_eur"]
+
+    def loyalty_cube(self) -> tuple[DataFrame, DataFrame]:
+        """Sums and order bitmaps per (channel, member), written once per input
+        snapshot (``operators.loyalty_cube``)."""
+        if "loyalty_cube" not in self._cache:
+            from chanfold import specs
+            from chanfold.functions import arith
+            from chanfold.operators import fx, kpis, loyalty_cube
+            from chanfold.plans import fixture_fact
+            fp = self.fingerprint(["lineitem", "orders", "customer", "part"],
+                                  fixture_fact, fx, arith, specs, kpis, loyalty_cube)
+            sums = materialize(self.spark, lambda: loyalty_cube.cell_sums(self.fact_eur()), "loyalty_sums", fp)
+
+            def orders():
+                placed = materialize(self.spark, lambda: loyalty_cube.placed_orders(self.fact_eur()), "order_places", fp)
+                return loyalty_cube.cell_orders(self.fact_eur(), loyalty_cube.order_numbers(placed))
+
+            self._cache["loyalty_cube"] = sums, materialize(self.spark, orders, "loyalty_orders", fp)
+        return self._cache["loyalty_cube"]

@@ -16,7 +16,7 @@ import chanfold.functions.months as fmonths
 from chanfold.functions import recode_mod as frecode
 from chanfold.functions.arith import money_sum
 from chanfold.operators import conform as conf
-from chanfold.operators import fx, kpis, loyalty
+from chanfold.operators import fx, kpis, loyalty, loyalty_cube
 from chanfold.operators import profile as prof
 from chanfold.operators import quality as qual
 from chanfold.plans import oracle_sql as osql
@@ -129,6 +129,30 @@ def _gross_revenue(spark, sf_dir):
                    money=["revenue_bruto_eur"])
 
 
+_EXTREME_SQL = "CASE qty_ordered % 5 WHEN 0 THEN revenue_eur * 1e13 WHEN 1 THEN -revenue_eur * 1e13 " \
+    "WHEN 2 THEN revenue_eur * 4e-7 WHEN 3 THEN -revenue_eur ELSE revenue_eur END"
+
+
+@register("exact_sums", osql.with_base(f"""
+SELECT channel, CAST(sum(whole) AS DOUBLE) AS whole_units, CAST(count(x) AS BIGINT) AS n_values, TRUE AS same_everywhere
+FROM (SELECT channel, {_EXTREME_SQL} AS x, CAST(trunc({_EXTREME_SQL}) AS DECIMAL(38,0)) AS whole FROM fact_eur) v
+GROUP BY channel"""))
+def _exact_sums(spark, sf_dir):
+    """Sums of amounts from 4e-7 to 1e13 of the size of the revenue, partly
+    cancelling: the whole units against exact decimals, and all of them twice,
+    dealt in two ways, bit for bit."""
+    n, x = F.col("qty_ordered") % 5, F.col("revenue_eur")
+    extreme = (F.when(n == 0, x * 1e13).when(n == 1, -x * 1e13).when(n == 2, x * 4e-7).when(n == 3, -x).otherwise(x))
+    fact = Layers(spark, sf_dir).fact_eur().select("channel", extreme.alias("x"))
+    # Whole units: the amount without what is left of it after division by one.
+    sums = lambda df: df.groupBy("channel").agg(
+        money_sum(F.col("x") - F.col("x") % 1.0).alias("whole_units"), money_sum("x").alias("total"),
+        F.count("x").alias("n_values"))
+    other = sums(fact.repartition(7, "x")).select(F.col("channel").alias("c"), F.col("total").alias("again"))
+    return sums(fact).join(other, F.col("channel") == F.col("c")).select(
+        "channel", "whole_units", "n_values", (F.col("total") == F.col("again")).alias("same_everywhere"))
+
+
 @register("return_rate", osql.with_base(f"""
 SELECT channel, category,
   round(CASE WHEN kahan_sum({M}) = 0 THEN 0.0
@@ -276,7 +300,7 @@ SELECT member, CAST(round(revenue_total, 4) AS DOUBLE) AS revenue_total, num_lin
   round(CAST(revenue_total AS DOUBLE) / num_ordenes_unicas, 4) AS avg_revenue_por_orden
 FROM ({_MEMBER_CMP_SQL}) c"""))
 def _member_comparison(spark, sf_dir):
-    return present(loyalty.member_comparison(Layers(spark, sf_dir).fact_eur()),
+    return present(loyalty_cube.member_comparison(*Layers(spark, sf_dir).loyalty_cube()),
                    money=["revenue_total", "avg_revenue_por_orden"])
 
 
@@ -285,7 +309,7 @@ SELECT channel, member,
   CAST(count(DISTINCT order_id) + max(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS num_ordenes
 FROM fact_eur WHERE member IS NOT NULL AND {REAL} GROUP BY channel, member"""))
 def _member_orders_by_channel(spark, sf_dir):
-    return loyalty.member_orders_by_channel(Layers(spark, sf_dir).fact_eur())
+    return loyalty_cube.member_orders_by_channel(*Layers(spark, sf_dir).loyalty_cube())
 
 
 @register("orders_by_member", osql.with_base(f"""
@@ -294,7 +318,7 @@ SELECT member,
   count(*) AS num_lineas
 FROM fact_eur WHERE {REAL} GROUP BY member"""))
 def _orders_by_member(spark, sf_dir):
-    return loyalty.orders_by_member(Layers(spark, sf_dir).fact_eur())
+    return loyalty_cube.orders_by_member(*Layers(spark, sf_dir).loyalty_cube())
 
 
 @register("member_uplift", osql.with_base(f"""
@@ -310,7 +334,7 @@ FROM (
   FROM ({_MEMBER_CMP_SQL}) c
 ) u"""))
 def _member_uplift(spark, sf_dir):
-    cmp_ = loyalty.member_comparison(Layers(spark, sf_dir).fact_eur())
+    cmp_ = loyalty_cube.member_comparison(*Layers(spark, sf_dir).loyalty_cube())
     return present(loyalty.member_uplift(cmp_, share=0.10),
                    money=["member_avg_ticket", "potential_new_orders", "potential_revenue"],
                    ratios=["uplift_ratio"])
@@ -574,7 +598,7 @@ def _category_crosstab(spark, sf_dir):
 
 
 @register("code_inference", osql.with_raw(f"""
-SELECT code, arg_max(label, count) AS inferred_label,
+SELECT code, arg_max(label, {{'n': count, 'label': label}}) AS inferred_label,
   round(CAST(max(count) AS DOUBLE) / sum(count), 6) AS share, CAST(sum(count) AS BIGINT) AS n_matched
 FROM ({_CROSSTAB_SQL}) x GROUP BY code"""))
 def _code_inference(spark, sf_dir):
@@ -596,13 +620,11 @@ def _id_overlap(spark, sf_dir):
 
 
 def _rules_sql(source: str = "fact") -> str:
-    def inlist(vals):
-        return ", ".join(f"'{v}'" for v in vals)
     rules = {
-        "country_not_allowed": f"NOT coalesce(country IN ({inlist(qual.ALLOWED_COUNTRIES)}), FALSE)",
-        "category_not_allowed": f"NOT coalesce(category IN ({inlist(qual.ALLOWED_CATEGORIES)}), FALSE)",
-        "status_not_allowed": f"NOT coalesce(order_status IN ({inlist(qual.ALLOWED_STATUSES)}), FALSE)",
-        "channel_not_allowed": f"NOT coalesce(channel IN ({inlist(qual.ALLOWED_CHANNELS)}), FALSE)",
+        "country_not_allowed": "NOT coalesce(country IN ('AR', 'BR', 'CL', 'CO', 'MX', 'PE'), FALSE)",
+        "category_not_allowed": "NOT coalesce(category IN ('Football', 'Originals', 'Outdoor', 'Running'), FALSE)",
+        "status_not_allowed": "NOT coalesce(order_status IN ('cancelled', 'delivered', 'processing', 'returned'), FALSE)",
+        "channel_not_allowed": "NOT coalesce(channel IN ('app', 'ecomm', 'franchise', 'retail', 'wholesale'), FALSE)",
         "month_bad_format": "NOT coalesce(regexp_full_match(year_month, '[0-9]{4}-[0-9]{2}'), FALSE)",
         "null_currency": "currency IS NULL",
         "negative_quantity": "coalesce(qty_ordered < 0 OR qty_sold < 0, FALSE)",

@@ -90,3 +90,28 @@ def test_money_sum_does_not_depend_on_order(spark):
         df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(3 + seed)
         sums.add(df.agg(money_sum("x")).first()[0])
     assert len(sums) == 1 and math.isclose(sums.pop(), math.fsum(vals), rel_tol=1e-15)
+
+
+def test_money_sums_are_the_nearest_double_whatever_the_partitioning(spark):
+    import random
+    from fractions import Fraction
+
+    from chanfold.functions.arith import money_sum
+    rng = random.Random(4)
+    groups = {
+        "cancel": [1e13, -1e13, 4e-7, 1e13 + 0.002, -1e13, 0.1] * 30,
+        "sizes": [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-12, 20) for _ in range(400)],
+        "minus": [-rng.random() * 1e6 for _ in range(200)],
+        "edge": [2.0 ** 71, 2.0 ** 71, -(2.0 ** 52), 2.0 ** -43 + 2.0 ** -95, 1.0] * 5,
+        "half": [2.0 ** 53, 1.0], "above_half": [2.0 ** 53, 1.0, 2.0 ** -60], "below_half": [2.0 ** 53, 1.0, -(2.0 ** -60)],
+        "zero": [0.0, -0.0, 5.5, -5.5], "one": [rng.random()],
+    }
+    rows = [(g, v) for g, vs in groups.items() for v in vs]
+    seen = []
+    for parts in (1, 2, 5, 9, 16):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "g string, x double").repartition(parts)
+        seen.append({r["g"]: r["s"] for r in df.groupBy("g").agg(money_sum("x").alias("s")).collect()})
+    assert all(s == seen[0] for s in seen)
+    for g, vs in groups.items():
+        assert seen[0][g] == float(sum(map(Fraction, vs))), g
