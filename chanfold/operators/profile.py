@@ -249,3 +249,111 @@ def describe_all(spark, df: DataFrame) -> DataFrame:
         F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"), F.col(f"z{i}").alias("null_count"),
         F.col(f"lo{i}").alias("min_text"), F.col(f"hi{i}").alias("max_text")) for i, c in enumerate(other)])))
     return numbers.unionByName(texts, allowMissingColumns=True)
+
+
+#: Values up to which a theta sketch of ``2 ** SKETCH_BITS`` entries holds every
+#: hash, so that an empty intersection of two of them is certain.
+SKETCH_BITS = 16
+
+
+def id_sketches(frames: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """(id, source, column_name, n_distinct, sketch): a theta sketch of every id
+    column of ``frames`` (source -> table and columns), of constant size and
+    mergeable, so it can be stored beside the source.  Null is a value (a text
+    that is not empty, as sketches leave empty texts out)."""
+    parts = []
+    names = [(s, c) for s, (_, cols) in frames.items() for c in cols]
+    for source, (df, cols) in frames.items():
+        values = df.select(*[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")).alias(c) for c in cols])
+        wide = values.agg(*[F.theta_sketch_agg(c, SKETCH_BITS).alias(c) for c in cols])
+        rows = [F.struct(F.lit(names.index((source, c))).alias("id"), F.lit(source).alias("source"),
+                         F.lit(c).alias("column_name"), F.col(c).alias("sketch")) for c in cols]
+        parts.append(wide.select(F.inline(F.array(*rows))))
+    return union_all(parts).select("id", "source", "column_name",
+                                   F.theta_sketch_estimate("sketch").alias("n_distinct"), "sketch")
+
+
+def id_overlaps(frames: dict[str, tuple[DataFrame, list[str]]], sketches: DataFrame) -> DataFrame:
+    """(left_source, left_column, right_source, right_column, overlap) for every
+    pair of id columns of different sources: the number of distinct values,
+    compared as text and null included, that both hold.
+
+    ``sketches`` (written ``id_sketches``) rule pairs out whose sketches are
+    whole and share no hash.  The columns left are counted exactly in one
+    aggregation: every value gets the set of columns that hold it, as bits, and
+    the few sets are counted."""
+    names = [(s, c) for s, (_, cols) in frames.items() for c in cols]
+    if len(names) > 62:
+        raise ValueError("at most 62 id columns are compared at once")
+    pair = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names)) if names[i][0] != names[j][0]]
+    by_id = {r["id"]: r for r in sketches.select("id", "n_distinct").collect()}     # a row per column
+    whole = {i for i in by_id if by_id[i]["n_distinct"] <= 1 << SKETCH_BITS}
+    wide = sketches.groupBy().pivot("id", list(by_id)).agg(F.first("sketch"))
+    shares = wide.select(*[F.theta_sketch_estimate(F.theta_intersection(F.col(f"`{i}`"), F.col(f"`{j}`"))).alias(f"{i}_{j}")
+                           for i, j in pair]).first() if pair else {}
+    left = [(i, j) for i, j in pair if shares[f"{i}_{j}"] > 0 or not {i, j} <= whole]
+    wanted = {k for p in left for k in p}
+    values = [df.select(F.inline(F.array(*[F.struct(F.col(c).cast("string").alias("value"),
+                                                    F.lit(1 << names.index((s, c))).cast("bigint").alias("bit"))
+                                           for c in cols if names.index((s, c)) in wanted])))
+              for s, (df, cols) in frames.items() if any(names.index((s, c)) in wanted for c in cols)]
+    spark = sketches.sparkSession
+    listed = spark.createDataFrame([(*names[i], *names[j], (1 << i) | (1 << j)) for i, j in pair],
+                                   "left_source string, left_column string, right_source string, right_column string, "
+                                   "bits bigint")
+    if not values:
+        return listed.select("left_source", "left_column", "right_source", "right_column",
+                             F.lit(0).cast("bigint").alias("overlap"))
+    sets = union_all(values).groupBy("value").agg(F.bit_or("bit").alias("held")).groupBy("held").agg(
+        F.count(F.lit(1)).alias("n"))
+    masks = F.array(*[F.lit((1 << i) | (1 << j)).cast("bigint") for i, j in left])
+    counts = (sets.select("n", F.explode(F.filter(masks, lambda m: F.col("held").bitwiseAND(m) == m)).alias("bits"))
+              .groupBy("bits").agg(F.sum("n").alias("n")))
+    return listed.join(counts, "bits", "left").select(
+        "left_source", "left_column", "right_source", "right_column", F.coalesce("n", F.lit(0)).alias("overlap"))
+
+
+#: Size parameter of the quantile sketches and the rank error it keeps within.
+KLL_K, KLL_ERROR = 400, 0.02
+
+
+def quantile_cells(df: DataFrame, dims: list[str], columns: list[str], k: int = KLL_K) -> DataFrame:
+    """(dims, column_name, sketch): a KLL sketch of each numeric column in each
+    cell, of bounded size; null values and cells without any are left out."""
+    cols = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns]
+    return (df.select(*dims, F.inline(F.array(*cols))).where(F.col("x").isNotNull() & ~F.isnan("x"))
+            .groupBy(*dims, "column_name").agg(F.kll_sketch_agg_double("x", F.lit(k)).alias("sketch")))
+
+
+def quantiles_of_cut(cells: DataFrame, by: list[str], probabilities=(0.25, 0.5, 0.75)) -> DataFrame:
+    """(by, column_name, p, n, value): quantiles of any cut of stored cells, from
+    their merged sketches."""
+    merged = cells.groupBy(*by, "column_name").agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    rows = [F.struct(F.lit(float(p)).alias("p"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias("value"))
+            for p in probabilities]
+    return merged.select(*by, "column_name", F.kll_sketch_get_n_double("sketch").alias("n"), F.inline(F.array(*rows)))
+
+
+def checked_quantiles(df: DataFrame, quantiles: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """``quantiles`` with ``rank_error``: how far, as a share of the values, the
+    wanted rank is from the ranks that the value has in ``df``.
+
+    One pass counts the values below and up to each quantile of their group; the
+    quantiles, a few rows a group, are joined as one row per group and column."""
+    cols = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns]
+    values = df.select(*by, F.inline(F.array(*cols))).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    wide = (quantiles.withColumnsRenamed({c: f"_{c}" for c in [*by, "column_name"]})
+            .groupBy(*[f"_{c}" for c in [*by, "column_name"]])
+            .agg(F.array_sort(F.collect_list(F.struct("p", "value", "n"))).alias("own")))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*by, "column_name"]])
+    n_p = quantiles.select("p").distinct().count()
+    ranks = values.join(wide, same).groupBy(*by, "column_name", "own").agg(
+        *[F.count_if(F.col("x") < F.col("own")[i]["value"]).alias(f"below{i}") for i in range(n_p)],
+        *[F.count_if(F.col("x") <= F.col("own")[i]["value"]).alias(f"upto{i}") for i in range(n_p)])
+    rows = []
+    for i in range(n_p):
+        q = F.col("own")[i]
+        want = q["p"] * q["n"]
+        error = F.greatest(F.col(f"below{i}") - want, want - F.col(f"upto{i}"), F.lit(0.0)) / q["n"]
+        rows.append(F.struct(q["p"].alias("p"), q["n"].alias("n"), q["value"].alias("value"), error.alias("rank_error")))
+    return ranks.select(*by, "column_name", F.inline(F.array(*rows)))

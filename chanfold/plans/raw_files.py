@@ -40,8 +40,12 @@ def _parts(df: DataFrame, approx_rows: int | None = None) -> DataFrame:
 def write_json_array(df: DataFrame, path: str) -> None:
     """One JSON array document per partition (Spark's writer only emits
     JSON lines): each task joins its rows into ``[...]``."""
-    ship_package(df.sparkSession)
-    lines = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+    write_json_documents(df.select(F.to_json(F.struct(*df.columns)).alias("j")), path)
+
+
+def write_json_documents(lines: DataFrame, path: str) -> None:
+    """One array of the JSON texts ``j`` per partition."""
+    ship_package(lines.sparkSession)
 
     def run(batches):
         chunks = [b["j"] for b in batches]
@@ -65,6 +69,45 @@ def write_raw_files(layers: Layers, target: str) -> None:
         f"{target}/{names['currency_reference']}")
 
 
+def mixed_types(app: DataFrame) -> DataFrame:
+    """App records as JSON texts in which some cells have another type: product
+    ids as text, amounts as objects, units sold as words."""
+    n = F.col("qty")
+    rest = F.to_json(F.struct(*[c for c in app.columns if c not in ("productId", "amount", "sold")]))
+    cell = lambda c, *odd: F.coalesce(*[F.when(w, v) for w, v in odd], F.col(c).cast("string"), F.lit("null"))
+    return app.select(F.concat(
+        F.expr("'{\"productId\":'"), cell("productId", (n % 5 == 2, F.concat(F.lit('"'), F.col("productId"), F.lit('"')))),
+        F.lit(',"amount":'), cell("amount", (n % 11 == 4, F.lit('{"value":1}'))),
+        F.lit(',"sold":'), cell("sold", (n % 7 == 3, F.lit('"dos"'))),
+        F.lit(","), F.substring(rest, 2, 1_000_000)).alias("j"))
+
+
+def mixed_json_folder(layers: Layers) -> str:
+    """JSON arrays of app records with mixed types, written once per snapshot."""
+    return published(layers.spark, f"{work_dir(layers.spark)}/chanfold-mixed",
+                     _fingerprint(layers) + code_fingerprint(mixed_types, write_json_documents),
+                     lambda folder: write_json_documents(
+                         mixed_types(_parts(raw_dialects.RAW_ENCODERS["app"](layers.fact()))), folder))
+
+
+def late_misfits(retail: DataFrame) -> DataFrame:
+    """Retail records as text, with words for units in some of the last orders."""
+    order = F.col("transaction_id").cast("bigint")
+    last = retail.agg(F.max(order)).first()[0] or 0
+    late = (order > F.lit(last) * 0.9) & (F.col("units_ordered") % 7 == 3)
+    cells = [F.when(late, F.lit("tres")).otherwise(F.col(c).cast("string")).alias(c) if c == "units_ordered"
+             else F.col(c) for c in retail.columns]
+    return retail.select(*cells).orderBy(order, "sku", "units_sold")
+
+
+def late_misfit_folder(layers: Layers) -> str:
+    """CSV files in the order of the order numbers, written once per snapshot."""
+    return published(layers.spark, f"{work_dir(layers.spark)}/chanfold-untyped",
+                     _fingerprint(layers) + code_fingerprint(late_misfits),
+                     lambda folder: late_misfits(raw_dialects.RAW_ENCODERS["retail"](layers.fact()))
+                     .write.option("header", True).csv(folder))
+
+
 def _fingerprint(layers: Layers) -> str:
     """Of the input tables and of all code and dictionaries that encode them."""
     from chanfold import specs

@@ -22,7 +22,7 @@ from chanfold.operators import quality as qual
 from chanfold.plans import oracle_sql as osql
 from chanfold.plans import raw_dialects as raw
 from chanfold.plans import raw_files
-from chanfold.plans.layers import Layers
+from chanfold.plans.layers import Layers, code_fingerprint, materialize
 from chanfold.plans.raw_dialects import RAW_SCHEMAS
 from chanfold.plans.report import present, present_kpis
 from chanfold.sources import ingest as ing
@@ -619,6 +619,54 @@ def _id_overlap(spark, sf_dir):
                            b.select(F.lit("ecomm_wholesale").alias("pair"), "overlap")])
 
 
+# Columns that hold ids, by source.
+ID_COLUMNS = {
+    "retail": ["transaction_id", "consumer_id", "sku"],
+    "ecomm": ["orderId", "customerId", "article"],
+    "app": ["uid", "productId", "orderRef"],
+    "wholesale": ["material_id"],
+    "franchise": ["Num_Orden", "Consumidor", "Codigo_Producto"],
+}
+
+
+def _id_overlaps_sql() -> str:
+    table = lambda s: "raw_ecomm_flat" if s == "ecomm" else f"raw_{s}"
+    names = [(s, c) for s, cols in ID_COLUMNS.items() for c in cols]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS left_source, '{x}' AS left_column, '{b}' AS right_source, '{y}' AS right_column, "
+        f"count(*) AS overlap FROM (SELECT CAST({x} AS VARCHAR) FROM {table(a)} INTERSECT "
+        f"SELECT CAST({y} AS VARCHAR) FROM {table(b)}) v"
+        for i, (a, x) in enumerate(names) for b, y in names[i + 1:] if a != b)
+
+
+@register("id_overlaps", osql.with_raw(_id_overlaps_sql()))
+def _id_overlaps(spark, sf_dir):
+    """Shared ids of every pair of id columns of different sources."""
+    layers = Layers(spark, sf_dir)
+    frames = {s: (ecomm_lines(spark, sf_dir) if s == "ecomm" else raw_frame(spark, sf_dir, s), cols)
+              for s, cols in ID_COLUMNS.items()}
+    fp = layers.fingerprint(["lineitem", "orders", "customer", "part"], prof, raw) + code_fingerprint(_id_overlaps)
+    return prof.id_overlaps(frames, materialize(spark, lambda: prof.id_sketches(frames), "id_sketches", fp))
+
+
+QUANTILE_DIMS = ["country", "channel", "category"]
+
+
+@register("quartiles_by_cut", osql.with_base("\nUNION ALL\n".join(
+    f"SELECT country, channel, '{c}' AS column_name, CAST({p} AS DOUBLE) AS p, count({c}) AS n, TRUE AS within "
+    f"FROM fact_eur GROUP BY country, channel HAVING count({c}) > 0" for c in NUMERIC_FACT_COLS for p in (0.25, 0.5, 0.75))))
+def _quartiles_by_cut(spark, sf_dir):
+    """Quartiles per country and channel from sketches stored per cell, each
+    checked to be within the sketch's rank error of the exact rank."""
+    layers = Layers(spark, sf_dir)
+    fp = layers.fingerprint(["lineitem", "orders", "customer", "part"], prof)
+    cells = materialize(spark, lambda: prof.quantile_cells(layers.fact_eur(), QUANTILE_DIMS, NUMERIC_FACT_COLS),
+                        "quantile_cells", fp)
+    by = ["country", "channel"]
+    out = prof.checked_quantiles(layers.fact_eur(), prof.quantiles_of_cut(cells, by), by, NUMERIC_FACT_COLS)
+    return out.select(*by, "column_name", "p", "n", (F.col("rank_error") <= prof.KLL_ERROR).alias("within"))
+
+
 def _rules_sql(source: str = "fact") -> str:
     rules = {
         "country_not_allowed": "NOT coalesce(country IN ('AR', 'BR', 'CL', 'CO', 'MX', 'PE'), FALSE)",
@@ -722,6 +770,30 @@ def _ingest_csv(spark, sf_dir):
     return rd.read_csv(spark, path, RAW_SCHEMAS["retail"])
 
 
+@register("ingest_csv_sampled", osql.with_raw("""
+SELECT * EXCLUDE (units_ordered, late), CASE WHEN late THEN NULL ELSE units_ordered END AS units_ordered, late AS misfit
+FROM (SELECT *, CAST(transaction_id AS BIGINT) > 0.9 * max(CAST(transaction_id AS BIGINT)) OVER ()
+        AND units_ordered % 7 = 3 AS late
+      FROM (SELECT * REPLACE (CAST(transaction_id AS BIGINT) AS transaction_id, CAST(consumer_id AS BIGINT) AS consumer_id,
+                              CAST(sku AS BIGINT) AS sku) FROM raw_retail) r) l"""))
+def _ingest_csv_sampled(spark, sf_dir):
+    """A CSV source without a declared schema: typed by its first 10,000 rows,
+    every later row that does not fit marked."""
+    df = rd.read_csv_sampled(spark, raw_files.late_misfit_folder(Layers(spark, sf_dir)))
+    return df.withColumn("misfit", F.col(rd.CORRUPT).isNotNull()).drop(rd.CORRUPT)
+
+
+@register("ingest_json_mixed", osql.with_raw("""
+SELECT * REPLACE (CASE WHEN qty % 11 = 4 THEN NULL ELSE amount END AS amount,
+                  CASE WHEN qty % 7 = 3 THEN NULL ELSE sold END AS sold),
+  concat_ws(' ', CASE WHEN qty % 11 = 4 THEN 'amount' END, CASE WHEN qty % 7 = 3 THEN 'sold' END) AS misfits
+FROM raw_app"""))
+def _ingest_json_mixed(spark, sf_dir):
+    """JSON arrays with cells of other types than declared, and which they are."""
+    df = rd.read_json_array_variant(spark, raw_files.mixed_json_folder(Layers(spark, sf_dir)), RAW_SCHEMAS["app"])
+    return df.withColumn("misfits", F.array_join(rd.MISFITS, " ")).drop(rd.MISFITS)
+
+
 @register("ingest_ndjson", osql.with_raw("SELECT * FROM raw_ecomm_flat"))
 def _ingest_ndjson(spark, sf_dir):
     path, _ = _raw_path(spark, sf_dir, "ecomm")
