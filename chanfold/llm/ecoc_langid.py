@@ -8,8 +8,9 @@ weighted by how well it was learnt.  The soft minimum of the losses is the
 score; a text whose two best languages are close is flagged as ambiguous.
 
 The model is fitted on at most ``max_train`` labelled documents (as many for
-each language, those with the smallest id hashes); prediction reads every whole
-text.
+each language, those with the smallest id hashes) of at most ``max_languages``
+languages, those with the most documents (of equals, the first by name); rarer
+ones are never predicted.  Prediction reads every whole text.
 """
 
 from __future__ import annotations
@@ -57,14 +58,14 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
     rng = np.random.default_rng(seed)
     best, best_gap = None, -1
     for _ in range(300):
-        code = np.empty((n, bits), np.int8)
-        for b in range(bits):
-            column = rng.permutation(np.where(np.arange(n) < max(1, n // 2), 1, -1))
-            code[:, b] = column
-        gap = min(((code[i] != code[j]).sum() for i in range(n) for j in range(i)), default=bits)
+        half = np.where(np.arange(n) < max(1, n // 2), 1, -1).astype(np.float64)
+        code = np.stack([rng.permutation(half) for _ in range(bits)], axis=1)
+        same = code @ code.T                             # bits less twice the distance
+        np.fill_diagonal(same, -bits)
+        gap = bits if n < 2 else int(round((bits - same.max()) / 2))
         if gap > best_gap:
             best, best_gap = code, gap
-    return best.astype(np.float64)
+    return best
 
 
 def fit(x: np.ndarray, labels: list[str], steps: int = 200, decay: float = 1e-4) -> Model | None:
@@ -87,15 +88,17 @@ def fit(x: np.ndarray, labels: list[str], steps: int = 200, decay: float = 1e-4)
     return Model(languages, code, w, b, trust * len(trust) / trust.sum())
 
 
-def train(docs: DataFrame, max_train: int = 2400, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang") -> Model | None:
+def train(docs: DataFrame, max_train: int = 2400, max_languages: int = 120, id_col: str = "doc_id",
+          text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """Model from the labelled rows of ``docs`` (null ids, labels and texts are
     left out); None without any."""
-    n = docs.where(F.col(lang_col).isNotNull()).select(lang_col).distinct().count()
-    if not n:
-        return None
     lang = F.col(lang_col).cast("string")
-    sample = sample_ids(docs, F.col(id_col), lang, max(20, max_train // n))
+    sizes = (docs.where(lang.isNotNull()).groupBy(lang.alias("lang")).count()
+             .orderBy(F.desc("count"), "lang").limit(max_languages).collect())
+    if not sizes:
+        return None
+    docs = docs.where(lang.isin([r["lang"] for r in sizes]))
+    sample = sample_ids(docs, F.col(id_col), lang, max(1, max_train // len(sizes)))
     labels, x = training_rows(docs, sample, vectors, id_col, text_col, lang)
     return fit(x, labels) if labels else None
 

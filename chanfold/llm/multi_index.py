@@ -230,12 +230,12 @@ def near_duplicates(rows: DataFrame, least: float = 0.9, id_col: str = "vec_id",
     Rows link when their cosine is at least ``least``.  Vectors that are null,
     empty, zero, of another length than most, or hold null, NaN or infinite
     components link with nothing; a null id gets a null component and is not
-    kept.  Repeated ids are one vector to others, and each of their rows is
-    returned.  An empty table gives no rows; other columns are ignored."""
+    kept.  Repeated ids are one vector to others, the one with the smallest
+    hash, and each of their rows is returned.  An empty table gives no rows; other columns are ignored."""
     spark = rows.sparkSession
     python_tasks(spark)
     whole = rows.select(F.col(id_col).cast("long").alias("id"))
-    own = usable(rows, id_col, vector_col).dropDuplicates(["id"])
+    own = usable(rows, id_col, vector_col)
     # Equal vectors are one node, named by the smallest id.
     members = written(own.join(own.groupBy("vector").agg(
         F.min("id").alias("node"), F.count(F.lit(1)).alias("copies")), "vector"), "vectors")

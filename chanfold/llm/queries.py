@@ -45,8 +45,8 @@ def op4_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fold(n: int):
-    """Remainder of the CRC-32 of the document id as text."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+    """Remainder of the CRC-32 of the document id as text (null: empty text)."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
 
 
 def op6_bt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(PLANTED_TURN).alias("text"))
-    return chat_format.digest(chat_format.segments(turns.unionByName(extra)))
+    return chat_format.digest(common.written(chat_format.segments(turns.unionByName(extra)), "segments"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

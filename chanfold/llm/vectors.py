@@ -14,18 +14,23 @@ from pyspark.sql import functions as F
 BLOCK = "cell long, ids binary, data binary"
 
 
-def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """id, vector (array<double>) of the rows that take part: the id is not
-    null, and the vector is not null, has only finite components, is not all
-    zero and has the most frequent length (of equals, the smaller)."""
+def usable(rows: DataFrame, id_col: str, vector_col: str, length: int | None = None) -> DataFrame:
+    """id, vector (array<double>) of the rows that take part, one for each id:
+    the id is not null, and the vector is not null, has only finite components,
+    is not all zero and has ``length`` components, else as many as most vectors
+    (of equals, the smaller).  Of rows that repeat an id the one with the
+    smallest hash of its vector is taken (of equal hashes, the smaller vector)."""
     v = F.col("vector")
     out = rows.select(F.col(id_col).cast("long").alias("id"),
                       F.col(vector_col).cast("array<double>").alias("vector"))
     out = out.where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0)).where(
         F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
         & F.exists(v, lambda x: x != 0.0))
-    size = out.groupBy(F.size(v).alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return out.where(F.size(v) == (size["n"] if size else 0))
+    if length is None:
+        most = out.groupBy(F.size(v).alias("n")).count().orderBy(F.desc("count"), "n").first()
+        length = most["n"] if most else 0
+    return (out.where(F.size(v) == length).groupBy("id")
+            .agg(F.min(F.struct(F.xxhash64("vector").alias("hash"), "vector")).alias("own")).select("id", "own.vector"))
 
 
 def first_copies(rows: DataFrame, most: int) -> DataFrame:

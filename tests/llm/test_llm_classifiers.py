@@ -143,3 +143,54 @@ def test_repeated_ids_displace_no_label(spark):
     marks = spark.createDataFrame([(i, int(i % 3 == 1)) for i in range(90)] * 2, "doc_id long, quality int")
     model = bt_quality.train(df, marks, per_label=20)
     assert model is not None
+
+
+def test_codes_and_training_with_many_labels(spark):
+    code = ecoc_langid.codewords(120)
+    gap = min(int((code[i] != code[j]).sum()) for i in range(120) for j in range(i))
+    assert code.shape == (120, 70) and gap >= 15 and set(np.unique(code)) == {-1.0, 1.0}
+    rows = [(i, f"word{i % 5000} the and", f"l{i % 5000:04d}") for i in range(15_000)]
+    rows += [(20_000 + i, "der und die das nicht " * 3, "de") for i in range(50)]
+    model = ecoc_langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4))
+    assert len(model.languages) == 120 and "de" in model.languages      # the most frequent, then by name
+    assert ecoc_langid.decode(model, ["der und die das nicht"])[0] == ["de"]
+
+
+def test_decoding_by_plain_loops():
+    rng = np.random.default_rng(4)
+    words = {"en": ["the", "of", "and"], "de": ["der", "und", "die"], "fr": ["le", "les", "est"], "es": ["el", "los", "es"]}
+    texts = [" ".join(rng.choice(words[k], 12)) for k in words for _ in range(30)]
+    model = ecoc_langid.fit(ecoc_langid.vectors(texts), [k for k in words for _ in range(30)])
+    asked = [texts[3], texts[70], "the und le", "zzz qqq", "los es el der"]
+    langs, scores, _ = ecoc_langid.decode(model, asked)
+    for text, lang, score in zip(asked, langs, scores):
+        margin = [sum(f * w for f, w in zip(ecoc_langid.vectors([text])[0].tolist(), model.weights[:, b].tolist()))
+                  + model.bias[b] for b in range(model.code.shape[1])]
+        loss = [sum(t * np.log1p(np.exp(-c * m)) for t, c, m in zip(model.trust, word, margin)) for word in model.code]
+        assert lang == model.languages[int(np.argmin(loss))]
+        assert abs(score - 1 / sum(np.exp(min(loss) - x) for x in loss)) < 1e-4
+
+
+def test_pairwise_fit_by_plain_loops():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 4)).astype(np.float32)
+    y = (x[:, 0] + 0.5 * x[:, 1] + 0.3 * rng.normal(size=60) > 0).astype(int)
+    model = bt_quality.fit(x, y, (0.4, 0.6), max_pairs=300, steps=40)
+    z = (x - model.mean) / model.scale
+    good, poor = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    pick = np.random.default_rng(11)
+    pairs = list(zip(pick.choice(good, 300), pick.choice(poor, 300)))
+    w, v = np.zeros(4), np.zeros(4)
+    for k in range(40):
+        look = w + k / (k + 3) * v
+        slope = 1e-3 * look
+        for i, j in pairs:                                       # the mean of log(1 + exp(-(s_i - s_j)))
+            d = (z[i] - z[j]).astype(float)
+            slope = slope - d / (1 + np.exp(d @ look)) / 300
+        v, w = look - 0.05 * slope - w, look - 0.05 * slope
+    assert np.allclose(w, model.weights, rtol=1e-4, atol=1e-6)
+    s = z @ w
+    cost = lambda t: (0.6 * np.mean(s[good] < t) + 0.4 * np.mean(s[poor] >= t))
+    cuts = np.sort(s)
+    least = min(cost(t) for t in [cuts[0] - 1, *((cuts[1:] + cuts[:-1]) / 2), cuts[-1] + 1])
+    assert abs(cost(model.threshold) - least) < 1e-9

@@ -212,6 +212,38 @@ def test_search_of_few_rows(spark):
     assert multiprobe_lsh.search(df, df.limit(0)).count() == 0
 
 
+def test_search_with_queries_of_another_length(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4 if i % 50 == 0 else 8).tolist(), "x", 1, "s") for i in range(400)]
+    df = spark.createDataFrame(rows, VECS).repartition(3)
+    assert multiprobe_lsh.search(df, df.where("vec_id % 50 = 0")).count() == 0
+
+
+def test_repeated_ids_give_one_result(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i % 150, rng.normal(size=6).tolist(), "x", 1, "s") for i in range(400)]
+    rows += [(i, [0.0, 0.0, 1.0, 0.0, 0.0, 1e-3 * i], "x", 1, "s") for i in range(1000, 1100)]
+    got, near = [], []
+    for parts in (1, 3, 8):
+        df = spark.createDataFrame(rows, VECS).orderBy("embedding", ascending=parts > 1).repartition(parts)
+        got.append(sorted(map(tuple, multiprobe_lsh.search(df, df.where("vec_id % 50 = 0")).collect())))
+        near.append(sorted(map(tuple, multi_index.near_duplicates(df).collect())))
+    assert got[0] == got[1] == got[2] and near[0] == near[1] == near[2]
+    assert len({r[0] for r in got[0]}) == 5 and len(near[0]) == 500
+
+
+def test_short_queries_meet_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(multiprobe_lsh, "ASKED", 16)
+    x = np.random.default_rng(7).normal(size=(300, 6))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>").repartition(4)
+    queries = df.where("id < 50")
+    got = multiprobe_lsh._top(multiprobe_lsh._all_pairs(df, queries, 50, 4), 4).collect()
+    u = unit(x)
+    for q in range(50):
+        own = sorted((r["rank"], r["id"]) for r in got if r["query"] == q)
+        assert [i for _, i in own] == np.argsort(-(u @ u[q]), kind="stable")[:4].tolist()
+
+
 def test_probes_come_in_order_of_cost():
     index = multiprobe_lsh.Index.new(8, 100_000, tables=2)
     q = unit(np.random.default_rng(2).normal(size=(5, 8)))
