@@ -68,9 +68,16 @@ def clear_scratch(spark: SparkSession) -> None:
         fs.delete(path, True)
 
 
+#: Bytes of a batch of rows that goes to a Python task; a longer row is a batch
+#: of its own.  It bounds what a batch takes in the JVM and in the task.
+BATCH_BYTES = 4 << 20
+
+
 def python_tasks(spark: SparkSession) -> None:
-    """Make this package importable in Python workers on a cluster."""
+    """Make this package importable in Python workers on a cluster, and have
+    rows sent to them in small batches."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def as_double_vectors(df: DataFrame, vector_col: str) -> DataFrame:
