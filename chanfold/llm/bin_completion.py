@@ -7,16 +7,18 @@ pieces by their rank within their length.
 
 Search (``solve``): take the largest length left, enumerate the undominated
 fillings of the rest of its bin, best filled first, use a filling as often as
-the counts allow, and go on with what is left.  A branch is given up once its
-waste exceeds what a solution one bin better than the incumbent could waste.
-The first incumbent is best fit decreasing; the search ends at the lower bound
-``ceil(total / capacity)`` or after ``max_nodes`` nodes, and then keeps the
-best incumbent.
+the counts allow (then fewer times: half as often down to eight, then one by one
+less), and go on with what is left.  A branch is given up once its waste exceeds
+what a solution one bin better than the incumbent could waste.  The first
+incumbent is best fit decreasing; the search ends at the lower bound
+(``lower_bound``) or after ``max_nodes`` nodes, and then keeps the
+best incumbent.  No other bound cuts it short.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -29,7 +31,17 @@ Filling = tuple[tuple[int, int], ...]        # (length, copies), longest first
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    return -(-sum(s * c for s, c in counts.items()) // capacity)
+    """Bins that any solution needs.  For each ``small``: items above
+    ``capacity - small`` stand alone, no two above half share a bin, and items
+    from ``small`` up to half must go to the room beside those or to more bins."""
+    best = -(-sum(s * c for s, c in counts.items()) // capacity)
+    for small in {s for s in counts if 2 * s <= capacity}:
+        alone = sum(c for s, c in counts.items() if s > capacity - small)
+        large = {s: c for s, c in counts.items() if 2 * s > capacity and s <= capacity - small}
+        room = sum((capacity - s) * c for s, c in large.items())
+        rest = sum(s * c for s, c in counts.items() if small <= s and 2 * s <= capacity)
+        best = max(best, alone + sum(large.values()) + max(0, -(-(rest - room) // capacity)))
+    return max(best, sum(c for s, c in counts.items() if 2 * s > capacity))
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]:
@@ -75,38 +87,57 @@ def _dominates(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
     return sum(b) <= sum(a) and fits(b, a)
 
 
-def fillings(counts: dict[int, int], room: int, waste: int, most: int = 24) -> list[tuple[int, ...]]:
+def fillings(counts: dict[int, int], room: int, waste: int) -> Iterator[tuple[int, ...]]:
     """Undominated ways to fill ``room`` with lengths of ``counts`` leaving at
-    most ``waste`` empty, best filled first (the best ``most`` of them)."""
-    if counts.get(room, 0):
-        return [(room,)]
+    most ``waste`` empty, best filled first, larger lengths first among equals.
+
+    The sums that the smaller lengths can make are kept as bits of whole
+    numbers, so the walk to a sum takes no step that does not lead there."""
     sizes = [s for s in sorted(counts, reverse=True) if s <= room and counts[s]]
-    found: list[tuple[int, ...]] = []
-    steps = [4000]
-
-    def go(at: int, left: int, chosen: tuple[int, ...]) -> None:
-        steps[0] -= 1
-        if steps[0] < 0 or len(found) >= 4 * most:
-            return
-        fits = False
-        for i in range(at, len(sizes)):
-            s = sizes[i]
-            if s > left or (chosen and s == chosen[-1] and chosen.count(s) >= counts[s]):
-                continue
-            fits = True
-            go(i, left - s, chosen + (s,))
-            if steps[0] < 0 or len(found) >= 4 * most:
+    reach = [1] * (len(sizes) + 1)                       # of sizes[i:]
+    for i in range(len(sizes) - 1, -1, -1):
+        sums, left, step = reach[i + 1], min(counts[sizes[i]], room // sizes[i]), 1
+        while left:
+            step = min(step, left)
+            sums |= sums << sizes[i] * step
+            left -= step
+            step *= 2
+        reach[i] = sums & (1 << room + 1) - 1
+
+    def walk(at: int, total: int) -> Iterator[tuple[int, ...]]:
+        if not total:
+            yield ()
+        for i in range(at, len(sizes) if total else 0):
+            if not reach[i] >> total & 1:
                 return
-        if not fits and left <= waste:
-            found.append(chosen)
-
-    go(0, room, ())
-    found.sort(key=lambda f: (-sum(f), len(f), tuple(-x for x in f)))
-    kept: list[tuple[int, ...]] = []
-    for f in found:
-        if len(kept) < most and not any(_dominates(k, f) for k in kept[:8]):
-            kept.append(f)
-    return kept
+            s = sizes[i]
+            for copies in range(min(counts[s], total // s), 0, -1):
+                if reach[i + 1] >> total - copies * s & 1:
+                    for rest in walk(i + 1, total - copies * s):
+                        yield (s,) * copies + rest
+
+    seen: list[tuple[int, ...]] = []
+    for total in range(room, max(room - waste, 0) - 1, -1):
+        if reach[0] >> total & 1:
+            for f in walk(0, total):
+                if not any(_dominates(k, f) for k in seen):
+                    seen.append(f)
+                    yield f
+
+
+def _choices(left: dict[int, int], capacity: int, allowed: int) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Fillings around the largest length left, each with how often to use it:
+    as often as the counts and the waste allow, then fewer times."""
+    top = max(left)
+    rest = {s: c - (s == top) for s, c in left.items()}
+    for f in fillings(rest, capacity - top, min(allowed, capacity)):
+        items = (top, *f)
+        times, waste = min(left[s] // items.count(s) for s in set(items)), capacity - sum(items)
+        if waste:
+            times = min(times, allowed // waste)
+        while times:
+            yield items, times
+            times = times // 2 if times > 8 else times - 1
 
 
 def solve(counts: dict[int, int], capacity: int, max_nodes: int = 6000) -> list[tuple[Filling, int]]:
@@ -116,34 +147,21 @@ def solve(counts: dict[int, int], capacity: int, max_nodes: int = 6000) -> list[
     bound, total = lower_bound(counts, capacity), sum(s * c for s, c in counts.items())
     n_best = sum(n for _, n in best)
     nodes = 0
-
-    def options(left: dict[int, int], allowed: int) -> list[tuple[int, ...]]:
-        top = max(left)
-        return [(top, *f) for f in fillings({s: c - (s == top) for s, c in left.items()},
-                                            capacity - top, allowed)]
-
-    # A node: counts left, waste allowed, fillings not yet tried; path: what was used.
-    allowed = (n_best - 1) * capacity - total
-    stack = [[dict(counts), options(counts, allowed)]] if n_best > bound else []
+    # A node: counts left, waste spent so far, choices not yet tried; path: what was used.
+    spare = lambda: (n_best - 1) * capacity - total      # noqa: E731  waste of a solution one bin better
+    stack = [(dict(counts), 0, _choices(counts, capacity, spare()))] if n_best > bound else []
     path: list[tuple[tuple[int, ...], int]] = []
     while stack and n_best > bound and nodes < max_nodes:
-        left, untried = stack[-1]
-        spent = sum((capacity - sum(f)) * n for f, n in path)
-        allowed = (n_best - 1) * capacity - total - spent
-        if not untried:
-            stack.pop()
-            if path:
-                path.pop()
+        left, spent, untried = stack[-1]
+        items, times = next(untried, ((), 0))
+        waste = (capacity - sum(items)) * times
+        if not times or spent + waste > spare():
+            if not times or waste == 0 or times == 1:    # later choices waste no less
+                stack.pop()
+                if path:
+                    path.pop()
             continue
         nodes += 1
-        items = untried.pop(0)
-        waste = capacity - sum(items)
-        if waste > allowed:
-            untried.clear()
-            continue
-        times = min(left[s] // items.count(s) for s in set(items))
-        if waste:
-            times = min(times, allowed // waste)
         rest = dict(left)
         for s in set(items):
             rest[s] -= items.count(s) * times
@@ -151,7 +169,7 @@ def solve(counts: dict[int, int], capacity: int, max_nodes: int = 6000) -> list[
                 del rest[s]
         path.append((items, times))
         if rest:
-            stack.append([rest, options(rest, allowed - waste * times)])
+            stack.append((rest, spent + waste, _choices(rest, capacity, spare() - spent - waste)))
             continue
         n_best = sum(n for _, n in path)
         best = [(tuple((s, f.count(s)) for s in sorted(set(f), reverse=True)), n) for f, n in path]

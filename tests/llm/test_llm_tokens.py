@@ -144,7 +144,7 @@ def test_bin_completion_is_optimal_on_small_cases():
         solution = bin_completion.solve(counts, 30)
         assert held(solution) == dict(counts)
         assert all(sum(s * c for s, c in f) <= 30 for f, _ in solution)
-        assert sum(n for _, n in solution) == optimum(sizes, 30)
+        assert bin_completion.lower_bound(counts, 30) <= sum(n for _, n in solution) == optimum(sizes, 30)
 
 
 def test_bin_completion_beats_best_fit():
@@ -154,10 +154,23 @@ def test_bin_completion_beats_best_fit():
     best = bin_completion.best_fit(counts, 101)
     assert held(best) == held(solution) == counts
     assert sum(n for _, n in solution) <= sum(n for _, n in best)
-    assert bin_completion.fillings({10: 1, 7: 1, 3: 1}, 10, 5) == [(10,)]
+    assert list(bin_completion.fillings({10: 1, 7: 1, 3: 1}, 10, 5)) == [(10,)]
+    assert list(bin_completion.fillings({6: 1, 4: 2, 3: 3}, 11, 1)) == [(4, 4, 3), (6, 4)]
     assert bin_completion._dominates((8,), (5, 3)) and not bin_completion._dominates((5, 3), (8,))
 
 
+def test_bin_completion_meets_the_bound_where_best_fit_does_not():
+    rng, better = random.Random(12), 0
+    for _ in range(8):
+        sizes = [rng.randint(100, 450) for _ in range(300)]
+        counts = collections.Counter(sizes)
+        n = sum(k for _, k in bin_completion.solve(counts, 1024))
+        first = sum(k for _, k in bin_completion.best_fit(counts, 1024))
+        assert bin_completion.lower_bound(counts, 1024) <= n <= first
+        better += n < first
+    assert better >= 3
+
+
 def places(rows, capacity):
     used = collections.defaultdict(list)
     for r in rows:
