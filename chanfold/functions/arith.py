@@ -45,14 +45,14 @@ def sum_or_zero(c) -> Column:
 # partitioning and decides rounding ties at random.  A money sum is therefore
 # kept by binary exponent: an amount is cut into digits of 24 bits, for the
 # powers of 2**24 from ``_LOW`` to ``_HIGH``, and each digit is summed as an
-# integer, exactly.  Any double from about 1e-13 to 4.7e21 in size, and zero, is
+# integer, exactly.  Any double from about 1e-13 to 2.3e21 in size, and zero, is
 # the sum of its digits.  The last part is what they leave: of smaller amounts the
 # bits below 2**-96, and larger ones, NaN and infinities whole; it is summed as
 # doubles.  All parts are additive, so sums of sums stay exact, and the total is
 # rounded to a double once, to the nearest.
 _BITS, _LOW, _HIGH = 24, -4, 2
 _SIZE = float(1 << _BITS)
-_BELOW = 2.0 ** (_BITS * (_HIGH + 1))
+_BELOW = 2.0 ** (_BITS * (_HIGH + 1) - 1)
 MONEY_PARTS = [*(f"digit{b - _LOW}" for b in range(_LOW, _HIGH + 1)), "rest"]
 
 
@@ -60,10 +60,12 @@ def money_parts(c) -> dict[str, Column]:
     """The parts of an amount by name (``MONEY_PARTS``), all null for null."""
     x = _as_col(c).cast("double")
     inside = F.abs(x) < F.lit(_BELOW)                  # false for NaN and infinities
-    scaled = lambda b: x * F.lit(2.0 ** (-_BITS * b))  # noqa: E731  exact
-    digits = [F.when(x.isNotNull(), F.when(inside, (scaled(b) % F.lit(_SIZE)).cast("bigint")).otherwise(0))
+    # The amount in units of 2**(24 * b), to the nearest; what one has beyond the
+    # next is a digit.  Scaling and these differences are exact.
+    units = {b: F.rint(x * F.lit(2.0 ** (-_BITS * b))) for b in range(_LOW, _HIGH + 2)}
+    digits = [F.when(x.isNotNull(), F.when(inside, (units[b] - units[b + 1] * F.lit(_SIZE)).cast("bigint")).otherwise(0))
               for b in range(_LOW, _HIGH + 1)]
-    left = (scaled(_LOW) % F.lit(1.0)) * F.lit(2.0 ** (_BITS * _LOW))
+    left = x - units[_LOW] * F.lit(2.0 ** (_BITS * _LOW))
     return dict(zip(MONEY_PARTS, [*digits, F.when(inside, left).otherwise(x)]))
 
 

@@ -102,7 +102,7 @@ def test_money_sums_are_the_nearest_double_whatever_the_partitioning(spark):
         "cancel": [1e13, -1e13, 4e-7, 1e13 + 0.002, -1e13, 0.1] * 30,
         "sizes": [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-12, 20) for _ in range(400)],
         "minus": [-rng.random() * 1e6 for _ in range(200)],
-        "edge": [2.0 ** 71, 2.0 ** 71, -(2.0 ** 52), 2.0 ** -43 + 2.0 ** -95, 1.0] * 5,
+        "edge": [2.0 ** 70, 2.0 ** 70 + 2.0 ** 40, -(2.0 ** 52), 2.0 ** 23, -(2.0 ** 23) - 0.5, 2.0 ** -43 + 2.0 ** -95, 1.0] * 5,
         "half": [2.0 ** 53, 1.0], "above_half": [2.0 ** 53, 1.0, 2.0 ** -60], "below_half": [2.0 ** 53, 1.0, -(2.0 ** -60)],
         "zero": [0.0, -0.0, 5.5, -5.5], "one": [rng.random()],
     }
