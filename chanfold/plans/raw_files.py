@@ -108,6 +108,24 @@ def late_misfit_folder(layers: Layers) -> str:
                      .write.option("header", True).csv(folder))
 
 
+# Sources written in folders by a column: source -> (format, column).
+FOLDERED = {"retail": (".csv", "order_month"), "ecomm": (".ndjson", "period"), "wholesale": (".parquet", "country_code")}
+
+
+def write_foldered(layers: Layers, target: str) -> None:
+    for source, (suffix, column) in FOLDERED.items():
+        writer = _parts(raw_dialects.RAW_ENCODERS[source](layers.fact())).write.partitionBy(column)
+        out = f"{target}/{source}_orders{suffix}"
+        {".csv": writer.option("header", True).csv, ".ndjson": writer.json, ".parquet": writer.parquet}[suffix](out)
+
+
+def foldered(layers: Layers) -> str:
+    """Raw sources with one folder per month or country, written once per snapshot."""
+    return published(layers.spark, f"{work_dir(layers.spark)}/chanfold-foldered",
+                     _fingerprint(layers) + code_fingerprint(write_foldered),
+                     lambda folder: write_foldered(layers, folder))
+
+
 def _fingerprint(layers: Layers) -> str:
     """Of the input tables and of all code and dictionaries that encode them."""
     from chanfold import specs

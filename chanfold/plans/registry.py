@@ -19,12 +19,14 @@ from chanfold.operators import conform as conf
 from chanfold.operators import fx, kpis, loyalty, loyalty_cube
 from chanfold.operators import profile as prof
 from chanfold.operators import quality as qual
+from chanfold.operators import quarantine as quar
 from chanfold.plans import oracle_sql as osql
 from chanfold.plans import raw_dialects as raw
 from chanfold.plans import raw_files
-from chanfold.plans.layers import Layers, code_fingerprint, materialize
+from chanfold.plans.layers import Layers, code_fingerprint, materialize, published
 from chanfold.plans.raw_dialects import RAW_SCHEMAS
 from chanfold.plans.report import present, present_kpis
+from chanfold.session import work_dir
 from chanfold.sources import ingest as ing
 from chanfold.sources import readers as rd
 from chanfold.specs import (CATEGORY_FIX, CHANNEL_SPECS, COUNTRY_ISO3_TO_ISO2,
@@ -667,25 +669,31 @@ def _quartiles_by_cut(spark, sf_dir):
     return out.select(*by, "column_name", "p", "n", (F.col("rank_error") <= prof.KLL_ERROR).alias("within"))
 
 
+_RULES_SQL = {
+    "country_not_allowed": "NOT coalesce(country IN ('AR', 'BR', 'CL', 'CO', 'MX', 'PE'), FALSE)",
+    "category_not_allowed": "NOT coalesce(category IN ('Football', 'Originals', 'Outdoor', 'Running'), FALSE)",
+    "status_not_allowed": "NOT coalesce(order_status IN ('cancelled', 'delivered', 'processing', 'returned'), FALSE)",
+    "channel_not_allowed": "NOT coalesce(channel IN ('app', 'ecomm', 'franchise', 'retail', 'wholesale'), FALSE)",
+    "month_bad_format": "NOT coalesce(regexp_full_match(year_month, '[0-9]{4}-[0-9]{2}'), FALSE)",
+    "null_currency": "currency IS NULL",
+    "negative_quantity": "coalesce(qty_ordered < 0 OR qty_sold < 0, FALSE)",
+    "sold_exceeds_ordered": "coalesce(qty_sold > qty_ordered, FALSE)",
+    "wholesale_null_revenue_with_sales":
+        "coalesce(channel = 'wholesale' AND revenue_local IS NULL AND qty_sold <> 0, FALSE)",
+    "app_amount_without_sales":
+        "coalesce(channel = 'app' AND qty_sold = 0 AND revenue_local <> 0, FALSE)",
+}
+
+
 def _rules_sql(source: str = "fact") -> str:
-    rules = {
-        "country_not_allowed": "NOT coalesce(country IN ('AR', 'BR', 'CL', 'CO', 'MX', 'PE'), FALSE)",
-        "category_not_allowed": "NOT coalesce(category IN ('Football', 'Originals', 'Outdoor', 'Running'), FALSE)",
-        "status_not_allowed": "NOT coalesce(order_status IN ('cancelled', 'delivered', 'processing', 'returned'), FALSE)",
-        "channel_not_allowed": "NOT coalesce(channel IN ('app', 'ecomm', 'franchise', 'retail', 'wholesale'), FALSE)",
-        "month_bad_format": "NOT coalesce(regexp_full_match(year_month, '[0-9]{4}-[0-9]{2}'), FALSE)",
-        "null_currency": "currency IS NULL",
-        "negative_quantity": "coalesce(qty_ordered < 0 OR qty_sold < 0, FALSE)",
-        "sold_exceeds_ordered": "coalesce(qty_sold > qty_ordered, FALSE)",
-        "wholesale_null_revenue_with_sales":
-            "coalesce(channel = 'wholesale' AND revenue_local IS NULL AND qty_sold <> 0, FALSE)",
-        "app_amount_without_sales":
-            "coalesce(channel = 'app' AND qty_sold = 0 AND revenue_local <> 0, FALSE)",
-    }
-    sel = ", ".join(f"count(*) FILTER (WHERE {p}) AS {n}" for n, p in rules.items())
+    sel = ", ".join(f"count(*) FILTER (WHERE {p}) AS {n}" for n, p in _RULES_SQL.items())
     return f"UNPIVOT (SELECT {sel} FROM {source}) ON COLUMNS(*) INTO NAME rule VALUE violations"
 
 
+def _failed_sql(rules: dict[str, str]) -> str:
+    return "concat_ws(' ', " + ", ".join(f"CASE WHEN {p} THEN '{n}' END" for n, p in rules.items()) + ")"
+
+
 @register("validate_fact", osql.with_base(_rules_sql()))
 def _validate_fact(spark, sf_dir):
     return qual.validate_fact(Layers(spark, sf_dir).fact())
@@ -723,6 +731,85 @@ def _validate_fact_faults(spark, sf_dir):
     return qual.validate_fact(_faulty_fact(Layers(spark, sf_dir).fact()))
 
 
+_FAULTY_ROWS_CTE = """
+faulty AS (
+  SELECT * REPLACE (CASE WHEN qty_ordered % 5 = 4 THEN 'XX' ELSE country END AS country,
+    CASE WHEN qty_ordered % 7 = 3 THEN 'Tennis' ELSE category END AS category,
+    CASE WHEN qty_ordered % 11 = 5 THEN 'lost' ELSE order_status END AS order_status,
+    CASE WHEN qty_ordered % 13 = 6 THEN 'kiosk' ELSE channel END AS channel,
+    CASE WHEN qty_ordered % 6 = 2 THEN replace(year_month, '-', '/') ELSE year_month END AS year_month,
+    CASE WHEN qty_ordered % 9 = 1 THEN NULL ELSE currency END AS currency,
+    CASE WHEN qty_ordered % 8 = 1 THEN -1 WHEN qty_ordered % 8 = 7 THEN qty_ordered + 1 ELSE qty_sold END AS qty_sold,
+    CASE WHEN channel = 'wholesale' AND qty_ordered % 4 = 2 THEN NULL
+         WHEN channel = 'app' AND qty_sold = 0 THEN 1.0 ELSE revenue_local END AS revenue_local)
+  FROM fact)"""
+
+
+def _split(layers: Layers, name: str, df: DataFrame, rules: dict, fp: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A table split by its rules, written once per input snapshot."""
+    folder = published(layers.spark, f"{work_dir(layers.spark)}/chanfold-split",
+                       f"{name}-{fp}{code_fingerprint(quar, qual, _faulty_fact, _faulty_rates)}",
+                       lambda to: quar.write_split(df, rules, to))
+    return quar.read_split(layers.spark, folder, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema))
+
+
+def _both(accepted: DataFrame, quarantined: DataFrame, rules) -> DataFrame:
+    kept = accepted.select("*", F.lit("").alias("failed"), F.lit(True).alias("accepted"))
+    return kept.unionByName(quarantined.select(*accepted.columns, F.array_join(quar.failed_names(rules), " ").alias("failed"),
+                                               F.lit(False).alias("accepted")))
+
+
+def _fact_split(spark, sf_dir):
+    layers = Layers(spark, sf_dir)
+    fp = layers.fingerprint(["lineitem", "orders", "customer", "part"])
+    return _split(layers, "fact", _faulty_fact(layers.fact()), qual.fact_rules(), fp)
+
+
+@register("quarantine_fact", osql.with_base(
+    f"SELECT *, failed = '' AS accepted FROM (SELECT *, {_failed_sql(_RULES_SQL)} AS failed FROM faulty) f", _FAULTY_ROWS_CTE))
+def _quarantine_fact(spark, sf_dir):
+    """The fact with planted faults, split by one write: the rows of both parts,
+    with the rules that each fails."""
+    accepted, quarantined, _ = _fact_split(spark, sf_dir)
+    return _both(accepted, quarantined, qual.fact_rules())
+
+
+@register("quarantine_fact_rules", osql.with_base(_rules_sql("faulty"), _FAULTY_ROWS_CTE))
+def _quarantine_fact_rules(spark, sf_dir):
+    """Violations by rule, as observed by the write of the split."""
+    return _fact_split(spark, sf_dir)[2]
+
+
+_RATE_RULES_SQL = {
+    "duplicate_keys": "rows_of_key > 1",
+    "non_positive_rate": "local_units_per_eur IS NULL OR local_units_per_eur <= 0",
+    "bad_month_format": "NOT coalesce(regexp_full_match(year_month, '[0-9]{4}-[0-9]{2}'), FALSE)",
+    "null_country": "country IS NULL",
+    "currency_to_not_eur": "NOT coalesce(currency_to = 'EUR', FALSE)",
+}
+
+
+@register("quarantine_rates", osql.with_base(f"""
+SELECT *, failed = '' AS accepted FROM (
+  SELECT *, {_failed_sql(_RATE_RULES_SQL)} AS failed
+  FROM (SELECT *, count(*) OVER (PARTITION BY country, year_month) AS rows_of_key FROM faulty) k) f""", """
+faulty AS (
+  SELECT CASE WHEN country = 'CL' AND substr(year_month, 6, 2) = '02' THEN NULL ELSE country END AS country,
+    CASE WHEN substr(year_month, 6, 2) = '07' THEN replace(year_month, '-', '/') ELSE year_month END AS year_month,
+    CASE WHEN country = 'PE' THEN 'USD' ELSE currency_to END AS currency_to,
+    CASE substr(year_month, 6, 2) WHEN '06' THEN 0.0 WHEN '05' THEN NULL ELSE local_units_per_eur END AS local_units_per_eur
+  FROM rates
+  UNION ALL SELECT country, year_month, currency_to, local_units_per_eur FROM rates WHERE country = 'AR')"""))
+def _quarantine_rates(spark, sf_dir):
+    """The rate table with planted faults, row by row; a repeated key marks each
+    of its rows."""
+    layers = Layers(spark, sf_dir)
+    rates = _faulty_rates(layers.rates()).select("country", "year_month", "currency_to", "local_units_per_eur")
+    accepted, quarantined, _ = _split(layers, "rates", quar.with_key_rows(rates), quar.rate_rules(),
+                                      layers.fingerprint(["orders", "customer"]))
+    return _both(accepted, quarantined, quar.rate_rules())
+
+
 @register("null_revenue_diagnosis", osql.with_base("""
 SELECT order_status, count(*) AS n_rows,
   count(*) FILTER (WHERE qty_sold IS NULL) AS null_qty_sold,
@@ -833,6 +920,29 @@ def _bronze_provenance(spark, sf_dir):
                            for _, df in sorted(frames.items())])
 
 
+@register("bronze_part_files", osql.with_raw("""
+SELECT 'retail_orders.csv' AS source, 'order_month=' || order_month AS folder, count(*) AS n_rows, TRUE AS dated
+FROM raw_retail GROUP BY order_month
+UNION ALL SELECT 'ecomm_orders.ndjson', 'period=' || CAST(period AS VARCHAR), count(*), TRUE
+FROM (SELECT DISTINCT orderId, customerId, market, period, currency, adiClub, status FROM raw_ecomm_flat) o GROUP BY period
+UNION ALL SELECT 'wholesale_orders.parquet', 'country_code=' || country_code, count(*), TRUE
+FROM raw_wholesale GROUP BY country_code"""))
+def _bronze_part_files(spark, sf_dir):
+    """Rows read from the part files of each folder of three sources, and whether
+    every file has a size and a time."""
+    layers = Layers(spark, sf_dir)
+    base = raw_files.foldered(layers)
+    parts = []
+    for source, (suffix, _) in raw_files.FOLDERED.items():
+        entry = f"{source}_orders{suffix}"
+        parts.append(ing.part_files(spark, f"{base}/{entry}", suffix, RAW_SCHEMAS[source])
+                     .select(F.lit(entry).alias("source"), "*"))
+    return (prof.union_all(parts)
+            .groupBy("source", F.regexp_extract("_part", "([^/]+)/[^/]+$", 1).alias("folder"))
+            .agg(F.sum("n_rows").alias("n_rows"),
+                 F.bool_and((F.col("_part_bytes") > 0) & F.col("_part_modified").isNotNull()).alias("dated")))
+
+
 # bronze width = the declared raw columns + the two provenance columns
 _BRONZE_WIDTH = {(f"{k}_orders" if k != "currency_reference" else k): len(raw.schema_columns(ddl)) + 2
                  for k, ddl in RAW_SCHEMAS.items()}

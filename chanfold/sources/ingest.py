@@ -22,13 +22,46 @@ def add_provenance(df: DataFrame, source_file: str, ingested_at: str) -> DataFra
     return df.withColumns({"_source": F.lit(source_file), "_ingested_at": F.lit(ingested_at)})
 
 
+# Provenance by part file: column -> field of the hidden ``_metadata`` column.
+PART_COLUMNS = {"_part": "file_path", "_part_bytes": "file_size", "_part_modified": "file_modification_time"}
+
+
+def _reader_with_parts(file_format: str, name: str = "?"):
+    if file_format == ".xlsx":
+        raise ValueError(f"rows of a workbook do not carry their part file (source: {name})")
+    return reader_for(file_format, name)
+
+
+def add_part_provenance(df: DataFrame) -> DataFrame:
+    """A table straight from a file reader with the part file of every row, its
+    size in bytes and its time of modification."""
+    return df.select("*", *[F.col(f"_metadata.{field}").alias(c) for c, field in PART_COLUMNS.items()])
+
+
+def part_files(spark: SparkSession, path: str, file_format: str, schema=None) -> DataFrame:
+    """(_part, _part_bytes, _part_modified, n_rows): every part file of a source
+    with the number of rows read from it, 0 included.
+
+    The files come from a listing (no content is read), the rows from one
+    aggregation of the source by file, combined before its shuffle, so a file
+    that holds most rows costs no task more than its scan."""
+    df = _reader_with_parts(file_format, path)(spark, path, schema)
+    counts = df.groupBy(F.col("_metadata.file_path").alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
+    listed = add_part_provenance(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path))
+    return (listed.select(*PART_COLUMNS).join(counts, F.col("_part") == F.col("part"), "left")
+            .select(*PART_COLUMNS, F.coalesce("n_rows", F.lit(0)).alias("n_rows")))
+
+
 def ingest_source(spark: SparkSession, path: str, name: str, file_format: str, bronze_dir: str,
-                  schema=None, ingested_at: str | None = None) -> DataFrame:
-    """Read one source, add provenance, overwrite ``<bronze>/<name>.parquet``
-    and return the written table (re-read, so downstream plans start from
-    the bronze files, not from the raw ones)."""
-    reader = reader_for(file_format, name)
-    df = reader(spark, path, schema)
+                  schema=None, ingested_at: str | None = None, parts: bool = False) -> DataFrame:
+    """Read one source, add provenance (with ``parts`` also the part file of each
+    row), overwrite ``<bronze>/<name>.parquet`` and return the written table
+    (re-read, so downstream plans start from the bronze files, not from the raw
+    ones)."""
+    if parts:
+        df = add_part_provenance(_reader_with_parts(file_format, name)(spark, path, schema))
+    else:
+        df = reader_for(file_format, name)(spark, path, schema)
     entry = path.rstrip("/").rsplit("/", 1)[-1]
     df = add_provenance(df, entry, ingested_at or ingestion_timestamp())
     out = f"{bronze_dir.rstrip('/')}/{name}.parquet"
