@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
 
+from chanfold.session import work_dir
+
 
 def _long(row_df: DataFrame, name_col: str, value_col: str) -> DataFrame:
     return row_df.unpivot([], row_df.columns, name_col, value_col)
@@ -175,8 +177,6 @@ def exact_quantiles(spark, df: DataFrame, columns: list[str], probabilities=(0.2
     import uuid
     from fractions import Fraction
 
-    from chanfold.session import work_dir
-
     x = {c: F.col(c).cast("double") for c in columns}
     spread = Fraction(2, accuracy)
     around = [float(min(max(Fraction(p) + side, 0), 1)) for p in probabilities for side in (-spread, spread)]
@@ -357,3 +357,71 @@ def checked_quantiles(df: DataFrame, quantiles: DataFrame, by: list[str], column
         error = F.greatest(F.col(f"below{i}") - want, want - F.col(f"upto{i}"), F.lit(0.0)) / q["n"]
         rows.append(F.struct(q["p"].alias("p"), q["n"].alias("n"), q["value"].alias("value"), error.alias("rank_error")))
     return ranks.select(*by, "column_name", F.inline(F.array(*rows)))
+
+
+#: Items that a frequent-item sketch of one column tracks (64-bit hashes, so a
+#: sketch takes a few megabytes whatever the values are), and how many of them
+#: are counted exactly.
+TRACKED, CANDIDATES = 16_384, 256
+
+
+def _texts(columns: list[str], keep) -> F.Column:
+    """(column_name, value) structs of a row for which ``keep(i, value)`` is true."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"),
+                               keep(i, F.col(f"`{c}`").cast("string")).alias("keep")) for i, c in enumerate(columns)])
+    return F.inline(F.filter(cells, lambda x: x["keep"]))
+
+
+def frequent_counts(df: DataFrame, columns: list[str], n: int = 15, tracked: int = TRACKED,
+                    candidates: int = CANDIDATES) -> tuple[DataFrame, list[str]]:
+    """((column_name, value, n), columns left open): exact counts of the values
+    that a frequent-item sketch names, and the columns in which another value
+    could still be among the ``n`` most frequent.
+
+    The first pass makes one mergeable sketch per column, over hashes of the
+    values; at most ``candidates`` hashes a column reach the driver.  The second
+    counts the values with these hashes, so nothing else is shuffled.
+
+    A value that the sketch does not name has at most 6 * rows / ``tracked``
+    rows (twice the sketch's error), or as many as the last one named if the list
+    is full; and never more than the rows that no candidate covers.  A column is
+    decided if its n-th count is above that."""
+    if not columns:
+        raise ValueError("no columns to count")
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.expr(f"approx_top_k(xxhash64(cast(`{c}` as string)), {candidates}, {tracked})").alias(f"k{i}")
+        for i, c in enumerate(columns)]).first()
+    named = [[x["item"] for x in seen[f"k{i}"]] for i in range(len(columns))]
+    bound = [max(6 * seen["rows"] / tracked, top[-1]["count"] if len(top) >= candidates else 0)
+             for top in (seen[f"k{i}"] for i in range(len(columns)))]
+    hits = df.select(_texts(columns, lambda i, v: F.xxhash64(v).isin(named[i]) if named[i] else F.lit(False)))
+    work_dir(df.sparkSession)                          # names the checkpoint folder where none is set
+    counts = hits.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    per = {r["column_name"]: r for r in counts.groupBy("column_name").agg(
+        F.sum("n").alias("covered"), F.slice(F.sort_array(F.collect_list("n"), False), n, 1).alias("last")).collect()}
+    left = []
+    for i, c in enumerate(columns):
+        rest = seen["rows"] - (per[c]["covered"] if c in per else 0)
+        last = per[c]["last"][0] if c in per and per[c]["last"] else 0
+        if rest and last <= min(rest, bound[i]):
+            left.append(c)
+    return counts, left
+
+
+def frequent_values(df: DataFrame, columns: list[str], n: int = 15, tracked: int = TRACKED,
+                    candidates: int = CANDIDATES) -> DataFrame:
+    """(column_name, value, value_rank, n): the ``n`` most frequent values of each
+    column, as text, null being one, with exact counts; of equal counts the
+    smaller value (null first) comes first.
+
+    Only columns that the sketches leave open (``frequent_counts``), those with no
+    values that stand out, are counted whole, combined before their shuffle.  An
+    empty table gives no rows."""
+    counts, left = frequent_counts(df, columns, n, tracked, candidates)
+    if left:
+        whole = (df.select(_texts(left, lambda i, v: F.lit(True))).groupBy("column_name", "value")
+                 .agg(F.count(F.lit(1)).alias("n")))
+        counts = counts.where(~F.col("column_name").isin(left)).unionByName(whole)
+    w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
+    return (counts.withColumn("value_rank", F.row_number().over(w).cast("bigint")).where(F.col("value_rank") <= n)
+            .select("column_name", "value", "value_rank", "n"))

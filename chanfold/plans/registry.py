@@ -545,6 +545,21 @@ def _profile_distinct(spark, sf_dir):
     return out.withColumn("value_rank", F.col("value_rank").cast("bigint"))
 
 
+FREQUENT_COLS = ["consumer_id", "order_id", "product_id", "year_month", "member", "qty_ordered", "unit_price"]
+_TEXT_OF = {"unit_price": "CAST(round(unit_price * 100) AS BIGINT)"}
+
+
+@register("frequent_values", osql.with_base("SELECT column_name, value, value_rank, n FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value ASC NULLS FIRST) AS value_rank FROM ("
+    + "\nUNION ALL\n".join(f"SELECT '{c}' AS column_name, CAST({_TEXT_OF.get(c, c)} AS VARCHAR) AS value, count(*) AS n "
+                           f"FROM fact GROUP BY 2" for c in FREQUENT_COLS) + ") v) r WHERE value_rank <= 15"))
+def _frequent_values(spark, sf_dir):
+    """The 15 most frequent values of columns with many and with few values
+    (prices in cents)."""
+    fact = Layers(spark, sf_dir).fact().withColumn("unit_price", F.round(F.col("unit_price") * 100).cast("bigint"))
+    return prof.frequent_values(fact, FREQUENT_COLS)
+
+
 @register("describe_numeric", osql.with_base("\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, count({c}) AS count, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
     f"round(avg(CAST({c} AS DOUBLE)), 4) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std, "
