@@ -127,13 +127,26 @@ def category_crosstab(coded: DataFrame, code_col: str, coded_key: str,
     and the labelled side reduced to distinct (key, label): the join then
     carries one row per distinct product instead of one per order line, so a
     hot product cannot overload one task."""
-    c = (coded.groupBy(F.col(code_col).alias("code"), F.col(coded_key).cast("bigint").alias("key"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    l = (labelled.select(F.col(labelled_key).cast("bigint").alias("key"),
-                         F.col(label_col).alias("label")).distinct())
-    return (c.join(l, "key", "inner")
-             .groupBy("code", "label").agg(F.sum("n").alias("count"))
-             .orderBy(F.col("code").asc(), F.col("count").desc()))
+    return crosstab_of(code_counts(coded, code_col, coded_key), key_labels(labelled, label_col, labelled_key))
+
+
+def code_counts(coded: DataFrame, code_col: str, coded_key: str) -> DataFrame:
+    """(code, key, n): rows per code and product."""
+    return (coded.groupBy(F.col(code_col).alias("code"), F.col(coded_key).cast("bigint").alias("key"))
+                 .agg(F.count(F.lit(1)).alias("n")))
+
+
+def key_labels(labelled: DataFrame, label_col: str, labelled_key: str) -> DataFrame:
+    """Distinct (key, label) of a labelled source."""
+    return labelled.select(F.col(labelled_key).cast("bigint").alias("key"), F.col(label_col).alias("label")).distinct()
+
+
+def crosstab_of(counts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Crosstab of ``code_counts`` and ``key_labels``; stored in buckets of their
+    key, the two meet without an exchange."""
+    return (counts.join(labels, "key", "inner")
+            .groupBy("code", "label").agg(F.sum("n").alias("count"))
+            .orderBy(F.col("code").asc(), F.col("count").desc()))
 
 
 def infer_code_mapping(crosstab: DataFrame) -> DataFrame:

@@ -138,6 +138,34 @@ def materialize(spark: SparkSession, df, name: str, fingerprint: str,
     return out
 
 
+def materialize_bucketed(spark: SparkSession, df, name: str, fingerprint: str, key: str, schema: str) -> DataFrame:
+    """As ``materialize``, in buckets of ``key``, each sorted by it, so that joins
+    and groupings by the key need no exchange.
+
+    There are as many buckets as the session has shuffle partitions (one task
+    writes one bucket): tables that shall meet are written with the same setting.
+    ``df`` should hold few rows per key, as a key is never split.  The session's
+    catalog only gets the name, the layout and ``schema`` (a table without rows
+    has no files to read it from); the files stay in the folder."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ident = f"{name}_{fingerprint}_{buckets}_{key}"
+
+    def write(folder: str) -> None:
+        draft = f"chanfold_draft_{uuid.uuid4().hex}"
+        out = df() if callable(df) else df
+        (out.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+         .option("path", folder).saveAsTable(draft))
+        spark.sql(f"DROP TABLE {draft}")               # the name only: the files are not the catalog's
+
+    folder = published(spark, f"{work_dir(spark)}/chanfold-layers", ident, write)
+    table = "chanfold_" + hashlib.sha256(folder.encode()).hexdigest()[:24]
+    if not spark.catalog.tableExists(table):
+        escaped = folder.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet "
+                  f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{escaped}'")
+    return spark.table(table)
+
+
 class Layers:
     """Tables of one input folder (``sf_dir``) and the layers derived from it."""
 

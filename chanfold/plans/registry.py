@@ -23,7 +23,7 @@ from chanfold.operators import quarantine as quar
 from chanfold.plans import oracle_sql as osql
 from chanfold.plans import raw_dialects as raw
 from chanfold.plans import raw_files
-from chanfold.plans.layers import Layers, code_fingerprint, materialize, published
+from chanfold.plans.layers import Layers, code_fingerprint, materialize, materialize_bucketed, published
 from chanfold.plans.raw_dialects import RAW_SCHEMAS
 from chanfold.plans.report import present, present_kpis
 from chanfold.session import work_dir
@@ -595,10 +595,18 @@ def _app_labelled(spark, sf_dir) -> DataFrame:
     return app.withColumn("category_clean", frecode.recode("category", CATEGORY_FIX))
 
 
+def product_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Codes and labels by product, stored in buckets of the product, once per
+    input snapshot."""
+    fp = raw_files._fingerprint(Layers(spark, sf_dir)) + code_fingerprint(prof, _app_labelled)
+    return (materialize_bucketed(spark, lambda: prof.code_counts(ecomm_lines(spark, sf_dir), "catCode", "article"),
+                                 "coded_products", fp, "key", "code bigint, key bigint, n bigint"),
+            materialize_bucketed(spark, lambda: prof.key_labels(_app_labelled(spark, sf_dir), "category_clean", "productId"),
+                                 "labelled_products", fp, "key", "key bigint, label string"))
+
+
 def _crosstab(spark, sf_dir) -> DataFrame:
-    ecomm = ecomm_lines(spark, sf_dir)
-    return prof.category_crosstab(ecomm, "catCode", "article",
-                                  _app_labelled(spark, sf_dir), "category_clean", "productId")
+    return prof.crosstab_of(*product_tables(spark, sf_dir))
 
 
 _CROSSTAB_SQL = f"""
