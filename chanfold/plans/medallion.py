@@ -4,10 +4,9 @@
     lake/silver/fact_orders           conformed, EUR-converted fact, partitioned by channel
     lake/gold/<table>                 KPI cuts and loyalty tables
 
-Each layer is written to its own path and later layers read the written
-files: a lost executor never forces a recompute of earlier layers, and no
-plan reads and overwrites the same path (overwriting a path that the same
-plan reads deletes the input before it is read).
+Each table is a folder of versions (``sources.versions``) and later layers read
+the written files: a lost executor never forces a recompute of earlier layers,
+and a run that fails leaves the tables of the run before readable.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from chanfold.operators import conform, fx, kpis, loyalty
 from chanfold.sources import ingest
+from chanfold.sources.versions import replace_table
 
 SILVER_PARTITIONS = ["channel"]
 
@@ -31,12 +31,9 @@ MEMBER_TABLES = {
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Parquet sink (overwrite), optionally partitioned; returns the re-read table."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Parquet sink, optionally partitioned: replaces the table at ``path`` when
+    the new version is whole; returns it re-read."""
+    return replace_table(df, path, partition_by)
 
 
 def build_bronze(spark: SparkSession, raw_dir: str, lake: str,

@@ -145,10 +145,10 @@ def raw_folder(layers: Layers) -> str:
 
 def bronze_folder(layers: Layers) -> str:
     """Folder with all raw sources ingested, written once per snapshot."""
-    from chanfold.sources import ingest, readers
+    from chanfold.sources import ingest, readers, versions
     raw_dir = raw_folder(layers)
     return published(layers.spark, f"{work_dir(layers.spark)}/chanfold-bronze",
-                     _fingerprint(layers) + code_fingerprint(ingest, readers),
+                     _fingerprint(layers) + code_fingerprint(ingest, readers, versions),
                      lambda folder: ingest.ingest_all(layers.spark, raw_dir, folder, declared_schemas()))
 
 

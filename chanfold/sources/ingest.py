@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chanfold.sources.readers import discover_sources, reader_for
+from chanfold.sources.versions import current, replace_table
 
 
 def ingestion_timestamp() -> str:
@@ -55,7 +56,7 @@ def part_files(spark: SparkSession, path: str, file_format: str, schema=None) ->
 def ingest_source(spark: SparkSession, path: str, name: str, file_format: str, bronze_dir: str,
                   schema=None, ingested_at: str | None = None, parts: bool = False) -> DataFrame:
     """Read one source, add provenance (with ``parts`` also the part file of each
-    row), overwrite ``<bronze>/<name>.parquet`` and return the written table
+    row), replace ``<bronze>/<name>.parquet`` and return the written table
     (re-read, so downstream plans start from the bronze files, not from the raw
     ones)."""
     if parts:
@@ -65,8 +66,7 @@ def ingest_source(spark: SparkSession, path: str, name: str, file_format: str, b
     entry = path.rstrip("/").rsplit("/", 1)[-1]
     df = add_provenance(df, entry, ingested_at or ingestion_timestamp())
     out = f"{bronze_dir.rstrip('/')}/{name}.parquet"
-    df.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+    return replace_table(df, out)
 
 
 def catalog_rows(spark: SparkSession, raw_dir: str) -> list:
@@ -113,7 +113,8 @@ def ingest_all(spark: SparkSession, raw_dir: str, bronze_dir: str,
 
 def load_layer(spark: SparkSession, layer_dir: str) -> dict[str, DataFrame]:
     """Every Parquet table of a layer folder (bronze, silver or gold), keyed by
-    name without ``.parquet``.  Entries that start with ``_`` or ``.`` and files
+    name without ``.parquet``: the current version of a table that has versions,
+    else the folder or file itself.  Entries that start with ``_`` or ``.`` and files
     of other kinds are left out."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(layer_dir)
@@ -124,7 +125,8 @@ def load_layer(spark: SparkSession, layer_dir: str) -> dict[str, DataFrame]:
     for entry in fs.listStatus(path):
         name = entry.getPath().getName()
         if not name.startswith(("_", ".")) and (entry.isDirectory() or name.endswith(".parquet")):
-            out[name.removesuffix(".parquet")] = spark.read.parquet(entry.getPath().toString())
+            found = entry.getPath().toString()
+            out[name.removesuffix(".parquet")] = spark.read.parquet(current(spark, found) or found)
     if not out:
         raise FileNotFoundError(f"no tables found in {layer_dir}")
     return out
