@@ -1,7 +1,10 @@
-"""Hashed byte n-grams of whole texts, and bounded training samples."""
+"""Hashed byte n-grams of whole texts, and feature rows to learn from."""
 
 from __future__ import annotations
 
+import math
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -110,6 +113,75 @@ def training_rows(docs: DataFrame, sample: DataFrame, vectors, id_col: str = "do
     return [r["label"] for r in got], x.reshape(len(got), -1 if got else 0)
 
 
+def labelled_vectors(docs: DataFrame, marks: DataFrame, vectors, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """Feature rows of all documents with a text and a label: place (hash of the
+    id), label and vector (packed, see ``matrix``).
+
+    ``marks`` (id as text, label) may be of any size.  An id and label give one
+    row, however often they occur: that of the text with the smallest hash.
+    Feature rows are shuffled, not texts."""
+    python_tasks(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.where(F.col("id").isNotNull() & F.col("text").isNotNull())
+    rows = rows.select("id", F.xxhash64("text").alias("text_hash"), "text")
+
+    def task(frames):
+        for batch in frames:
+            texts = batch.column("text")
+            packed = []
+            for lo, offsets, _ in text_slices(texts, TEXT_BYTES):
+                own = texts.slice(lo, len(offsets) - 1).to_pylist()
+                for part in groups_of(own):
+                    packed += [zlib.compress(r.tobytes(), 1) for r in vectors(own[part])]
+            yield pa.record_batch([batch.column("id"), batch.column("text_hash"), pa.array(packed, pa.binary())],
+                                  names=["id", "text_hash", "vector"])
+        release()
+
+    marks = marks.where(F.col("id").isNotNull() & F.col("label").isNotNull()).distinct()
+    return (rows.mapInArrow(task, "id string, text_hash long, vector binary").join(marks, "id")
+            .groupBy("id", "label").agg(F.min(F.struct("text_hash", "vector")).alias("first"))
+            .select(F.xxhash64("id").alias("place"), "label", "first.vector"))
+
+
+def matrix(packed) -> np.ndarray:
+    """Feature rows of a column of packed vectors."""
+    rows = [zlib.decompress(v) for v in packed.to_pylist()]
+    return np.frombuffer(b"".join(rows), np.float32).reshape(len(rows), -1 if rows else 0)
+
+
+def moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation of each feature over all packed vectors."""
+    def task(frames):
+        n, first, second = 0, 0.0, 0.0
+        for batch in frames:
+            x = matrix(batch.column("vector")).astype(np.float64)
+            if len(x):
+                n, first, second = n + len(x), first + x.sum(axis=0), second + np.einsum("ij,ij->j", x, x)
+        if n:
+            yield pa.record_batch([pa.array([n]), pa.array([first.tobytes()]), pa.array([second.tobytes()])],
+                                  names=["n", "first", "second"])
+
+    got = rows.select("vector").mapInArrow(task, "n long, first binary, second binary").collect()
+    n = sum(r["n"] for r in got)
+    mean, second = (sum(np.frombuffer(r[k]) for r in got) / n for k in ("first", "second"))
+    return mean, np.sqrt(np.maximum(second - mean * mean, 0))
+
+
+def deal(rows: DataFrame, sizes: dict, size: int, least: int) -> DataFrame:
+    """All ``rows`` (place, label, ...) dealt by place to groups of about
+    ``size`` rows.  ``sizes`` has the rows of each label.  A label with fewer
+    than ``least`` rows for each group goes to several groups a row."""
+    n = math.ceil(sum(sizes.values()) / size)
+    copies = F.lit(1)
+    for label, count in sizes.items():
+        copies = F.when(F.col("label") == label, min(n, math.ceil(least * n / count))).otherwise(copies)
+    at = F.pmod(F.col("place"), F.lit(n))
+    groups = F.transform(F.sequence(F.lit(0), copies - 1),
+                         lambda k: F.pmod(at + F.floor(k * F.lit(n) / copies), F.lit(n)).cast("long"))
+    return rows.withColumn("group", F.explode(groups))
+
+
 def keep_rows(docs: DataFrame, decide, text_col: str = "text") -> DataFrame:
     """Rows of ``docs``, with all their columns, for whose text ``decide``
     (a list of texts or nulls to a list of booleans) is true."""

@@ -194,3 +194,29 @@ def test_pairwise_fit_by_plain_loops():
     cuts = np.sort(s)
     least = min(cost(t) for t in [cuts[0] - 1, *((cuts[1:] + cuts[:-1]) / 2), cuts[-1] + 1])
     assert abs(cost(model.threshold) - least) < 1e-9
+
+
+def test_every_labelled_document_takes_part(spark, monkeypatch):
+    """Nine groups: each labelled document is in one at least, the few good ones
+    in several, and the threshold follows all of them."""
+    from chanfold.llm.features import deal, labelled_vectors
+    rows = [(i, "Fine words stand here in good order" if i % 9 == 0 else f"$$ {i} 0 {i} %%", None) for i in range(360)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    marks = spark.createDataFrame([(str(i), int(i % 9 == 0)) for i in range(360)] * 2, "id string, label int")
+    own = labelled_vectors(df, marks, bt_quality.vectors).cache()
+    assert own.count() == 360
+    dealt = deal(own, {0: 320, 1: 40}, 40, 10).select("place", "label", "group").collect()
+    assert len({r["place"] for r in dealt}) == 360 and {r["group"] for r in dealt} == set(range(9))
+    assert len(set(dealt)) == len(dealt) == 320 + 3 * 40
+    y = np.array([0] * 300 + [1] * 7)
+    i, j = bt_quality.pairs(y, 50)
+    assert len(i) == len(j) == 300 and set(i) == set(range(300, 307)) and set(j) == set(range(300))
+    # The rows beyond the first of each label decide: they alone tell the labels apart.
+    seen = []
+    monkeypatch.setattr(bt_quality, "cut", lambda s, good, poor, old=bt_quality.cut: seen.append((good, poor)) or old(s, good, poor))
+    model = bt_quality.train(df, marks.select(marks.id.cast("long").alias("doc_id"), marks.label.alias("quality")), per_label=20)
+    (good, poor), = seen
+    assert abs(good.sum() - 1 / 9) < 1e-9 and abs(poor.sum() - 8 / 9) < 1e-9
+    assert np.allclose(model.mean, bt_quality.vectors([r[1] for r in rows]).mean(axis=0), atol=1e-5)
+    got = bt_quality.predict(df, model).collect()
+    assert all(r["predicted"] == (r["doc_id"] % 9 == 0) for r in got)
