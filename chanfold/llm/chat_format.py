@@ -7,13 +7,13 @@ the characters ``\\ [ ] <`` is preceded by ``\\``, so no control string can
 appear there and removing one backslash before each of them gives the text
 back.
 
-Expansion.  Every assistant turn becomes one example: all preceding turns of
-its conversation are the context and only that reply is trainable.  Written in
-full, the examples of a conversation of n turns hold n*n/2 turns, so the
-operator stores each formatted turn once (``segments``) and an example as a
-span of them: its context is the first ``context_chars`` characters of the
-conversation's segments, and its loss mask is the one interval
-``[loss_start, loss_end)``.  ``materialize`` writes examples out in full.
+Expansion.  Every assistant turn becomes one example, written out in full by
+``expand``: all preceding turns of its conversation, formatted, are the prefix,
+the formatted reply is the target, and the loss mask is the one interval
+``[loss_start, loss_end)``, the reply's text.  The examples of a conversation of
+n turns hold about n*n/2 turns; that is the nature of the expansion.  They are
+made one row at a time and need not be stored: ``segments`` has each formatted
+turn once.
 
 Defined cases: null text is empty; a null role is the empty role; turns of a
 conversation are ordered by turn (nulls first), then role, then text; repeated
@@ -78,27 +78,31 @@ def segments(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
         F.char_length("body").cast("long").alias("body_chars"))
 
 
+def _with_examples(segs: DataFrame) -> DataFrame:
+    """Segments, those of assistant turns with their example: formatted (prefix
+    and target in full; null for other turns), loss_start and loss_end."""
+    upto = (Window.partitionBy("conv_id").orderBy("seg")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    start = F.col("seg_start") + F.col("body_start")
+    return (segs.withColumn("parts", F.collect_list("segment").over(upto))
+            .withColumn("formatted", F.when(F.col("is_target"), F.array_join("parts", "")))
+            .withColumn("loss_start", start).withColumn("loss_end", start + F.col("body_chars")).drop("parts"))
+
+
 def expand(segs: DataFrame) -> DataFrame:
     """One example per assistant turn: conv_id, seg (of the target),
-    context_turns, context_chars, chars (of the whole example), loss_start,
-    loss_end, target (the formatted reply)."""
-    start = F.col("seg_start") + F.col("body_start")
-    return segs.where("is_target").select(
+    context_turns, context_chars (of the prefix), chars (of the whole example),
+    loss_start, loss_end, target (the formatted reply) and formatted (prefix
+    and target in full)."""
+    return _with_examples(segs).where("is_target").select(
         "conv_id", "seg", F.col("seg").alias("context_turns"), F.col("seg_start").alias("context_chars"),
-        (F.col("seg_start") + F.col("seg_chars")).alias("chars"), start.alias("loss_start"),
-        (start + F.col("body_chars")).alias("loss_end"), F.col("segment").alias("target"))
+        (F.col("seg_start") + F.col("seg_chars")).alias("chars"), "loss_start", "loss_end",
+        F.col("segment").alias("target"), "formatted")
 
 
 def materialize(segs: DataFrame) -> DataFrame:
-    """Examples written out in full: conv_id, seg, formatted, loss_start,
-    loss_end.  The output of a conversation grows with the square of its
-    turns; that is the nature of the full form."""
-    upto = (Window.partitionBy("conv_id").orderBy("seg")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    full = segs.withColumn("formatted", F.array_join(F.collect_list("segment").over(upto), ""))
-    start = F.col("seg_start") + F.col("body_start")
-    return full.where("is_target").select("conv_id", "seg", "formatted", start.alias("loss_start"),
-                                          (start + F.col("body_chars")).alias("loss_end"))
+    """Examples for training alone: conv_id, seg, formatted, loss_start, loss_end."""
+    return expand(segs).select("conv_id", "seg", "formatted", "loss_start", "loss_end")
 
 
 def parse(segment: Column) -> tuple[Column, Column]:
@@ -112,20 +116,18 @@ def parse(segment: Column) -> tuple[Column, Column]:
 
 def digest(segs: DataFrame) -> DataFrame:
     """Per conversation, the turns read back from the formatted strings and the
-    replies from the examples of ``expand`` by their loss masks: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars (of all
-    its segments) and n_examples.
+    replies read back from the full examples by their loss masks: conv_id,
+    n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars (of all its
+    segments) and n_examples.
 
     A SHA-256 runs over one string, so here (and only here) the turns of one
     conversation meet in one value."""
     role, text = parse(F.col("segment"))
-    lines = segs.select("conv_id", "seg", F.concat(role, F.lit("\n"), text, F.lit("\n")).alias("line"),
-                        F.lit(None).cast("string").alias("reply"), "seg_chars")
-    # The reply of each example is what its loss mask covers.
-    own = F.substr(F.col("target"), (F.col("loss_start") - F.col("context_chars") + 1).cast("int"),
-                   (F.col("loss_end") - F.col("loss_start")).cast("int"))
-    replies = expand(segs).select("conv_id", "seg", F.lit(None).cast("string").alias("line"),
-                                  unescape(own).alias("reply"), F.lit(None).cast("long").alias("seg_chars"))
-    both = lines.unionByName(replies)
+    # What the loss mask of an example covers.
+    reply = unescape(F.substr(F.col("formatted"), (F.col("loss_start") + 1).cast("int"),
+                              (F.col("loss_end") - F.col("loss_start")).cast("int")))
+    both = _with_examples(segs).select("conv_id", "seg", F.concat(role, F.lit("\n"), text, F.lit("\n")).alias("line"),
+                                       reply.alias("reply"), "seg_chars")
     joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(
         F.when(F.col(c).isNotNull(), F.struct("seg", c)))), lambda x: x[c]), "")
     grouped = both.groupBy("conv_id").agg(

@@ -59,3 +59,13 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame(ROWS, TURNS)
     plan = chat_format.digest(chat_format.segments(df))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_digest_reads_full_examples(spark):
+    """Prefix and target are written out in ``expand``, and the digest reads replies from them alone."""
+    segs = chat_format.segments(spark.createDataFrame(ROWS, TURNS))
+    for e in chat_format.expand(segs).collect():
+        assert len(e["formatted"]) == e["chars"] and e["formatted"][e["context_chars"]:] == e["target"]
+        assert e["formatted"].count(" </s>") >= e["context_turns"] + 1
+    plan = chat_format.digest(segs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(segment" in plan and "formatted" in plan
