@@ -8,6 +8,8 @@ file-source query reads them back through the bronze readers.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,36 +39,52 @@ def _parts(df: DataFrame, approx_rows: int | None = None) -> DataFrame:
     return df.repartition(max(1, -(-n // ROWS_PER_FILE)))
 
 
+def _bounded(df: DataFrame):
+    """Writer whose part files hold ``ROWS_PER_FILE`` rows at most.  Each task
+    starts a new file when one is full, so nothing is counted or shuffled."""
+    return df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
+
+
 def write_json_array(df: DataFrame, path: str) -> None:
-    """One JSON array document per partition (Spark's writer only emits
-    JSON lines): each task joins its rows into ``[...]``."""
+    """JSON array documents (Spark's writer only emits JSON lines): each task
+    joins its rows into ``[...]``, ``ROWS_PER_FILE`` at most in a document."""
     write_json_documents(df.select(F.to_json(F.struct(*df.columns)).alias("j")), path)
 
 
 def write_json_documents(lines: DataFrame, path: str) -> None:
-    """One array of the JSON texts ``j`` per partition."""
+    """The JSON texts ``j`` as arrays of at most ``ROWS_PER_FILE``, a file each."""
     ship_package(lines.sparkSession)
+    most = ROWS_PER_FILE
 
     def run(batches):
-        chunks = [b["j"] for b in batches]
-        if chunks:
-            body = ",".join(pd.concat(chunks).tolist())
-            yield pd.DataFrame({"value": ["[" + body + "]"]})
+        held = []
+        for b in batches:
+            held += b["j"].tolist()
+            while len(held) >= most:
+                yield pd.DataFrame({"value": ["[" + ",".join(held[:most]) + "]"]})
+                held = held[most:]
+        if held:
+            yield pd.DataFrame({"value": ["[" + ",".join(held) + "]"]})
 
-    lines.mapInPandas(run, "value string").write.mode("overwrite").text(path)
+    lines.mapInPandas(run, "value string").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
 
 
 def write_raw_files(layers: Layers, target: str) -> None:
     fact = layers.fact()
     enc = {ch: fn(fact) for ch, fn in raw_dialects.RAW_ENCODERS.items()}
     names = RAW_FILE_NAMES
-    _parts(enc["retail"]).write.mode("overwrite").option("header", True).csv(f"{target}/{names['retail']}")
-    _parts(enc["ecomm"]).write.mode("overwrite").json(f"{target}/{names['ecomm']}")
-    write_json_array(_parts(enc["app"]), f"{target}/{names['app']}")
-    _parts(enc["wholesale"]).write.mode("overwrite").parquet(f"{target}/{names['wholesale']}")
-    xlsx.write_xlsx(_parts(enc["franchise"]), f"{target}/{names['franchise']}")
-    layers.rates().coalesce(1).write.mode("overwrite").option("header", True).csv(
-        f"{target}/{names['currency_reference']}")
+    writes = [
+        lambda: _bounded(enc["retail"]).option("header", True).csv(f"{target}/{names['retail']}"),
+        lambda: _bounded(enc["ecomm"]).json(f"{target}/{names['ecomm']}"),
+        lambda: write_json_array(enc["app"], f"{target}/{names['app']}"),
+        lambda: _bounded(enc["wholesale"]).parquet(f"{target}/{names['wholesale']}"),
+        lambda: xlsx.write_xlsx(enc["franchise"], f"{target}/{names['franchise']}", ROWS_PER_FILE),
+        lambda: layers.rates().coalesce(1).write.mode("overwrite").option("header", True).csv(
+            f"{target}/{names['currency_reference']}")]
+    # Independent jobs: submitted from driver threads, so that they share the cluster.
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(w) for w in writes]:
+            done.result()
 
 
 def mixed_types(app: DataFrame) -> DataFrame:
@@ -87,7 +105,7 @@ def mixed_json_folder(layers: Layers) -> str:
     return published(layers.spark, f"{work_dir(layers.spark)}/chanfold-mixed",
                      _fingerprint(layers) + code_fingerprint(mixed_types, write_json_documents),
                      lambda folder: write_json_documents(
-                         mixed_types(_parts(raw_dialects.RAW_ENCODERS["app"](layers.fact()))), folder))
+                         mixed_types(raw_dialects.RAW_ENCODERS["app"](layers.fact())), folder))
 
 
 def late_misfits(retail: DataFrame) -> DataFrame:
@@ -134,7 +152,7 @@ def _fingerprint(layers: Layers) -> str:
     from chanfold.operators import fx
     fp = layers.fingerprint(["lineitem", "orders", "customer", "part"], fixture_fact, raw_dialects,
                             xlsx, specs, recode, arith, months, fx)
-    return fp + code_fingerprint(write_raw_files, write_json_array)
+    return fp + code_fingerprint(write_raw_files, write_json_array, write_json_documents)
 
 
 def raw_folder(layers: Layers) -> str:

@@ -95,3 +95,21 @@ def test_workbook_values_keep_their_meaning():
     with _pytest.raises(TypeError):
         _converter(DateType())
     assert _converter(DoubleType())("2.5") == 2.5 and _converter(StringType())(7.0) == "7"
+
+
+def test_raw_writers_bound_files_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """One partition gives several documents and workbooks, each of bounded rows; all rows come back."""
+    import glob
+
+    from chanfold.plans import raw_files
+    monkeypatch.setattr(raw_files, "ROWS_PER_FILE", 10)
+    df = spark.range(25).selectExpr("id AS qty", "CAST(id AS STRING) AS uid").coalesce(1)
+    raw_files.write_json_array(df, f"{tmp_path}/app.json")
+    assert len(glob.glob(f"{tmp_path}/app.json/part-*")) == 3
+    back = rd.read_json_array(spark, f"{tmp_path}/app.json", "qty bigint, uid string")
+    assert sorted(map(tuple, back.collect())) == sorted((i, str(i)) for i in range(25))
+    assert xlsx.write_xlsx(df, f"{tmp_path}/f.xlsx", 10) == 3
+    back = rd.read_workbook(spark, f"{tmp_path}/f.xlsx", "qty bigint, uid string")
+    assert sorted(map(tuple, back.collect())) == sorted((i, str(i)) for i in range(25))
+    raw_files._bounded(df).option("header", True).csv(f"{tmp_path}/r.csv")
+    assert len(glob.glob(f"{tmp_path}/r.csv/part-*")) == 3 and rd.read_csv(spark, f"{tmp_path}/r.csv").count() == 25
