@@ -16,12 +16,19 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chanfold.session import apply_sql_defaults, work_dir
+from chanfold.session import apply_sql_defaults, open_folders, size_shuffles, work_dir
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations"]
 
+#: Folders of a partitioned layer that a task writes without a sort: the five
+#: channels and null.
+OPEN_FOLDERS = 6
+
+#: Tables that the fact is derived from.
+FACT_TABLES = ["lineitem", "orders", "customer", "part"]
+
 
 def _hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -29,6 +36,12 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under ``path``, 0 if there is none; metadata only."""
+    fs, hpath = _hadoop_fs(spark, path)
+    return fs.getContentSummary(hpath).getLength() if fs.exists(hpath) else 0
+
+
 def file_fingerprint(spark: SparkSession, paths: list[str]) -> str:
     """Hash of (path, length, modification time) of every file under ``paths``
     -- metadata only, no data is read."""
@@ -131,7 +144,8 @@ def materialize(spark: SparkSession, df, name: str, fingerprint: str,
         writer = (df() if callable(df) else df).write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(folder)
+        with open_folders(spark, OPEN_FOLDERS if partition_by else 0):
+            writer.parquet(folder)
 
     out = spark.read.parquet(published(spark, base, key, write))
     _READ_MEMO[memo_key] = out
@@ -174,6 +188,7 @@ class Layers:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
+        size_shuffles(spark, sum(stored_bytes(spark, self.path(t)) for t in FACT_TABLES))
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"

@@ -98,3 +98,19 @@ def test_silver_equals_lazy_derivation(spark):
     written, lazy = layers.fact_eur(), layers.fact_eur_lazy()
     assert written.columns == lazy.columns
     assert written.exceptAll(lazy).count() == 0 and lazy.exceptAll(written).count() == 0
+
+
+def test_shuffles_start_with_partitions_by_input(spark):
+    from chanfold import session
+    key = session._INITIAL
+    assert spark.conf.get(key, None) is None
+    session.size_shuffles(spark, 1 << 20)
+    assert spark.conf.get(key, None) is None
+    session.size_shuffles(spark, 1000 * session.INPUT_PER_PARTITION)
+    assert spark.conf.get(key) == "1000"
+    session.size_shuffles(spark, 1 << 20)
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "33")                       # the owner's own number
+    session.size_shuffles(spark, 1000 * session.INPUT_PER_PARTITION)
+    assert spark.conf.get(key) == "33"
+    spark.conf.unset(key)

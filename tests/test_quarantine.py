@@ -1,4 +1,6 @@
 """Rule results by row, and provenance by part file."""
+import contextlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +103,22 @@ def test_part_files_by_row_and_by_file(spark, tmpdir_path):
     assert {r["_part"] for r in out.collect()} == {r["_part"] for r in got if r["n_rows"]}
     with pytest.raises(ValueError, match="workbook"):
         ingest.part_files(spark, path, ".xlsx", "x int")
+
+
+def test_split_writes_both_parts_without_a_sort(spark, tmp_path, monkeypatch):
+    """The write sees two open folders a task; afterwards the setting is as before."""
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(key)
+    real = quarantine.open_folders
+
+    @contextlib.contextmanager
+    def watched(session, n):
+        with real(session, n):
+            seen.append(session.conf.get(key))
+            yield
+
+    monkeypatch.setattr(quarantine, "open_folders", watched)
+    quarantine.write_split(spark.range(100), {"odd": F.col("id") % 2 == 1}, f"{tmp_path}/s")
+    assert seen == ["2"] and spark.conf.get(key) == before
+    ok, bad, rules = quarantine.read_split(spark, f"{tmp_path}/s", "id bigint")
+    assert ok.count() == bad.count() == 50 and rules.collect()[0]["violations"] == 50
