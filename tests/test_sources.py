@@ -113,3 +113,23 @@ def test_raw_writers_bound_files_without_a_shuffle(spark, tmp_path, monkeypatch)
     assert sorted(map(tuple, back.collect())) == sorted((i, str(i)) for i in range(25))
     raw_files._bounded(df).option("header", True).csv(f"{tmp_path}/r.csv")
     assert len(glob.glob(f"{tmp_path}/r.csv/part-*")) == 3 and rd.read_csv(spark, f"{tmp_path}/r.csv").count() == 25
+
+
+def test_plain_rows_read_as_other_rows_do(monkeypatch):
+    """The one-pattern reading of a row agrees with the cell-by-cell one, or leaves the row to it."""
+    bodies = [b'<c r="A1" t="inlineStr"><is><t>a &amp;amp; b</t></is></c><c r="C1"><v>1.50</v></c><c r="AB1" t="b"><v>1</v></c>',
+              b'<c r="A1" t="s"><v>1</v></c><c r="B1" t="str"><v>x&lt;y</v></c><c r="D1" t="inlineStr"><is><t></t></is></c>',
+              b'', b' <c r="A1" t="n"><v>7</v></c> ', 'é<c r="A1" t="inlineStr"><is><t>日本</t></is></c>'.encode()]
+    odd = [b'<c r="A1" s="3"><v>1</v></c>', b'<c r="A1"/>', b'<c><v>2</v></c>', b'<x:c r="A1"><x:v>2</x:v></x:c>',
+           b'<c r="A1" t="inlineStr"><is><r><t>a</t></r><r><t>b</t></r></is></c>', b'<c r="A1" t="inlineStr"><v>1</v></c>',
+           b'<c r="A1"><f>1+1</f><v>2</v></c>', b'<c r="A1"><v>1</v></c><c r="B1"/>', b'<c r="A1"><v></v></c>']
+    assert all(xlsx._plain_row(b, {}, ["p", "q"]) is not None for b in bodies)
+    assert all(xlsx._plain_row(b, {}, ["p", "q"]) is None for b in odd)
+    sheet = b"<sheetData>" + b"".join(b"<row r=\"1\">" + b + b"</row>" for b in bodies + odd[:-1]) + b"</sheetData>"
+    monkeypatch.setattr(xlsx.zipfile, "ZipFile", lambda f: __import__("contextlib").nullcontext(
+        type("Z", (), {"read": lambda self, name: sheet})()))
+    monkeypatch.setattr(xlsx, "_shared_strings", lambda z: ["p", "q"])
+    monkeypatch.setattr(xlsx, "_first_sheet_part", lambda z: "x")
+    fast = list(xlsx.iter_sheet_rows(b""))
+    monkeypatch.setattr(xlsx, "_plain_row", lambda *a: None)
+    assert fast == list(xlsx.iter_sheet_rows(b"")) and fast[0] == {0: "a &amp; b", 2: 1.5, 27: True}
