@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chanfold.llm import common
-from chanfold.llm.tokens import documents_ids, library_encoder
+from chanfold.llm.tokens import documents_ids, shared_encoder
 
 BATCH_ROWS = 128
 MANIFEST = "shard int, path string, n_docs long, n_tokens long, n_sequences long"
@@ -110,17 +110,19 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_i
     common.python_tasks(spark)
     folder = common.arrow_uri(spark, folder or common.scratch_path(spark, "token-files"))
     id_type = pa.uint16() if vocab_size <= 1 << 16 else pa.uint32()
+    run = uuid.uuid4().hex
 
     def task(batches):
-        writer, encoder = None, library_encoder(tokenizer_path)
-        for batch in batches:
-            ids = documents_ids(encoder, batch.column("text"), end_id)
-            for doc_id, own in zip(batch.column("id").to_pylist(), ids):
-                if writer is None:
-                    shard = TaskContext.get().partitionId()
-                    uri = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.arrows"
-                    writer = _Writer(uri, seq_len, id_type)
-                writer.add(doc_id, own)
+        writer = None
+        with shared_encoder(tokenizer_path, run) as encoder:
+            for batch in batches:
+                ids = documents_ids(encoder, batch.column("text"), end_id)
+                for doc_id, own in zip(batch.column("id").to_pylist(), ids):
+                    if writer is None:
+                        shard = TaskContext.get().partitionId()
+                        uri = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.arrows"
+                        writer = _Writer(uri, seq_len, id_type)
+                    writer.add(doc_id, own)
         if writer is not None:
             writer.close()
             yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([uri]), pa.array([writer.n_docs]),

@@ -9,13 +9,15 @@ between such cuts, one after another.
 
 Texts stay arrays of bytes: cuts are found for many texts at once, every piece
 is looked up by its bytes in a table (``spans.Dictionary``), and only pieces that
-are new to the task are encoded by the library.  The ids of all texts are then
-one array gather.  A table lives as long as its task, in bounded memory.
+are new to the table are encoded by the library.  The ids of all texts are then
+one array gather.  A table lives as long as its task, in bounded memory; one
+of ``shared_encoder`` goes on to the next task of the run in its Python worker.
 """
 
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -167,6 +169,7 @@ def is_plain(piece: str) -> bool:
 
 
 _LIBRARY: dict[str, object] = {}                         # one tokenizer per file, of constant size
+_SHARED: dict[tuple[str, str], PieceEncoder] = {}        # at most one, of the latest run
 
 
 def library_encoder(path: str) -> PieceEncoder:
@@ -177,6 +180,19 @@ def library_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(_LIBRARY[path])
 
 
+@contextmanager
+def shared_encoder(path: str, run: str):
+    """The encoder of a task of ``run`` (a name of its own for each run), with
+    the table that the run's last task in this Python worker left, so that
+    pieces are new to a worker and not to each task.  Tables of other runs are
+    dropped; a task that fails or is cut short leaves none."""
+    encoder = _SHARED.pop((path, run), None)
+    _SHARED.clear()
+    encoder = encoder or library_encoder(path)
+    yield encoder
+    _SHARED[path, run] = encoder
+
+
 def _library(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer

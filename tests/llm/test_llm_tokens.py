@@ -1,15 +1,18 @@
 """Token files, packing and byte-level BPE."""
 import base64
 import collections
+import contextlib
 import hashlib
 import itertools
 import random
+import uuid
 import zlib
 
 import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chanfold.llm import bin_completion, bpe_replay, spans, token_files, tokens
@@ -103,6 +106,49 @@ def test_token_files(spark, docs):
     assert read == stream
 
 
+def test_a_shared_table_is_of_one_run_and_of_whole_tasks():
+    path, texts = P.path("word_bpe_49k.json"), ODD_TEXTS + random_texts(50, 5)
+    want = [e.ids for e in library("word_bpe_49k.json").encode_batch(texts, add_special_tokens=False)]
+    for run, known in [("a", False), ("a", True), ("b", False), ("a", False)]:
+        with tokens.shared_encoder(path, run) as encoder:
+            assert bool(len(encoder.book)) == known
+            assert [g.tolist() for g in tokens.documents_ids(encoder, texts, None)] == want
+    with pytest.raises(ValueError), tokens.shared_encoder(path, "a") as encoder:
+        raise ValueError("a failed task")
+    with tokens.shared_encoder(path, "a") as encoder:
+        assert not len(encoder.book)
+
+
+def test_tasks_of_a_write_share_their_table(spark, tmp_path, monkeypatch):
+    shared, folder = tokens.shared_encoder, str(tmp_path)
+
+    @contextlib.contextmanager
+    def watched(path, run):
+        with shared(path, run) as encoder:
+            known = len(encoder.book)
+            yield encoder
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(len(encoder.book) - known))
+
+    monkeypatch.setattr(token_files, "shared_encoder", watched)
+    words = [f" w{'abcdefghij'[i // 10]}{'klmnopqrst'[i % 10]}" for i in range(100)]
+    df = spark.range(160).select(F.col("id").alias("doc_id"), F.lit("".join(words)).alias("text"))
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        manifest = token_files.write(df, P.path("word_bpe_49k.json"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    new = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert len(new) >= 12 and 100 <= sum(new) <= 4 * 100     # four workers, each word new to each
+    ids = library("word_bpe_49k.json").encode("".join(words), add_special_tokens=False).ids + [2]
+    got = token_files.read_documents(manifest).groupBy("n_tokens", "ids_crc32").count().collect()
+    assert [tuple(r) for r in got] == [(len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), 160)]
+
+
 def test_token_files_of_an_empty_table(spark):
     manifest = token_files.write(spark.createDataFrame([], DOCS), P.path("word_bpe_49k.json"))
     assert manifest.count() == 0 and token_files.read_documents(manifest).count() == 0
