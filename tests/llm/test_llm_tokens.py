@@ -4,6 +4,7 @@ import collections
 import contextlib
 import hashlib
 import itertools
+import os
 import random
 import uuid
 import zlib
@@ -128,12 +129,12 @@ def test_tasks_of_a_write_share_their_table(spark, tmp_path, monkeypatch):
             known = len(encoder.book)
             yield encoder
             with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
-                f.write(str(len(encoder.book) - known))
+                f.write(f"{os.getpid()} {len(encoder.book) - known}")
 
     monkeypatch.setattr(token_files, "shared_encoder", watched)
     words = [f" w{'abcdefghij'[i // 10]}{'klmnopqrst'[i % 10]}" for i in range(100)]
-    df = spark.range(160).select(F.col("id").alias("doc_id"), F.lit("".join(words)).alias("text"))
-    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    df = spark.range(640).select(F.col("id").alias("doc_id"), F.lit("".join(words)).alias("text"))
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     before = {k: spark.conf.get(k) for k in settings}
     try:
         for k, v in settings.items():
@@ -142,11 +143,16 @@ def test_tasks_of_a_write_share_their_table(spark, tmp_path, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
-    new = [int(f.read_text()) for f in tmp_path.iterdir()]
-    assert len(new) >= 12 and 100 <= sum(new) <= 4 * 100     # four workers, each word new to each
+    new = collections.defaultdict(list)
+    for f in tmp_path.iterdir():
+        worker, n = map(int, f.read_text().split())
+        new[worker].append(n)
+    assert sum(map(len, new.values())) >= 48 and max(map(len, new.values())) > 1
+    assert 100 in (known := {sum(own) for own in new.values()})
+    assert known <= {0, 100}                             # each word is new once to a worker
     ids = library("word_bpe_49k.json").encode("".join(words), add_special_tokens=False).ids + [2]
     got = token_files.read_documents(manifest).groupBy("n_tokens", "ids_crc32").count().collect()
-    assert [tuple(r) for r in got] == [(len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), 160)]
+    assert [tuple(r) for r in got] == [(len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), 640)]
 
 
 def test_token_files_of_an_empty_table(spark):
