@@ -1,7 +1,9 @@
 """Near duplicates, neighbour search and line dedup against brute force."""
 import collections
+import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -254,6 +256,77 @@ def test_probes_come_in_order_of_cost():
     assert (whole[:, :50] == index.probes(q, 50)).all() and all(len(set(r.tolist())) == len(r) for r in whole)
 
 
+def test_probes_are_the_sorted_product():
+    index = multiprobe_lsh.Index.new(8, 20_000, tables=2)
+    q = unit(np.random.default_rng(3).normal(size=(6, 8)))
+    index.a[:, 1] = index.a[:, 0]                       # functions that cost the same
+    index.b[1] = index.b[0]
+    whole, some = index.probes(q, 1 << 30), index.probes(q, 40)
+    for x, mine, first in zip(q, whole, some):
+        f = (x[None] @ index.a + index.b)[0] / index.width
+        slot = np.floor(f).astype(np.int64)
+        at = f - slot
+        ways = []
+        for t in range(index.tables):
+            own = range(t * index.functions, (t + 1) * index.functions)
+            for moves in itertools.product(multiprobe_lsh.STEPS, repeat=index.functions):
+                cost = sum((m - at[i] if m > 0 else at[i] - m - 1 if m else 0.0) ** 2 for i, m in zip(own, moves))
+                code = sum(int(slot[i] + m) * int(index.salt[i]) for i, m in zip(own, moves))
+                ways.append((round(cost, 9), code * index.tables + t))
+        costs = {cell: cost for cost, cell in ways}
+        assert sorted(costs) == sorted(mine.tolist()) and (mine[:40] == first).all()
+        assert [costs[c] for c in mine.tolist()] == sorted(costs.values())
+
+
+def test_calibration_holds_the_buckets_of_one_query(spark):
+    x = np.random.default_rng(8).normal(size=(400, 16))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>").repartition(3)
+    index = multiprobe_lsh.Index.new(16, 600_000)       # as many functions as for a large table
+    assert index.functions == 6
+    tracemalloc.start()
+    visits = multiprobe_lsh._visits(index, rows, 5, 128, 0.97)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 1 < visits < index.tables * 5 ** 6
+    assert most < 64 << 20                              # of all 128 at once: 818 MB
+
+
+def test_best_of_blocks(monkeypatch):
+    monkeypatch.setattr(multiprobe_lsh, "HELD", 500)
+    monkeypatch.setattr(multiprobe_lsh, "EXACT", 64)
+    rng = np.random.default_rng(9)
+    x = unit(rng.normal(size=(3000, 24)))
+    x[500:900] = unit(x[500] + 1e-7 * rng.normal(size=(400, 24)))  # floats hardly tell these apart
+    x[900:930] = x[900]
+    ids = rng.permutation(10_000)[:len(x)]
+    asked = np.concatenate([np.arange(0, 3000, 40), np.arange(500, 560), [900, 910]])
+    best = multiprobe_lsh._Best(6)
+    for lo in [*range(0, 3000, 170), 340, 850]:         # some blocks come twice, as in another table
+        for q in np.array_split(asked, 5):
+            best.meet(ids[lo:lo + 170], x[lo:lo + 170], ids[q], x[q])
+    got = best.rows()
+    for q in asked:
+        score = np.clip((x * x[q]).sum(axis=1), -1, 1)
+        want = np.lexsort((ids, -score))[:6]
+        mine = got[0] == ids[q]
+        assert got[1][mine].tolist() == ids[want].tolist() and (got[2][mine] == score[want]).all()
+
+
+def test_search_of_floats_and_of_small_blocks(spark, monkeypatch):
+    x = vectors(seed=4)
+    x[300:302] = x[302:304]
+    x = x.astype(np.float32)
+    floats = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    doubles = floats.selectExpr("vec_id", "cast(embedding as array<double>) AS embedding")
+    search = lambda a, b: sorted(map(tuple, multiprobe_lsh.search(a, b.where("vec_id % 50 = 0")).collect()))
+    want = search(doubles, doubles)
+    assert len(want) == 18 * 5
+    assert search(floats, floats) == want
+    for name, n in (("MEMBERS", 7), ("VISITORS", 3), ("GATHERED", 16 * 8 * 100), ("FRAME", 16 * 8 * 50), ("VISITS", 40)):
+        monkeypatch.setattr(multiprobe_lsh, name, n)
+    assert search(floats, doubles) == want
+
+
 def test_near_duplicate_vectors(spark, monkeypatch):
     monkeypatch.setattr(multi_index, "BLOCK_ROWS", 16)
     x = vectors()
